@@ -98,16 +98,18 @@ def range_join(left: DataFrame, right: DataFrame, on, cond, how: str = "inner",
     return left.join(right, eq & cond(left, right), how)
 
 
-def join_best(left: DataFrame, right: DataFrame, on, order: Sequence[Column],
+def join_best(left: DataFrame, right: DataFrame, on, order: Sequence[str],
               left_id: Sequence[str], right_on=None) -> DataFrame:
     """Left join, then keep the best match per left row.
 
-    ``left_id`` names columns that identify a left row; ``order`` ranks the
-    candidate matches (first wins).  Unmatched rows are kept once.
+    ``left_id`` names columns that identify a left row; ``order`` (specs like
+    ``"dist"``, ``"ts desc"``) ranks the candidate matches, first wins.
+    Unmatched rows are kept once.  Picking is an aggregate (``min_by``), so
+    a left row with very many matches is combined map-side.
     """
+    from .dedupe import keep_first
     joined = join_na(left, right, on, "left", right_on)
-    w = Window.partitionBy(*left_id).orderBy(*order)
-    return joined.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    return keep_first(joined, left_id, order)
 
 
 def resolve_id(df: DataFrame, xref: DataFrame, own: str, key: str, xref_key: str,

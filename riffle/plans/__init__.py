@@ -1,4 +1,4 @@
 """Driver-facing queries built from the library operators."""
 
 from .registry import ORACLES, QUERIES  # noqa: F401
-from . import sites  # noqa: F401  (registers queries)
+from . import core, sites  # noqa: F401  (registers queries)

@@ -86,13 +86,14 @@ def add_totals(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column],
 
 
 def share(df: DataFrame, bin_col: str, within: Sequence[str] = (), count_col: str | None = None,
-          out: str = "percent", digits: int = 0) -> DataFrame:
+          out: str = "percent", digits: int = 0, mode: str = "even") -> DataFrame:
     """Count per bin and its percent of the total (of the whole frame or per ``within``).
 
     Counts are aggregated first; the totals are a second, tiny aggregate of
     those counts joined back (never a window over raw rows).
     """
-    from ..functions.semantics import round_half_up
+    from ..functions.semantics import round_even, round_half_up
+    rnd = round_even if mode == "even" else round_half_up
     keys = list(within) + [bin_col]
     counts = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")) if count_col is None
               else df.groupBy(*keys).agg(F.sum(count_col).alias("count")))
@@ -107,7 +108,7 @@ def share(df: DataFrame, bin_col: str, within: Sequence[str] = (), count_col: st
     else:
         # grand total as an uncorrelated scalar subquery (one value)
         j = counts.withColumn("total", counts.agg(F.sum("count")).scalar())
-    return j.withColumn(out, round_half_up(F.col("count") * 100.0 / F.col("total"), digits))
+    return j.withColumn(out, rnd(F.col("count") * 100.0 / F.col("total"), digits))
 
 
 def collect_string(df: DataFrame, keys: Sequence[str], col: str, sep: str = " ",
@@ -178,18 +179,15 @@ def histogram(df: DataFrame, keys: Sequence[str], col: str, width: float,
     Zero bins between the global aligned bounds are generated with
     ``sequence`` over the (small) distinct-key table and joined to the counts.
     """
-    b = (F.floor(F.col(col) / F.lit(width)) * F.lit(width))
-    counts = df.where(F.col(col).isNotNull()).groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    idx = F.floor(F.col(col) / F.lit(width)).cast("long")
+    counts = df.where(F.col(col).isNotNull()).groupBy(*keys, idx.alias("__i")).agg(F.count(F.lit(1)).alias("n"))
     if not fill_zero:
-        return counts
-    # global aligned bounds as scalar subqueries (one value each)
-    lo = counts.agg(F.min("bin")).scalar()
-    hi = counts.agg(F.max("bin")).scalar()
-    steps = ((hi - lo) / F.lit(width)).cast("long")
-    grid = counts.select(*keys).distinct().select(
-        *keys, F.explode(F.transform(F.sequence(F.lit(0).cast("long"), steps),
-                                     lambda i: lo + i * F.lit(width))).alias("bin"))
-    c = counts.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.col("bin").alias("__h_bin"), "n")
-    cond = _and([grid[k].eqNullSafe(c[f"__h_{k}"]) for k in keys] + [grid["bin"] == c["__h_bin"]])
-    g = grid.join(c, cond, "left")
+        return counts.select(*keys, (F.col("__i") * F.lit(width)).alias("bin"), "n")
+    # global aligned bounds (bin indexes) as scalar subqueries, one value each
+    lo = counts.agg(F.min("__i")).scalar()
+    hi = counts.agg(F.max("__i")).scalar()
+    grid = counts.select(*keys).distinct().select(*keys, F.explode(F.sequence(lo, hi)).alias("__i"))
+    c = counts.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.col("__i").alias("__h_i"), "n")
+    cond = _and([grid[k].eqNullSafe(c[f"__h_{k}"]) for k in keys] + [grid["__i"] == c["__h_i"]])
+    g = grid.join(c, cond, "left").withColumn("bin", F.col("__i") * F.lit(width))
     return g.select(*keys, "bin", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))

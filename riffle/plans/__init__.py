@@ -1,4 +1,4 @@
 """Driver-facing queries built from the library operators."""
 
 from .registry import ORACLES, QUERIES  # noqa: F401
-from . import core, sites, summaries  # noqa: F401  (registers queries)
+from . import core, fishq, sites, summaries  # noqa: F401  (registers queries)

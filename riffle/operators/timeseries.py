@@ -96,13 +96,32 @@ def daily(df: DataFrame, keys: Sequence[str], date: str, value: str, out: str =
     return df.groupBy(*keys, F.to_date(date).alias("date")).agg(F.sum(value).alias(out))
 
 
+def exact_moments(v: Column) -> list[Column]:
+    """Count, sum and sum of squares of a decimal column: exact, order-free partials."""
+    return [F.count(v).alias("__n"), F.sum(v).alias("__sx"), F.sum(v * v).alias("__sxx")]
+
+
+def mean_sd(n: str = "__n", sx: str = "__sx", sxx: str = "__sxx") -> tuple[Column, Column]:
+    """Mean and sample sd from exact moments; the only float steps are the final
+    division and square root, so any engine gets the same bits."""
+    nn, s1, s2 = F.col(n), F.col(sx), F.col(sxx)
+    mean = s1.cast("double") / nn
+    var = F.try_divide((nn * s2 - s1 * s1).cast("double"), (nn * (nn - 1)).cast("double"))
+    return mean, F.sqrt(var)
+
+
 def climatology(df: DataFrame, keys: Sequence[str], date: str, value: str) -> DataFrame:
-    """Mean, sd, max, min of daily values by day of year, all keys in one job."""
+    """Mean, sd, max, min of daily values by day of year, all keys in one job.
+
+    ``value`` should be a decimal: moments are summed exactly, so the result
+    does not depend on how rows are spread over tasks.
+    """
     v = F.col(value)
     g = df.groupBy(*keys, F.dayofyear(date).alias("doy")).agg(
-        F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.max(v).alias("max"), F.min(v).alias("min"),
-        F.count(v).alias("n"))
-    return g.withColumn("plot_date", doy_to_date("doy"))
+        *exact_moments(v), F.max(v).cast("double").alias("max"), F.min(v).cast("double").alias("min"))
+    mean, sd = mean_sd()
+    return (g.withColumn("mean", mean).withColumn("sd", sd).withColumnRenamed("__n", "n")
+            .drop("__sx", "__sxx").withColumn("plot_date", doy_to_date("doy")))
 
 
 def record_period(df: DataFrame, keys: Sequence[str], date: str, label: str | None = None) -> DataFrame:

@@ -66,14 +66,25 @@ def _daily(t: Tables) -> DataFrame:
     return T.daily(o, ["station"], "date", "v").withColumn("value", F.col("value").cast("double"))
 
 
-@query("climatology", sql="WITH " + DAILY_SQL + f"""
-SELECT station, dayofyear(date) AS doy, DATE '2015-12-31' + CAST(dayofyear(date) AS INTEGER) AS plot_date,
-       {_r('avg(value)', 2)} AS mean, {_r('stddev_samp(value)', 2)} AS sd,
-       max(value) AS max, min(value) AS min, count(value) AS n
-FROM d GROUP BY station, dayofyear(date)""")
+@query("climatology", sql="""
+WITH d AS (SELECT o_orderpriority AS station, CAST(o_orderdate AS DATE) AS date,
+                  sum(CAST(o_totalprice AS DECIMAL(18,2))) AS value
+           FROM orders GROUP BY ALL),
+g AS (SELECT station, dayofyear(date) AS doy, count(value) AS n, sum(value) AS sx, sum(value * value) AS sxx,
+             CAST(max(value) AS DOUBLE) AS max, CAST(min(value) AS DOUBLE) AS min
+      FROM d GROUP BY station, dayofyear(date))
+SELECT station, doy, DATE '2015-12-31' + CAST(doy AS INTEGER) AS plot_date,
+       """ + _r('CAST(sx AS DOUBLE) / n', 2) + """ AS mean,
+       """ + _r('sqrt(CAST(n * sxx - sx * sx AS DOUBLE) / CAST(nullif(n * (n - 1), 0) AS DOUBLE))', 2) + """ AS sd,
+       max, min, n
+FROM g""")
 def climatology(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily mean, sd, max and min by day of year for every station in one job."""
-    c = T.climatology(_daily(Tables(spark, sf_dir)), ["station"], "date", "value")
+    o = Tables(spark, sf_dir).orders.select(F.col("o_orderpriority").alias("station"),
+                                            F.to_date("o_orderdate").alias("date"),
+                                            F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    d = T.daily(o, ["station"], "date", "v")
+    c = T.climatology(d, ["station"], "date", "value")
     return c.select("station", "doy", "plot_date", round_half_up("mean", 2).alias("mean"),
                     round_half_up("sd", 2).alias("sd"), "max", "min", "n")
 

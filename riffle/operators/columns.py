@@ -170,24 +170,36 @@ def fill_na(df: DataFrame, value, cols: Sequence[str] | None = None) -> DataFram
 
 
 def row_id(df: DataFrame, order: Sequence[Column | str], name: str = "row_id",
-           partitions: int | None = None) -> DataFrame:
+           partitions: int | None = None, total: str | None = None) -> DataFrame:
     """1-based row number over the whole frame in a total ``order``.
 
     Distributed: range-partition and sort by ``order``, tag rows with
     ``monotonically_increasing_id`` (partition index in the high bits),
     count rows per partition, and add each partition's offset.  The offsets
     table has one row per partition (a proven bound), so it is broadcast.
-    ``order`` must be a total order (add a unique tie-breaker).
+
+    The tagged frame is read twice (counts and rows).  Range bounds come
+    from a sample seeded by the RDD id, so two evaluations could cut the
+    range differently; the tagged frame is therefore materialised once with
+    a reliable ``checkpoint`` (shared checkpoint folder, survives executor
+    loss) and both branches read that.
+    ``order`` must be a total order (add a unique tie-breaker).  With
+    ``total`` the overall row count is attached as that column as well.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    tagged = ranged.withColumn("__mid", F.monotonically_increasing_id())
+    from ..session import cut_lineage
+    tagged = cut_lineage(ranged.withColumn("__mid", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("__mid"), 33)
     counts = tagged.groupBy(pid.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
     # one row per partition: a tiny single-partition window is fine here
     w = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__p", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    offsets = counts.select("__p", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"),
+                            F.sum("__n").over(Window.partitionBy()).alias("__tot"))
     j = tagged.join(F.broadcast(offsets), pid == F.col("__p"))
     local = F.col("__mid") - F.shiftleft(F.col("__p"), 33)
-    return j.withColumn(name, (F.col("__off") + local + 1).cast("long")).drop("__mid", "__p", "__off")
+    j = j.withColumn(name, (F.col("__off") + local + 1).cast("long"))
+    if total:
+        j = j.withColumn(total, F.col("__tot").cast("long"))
+    return j.drop("__mid", "__p", "__off", "__tot")

@@ -81,16 +81,22 @@ def last_pass_flag(catch: DataFrame, site: str = "local_name", pass_col: str = "
 def density(catch: DataFrame, events: DataFrame, site: str = "local_name",
             keys: Sequence[str] = ("local_name", "species_code", "life_stage"),
             length: str = "ef_length_m", width: str = "ef_width_m",
-            extra: Sequence[str] = ("ef_seconds", "enclosure")) -> DataFrame:
-    """Abundance and density per site × species × stage.
-
-    catch = Σ catch over passes; area = round(L·W, 1); density per 100 m² =
-    round(catch / area · 100, 1) (half to even; zero area gives NULL).
+            extra: Sequence[str] = ("ef_seconds", "enclosure"),
+            pass_col: str = "haul_number_pass_number", species: str = "species_code") -> DataFrame:
+    """Abundance and density per site × species × stage (D15, with D14).
+
+    One aggregate gives Σ catch and the group's last catch pass; the site's
+    pass total is a max over the already-aggregated groups of the site (a
+    handful of rows per site), so no join back and no second pass.  The
+    flag equals :func:`last_pass_flag`.  area = round(L·W, 1); density per
+    100 m² = round(catch / area · 100, 1) (half to even; zero area → NULL).
     """
-    tot = catch.groupBy(*keys).agg(F.sum("catch").alias("catch"))
-    flags = last_pass_flag(catch, site=site, keys=keys)
-    j = tot.join(flags, _and([tot[k].eqNullSafe(flags[k]) for k in keys]), "left") \
-        .select(*[tot[k] for k in keys], "catch", "nfc_pass")
+    from pyspark.sql import Window
+    g = catch.groupBy(*keys).agg(F.sum("catch").alias("catch"), F.max(pass_col).alias("__last"))
+    g = g.withColumn("__total", F.max("__last").over(Window.partitionBy(site)))
+    flag = F.when(F.col(species) == NO_FISH, F.lit(True)).when(F.col("__last") == F.col("__total"), F.lit(False)) \
+        .otherwise(F.lit(True))
+    j = g.withColumn("nfc_pass", flag).drop("__last", "__total")
     sizes = keep_first(events.select(site, length, width, *[e for e in extra if e in events.columns]),
                        [site], [f"{length} nulls last", f"{width} nulls last"])
     j = j.join(sizes, site, "left")

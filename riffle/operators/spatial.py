@@ -34,19 +34,23 @@ def _neighbours() -> Column:
 
 
 def _nearest_level(left: DataFrame, right: DataFrame, size: float, lid: str, rid: str) -> DataFrame:
-    """Best candidate within the 3×3 cell block at one grid size."""
-    l = (left.select(lid, "__x", "__y", _cell(F.col("__x"), size).alias("__cx"), _cell(F.col("__y"), size).alias("__cy"))
-         .select(lid, "__x", "__y", F.explode(_neighbours()).alias("__n"), "__cx", "__cy")
-         .select(lid, "__x", "__y", (F.col("__cx") + F.col("__n.dx")).alias("__kx"),
+    """Best candidate within the 3×3 cell block at one grid size.
+
+    ``left`` holds distinct coordinates (``lid`` is ignored there: the
+    coordinates are the key) and ``right`` one row per distinct coordinate.
+    """
+    l = (left.select("__x", "__y", _cell(F.col("__x"), size).alias("__cx"), _cell(F.col("__y"), size).alias("__cy"))
+         .select("__x", "__y", F.explode(_neighbours()).alias("__n"), "__cx", "__cy")
+         .select("__x", "__y", (F.col("__cx") + F.col("__n.dx")).alias("__kx"),
                  (F.col("__cy") + F.col("__n.dy")).alias("__ky")))
     r = right.select(F.col(rid).alias("__rid"), F.col("__x").alias("__rx"), F.col("__y").alias("__ry"),
                      _cell(F.col("__x"), size).alias("__kx"), _cell(F.col("__y"), size).alias("__ky"))
     j = l.join(r, ["__kx", "__ky"])
     dx, dy = F.col("__x") - F.col("__rx"), F.col("__y") - F.col("__ry")
     d = F.sqrt(dx * dx + dy * dy)
-    best = j.groupBy(lid).agg(F.min_by(F.struct(d.alias("dist"), F.col("__rid").alias("rid")),
-                                       F.struct(d, F.col("__rid"))).alias("__b"))
-    return best.select(lid, F.col("__b.dist").alias("dist"), F.col("__b.rid").alias("rid"))
+    best = j.groupBy("__x", "__y").agg(F.min_by(F.struct(d.alias("dist"), F.col("__rid").alias("rid")),
+                                                F.struct(d, F.col("__rid"))).alias("__b"))
+    return best.select("__x", "__y", F.col("__b.dist").alias("dist"), F.col("__b.rid").alias("rid"))
 
 
 def nearest(left: DataFrame, right: DataFrame, lid: str, rid: str, xy: tuple[str, str] = ("x", "y"),
@@ -60,13 +64,21 @@ def nearest(left: DataFrame, right: DataFrame, lid: str, rid: str, xy: tuple[str
     (G4): points with nothing within it get NULLs.  Ties on distance go to the
     smaller right id.  ``max_dist=inf`` needs one bounded aggregate (the
     extent) to know when to stop.
+
+    Hot spots: identical coordinates are searched once (left side distinct,
+    right side reduced to the smallest id per coordinate — exact, since ties
+    go to the smaller id), so repeated points never multiply the candidate
+    pairs; answers are joined back to the left rows on the coordinates.
     """
     rxy = rxy or xy
-    L = left.select(lid, F.col(xy[0]).cast("double").alias("__x"), F.col(xy[1]).cast("double").alias("__y"))
-    R = right.select(rid, F.col(rxy[0]).cast("double").alias("__x"), F.col(rxy[1]).cast("double").alias("__y"))
+    lx, ly = F.col(xy[0]).cast("double"), F.col(xy[1]).cast("double")
+    L = left.select(lx.alias("__x"), ly.alias("__y")).where("__x IS NOT NULL AND __y IS NOT NULL").distinct()
+    R = (right.select(F.col(rid), F.col(rxy[0]).cast("double").alias("__x"), F.col(rxy[1]).cast("double").alias("__y"))
+         .where("__x IS NOT NULL AND __y IS NOT NULL")
+         .groupBy("__x", "__y").agg(F.min(rid).alias(rid)))
     limit = max_dist
     if math.isinf(limit):
-        b = L.unionByName(R.withColumnRenamed(rid, lid)).agg(
+        b = L.unionByName(R.drop(rid)).agg(
             F.max("__x") - F.min("__x"), F.max("__y") - F.min("__y")).first()
         limit = math.hypot(b[0] or 0.0, b[1] or 0.0) + cell
     found, todo, size = [], L, cell
@@ -77,13 +89,15 @@ def nearest(left: DataFrame, right: DataFrame, lid: str, rid: str, xy: tuple[str
         found.append(ok)
         if last:
             break
-        todo = todo.join(ok.select(lid), lid, "left_anti")
+        todo = todo.join(ok.select("__x", "__y"), ["__x", "__y"], "left_anti")
         size = size * growth
     res = found[0]
     for f in found[1:]:
         res = res.unionByName(f)
-    res = res.select(lid, F.col("rid").alias(out_id), F.col("dist").alias(out_dist))
-    return left.join(res, lid, "left")
+    res = res.select(F.col("__x").alias("__rx_"), F.col("__y").alias("__ry_"), F.col("rid").alias(out_id),
+                     F.col("dist").alias(out_dist))
+    j = left.join(res, (lx == F.col("__rx_")) & (ly == F.col("__ry_")), "left")
+    return j.drop("__rx_", "__ry_")
 
 
 def ring(points: Sequence[tuple[float, float]]) -> Column:

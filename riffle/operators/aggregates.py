@@ -89,25 +89,17 @@ def share(df: DataFrame, bin_col: str, within: Sequence[str] = (), count_col: st
           out: str = "percent", digits: int = 0, mode: str = "even") -> DataFrame:
     """Count per bin and its percent of the total (of the whole frame or per ``within``).
 
-    Counts are aggregated first; the totals are a second, tiny aggregate of
-    those counts joined back (never a window over raw rows).
+    Counts are a partial aggregate; totals are a window over those counts
+    (one row per bin, so each window partition is tiny) — the raw rows are
+    read once.
     """
     from ..functions.semantics import round_even, round_half_up
     rnd = round_even if mode == "even" else round_half_up
     keys = list(within) + [bin_col]
     counts = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")) if count_col is None
               else df.groupBy(*keys).agg(F.sum(count_col).alias("count")))
-    if within:
-        totals = counts.groupBy(*within).agg(F.sum("count").alias("total"))
-        t = totals.select(*[F.col(k).alias(f"__t_{k}") for k in within], "total")
-        cond = None
-        for k in within:
-            e = counts[k].eqNullSafe(t[f"__t_{k}"])
-            cond = e if cond is None else cond & e
-        j = counts.join(t, cond, "left").drop(*[f"__t_{k}" for k in within])
-    else:
-        # grand total as an uncorrelated scalar subquery (one value)
-        j = counts.withColumn("total", counts.agg(F.sum("count")).scalar())
+    w = Window.partitionBy(*within) if within else Window.partitionBy()
+    j = counts.withColumn("total", F.sum("count").over(w))
     return j.withColumn(out, rnd(F.col("count") * 100.0 / F.col("total"), digits))
 
 
@@ -139,30 +131,27 @@ def long_term_mean(df: DataFrame, keys: Sequence[str], date: str, value: str,
 def box_summary(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """Box-plot numbers per group (A17): quartiles, whiskers at 1.5·IQR, outliers.
 
-    Quartiles are exact (``percentile``, linear interpolation); whiskers are the
-    most extreme values inside the fences, found by a join back to the rows.
+    The rows are first reduced to (group, value, count) — a partial
+    aggregate, so repeated values cost one row.  Exact quartiles
+    (``percentile`` with frequencies, linear interpolation) are a window over
+    that table per group, and a final aggregate of the same table gives the
+    whiskers (extreme values inside the fences) and the outlier count.  The
+    input is read once; a group's window holds its distinct values only.
     """
-    q = df.groupBy(*keys).agg(
-        F.count(col).alias("n"),
-        F.percentile(col, [0.25, 0.5, 0.75]).alias("__q"),
-    ).select(*keys, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-             F.col("__q")[2].alias("q3"))
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    qq = q.select(*[F.col(k).alias(f"__b_{k}") for k in keys], "q1", "q3", "iqr")
-    cond = None
-    for k in keys:
-        e = df[k].eqNullSafe(qq[f"__b_{k}"])
-        cond = e if cond is None else cond & e
-    j = df.join(qq, cond, "inner")
-    lo = F.col("q1") - 1.5 * F.col("iqr")
-    hi = F.col("q3") + 1.5 * F.col("iqr")
-    v = F.col(col)
-    w = j.groupBy(*[F.col(f"__b_{k}").alias(k) for k in keys]).agg(
-        F.min(F.when(v >= lo, v)).alias("whisker_low"),
+    vc = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")).agg(
+        F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*keys)
+    q = vc.withColumn("__q", F.percentile("__v", [0.25, 0.5, 0.75], F.col("__c")).over(w))
+    q = q.select(*keys, "__v", "__c", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
+                 F.col("__q")[2].alias("q3"))
+    lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
+    hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
+    v = F.col("__v")
+    return q.groupBy(*keys).agg(
+        F.sum("__c").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
+        F.first("q3").alias("q3"), F.min(F.when(v >= lo, v)).alias("whisker_low"),
         F.max(F.when(v <= hi, v)).alias("whisker_high"),
-        F.count_if((v < lo) | (v > hi)).alias("n_outliers"))
-    return q.join(w, _and([q[k].eqNullSafe(w[k]) for k in keys]), "left").select(
-        *[q[k] for k in keys], "n", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers")
+        F.coalesce(F.sum(F.when((v < lo) | (v > hi), F.col("__c"))), F.lit(0)).alias("n_outliers"))
 
 
 def _and(conds):

@@ -100,7 +100,12 @@ def strict_sum(col: ColumnOrName) -> Column:
 
 def part(col: ColumnOrName, index: int, pattern: str = NON_ALNUM,
          limit: int = -1) -> Column:
-    """1-based piece of a split; missing when the text has fewer pieces."""
+    """1-based piece of a split; missing when the text has fewer pieces.
+
+    The default separator is any run of non-alphanumerics, so
+    ``198220_us_ef1`` → ``198220``, ``us``, ``ef1`` and a missing right piece
+    is NULL (never an error).
+    """
     return F.get(F.split(_c(col), pattern, limit), index - 1)
 
 

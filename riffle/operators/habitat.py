@@ -58,6 +58,20 @@ def gain_estimate(df: DataFrame, species_list: str, length_m: str, out_prefix: s
             .withColumn(f"{out_prefix}upstream_km", round_half_up(F.col(length_m) / 1000, 1)))
 
 
+def features(sites: DataFrame, names: DataFrame, code: str, names_code: str, name: str,
+             out: str = "feature_name") -> DataFrame:
+    """Habitat features with the obstacle name looked up by its code."""
+    n = names.select(F.col(names_code).alias("__fc"), F.col(name).alias(out))
+    return sites.join(F.broadcast(n), sites[code] == n["__fc"], "left").drop("__fc")
+
+
+def cross_ref(df: DataFrame, xref: DataFrame, own: str, key: str, xref_key: str, xref_id: str,
+              out: str) -> DataFrame:
+    """Culvert id from own id or from the cross-reference table, cast to long."""
+    from .joins import resolve_id
+    return resolve_id(df, xref, own, key, xref_key, xref_id, out)
+
+
 def map_links(df: DataFrame, id_col: str, base: str = "sum/cv/", label: str = "Culvert Data") -> DataFrame:
     """HTML link column for the map table."""
     return df.withColumn("data_link", F.format_string(f'<a href ={base}%s.html target="_blank">{label}</a>',

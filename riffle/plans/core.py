@@ -15,6 +15,7 @@ from ..operators import columns as P
 from ..operators import dedupe as W
 from ..operators import filters as FL
 from ..operators import joins as J
+from ..operators import habitat as H
 from ..operators import scoring, sets as U
 from .registry import Tables, query
 
@@ -323,7 +324,7 @@ SELECT o_orderkey, resolved_id, x_filled,
        ELSE o_orderkey * 20000 + 1000000000 END AS aggregated_crossings_id
 FROM r""")
 def xref_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Own id (text, bad values → NULL) else the cross-referenced id; coordinates
+    """Own id (text, bad values → NULL) else the cross-referenced id (D30); coordinates
     filled from two successive sources; amalgamated id with offset."""
     t = Tables(spark, sf_dir)
     k = F.col("o_orderkey")
@@ -334,8 +335,8 @@ def xref_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 3 == 0, F.lit(None)).otherwise(F.col("o_totalprice")).alias("x"))
     xref = t.customer.select("c_custkey", (F.col("c_nationkey").cast("long") * 100000 + F.col("c_custkey"))
                              .alias("xid"))
-    r = J.resolve_id(s, xref, own="own_text", key="o_custkey", xref_key="c_custkey", xref_id="xid",
-                     out="resolved_id")
+    r = H.cross_ref(s, xref, own="own_text", key="o_custkey", xref_key="c_custkey", xref_id="xid",
+                    out="resolved_id")
     src1 = t.customer.filter(F.col("c_nationkey") < 10).select(F.col("c_custkey").alias("k1"),
                                                                F.col("c_acctbal").alias("x"))
     src2 = t.customer.select(F.col("c_custkey").alias("k2"), F.col("c_nationkey").cast("double").alias("x"))
@@ -369,6 +370,8 @@ def range_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Fixed values for the stand-in: corrections (site, column, value) applied before stacking.
 REPAIRS = [(11, "f1_length", "2.0"), (11, "f1_kind", "debris jam"), (32, "f2_length", "0.5")]
+# Fixed values for the stand-in: feature code -> obstacle name.
+FEATURE_NAMES = [("pool", "Pool"), ("riffle", "Riffle"), ("falls", "Falls"), ("debris jam", "Large woody debris jam")]
 
 
 @query("feature_stack", sql="""
@@ -385,13 +388,16 @@ fixed AS (
     CASE WHEN site_id = 11 THEN 'debris jam' ELSE f1_kind END AS f1_kind,
     CASE WHEN site_id = 11 THEN 2.0 ELSE f1_length END AS f1_length,
     f2_kind, CASE WHEN site_id = 32 THEN 0.5 ELSE f2_length END AS f2_length, f3_kind, f3_length
-  FROM s)
+  FROM s),
+st AS (
 SELECT site_id, 1 AS "group", f1_kind AS kind, coalesce(f1_length, 0.0) AS length FROM fixed
   WHERE f1_kind IS NOT NULL OR f1_length IS NOT NULL
 UNION ALL SELECT site_id, 2, f2_kind, coalesce(f2_length, 0.0) FROM fixed
   WHERE f2_kind IS NOT NULL OR f2_length IS NOT NULL
 UNION ALL SELECT site_id, 3, f3_kind, coalesce(f3_length, 0.0) FROM fixed
-  WHERE f3_kind IS NOT NULL OR f3_length IS NOT NULL""")
+  WHERE f3_kind IS NOT NULL OR f3_length IS NOT NULL),
+names AS (SELECT * FROM (VALUES """ + ", ".join(f"('{a}', '{b}')" for a, b in FEATURE_NAMES) + """) AS n(code, feature_name))
+SELECT st.*, names.feature_name FROM st LEFT JOIN names ON st.kind = names.code""")
 def feature_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature 1/2/3 column groups → rows, after a correction table is applied."""
     li = Tables(spark, sf_dir).lineitem
@@ -406,4 +412,6 @@ def feature_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixed = U.apply_repairs(s, rules, key="site_id")
     groups = [{"kind": f"f{i}_kind", "length": f"f{i}_length"} for i in (1, 2, 3)]
     st = U.stack_groups(fixed, ["site_id"], groups, drop_if_null=["kind", "length"])
-    return st.select("site_id", "group", "kind", F.coalesce("length", F.lit(0.0)).alias("length"))
+    st = st.select("site_id", "group", "kind", F.coalesce("length", F.lit(0.0)).alias("length"))
+    names = J.lookup(spark, FEATURE_NAMES, "code string, feature_name string")
+    return H.features(st, names, "kind", "code", "feature_name")

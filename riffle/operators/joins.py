@@ -132,11 +132,15 @@ def fill_from(df: DataFrame, sources: Sequence[tuple[DataFrame, str]], key: str,
     """Fill missing ``cols`` from successive sources keyed by ``key``.
 
     Each source is ``(frame, its key column)``; the first source with a
-    value wins.  One left join per source, values coalesced in order.
+    value wins.  One left join per source, values coalesced in order.  A
+    source is reduced to one row per key first (the row with the smallest
+    values, deterministically), so a repeated key cannot multiply rows.
     """
+    from .dedupe import keep_first
     out = df
     for i, (src, skey) in enumerate(sources):
-        s = src.select(F.col(skey).alias(f"__k{i}"),
+        one = keep_first(src.select(skey, *cols).where(F.col(skey).isNotNull()), [skey], list(cols))
+        s = one.select(F.col(skey).alias(f"__k{i}"),
                        *[F.col(c).alias(f"__{c}_{i}") for c in cols])
         out = out.join(s, out[key].eqNullSafe(s[f"__k{i}"]), "left")
         out = out.select(*[F.coalesce(F.col(c), F.col(f"__{c}_{i}")).alias(c) if c in cols

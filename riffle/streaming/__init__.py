@@ -1 +1 @@
-"""Package."""
+"""Structured Streaming adapter (see incremental.py)."""

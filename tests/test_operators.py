@@ -150,3 +150,16 @@ def test_infer_types_and_drop_empty(spark):
 def test_clean_names():
     assert P.snake("Culvert Slope (%)") == "culvert_slope"
     assert P.snake("utmEasting") == "utm_easting"
+
+
+def test_incremental_adapter(spark, tmp_path):
+    from riffle.operators import scoring
+    from riffle.streaming.incremental import run_incremental
+    src = str(tmp_path / "in")
+    spark.createDataFrame([("High", "Barrier"), ("Low", "Passable")],
+                          "habitat_value string, barrier_result string").write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    q = run_incremental(spark, src, schema, scoring.site_priority, str(tmp_path / "out"), str(tmp_path / "ck"))
+    q.awaitTermination(120)
+    got = sorted((r.habitat_value, r.priority_phase1) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [("High", "high"), ("Low", None)]

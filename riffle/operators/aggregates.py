@@ -128,30 +128,88 @@ def long_term_mean(df: DataFrame, keys: Sequence[str], date: str, value: str,
     return d.groupBy(*keys).agg(F.avg(value).alias(out))
 
 
+def weighted_ranks(vc: DataFrame, keys: Sequence[str], order: str, weight: str,
+                   partitions: int | None = None) -> DataFrame:
+    """Cumulative weight of each row within its group in ``order`` (distributed).
+
+    Rows are range-partitioned on ``(keys, order)`` so a large group is spread
+    over many tasks; the sorted frame is materialised once (checkpoint) and
+    tagged with its partition; a running sum inside each (partition, group)
+    plus the weight of the group's earlier partitions (a small table with one
+    row per partition the group spans) gives ``__end`` = cumulative weight,
+    and ``__n`` = the group's total weight.  Requires distinct ``order``
+    values within a group (pre-aggregate to (group, value, count)).
+    """
+    from ..session import cut_lineage
+    n = partitions or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort_cols = [F.col(k) for k in keys] + [F.col(order)]
+    tagged = cut_lineage(vc.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+                         .withColumn("__mid", F.monotonically_increasing_id()))
+    tagged = tagged.withColumn("__pid", F.shiftright("__mid", 33))
+    wl = (Window.partitionBy("__pid", *keys).orderBy("__mid")
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = tagged.withColumn("__lc", F.sum(weight).over(wl))
+    tot = tagged.groupBy("__pid", *keys).agg(F.sum(weight).alias("__t"))
+    wo = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select(F.col("__pid").alias("__opid"), *[F.col(k).alias(f"__o_{k}") for k in keys],
+                      F.coalesce(F.sum("__t").over(wo), F.lit(0)).alias("__off"),
+                      F.sum("__t").over(Window.partitionBy(*keys)).alias("__n"))
+    cond = _and([local["__pid"] == offs["__opid"]] + [local[k].eqNullSafe(offs[f"__o_{k}"]) for k in keys])
+    j = local.join(offs, cond, "inner")
+    return j.select(*vc.columns, (F.col("__off") + F.col("__lc")).alias("__end"), "__n")
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float],
+                    names: Sequence[str] | None = None) -> DataFrame:
+    """Exact quantiles per group (linear interpolation, like ``quantile_cont``), distributed.
+
+    No group is gathered into one task: values are reduced to (group, value,
+    count), ranked with :func:`weighted_ranks`, and every row checks itself
+    whether the 1-based ranks ``⌊h⌋+1`` and ``⌈h⌉+1`` (``h = (n−1)·p``) fall in
+    its rank interval — a plain partial aggregate then picks the two values
+    and interpolates ``lo + (hi − lo)·(h − ⌊h⌋)``.  Returns keys, ``n`` and one
+    column per probability.
+    """
+    names = list(names or [f"q{int(p * 100)}" for p in probs])
+    vc = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")).agg(
+        F.count(F.lit(1)).alias("__c"))
+    r = weighted_ranks(vc, keys, "__v", "__c")
+    start = F.col("__end") - F.col("__c")
+    aggs = [F.max("__n").alias("n")]
+    for i, p in enumerate(probs):
+        h = (F.col("__n") - 1).cast("double") * F.lit(float(p))
+        lo_rank, hi_rank = F.floor(h) + 1, F.ceil(h) + 1
+        aggs += [F.max(F.when((start < lo_rank) & (lo_rank <= F.col("__end")), F.col("__v"))).alias(f"__lo{i}"),
+                 F.max(F.when((start < hi_rank) & (hi_rank <= F.col("__end")), F.col("__v"))).alias(f"__hi{i}"),
+                 F.max(h - F.floor(h)).alias(f"__f{i}")]
+    g = r.groupBy(*keys).agg(*aggs)
+    return g.select(*keys, F.col("n").cast("long").alias("n"),
+                    *[(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(nm)
+                      for i, nm in enumerate(names)])
+
+
 def box_summary(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """Box-plot numbers per group (A17): quartiles, whiskers at 1.5·IQR, outliers.
 
-    The rows are first reduced to (group, value, count) — a partial
-    aggregate, so repeated values cost one row.  Exact quartiles
-    (``percentile`` with frequencies, linear interpolation) are a window over
-    that table per group, and a final aggregate of the same table gives the
-    whiskers (extreme values inside the fences) and the outlier count.  The
-    input is read once; a group's window holds its distinct values only.
+    Quartiles come from :func:`exact_quantiles` (distributed, exact); the
+    whiskers (extreme values inside the fences) and the outlier count are a
+    partial aggregate over (group, value, count) joined to the quartiles —
+    AQE broadcasts the one-row-per-group quartiles or splits a skewed group.
     """
+    q = exact_quantiles(df, keys, col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     vc = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")).agg(
         F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*keys)
-    q = vc.withColumn("__q", F.percentile("__v", [0.25, 0.5, 0.75], F.col("__c")).over(w))
-    q = q.select(*keys, "__v", "__c", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                 F.col("__q")[2].alias("q3"))
+    qq = q.select(*[F.col(k).alias(f"__b_{k}") for k in keys], "q1", "q3")
+    j = vc.join(qq, _and([vc[k].eqNullSafe(qq[f"__b_{k}"]) for k in keys]), "inner")
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     v = F.col("__v")
-    return q.groupBy(*keys).agg(
-        F.sum("__c").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
-        F.first("q3").alias("q3"), F.min(F.when(v >= lo, v)).alias("whisker_low"),
-        F.max(F.when(v <= hi, v)).alias("whisker_high"),
+    w = j.groupBy(*keys).agg(
+        F.min(F.when(v >= lo, v)).alias("whisker_low"), F.max(F.when(v <= hi, v)).alias("whisker_high"),
         F.coalesce(F.sum(F.when((v < lo) | (v > hi), F.col("__c"))), F.lit(0)).alias("n_outliers"))
+    ww = w.select(*[F.col(k).alias(f"__w_{k}") for k in keys], "whisker_low", "whisker_high", "n_outliers")
+    out = q.join(ww, _and([q[k].eqNullSafe(ww[f"__w_{k}"]) for k in keys]), "left")
+    return out.select(*keys, "n", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers")
 
 
 def _and(conds):

@@ -72,12 +72,27 @@ def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
     return F.struct(*fields)
 
 
+# Salt buckets for orders that cannot be encoded as an ascending struct.
+SALTS = 64
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row per key in ``order`` (W1 W2); ``order`` should be total."""
+    """First row per key in ``order`` (W1 W2); ``order`` should be total.
+
+    Encodable orders use one ``min_by`` aggregate.  Otherwise (text sorted
+    descending) the pick is done in two exact stages: first per (key, salt)
+    with the salt a hash of the row, spreading a hot key over ``SALTS``
+    window partitions, then first among at most ``SALTS`` candidates per key.
+    """
     key = order_key(df, order)
     if key is None:
-        w = Window.partitionBy(*keys).orderBy(*order_columns(order))
-        return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+        cols = order_columns(order)
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS))
+        s1 = (df.withColumn("__salt", salt)
+              .withColumn("__rn", F.row_number().over(Window.partitionBy(*keys, "__salt").orderBy(*cols)))
+              .filter("__rn = 1").drop("__rn"))
+        w = Window.partitionBy(*keys).orderBy(*cols)
+        return s1.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn", "__salt")
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     return df.groupBy(*keys).agg(F.min_by(row, key).alias("__r")).select("__r.*")
 

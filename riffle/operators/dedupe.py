@@ -5,7 +5,7 @@
 holding a third of all rows never lands whole in one task.  The order is
 encoded as a struct that sorts ascending in the wanted direction; a string
 column sorted descending cannot be encoded that way and falls back to a
-``row_number`` window.
+two-stage salted ``row_number`` (see :func:`keep_first`).
 """
 
 from __future__ import annotations

@@ -32,6 +32,12 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# Resolved table relations, one per (session, folder, table): listing the
+# files and reading the Parquet footers is paid once per session, as for a
+# catalog table.  Plans stay lazy; nothing is cached in memory.
+_RELATIONS: dict[tuple[int, str, str], DataFrame] = {}
+
+
 class Tables:
     """Lazy accessor for the driver tables of one scale factor."""
 
@@ -41,4 +47,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return read_table(self._spark, self._dir, name)
+        key = (id(self._spark._jsparkSession), self._dir, name)
+        df = _RELATIONS.get(key)
+        if df is None:
+            df = _RELATIONS[key] = read_table(self._spark, self._dir, name)
+        return df

@@ -108,6 +108,20 @@ def ring(points: Sequence[tuple[float, float]]) -> Column:
     return F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in pts])
 
 
+RING_SCHEMA = "array<struct<x:double,y:double>>"
+
+
+def polygons_table(spark, rings: dict, name: str = "name", ring_name: str = "ring"):
+    """Polygon table ``(name, ring)`` from ``{name: [(x, y), ...]}`` (rings closed automatically)."""
+    rows = []
+    for n, pts in rings.items():
+        pts = [(float(x), float(y)) for x, y in pts]
+        if pts[0] != pts[-1]:
+            pts.append(pts[0])
+        rows.append((n, pts))
+    return spark.createDataFrame(rows, f"{name} string, {ring_name} {RING_SCHEMA}")
+
+
 def contains(ring_col: Column, x: Column, y: Column) -> Column:
     """Even-odd ray crossing test of point (x, y) against a closed ring."""
     edges = F.arrays_zip(F.slice(ring_col, 1, F.size(ring_col) - 1).alias("a"),
@@ -205,12 +219,71 @@ def utm_to_lonlat(x: Column, y: Column, zone: int) -> tuple[Column, Column]:
     return F.degrees(lam), F.degrees(phi)
 
 
+# BC Albers (standard parallels 50° and 58.5°, origin 45°N 126°W,
+# false easting 1 000 000 m) on GRS80.
+ALBERS_BC = {"lat1": 50.0, "lat2": 58.5, "lat0": 45.0, "lon0": -126.0, "x0": 1000000.0, "y0": 0.0}
+
+
+def _albers_consts(p: dict):
+    a, e2, _ = _consts()
+    e = math.sqrt(e2)
+
+    def m(phi):
+        return math.cos(phi) / math.sqrt(1 - e2 * math.sin(phi) ** 2)
+
+    def q(phi):
+        s_ = math.sin(phi)
+        return (1 - e2) * (s_ / (1 - e2 * s_ * s_) - (1 / (2 * e)) * math.log((1 - e * s_) / (1 + e * s_)))
+
+    p1, p2, p0 = (math.radians(p[k]) for k in ("lat1", "lat2", "lat0"))
+    n = (m(p1) ** 2 - m(p2) ** 2) / (q(p2) - q(p1))
+    c = m(p1) ** 2 + n * q(p1)
+    rho0 = a * math.sqrt(c - n * q(p0)) / n
+    qp = (1 - e2) * (1 / (1 - e2) - (1 / (2 * e)) * math.log((1 - e) / (1 + e)))
+    return a, e, e2, n, c, rho0, qp
+
+
+def lonlat_to_albers(lon: Column, lat: Column, p: dict = ALBERS_BC) -> tuple[Column, Column]:
+    """Geographic degrees → Albers equal-area conic x, y (ellipsoidal, public formulas)."""
+    a, e, e2, n, c, rho0, _ = _albers_consts(p)
+    phi = F.radians(lat)
+    s_ = F.sin(phi)
+    q = (1 - e2) * (s_ / (1 - e2 * s_ * s_) - (1 / (2 * e)) * F.log((1 - e * s_) / (1 + e * s_)))
+    rho = a * F.sqrt(c - n * q) / n
+    theta = n * (F.radians(lon) - math.radians(p["lon0"]))
+    return p["x0"] + rho * F.sin(theta), p["y0"] + rho0 - rho * F.cos(theta)
+
+
+def albers_to_lonlat(x: Column, y: Column, p: dict = ALBERS_BC) -> tuple[Column, Column]:
+    """Albers equal-area conic x, y → geographic degrees (authalic-latitude series)."""
+    a, e, e2, n, c, rho0, qp = _albers_consts(p)
+    dx, dy = x - p["x0"], F.lit(rho0) - (y - p["y0"])
+    rho = F.sqrt(dx * dx + dy * dy)
+    theta = F.atan2(dx, dy)
+    q = (c - rho * rho * n * n / (a * a)) / n
+    beta = F.asin(q / qp)
+    e4, e6 = e2 * e2, e2 * e2 * e2
+    phi = (beta + (e2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040) * F.sin(2 * beta)
+           + (23 * e4 / 360 + 251 * e6 / 3780) * F.sin(4 * beta) + (761 * e6 / 45360) * F.sin(6 * beta))
+    return F.degrees(F.lit(math.radians(p["lon0"])) + theta / n), F.degrees(phi)
+
+
 def transform_xy(df: DataFrame, x: str, y: str, to: str, zone: int = 9,
-                 out: tuple[str, str] | None = None) -> DataFrame:
-    """Reproject coordinate columns (G5): ``to='utm'`` from lon/lat, ``to='lonlat'`` from UTM."""
+                 out: tuple[str, str] | None = None, frm: str | None = None) -> DataFrame:
+    """Reproject coordinate columns.
+
+    ``to='utm'`` / ``to='albers'`` from lon/lat; ``to='lonlat'`` from UTM
+    (default) or from Albers with ``frm='albers'``.
+    """
     if to == "utm":
         a, b = lonlat_to_utm(F.col(x), F.col(y), zone)
         out = out or ("easting", "northing")
+    elif to == "albers":
+        a, b = lonlat_to_albers(F.col(x), F.col(y))
+        out = out or ("albers_x", "albers_y")
+    elif frm == "albers":
+        a, b = albers_to_lonlat(F.col(x), F.col(y))
+        out = out or ("lon", "lat")
     else:
         a, b = utm_to_lonlat(F.col(x), F.col(y), zone)
         out = out or ("lon", "lat")

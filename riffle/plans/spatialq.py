@@ -90,18 +90,8 @@ def in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points in region polygons (inner), then in municipality polygons (left outer)."""
     t = Tables(spark, sf_dir)
     pts = _points(t, 4.0).select("vec_id", "x", "y")
-    rings = spark.createDataFrame([(n,) for n in REGION_RINGS], "r_name string")
-    ring_col = None
-    for n, pts_ in REGION_RINGS.items():
-        ring_col = (F.when(F.col("r_name") == n, G.ring(pts_)) if ring_col is None
-                    else ring_col.when(F.col("r_name") == n, G.ring(pts_)))
-    regions = t.region.join(F.broadcast(rings), "r_name").withColumn("ring", ring_col)
-    munis = spark.createDataFrame([(n,) for n in MUNI_RINGS], "municipality string")
-    mcol = None
-    for n, pts_ in MUNI_RINGS.items():
-        mcol = (F.when(F.col("municipality") == n, G.ring(pts_)) if mcol is None
-                else mcol.when(F.col("municipality") == n, G.ring(pts_)))
-    munis = munis.withColumn("ring", mcol)
+    regions = t.region.join(F.broadcast(G.polygons_table(spark, REGION_RINGS, "r_name")), "r_name")
+    munis = G.polygons_table(spark, MUNI_RINGS, "municipality")
     inner = G.within(pts, regions, "vec_id", cell=0.25)
     out = G.within(inner, munis, "vec_id", cell=0.25, how="left")
     return out.select("vec_id", "r_regionkey", "r_name", "municipality")
@@ -109,16 +99,20 @@ def in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("transform_crs")
 def transform_crs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points to UTM zone 9 and back (round trip), as point structs and columns."""
+    """Points to UTM zone 9 and to BC Albers and back (round trips), as point structs and columns."""
     p = _points(Tables(spark, sf_dir)).select("vec_id", (F.lit(-127.0) + F.col("x") * 2).alias("lon"),
                                               (F.lit(54.0) + F.col("y") * 2).alias("lat"))
     u = G.transform_xy(p, "lon", "lat", to="utm", zone=9)
     b = G.transform_xy(u, "easting", "northing", to="lonlat", zone=9, out=("lon_back", "lat_back"))
+    b = G.transform_xy(b, "lon", "lat", to="albers")
+    b = G.transform_xy(b, "albers_x", "albers_y", to="lonlat", frm="albers", out=("lon_alb", "lat_alb"))
     g = G.xy_struct(b, "easting", "northing", out="geometry", srid=26909, drop=True)
     g = G.unpack_xy(g, "geometry", "easting", "northing")
     return g.select("vec_id", round_half_up("lon", 6).alias("lon"), round_half_up("lat", 6).alias("lat"),
                     round_half_up("easting", 2).alias("easting"), round_half_up("northing", 2).alias("northing"),
-                    round_half_up("lon_back", 6).alias("lon_back"), round_half_up("lat_back", 6).alias("lat_back"))
+                    round_half_up("lon_back", 6).alias("lon_back"), round_half_up("lat_back", 6).alias("lat_back"),
+                    round_half_up("albers_x", 2).alias("albers_x"), round_half_up("albers_y", 2).alias("albers_y"),
+                    round_half_up("lon_alb", 6).alias("lon_alb"), round_half_up("lat_alb", 6).alias("lat_alb"))
 
 
 def _recorder(e: DataFrame, etype: str, source: str, with_ele: bool) -> DataFrame:

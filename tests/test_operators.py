@@ -177,3 +177,14 @@ def test_exact_quantiles_match_numpy_across_partitions(spark):
         want = np.quantile(vals, [0.25, 0.5, 0.75], method="linear")
         assert got[g][0] == len(vals)
         assert np.allclose(got[g][1:], want, rtol=0, atol=1e-9)
+
+
+def test_albers_origin_and_round_trip(spark):
+    df = spark.createDataFrame([(-126.0, 45.0), (-123.37, 48.42), (-128.6, 54.5)], "lon double, lat double")
+    a = G.transform_xy(df, "lon", "lat", to="albers")
+    b = G.transform_xy(a, "albers_x", "albers_y", to="lonlat", frm="albers", out=("lo", "la")).collect()
+    assert abs(b[0].albers_x - 1000000.0) < 1e-6 and abs(b[0].albers_y) < 1e-6
+    for r in b:
+        assert abs(r.lo - r.lon) < 1e-9 and abs(r.la - r.lat) < 1e-6
+    # east of the origin meridian x grows, west it shrinks; northward y grows
+    assert b[1].albers_x > 1000000.0 > b[2].albers_x and b[2].albers_y > b[1].albers_y > 0

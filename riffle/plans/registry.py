@@ -35,7 +35,7 @@ def query(name: str, sql: str | None = None):
 # Resolved table relations, one per (session, folder, table): listing the
 # files and reading the Parquet footers is paid once per session, as for a
 # catalog table.  Plans stay lazy; nothing is cached in memory.
-_RELATIONS: dict[tuple[int, str, str], DataFrame] = {}
+_RELATIONS: dict[tuple[int, str, str], tuple[SparkSession, DataFrame]] = {}
 
 
 class Tables:
@@ -47,8 +47,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        key = (id(self._spark._jsparkSession), self._dir, name)
-        df = _RELATIONS.get(key)
-        if df is None:
-            df = _RELATIONS[key] = read_table(self._spark, self._dir, name)
-        return df
+        key = (id(self._spark), self._dir, name)
+        hit = _RELATIONS.get(key)
+        if hit is None or hit[0] is not self._spark:
+            hit = _RELATIONS[key] = (self._spark, read_table(self._spark, self._dir, name))
+        return hit[1]

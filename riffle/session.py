@@ -53,13 +53,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is.  Only when it is unset (local tests) a scratch folder is created.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="riffle-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    path = configured or tempfile.mkdtemp(prefix="riffle-ckpt-")
+    if not configured:
+        spark.conf.set("spark.checkpoint.dir", path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001  (Spark Connect: the conf above is used)
+        pass
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -159,21 +159,15 @@ def weighted_ranks(vc: DataFrame, keys: Sequence[str], order: str, weight: str,
     return j.select(*vc.columns, (F.col("__off") + F.col("__lc")).alias("__end"), "__n")
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None) -> DataFrame:
-    """Exact quantiles per group (linear interpolation, like ``quantile_cont``), distributed.
-
-    No group is gathered into one task: values are reduced to (group, value,
-    count), ranked with :func:`weighted_ranks`, and every row checks itself
-    whether the 1-based ranks ``⌊h⌋+1`` and ``⌈h⌉+1`` (``h = (n−1)·p``) fall in
-    its rank interval — a plain partial aggregate then picks the two values
-    and interpolates ``lo + (hi − lo)·(h − ⌊h⌋)``.  Returns keys, ``n`` and one
-    column per probability.
-    """
-    names = list(names or [f"q{int(p * 100)}" for p in probs])
+def _ranked_values(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
+    """(group, value, count) with cumulative rank ``__end`` and group size ``__n``."""
     vc = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")).agg(
         F.count(F.lit(1)).alias("__c"))
-    r = weighted_ranks(vc, keys, "__v", "__c")
+    return weighted_ranks(vc, keys, "__v", "__c")
+
+
+def _quantiles_from_ranks(r: DataFrame, keys: Sequence[str], probs: Sequence[float],
+                          names: Sequence[str]) -> DataFrame:
     start = F.col("__end") - F.col("__c")
     aggs = [F.max("__n").alias("n")]
     for i, p in enumerate(probs):
@@ -188,19 +182,34 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequenc
                       for i, nm in enumerate(names)])
 
 
+def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float],
+                    names: Sequence[str] | None = None) -> DataFrame:
+    """Exact quantiles per group (linear interpolation, like ``quantile_cont``), distributed.
+
+    No group is gathered into one task: values are reduced to (group, value,
+    count), ranked with :func:`weighted_ranks`, and every row checks itself
+    whether the 1-based ranks ``⌊h⌋+1`` and ``⌈h⌉+1`` (``h = (n−1)·p``) fall in
+    its rank interval — a plain partial aggregate then picks the two values
+    and interpolates ``lo + (hi − lo)·(h − ⌊h⌋)``.  Returns keys, ``n`` and one
+    column per probability.
+    """
+    names = list(names or [f"q{int(p * 100)}" for p in probs])
+    return _quantiles_from_ranks(_ranked_values(df, keys, col), keys, probs, names)
+
+
 def box_summary(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """Box-plot numbers per group (A17): quartiles, whiskers at 1.5·IQR, outliers.
 
-    Quartiles come from :func:`exact_quantiles` (distributed, exact); the
+    Quartiles are exact and distributed (see :func:`exact_quantiles`).  The
     whiskers (extreme values inside the fences) and the outlier count are a
-    partial aggregate over (group, value, count) joined to the quartiles —
-    AQE broadcasts the one-row-per-group quartiles or splits a skewed group.
+    partial aggregate over the same ranked (group, value, count) rows — read
+    from the checkpoint, so the input is not computed twice — joined to the
+    one-row-per-group quartiles (AQE broadcasts them or splits a skewed group).
     """
-    q = exact_quantiles(df, keys, col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    vc = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")).agg(
-        F.count(F.lit(1)).alias("__c"))
+    r = _ranked_values(df, keys, col)
+    q = _quantiles_from_ranks(r, keys, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     qq = q.select(*[F.col(k).alias(f"__b_{k}") for k in keys], "q1", "q3")
-    j = vc.join(qq, _and([vc[k].eqNullSafe(qq[f"__b_{k}"]) for k in keys]), "inner")
+    j = r.join(qq, _and([r[k].eqNullSafe(qq[f"__b_{k}"]) for k in keys]), "inner")
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     v = F.col("__v")

@@ -171,12 +171,14 @@ def test_exact_quantiles_match_numpy_across_partitions(spark):
     data = [("hot", float(rnd.randint(0, 500))) for _ in range(3000)]
     data += [("cold", float(v)) for v in (1, 2, 3, 4)] + [("one", 7.0), (None, 5.0), (None, 9.0)]
     df = spark.createDataFrame(data, "g string, v double")
-    got = {r.g: (r.n, r.q25, r.q50, r.q75) for r in A.exact_quantiles(df, ["g"], "v", [0.25, 0.5, 0.75]).collect()}
-    for g in ("hot", "cold", "one", None):
-        vals = np.array([v for k, v in data if k == g])
-        want = np.quantile(vals, [0.25, 0.5, 0.75], method="linear")
-        assert got[g][0] == len(vals)
-        assert np.allclose(got[g][1:], want, rtol=0, atol=1e-9)
+    for _ in (1,):
+        q = A.exact_quantiles(df, ["g"], "v", [0.25, 0.5, 0.75])
+        got = {r.g: (r.n, r.q25, r.q50, r.q75) for r in q.collect()}
+        for g in ("hot", "cold", "one", None):
+            vals = np.array([v for k, v in data if k == g])
+            want = np.quantile(vals, [0.25, 0.5, 0.75], method="linear")
+            assert got[g][0] == len(vals)
+            assert np.allclose(got[g][1:], want, rtol=0, atol=1e-9)
 
 
 def test_albers_origin_and_round_trip(spark):

@@ -36,7 +36,7 @@ def route_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _scratch(spark, "route")
     K.route(o, [(F.col("o_orderstatus") == "F", "barrier"), (F.col("o_orderstatus") == "O", "potential")],
             path, default="other")
-    back = S.read_many(spark, path, fmt="parquet", exclude="dest=other")
+    back = S.read_many(spark, path, fmt="parquet", exclude_path="dest=other")
     return back.groupBy("dest").agg(F.count(F.lit(1)).alias("n"),
                                     F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
 

@@ -38,18 +38,21 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, header:
 
 
 def read_many(spark: SparkSession, path: str, fmt: str = "csv", exclude: str | None = None,
-              source_col: str = "source", options: dict | None = None) -> DataFrame:
+              source_col: str = "source", options: dict | None = None,
+              exclude_path: str | None = None) -> DataFrame:
     """Many files of one kind stacked, tagged with their base file name.
 
-    ``exclude`` is a regex on the file path; excluded files are filtered on
-    the hidden ``_metadata.file_path`` column, so their rows are never kept.
+    ``exclude`` is a regex on the file name, ``exclude_path`` one on the full
+    path (e.g. a partition folder); both filter on the hidden ``_metadata``
+    columns, so rows of excluded files are never kept.
     """
     r = spark.read.format(fmt).options(**(options or {}))
     if fmt == "csv":
         r = r.option("header", True)
     df = r.load(path)
-    if exclude:
-        df = df.filter(~F.coalesce(F.col("_metadata.file_path").rlike(exclude), F.lit(False)))
+    for col, pat in (("_metadata.file_name", exclude), ("_metadata.file_path", exclude_path)):
+        if pat:
+            df = df.filter(~F.coalesce(F.col(col).rlike(pat), F.lit(False)))
     df = df.withColumn(source_col, F.col("_metadata.file_name"))
     return _strip_bom(df)
 

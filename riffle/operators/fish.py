@@ -105,13 +105,6 @@ def density(catch: DataFrame, events: DataFrame, site: str = "local_name",
     return j.withColumn("density_100m2", round_even(F.try_divide(F.col("catch"), F.col("area_m2")) * 100, 1))
 
 
-def _and(conds):
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
-
-
 def site_summary(catch: DataFrame, events: DataFrame, site: str = "local_name",
                  pass_col: str = "haul_number_pass_number") -> DataFrame:
     """Electrofishing site summary: passes, length, width, area, enclosure."""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
-from ..functions.semantics import paste0, rlike_na, round_half_up
+from ..functions.semantics import rlike_na, round_half_up
 from ..operators import columns as P
 from ..operators import dedupe as W
 from ..operators import filters as FL

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.semantics import paste0, part, round_half_up
-from ..functions.text import (WATERSHED_CODE_WIDTHS, file_name, first_word, grouped_code, number_word,
+from ..functions.semantics import part, round_half_up
+from ..functions.text import (WATERSHED_CODE_WIDTHS, file_name, grouped_code, number_word,
                               number_words, squish, text_len)
 from ..functions.timefn import day_fraction, excel_date, parse_ts, split_ts, with_zone
 from ..operators import habitat as H

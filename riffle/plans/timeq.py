@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.semantics import round_half_up, row_sum
 from ..functions.timefn import ymd_parts
+from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import timeseries as T
 from .registry import Tables, query
@@ -112,7 +113,7 @@ def period_record(spark: SparkSession, sf_dir: str) -> DataFrame:
                  round_half_up("mean", 2).alias("mean"), round_half_up("median", 2).alias("median"),
                  round_half_up("sd", 2).alias("sd"))
     p = T.record_period(d, ["station"], "date", label="Station")
-    lt = d.groupBy("station").agg(round_half_up(F.avg("value"), 2).alias("lt_mean"))
+    lt = A.long_term_mean(d, ["station"], "date", "value").withColumn("lt_mean", round_half_up("lt_mean", 2))
     p = p.join(lt, "station").withColumn(
         "record_start", F.date_format(F.make_date("first_year", F.lit(1), F.lit(1)), "dd MMMM yyyy"))
     return s.join(p, "station")

@@ -108,3 +108,39 @@ def test_habitat_helpers(spark):
     x = H.gain_estimate(H.prefix_comment(df, "alias", "c"), "sp", "len").first()
     assert (x.comments, x.n_species, x.upstream_km) == ("Site 198220_us. Good pools", 2, 1.5)
     assert df.select(H.location_label(F.lit("us")).alias("l")).first().l == "Upstream"
+
+
+def test_rate_report(spark):
+    r = {x.Class: (x.Surface, x["Bridge $K/10m"]) for x in scoring.rate_report(scoring.road_rates(spark)).collect()}
+    assert r["FSR"] == ("Loose", 300.0) or r["FSR"] == ("Rough", 300.0)
+    assert r["Highway"] == ("Paved", 7500.0)
+
+
+def test_habitat_tables(spark):
+    loc = spark.createDataFrame([(1, "Tea Creek", 0.045)], "reference_number long, gazetted_name string, grad double")
+    sites = spark.createDataFrame([(1, 12.0), (2, 3.0)], "reference_number long, len double")
+    hs = {r.reference_number: (r.gazetted_name, r.grad) for r in H.habitat_sites(loc, sites, "reference_number", ["grad"]).collect()}
+    assert hs == {1: ("Tea Creek", 4.5), 2: (None, None)}
+    pri = spark.createDataFrame([(1, "High", 1234.56), (2, "no fix", 10.0), (3, None, 5.0)],
+                                "reference_number long, priority string, length double")
+    ov = {r.reference_number: r.length for r in H.overview(pri, sites, "reference_number", exclude="no fix",
+                                                          length_col="length").collect()}
+    assert ov == {1: 1234.6, 3: 5.0}
+
+
+def test_more_joins(spark):
+    from riffle.operators import joins as J
+    from riffle.operators import columns as P
+    df = spark.createDataFrame([(1, "a", 10), (1, "b", 20), (2, "a", 30)], "slot long, side string, v int")
+    sb = {r.slot: (r.v_left, r.v_right) for r in J.side_by_side(df, "side", "slot", ["v"], "a", "b").collect()}
+    assert sb == {1: (10, 20), 2: (30, None)}
+    l = P.row_id(spark.createDataFrame([("x",), ("y",)], "s string"), ["s"], "rid")
+    r = spark.createDataFrame([(1, "tag1"), (2, "tag2")], "rowid long, tag string")
+    assert {x.s: x.tag for x in J.join_by_row(l, r, "rid", "rowid").collect()} == {"x": "tag1", "y": "tag2"}
+    seg = spark.createDataFrame([(7, 100.0, 0.02), (7, 500.0, 0.05)], "lf long, drm double, gradient double")
+    obs = spark.createDataFrame([(1, 7, 300.0)], "id long, lf long, m double")
+    rr = J.range_join(obs, seg, "lf", lambda o, s: o["m"] > s["drm"]).collect()
+    assert [(x.id, x.drm) for x in rr] == [(1, 100.0)]
+    full = J.full_merge(spark.createDataFrame([(1, "x")], "k long, a string"),
+                        spark.createDataFrame([(2, "y")], "k long, b string"), ["k"])
+    assert sorted(tuple(x) for x in full.collect()) == [(1, "x", None), (2, None, "y")]

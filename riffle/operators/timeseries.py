@@ -144,6 +144,35 @@ def screening(df: DataFrame, keys: Sequence[str], date: str, value: str) -> Data
     return g.withColumn("n_missing", (days - F.col("n_days")).cast("long"))
 
 
+def active_by_month(df: DataFrame, keys: Sequence[str], start: str, end: str,
+                    out: str = "n_active") -> DataFrame:
+    """How many intervals ``[start, end]`` touch each calendar month, per key.
+
+    No row expansion: every interval adds +1 at its first month and −1 at
+    the month after its last; a running sum over each key's month grid
+    (one row per month between the key's first and last month, a bounded
+    window) gives the active count.  Months with no active interval are
+    left out, like the row-expansion form (:func:`month_overlaps`).
+    """
+    s = F.trunc(F.to_date(start), "month")
+    e = F.add_months(F.trunc(F.to_date(end), "month"), 1)
+    iv = df.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.to_date(end) >= F.to_date(start)))
+    ev = (iv.select(*keys, s.alias(out + "_m"), F.lit(1).alias("__d"))
+          .unionByName(iv.select(*keys, e.alias(out + "_m"), F.lit(-1).alias("__d"))))
+    delta = ev.groupBy(*keys, F.col(out + "_m").alias("month")).agg(F.sum("__d").alias("__d"))
+    span = delta.groupBy(*keys).agg(F.min("month").alias("__lo"), F.max("month").alias("__hi"))
+    grid = span.select(*keys, F.explode(F.sequence("__lo", "__hi", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    d2 = delta.select(*[F.col(k).alias(f"__dk{i}") for i, k in enumerate(keys)],
+                      F.col("month").alias("__dm"), F.col("__d").alias("__dd"))
+    cond = F.col("month") == F.col("__dm")
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__dk{i}"))
+    g = grid.join(d2, cond, "left").select(*keys, "month", F.coalesce("__dd", F.lit(0)).alias("__d"))
+    w = Window.partitionBy(*keys).orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = g.withColumn(out, F.sum("__d").over(w).cast("long"))
+    return r.filter(F.col(out) > 0).drop("__d")
+
+
 def month_overlaps(df: DataFrame, start: str, end: str, out: str = "month") -> DataFrame:
     """One row per calendar month an interval ``[start, end]`` touches."""
     s, e = F.trunc(F.to_date(start), "month"), F.trunc(F.to_date(end), "month")

@@ -176,7 +176,5 @@ def calendar_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many order→ship intervals are active in each calendar month, per flag."""
     t = Tables(spark, sf_dir)
     iv = (t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-          .select("l_returnflag", F.to_date("o_orderdate").alias("s"), F.to_date("l_shipdate").alias("e"))
-          .filter(F.col("e") >= F.col("s")))
-    m = T.month_overlaps(iv, "s", "e")
-    return m.groupBy("l_returnflag", "month").agg(F.count(F.lit(1)).alias("n_active"))
+          .select("l_returnflag", F.to_date("o_orderdate").alias("s"), F.to_date("l_shipdate").alias("e")))
+    return T.active_by_month(iv, ["l_returnflag"], "s", "e")

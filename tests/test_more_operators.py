@@ -144,3 +144,18 @@ def test_more_joins(spark):
     full = J.full_merge(spark.createDataFrame([(1, "x")], "k long, a string"),
                         spark.createDataFrame([(2, "y")], "k long, b string"), ["k"])
     assert sorted(tuple(x) for x in full.collect()) == [(1, "x", None), (2, None, "y")]
+
+
+def test_active_by_month_matches_expansion(spark):
+    import random
+    rnd = random.Random(2)
+    rows = []
+    for i in range(300):
+        s = dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 700))
+        rows.append((rnd.choice(["a", "b", None]), s, s + dt.timedelta(days=rnd.randint(-5, 200))))
+    df = spark.createDataFrame(rows, "k string, s date, e date")
+    fast = {(r.k, r.month): r.n_active for r in T.active_by_month(df, ["k"], "s", "e").collect()}
+    ok = df.filter(F.col("e") >= F.col("s"))
+    slow = {(r.k, r.month): r.n for r in T.month_overlaps(ok, "s", "e").groupBy("k", "month")
+            .agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert fast == slow

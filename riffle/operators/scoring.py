@@ -101,22 +101,20 @@ def structure_size(df: DataFrame, barrier: str = "barrier_result",
     over = fd - F.lit(fill_std)
     max_w = base_span - extra_width
 
-    fix0 = first_match([(barrierish & (w >= min_open_width), OPEN_BOTTOM),
-                        (not_needed, F.lit(None).cast("string"))], default=STREAMBED_SIM)
-    span0 = first_match([(barrierish & (w >= min_open_width), F.lit(base_span)),
-                         (not_needed, F.lit(None).cast("double"))], default=F.lit(default_sim_span))
-    df = df.withColumn("crossing_fix", fix0).withColumn("span_input", span0)
-    not_sim = rlike_na("crossing_fix", "Simulation", ci=True, negate=True)
-    span1 = F.when(barrierish & (over > 0) & not_sim,
-                   F.lit(base_span) + F.lit(fill_mult) * over).otherwise(F.col("span_input"))
-    df = df.withColumn("span_input", span1)
-    span2 = F.when((F.col("span_input") < (w + clearance)) & (w > max_w),
-                   (w - F.lit(max_w)) + F.col("span_input")).otherwise(F.col("span_input"))
-    df = df.withColumn("span_input", span2)
+    # each stage is an expression of the previous one; one projection in the end
+    fix = first_match([(barrierish & (w >= min_open_width), OPEN_BOTTOM),
+                       (not_needed, F.lit(None).cast("string"))], default=STREAMBED_SIM)
+    span = first_match([(barrierish & (w >= min_open_width), F.lit(base_span)),
+                        (not_needed, F.lit(None).cast("double"))], default=F.lit(default_sim_span))
+    not_sim = ~F.coalesce(fix.rlike("(?i)Simulation"), F.lit(False))
+    span = F.when(barrierish & (over > 0) & not_sim, F.lit(base_span) + F.lit(fill_mult) * over).otherwise(span)
+    span = F.when((span < (w + clearance)) & (w > max_w), (w - F.lit(max_w)) + span).otherwise(span)
     narrow = barrierish & (w > min_open_width) & (w <= sim_max_width) & (fd > sim_min_fill)
-    df = df.withColumn("crossing_fix", F.when(narrow, F.lit(STREAMBED_SIM)).otherwise(F.col("crossing_fix")))
-    df = df.withColumn("span_input", F.when(narrow, F.lit(sim_span)).otherwise(F.col("span_input")))
-    return df.withColumn("span_input", round_multiple("span_input", round_step, mode="even"))
+    fix = F.when(narrow, F.lit(STREAMBED_SIM)).otherwise(fix)
+    span = F.when(narrow, F.lit(sim_span)).otherwise(span)
+    others = [F.col(f"`{c}`") for c in df.columns if c not in ("crossing_fix", "span_input")]
+    return df.select(*others, fix.alias("crossing_fix"),
+                     round_multiple(span, round_step, mode="even").alias("span_input"))
 
 
 def backwater_candidates(df: DataFrame, barrier: str = "barrier_result",
@@ -197,18 +195,18 @@ def cost(df: DataFrame, rates: DataFrame, overrides: DataFrame | None = None,
     """
     r = rates.select(F.col("my_road_class").alias("__cls"), F.col("my_road_surface").alias("__surf"),
                      "cost_m_1000s_bridge", "cost_embed_cv")
-    codes = F.broadcast(df.sparkSession.createDataFrame(FIX_CODES, "__fix string, crossing_fix_code string"))
-    j = (df.join(F.broadcast(r), (df[cls].eqNullSafe(r["__cls"])) & (df[surface].eqNullSafe(r["__surf"])), "left")
-         .join(codes, F.col(fix) == F.col("__fix"), "left"))
-    est = first_match([(F.col("crossing_fix_code") == "SS-CBS", F.col("cost_embed_cv")),
-                       (F.col("crossing_fix_code") == "OBS", F.col("cost_m_1000s_bridge") * F.col(span))])
+    j = df.join(F.broadcast(r), (df[cls].eqNullSafe(r["__cls"])) & (df[surface].eqNullSafe(r["__surf"])), "left")
+    # the structure -> code mapping is a fixed two-entry list: a CASE, not a join
+    code = first_match([(F.col(fix) == label, c) for label, c in FIX_CODES])
+    est = first_match([(code == "SS-CBS", F.col("cost_embed_cv")),
+                       (code == "OBS", F.col("cost_m_1000s_bridge") * F.col(span))])
     j = j.withColumn(out, round_half_up(est, 0))
     if overrides is not None:
         ov = F.broadcast(overrides.select(F.col(overrides.columns[0]).alias("__site"),
                                           F.col(overrides.columns[1]).cast("double").alias("__ov")))
         j = (j.join(ov, F.col(site) == F.col("__site"), "left")
              .withColumn(out, F.coalesce(F.col("__ov"), F.col(out))).drop("__site", "__ov"))
-    return j.drop("__cls", "__surf", "__fix")
+    return j.drop("__cls", "__surf")
 
 
 def cost_benefit(df: DataFrame, cost_col: str = "cost_est_1000s", width: str = "downstream_channel_width_meters",

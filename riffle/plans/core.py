@@ -278,9 +278,9 @@ def null_safe_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- J3 J4 J5
 
 @query("outer_merge", sql="""
-WITH a AS (SELECT o_orderkey AS k_id, o_orderstatus AS k_status, year(o_orderdate) AS k_year, 1 AS k_method,
+WITH a AS (SELECT o_orderkey AS k_id, o_orderstatus AS k_status, CAST(year(o_orderdate) AS INTEGER) AS k_year, 1 AS k_method,
                   o_totalprice FROM orders),
-b AS (SELECT l_orderkey AS k_id, l_linestatus AS k_status, year(l_shipdate) AS k_year, 1 AS k_method,
+b AS (SELECT l_orderkey AS k_id, l_linestatus AS k_status, CAST(year(l_shipdate) AS INTEGER) AS k_year, 1 AS k_method,
              count(*) AS n_lines, sum(l_quantity) AS qty
       FROM lineitem GROUP BY ALL)
 SELECT coalesce(a.k_id, b.k_id) AS k_id, coalesce(a.k_status, b.k_status) AS k_status,

@@ -79,7 +79,7 @@ WITH b AS (
          WHEN l_quantity < 40 THEN '25 - 40' WHEN l_quantity IS NOT NULL THEN '40+' END AS qty_bin
   FROM lineitem),
 c AS (SELECT l_returnflag, qty_bin, count(*) AS count FROM b GROUP BY ALL)
-SELECT l_returnflag, qty_bin, count, sum(count) OVER (PARTITION BY l_returnflag) AS total,
+SELECT l_returnflag, qty_bin, count, CAST(sum(count) OVER (PARTITION BY l_returnflag) AS BIGINT) AS total,
        {_re('count * 100.0 / sum(count) OVER (PARTITION BY l_returnflag)', 0)} AS percent
 FROM c""")
 def percent_by_bin(spark: SparkSession, sf_dir: str) -> DataFrame:

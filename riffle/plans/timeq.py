@@ -71,7 +71,7 @@ def _daily(t: Tables) -> DataFrame:
 WITH d AS (SELECT o_orderpriority AS station, CAST(o_orderdate AS DATE) AS date,
                   sum(CAST(o_totalprice AS DECIMAL(18,2))) AS value
            FROM orders GROUP BY ALL),
-g AS (SELECT station, dayofyear(date) AS doy, count(value) AS n, sum(value) AS sx, sum(value * value) AS sxx,
+g AS (SELECT station, CAST(dayofyear(date) AS INTEGER) AS doy, count(value) AS n, sum(value) AS sx, sum(value * value) AS sxx,
              CAST(max(value) AS DOUBLE) AS max, CAST(min(value) AS DOUBLE) AS min
       FROM d GROUP BY station, dayofyear(date))
 SELECT station, doy, DATE '2015-12-31' + CAST(doy AS INTEGER) AS plot_date,
@@ -93,12 +93,13 @@ def climatology(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- T4 T5 A15 X20
 
 @query("period_record", sql="WITH " + DAILY_SQL + f""",
-s AS (SELECT station, year(date) AS year, count(value) AS n_days,
+s AS (SELECT station, CAST(year(date) AS INTEGER) AS year, count(value) AS n_days,
              CAST(dayofyear(make_date(CAST(year(date) AS BIGINT), 12, 31)) - count(value) AS BIGINT) AS n_missing,
              min(value) AS min, max(value) AS max, {_r('avg(value)', 2)} AS mean,
              {_r('median(value)', 2)} AS median, {_r('stddev_samp(value)', 2)} AS sd
       FROM d GROUP BY station, year(date)),
-p AS (SELECT station, min(year(date)) AS first_year, max(year(date)) AS last_year,
+p AS (SELECT station, CAST(min(year(date)) AS INTEGER) AS first_year,
+             CAST(max(year(date)) AS INTEGER) AS last_year,
              {_r('avg(value)', 2)} AS lt_mean FROM d GROUP BY station)
 SELECT s.*, p.first_year, p.last_year, p.lt_mean,
        'Station ' || s.station || ': ' || CAST(p.first_year AS VARCHAR) || ' - ' || CAST(p.last_year AS VARCHAR)

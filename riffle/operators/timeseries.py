@@ -54,20 +54,18 @@ def asof(left: DataFrame, right: DataFrame, ts: str, by: Sequence[str] = (),
     keys = [f"__by{i}" for i in range(len(by))]
     u = lu.unionByName(ru).withColumn("__b", _bucket(F.col("__ts"), bucket_seconds))
 
-    # 1) within (key, bucket): last right row up to and including each left row
+    # 1) within (key, bucket): last right row up to and including each row
     w = (Window.partitionBy(*keys, "__b").orderBy("__ts", "__side", "__r")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hits = (u.withColumn("__hit", F.last("__r", ignorenulls=True).over(w))
-            .filter(F.col("__side") == 1).select(*keys, "__b", "__l", "__hit"))
-
-    # 2) last right row of each (key, bucket), then the latest from earlier buckets
-    last_r = (u.filter(F.col("__side") == 0).groupBy(*keys, "__b")
-              .agg(F.max_by("__r", F.struct("__ts", "__r")).alias("__last")))
-    marks = hits.select(*keys, "__b").distinct().withColumn("__last", F.lit(None).cast(rtype))
-    per_bucket = last_r.unionByName(marks)
+    uw = u.withColumn("__hit", F.last("__r", ignorenulls=True).over(w))
+    hits = uw.filter(F.col("__side") == 1).select(*keys, "__b", "__l", "__hit")
+
+    # 2) the bucket's last right row is the running value at its final row (same
+    #    window output, no second pass); then the latest from earlier buckets
+    order_in_bucket = F.struct("__ts", "__side", "__r")
+    last_r = uw.groupBy(*keys, "__b").agg(F.max_by("__hit", order_in_bucket).alias("__last"))
     wb = Window.partitionBy(*keys).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
-    prev = (per_bucket.withColumn("__prev", F.last("__last", ignorenulls=True).over(wb))
-            .groupBy(*keys, "__b").agg(F.max("__prev").alias("__prev")))
+    prev = last_r.withColumn("__prev", F.last("__last", ignorenulls=True).over(wb)).select(*keys, "__b", "__prev")
 
     cond = [hits[k].eqNullSafe(prev[k]) for k in keys] + [hits["__b"] == prev["__b"]]
     c = cond[0]

@@ -16,6 +16,7 @@ from ..operators import dedupe as W
 from ..operators import filters as FL
 from ..operators import joins as J
 from ..operators import habitat as H
+from ..sources import readers as S
 from ..operators import scoring, sets as U
 from .registry import Tables, query
 
@@ -128,7 +129,7 @@ def semi_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of customers in one segment: a semi join on the id frame, no IN list."""
     t = Tables(spark, sf_dir)
     ids = t.customer.filter(F.col("c_mktsegment") == "BUILDING")
-    return J.members(t.orders, ids, "o_custkey", "c_custkey").select("o_orderkey", "o_custkey", "o_totalprice")
+    return S.fetch_by_ids(t.orders, ids, "o_custkey", "c_custkey").select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 @query("anti_members", sql="""

@@ -81,15 +81,20 @@ def nearest(left: DataFrame, right: DataFrame, lid: str, rid: str, xy: tuple[str
         b = L.unionByName(R.drop(rid)).agg(
             F.max("__x") - F.min("__x"), F.max("__y") - F.min("__y")).first()
         limit = math.hypot(b[0] or 0.0, b[1] or 0.0) + cell
-    found, todo, size = [], L, cell
+    # Each level is computed once: the right side, every level's best matches
+    # and every (shrinking) unresolved set are materialised with reliable
+    # checkpoints, so a coarser level never recomputes the finer ones.
+    from ..session import cut_lineage
+    R = cut_lineage(R)
+    found, todo, size = [], cut_lineage(L), cell
     while True:
         last = size >= limit
-        m = _nearest_level(todo, R, size, lid, rid)
+        m = cut_lineage(_nearest_level(todo, R, size, lid, rid))
         ok = m.filter(F.col("dist") <= F.lit(min(size, limit)))
         found.append(ok)
         if last:
             break
-        todo = todo.join(ok.select("__x", "__y"), ["__x", "__y"], "left_anti")
+        todo = cut_lineage(todo.join(ok.select("__x", "__y"), ["__x", "__y"], "left_anti"))
         size = size * growth
     res = found[0]
     for f in found[1:]:

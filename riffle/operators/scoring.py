@@ -48,6 +48,9 @@ ROAD_RATES = [
 ROAD_RATES_SCHEMA = ("my_road_class string, my_road_surface string, road_class_mult int, "
                      "road_surface_mult int, cost_m_1000s_bridge double, cost_embed_cv double")
 
+# Fixed value: owner label given to arterial / local roads with no admin area.
+MINISTRY = "MoTi"
+
 # Habitat value x barrier outcome -> phase 1 priority.
 PRIORITY_RULES = [
     ("High", "high"), ("Medium", "mod"), ("Low", "low"),
@@ -68,8 +71,7 @@ def site_priority(df: DataFrame, habitat: str = "habitat_value", barrier: str =
     High→mod and Medium→low.  Missing inputs give a missing priority.
     """
     h, b = F.col(habitat), F.col(barrier)
-    rules = [((h == "High") & (b == POTENTIAL), "mod"),
-             ((h == "Medium") & (b == POTENTIAL), "low")]
+    rules = [((h == hv) & (b == POTENTIAL), pv) for hv, pv in POTENTIAL_DOWNGRADE]
     rules += [((h == hv) & (b != PASSABLE), pv) for hv, pv in PRIORITY_RULES]
     return df.withColumn(out, first_match(rules))
 
@@ -152,7 +154,7 @@ def road_class(df: DataFrame, file_type: str, line_type: str, rail_owner: str,
 def tenure(df: DataFrame, client_abbrev: str = "client_name_abb", file_id: str = "forest_file_id",
            admin: str = "admin_area_abbreviation", road_cls: str = "road_class",
            owner: str = "owner_name", distance: str | None = "distance",
-           max_distance: float = 100.0, ministry: str = "MoTi",
+           max_distance: float = 100.0, ministry: str = MINISTRY,
            out: str = "my_road_tenure") -> DataFrame:
     """Road tenure label.
 

@@ -52,20 +52,25 @@ def asof(left: DataFrame, right: DataFrame, ts: str, by: Sequence[str] = (),
                      F.col(rts).alias("__ts"), F.lit(0).alias("__side"), F.lit(None).cast(ltype).alias("__l"),
                      rrow.alias("__r"))
     keys = [f"__by{i}" for i in range(len(by))]
-    u = lu.unionByName(ru).withColumn("__b", _bucket(F.col("__ts"), bucket_seconds))
+    lu = lu.withColumn("__b", _bucket(F.col("__ts"), bucket_seconds))
+    ru = ru.withColumn("__b", _bucket(F.col("__ts"), bucket_seconds))
+    u = lu.unionByName(ru)
 
     # 1) within (key, bucket): last right row up to and including each row
     w = (Window.partitionBy(*keys, "__b").orderBy("__ts", "__side", "__r")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    uw = u.withColumn("__hit", F.last("__r", ignorenulls=True).over(w))
-    hits = uw.filter(F.col("__side") == 1).select(*keys, "__b", "__l", "__hit")
-
-    # 2) the bucket's last right row is the running value at its final row (same
-    #    window output, no second pass); then the latest from earlier buckets
-    order_in_bucket = F.struct("__ts", "__side", "__r")
-    last_r = uw.groupBy(*keys, "__b").agg(F.max_by("__hit", order_in_bucket).alias("__last"))
+    hits = (u.withColumn("__hit", F.last("__r", ignorenulls=True).over(w))
+            .filter(F.col("__side") == 1).select(*keys, "__b", "__l", "__hit"))
+
+    # 2) per (key, bucket): the last right row (from the right input) and a
+    #    marker for every bucket holding left rows (from the left input); a
+    #    range window over these one-row-per-bucket records gives the latest
+    #    right row of an earlier bucket.  The big window above runs once.
+    last_r = ru.groupBy(*keys, "__b").agg(F.max_by("__r", F.struct("__ts", "__r")).alias("__last"))
+    marks = lu.select(*keys, "__b").distinct().withColumn("__last", F.lit(None).cast(rtype))
     wb = Window.partitionBy(*keys).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
-    prev = last_r.withColumn("__prev", F.last("__last", ignorenulls=True).over(wb)).select(*keys, "__b", "__prev")
+    prev = (last_r.unionByName(marks).withColumn("__prev", F.last("__last", ignorenulls=True).over(wb))
+            .groupBy(*keys, "__b").agg(F.max("__prev").alias("__prev")))
 
     cond = [hits[k].eqNullSafe(prev[k]) for k in keys] + [hits["__b"] == prev["__b"]]
     c = cond[0]
@@ -146,29 +151,28 @@ def active_by_month(df: DataFrame, keys: Sequence[str], start: str, end: str,
                     out: str = "n_active") -> DataFrame:
     """How many intervals ``[start, end]`` touch each calendar month, per key.
 
-    No row expansion: every interval adds +1 at its first month and −1 at
-    the month after its last; a running sum over each key's month grid
-    (one row per month between the key's first and last month, a bounded
-    window) gives the active count.  Months with no active interval are
-    left out, like the row-expansion form (:func:`month_overlaps`).
+    No per-month row expansion of the intervals: each interval emits +1 at
+    its first month and −1 at the month after its last (one ``explode`` of a
+    two-element array, a single pass over the input); the deltas are summed
+    per (key, month); a running sum over each key's delta months (a bounded
+    window) gives the active count, and each delta month is repeated only up
+    to the next delta month.  Months with no active interval are left out,
+    as with the row-expansion form (:func:`month_overlaps`).
     """
-    s = F.trunc(F.to_date(start), "month")
-    e = F.add_months(F.trunc(F.to_date(end), "month"), 1)
+    s_ = F.trunc(F.to_date(start), "month")
+    e_ = F.add_months(F.trunc(F.to_date(end), "month"), 1)
     iv = df.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.to_date(end) >= F.to_date(start)))
-    ev = (iv.select(*keys, s.alias(out + "_m"), F.lit(1).alias("__d"))
-          .unionByName(iv.select(*keys, e.alias(out + "_m"), F.lit(-1).alias("__d"))))
-    delta = ev.groupBy(*keys, F.col(out + "_m").alias("month")).agg(F.sum("__d").alias("__d"))
-    span = delta.groupBy(*keys).agg(F.min("month").alias("__lo"), F.max("month").alias("__hi"))
-    grid = span.select(*keys, F.explode(F.sequence("__lo", "__hi", F.expr("INTERVAL 1 MONTH"))).alias("month"))
-    d2 = delta.select(*[F.col(k).alias(f"__dk{i}") for i, k in enumerate(keys)],
-                      F.col("month").alias("__dm"), F.col("__d").alias("__dd"))
-    cond = F.col("month") == F.col("__dm")
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__dk{i}"))
-    g = grid.join(d2, cond, "left").select(*keys, "month", F.coalesce("__dd", F.lit(0)).alias("__d"))
-    w = Window.partitionBy(*keys).orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    r = g.withColumn(out, F.sum("__d").over(w).cast("long"))
-    return r.filter(F.col(out) > 0).drop("__d")
+    ev = iv.select(*keys, F.explode(F.array(F.struct(s_.alias("m"), F.lit(1).alias("d")),
+                                            F.struct(e_.alias("m"), F.lit(-1).alias("d")))).alias("__e"))
+    delta = ev.groupBy(*keys, F.col("__e.m").alias("month")).agg(F.sum("__e.d").alias("__d"))
+    w = Window.partitionBy(*keys).orderBy("month")
+    run = (delta.withColumn("__n", F.sum("__d").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+           .withColumn("__next", F.lead("month").over(w)))
+    upto = F.coalesce(F.add_months(F.col("__next"), -1), F.col("month"))
+    r = run.filter(F.col("__n") > 0).select(
+        *keys, F.explode(F.sequence("month", upto, F.expr("INTERVAL 1 MONTH"))).alias("month"),
+        F.col("__n").cast("long").alias(out))
+    return r
 
 
 def month_overlaps(df: DataFrame, start: str, end: str, out: str = "month") -> DataFrame:

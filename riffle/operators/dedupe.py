@@ -76,15 +76,21 @@ def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
 SALTS = 64
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+               extra: dict | None = None) -> DataFrame:
     """First row per key in ``order`` (W1 W2); ``order`` should be total.
 
+    ``extra`` adds group aggregates (``{name: Column}``) computed in the same
+    pass (min_by path only).
+
     Encodable orders use one ``min_by`` aggregate.  Otherwise (text sorted
     descending) the pick is done in two exact stages: first per (key, salt)
     with the salt a hash of the row, spreading a hot key over ``SALTS``
     window partitions, then first among at most ``SALTS`` candidates per key.
     """
     key = order_key(df, order)
+    if key is None and extra:
+        raise ValueError("extra aggregates need an order that encodes as a struct")
     if key is None:
         cols = order_columns(order)
         salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS))
@@ -94,7 +100,9 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
         w = Window.partitionBy(*keys).orderBy(*cols)
         return s1.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn", "__salt")
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    return df.groupBy(*keys).agg(F.min_by(row, key).alias("__r")).select("__r.*")
+    extra = extra or {}
+    g = df.groupBy(*keys).agg(F.min_by(row, key).alias("__r"), *[e.alias(n) for n, e in extra.items()])
+    return g.select("__r.*", *extra.keys())
 
 
 def value_at_max(df: DataFrame, keys: Sequence[str], value: str, by: str,

@@ -18,19 +18,23 @@ from .columns import row_id
 
 def missing_required(sites: DataFrame, items: DataFrame, site: str, item: str, required: Sequence[str],
                      items_site: str | None = None, out: str = "missing", sep: str = " ") -> DataFrame:
-    """Per site, the required items it lacks, sorted and joined (Q2), and whether it has none (Q4)."""
+    """Per site, the required items it lacks, sorted and joined (Q2), and whether it has none (Q4).
+
+    One aggregate over the items collects, per site, the set of *required*
+    items present (bounded by the required list); the missing ones are the
+    array difference, after one left join to the sites.
+    """
     isite = items_site or site
-    present = items.select(F.col(isite).alias(site), F.col(item).alias("__item")).distinct()
-    want = sites.select(site).distinct().select(
-        site, F.explode(F.array(*[F.lit(r) for r in required])).alias("__item"))
-    lacking = want.join(present, [site, "__item"], "left_anti")
-    miss = lacking.groupBy(site).agg(F.concat_ws(sep, F.array_sort(F.collect_list("__item"))).alias(out),
-                                     F.count(F.lit(1)).alias(f"n_{out}"))
-    any_items = present.select(site).distinct().withColumn("__has", F.lit(True))
-    return (sites.join(miss, site, "left").join(any_items, site, "left")
-            .withColumn(out, F.coalesce(F.col(out), F.lit("")))
-            .withColumn(f"n_{out}", F.coalesce(F.col(f"n_{out}"), F.lit(0)).cast("long"))
-            .withColumn("no_items", F.col("__has").isNull()).drop("__has"))
+    req = F.array(*[F.lit(r) for r in sorted(required)])
+    it = F.col(item)
+    present = items.groupBy(F.col(isite).alias("__site")).agg(
+        F.collect_set(F.when(it.isin(list(required)), it)).alias("__have"))
+    j = sites.join(present, sites[site].eqNullSafe(present["__site"]), "left")
+    missing = F.array_except(req, F.coalesce(F.col("__have"), F.array().cast("array<string>")))
+    return (j.withColumn(out, F.concat_ws(sep, F.array_sort(missing)))
+            .withColumn(f"n_{out}", F.size(missing).cast("long"))
+            .withColumn("no_items", F.col("__site").isNull())
+            .drop("__site", "__have"))
 
 
 def missing_fields(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -288,12 +288,10 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = o.select(F.col("o_custkey").alias("site_id"), "o_orderkey",
                  F.when(p == "1-URGENT", "high").when(p.isin("2-HIGH", "3-MEDIUM"), "mod").otherwise("low")
                  .alias("priority_phase1"))
-    f = keep_first(s, ["site_id"], ["o_orderkey"])
+    f = keep_first(s, ["site_id"], ["o_orderkey"], extra={"n_orders": F.count(F.lit(1))})
     f = f.withColumn("priority_phase1", F.when(F.col("priority_phase1") == "mod", "moderate")
                      .otherwise(F.col("priority_phase1")))
-    f = H.map_links(f, "site_id")
-    n = o.groupBy(F.col("o_custkey").alias("site_id")).agg(F.count(F.lit(1)).alias("n_orders"))
-    j = f.join(n, "site_id")
+    j = H.map_links(f, "site_id")
     return j.select("site_id", "o_orderkey", "priority_phase1", "data_link", "n_orders",
                     number_word("n_orders").alias("n_orders_words"),
                     number_word(F.col("site_id") % 20 + 1, ordinal=True).alias("stream_order"))

@@ -133,23 +133,25 @@ def weighted_ranks(vc: DataFrame, keys: Sequence[str], order: str, weight: str,
     """Cumulative weight of each row within its group in ``order`` (distributed).
 
     Rows are range-partitioned on ``(keys, order)`` so a large group is spread
-    over many tasks; the sorted frame is materialised once (checkpoint) and
-    tagged with its partition; a running sum inside each (partition, group)
-    plus the weight of the group's earlier partitions (a small table with one
-    row per partition the group spans) gives ``__end`` = cumulative weight,
-    and ``__n`` = the group's total weight.  Requires distinct ``order``
+    over many tasks and tagged with their partition; a running sum inside
+    each (partition, group) is computed and materialised once (reliable
+    checkpoint — the range cut comes from a sample and must not be
+    re-drawn); adding the weight of the group's earlier partitions (a small
+    table with one row per partition the group spans) gives ``__end`` =
+    cumulative weight, and ``__n`` = the group's total weight.  Requires distinct ``order``
     values within a group (pre-aggregate to (group, value, count)).
     """
     from ..session import cut_lineage
     n = partitions or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(k) for k in keys] + [F.col(order)]
-    tagged = cut_lineage(vc.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-                         .withColumn("__mid", F.monotonically_increasing_id()))
-    tagged = tagged.withColumn("__pid", F.shiftright("__mid", 33))
+    tagged = (vc.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+              .withColumn("__mid", F.monotonically_increasing_id())
+              .withColumn("__pid", F.shiftright("__mid", 33)))
     wl = (Window.partitionBy("__pid", *keys).orderBy("__mid")
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = tagged.withColumn("__lc", F.sum(weight).over(wl))
-    tot = tagged.groupBy("__pid", *keys).agg(F.sum(weight).alias("__t"))
+    # one evaluation of the range cut, materialised with its running sums
+    local = cut_lineage(tagged.withColumn("__lc", F.sum(weight).over(wl)))
+    tot = local.groupBy("__pid", *keys).agg(F.max("__lc").alias("__t"))
     wo = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(F.col("__pid").alias("__opid"), *[F.col(k).alias(f"__o_{k}") for k in keys],
                       F.coalesce(F.sum("__t").over(wo), F.lit(0)).alias("__off"),

@@ -58,7 +58,7 @@ def str_c(*cols: ColumnOrName, sep: str = "") -> Column:
 
 def rlike_na(col: ColumnOrName, pattern: str, ci: bool = False,
              negate: bool = False) -> Column:
-    """Regex test where a missing text is "no match" (so a negated test keeps it)."""
+    """Regex test where a missing text is "no match", so a negated test keeps it."""
     pat = f"(?i){pattern}" if ci else pattern
     hit = F.coalesce(_c(col).rlike(pat), F.lit(False))
     return ~hit if negate else hit
@@ -110,7 +110,7 @@ def part(col: ColumnOrName, index: int, pattern: str = NON_ALNUM,
 
 
 def cast_na(col: ColumnOrName, to: str) -> Column:
-    """Cast that yields NULL for text that does not parse."""
+    """Cast that yields NULL for text that does not parse."""
     return _c(col).try_cast(to)
 
 
@@ -146,5 +146,5 @@ def any_null(cols: Iterable[ColumnOrName]) -> Column:
 
 
 def row_sum(cols: Iterable[ColumnOrName]) -> Column:
-    """Row-wise sum that is missing when any term is missing."""
+    """Row-wise sum that is missing when any term is missing (A10)."""
     return reduce(lambda a, b: a + b, [_c(c) for c in cols])

@@ -67,7 +67,7 @@ def file_name(col: ColumnOrName) -> Column:
 
 
 def squish(col: ColumnOrName) -> Column:
-    """Trim and collapse inner runs of white space."""
+    """Trim and collapse inner runs of white space."""
     return F.trim(F.regexp_replace(_c(col), r"\s+", " "))
 
 
@@ -109,11 +109,12 @@ def fmt(col: ColumnOrName, pattern: str) -> Column:
 
 
 def coalesce_na(*cols: ColumnOrName) -> Column:
+    """First non-missing value."""
     return F.coalesce(*[_c(c) for c in cols])
 
 
 def split_list(col: ColumnOrName, sep: str = ",") -> Column:
-    """``{A,B}`` or ``A,B`` → array of trimmed items."""
+    """``{A,B}`` or ``A,B`` → array of trimmed items (R7 X24); row-wise list work stays in array functions (M3)."""
     stripped = F.regexp_replace(_c(col), r"[{}]", "")
     return F.transform(F.split(stripped, sep), lambda x: F.trim(x))
 

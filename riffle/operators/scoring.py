@@ -251,6 +251,17 @@ def risk_ranks(df: DataFrame, erosion: str = "erosion_issues", embankment: str =
             .withColumn("overall_rank", F.col("vulnerability_rank") + F.col(priority)))
 
 
+def threshold_table(df: DataFrame, id_col: str, ids: Sequence, pct_cols: Sequence[str] = (),
+                    scale: float = 100.0, digits: int = 1) -> DataFrame:
+    """Model threshold table (D26): fractions to percent, then transposed so
+    each id (species) is a column and each threshold a row (R4)."""
+    from .reshape import transpose
+    out = df
+    for c in pct_cols:
+        out = out.withColumn(c, round_half_up(F.col(c) * scale, digits))
+    return transpose(out, id_col, ids)
+
+
 def merge_renamed(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Merge the old and new name of one field: new, else old."""
     for new, old in pairs:

@@ -309,6 +309,24 @@ def unpack_xy(df: DataFrame, geom: str = "geometry", x: str = "x", y: str = "y")
     return df.withColumn(x, F.col(f"{geom}.x")).withColumn(y, F.col(f"{geom}.y")).drop(geom)
 
 
+def watershed_attrs(sites: DataFrame, wshd: DataFrame, key: str, wshd_key: str | None = None,
+                    area_ha: str | None = None, area_out: str = "area_km2", elev_pattern: str = r"^elev",
+                    area_digits: int = 2) -> DataFrame:
+    """Watershed attributes at each site (G8): joined by key, area ha → km², ``elev*`` rounded.
+
+    One left join (NULL keys match) and one projection; the delineation
+    itself is out of scope (its output table is the input ``wshd``).
+    """
+    import re
+    from .columns import across
+    from .joins import join_na
+    from ..functions.semantics import round_half_up
+    j = join_na(sites, wshd, key, "left", wshd_key)
+    if area_ha:
+        j = j.withColumn(area_out, round_half_up(F.col(area_ha) / 100, area_digits)).drop(area_ha)
+    return across(j, lambda n, _t: bool(re.search(elev_pattern, n)), lambda c: round_half_up(c, 0))
+
+
 def clean_waypoint(name: Column, threshold: float = 1000, divisor: float = 10) -> Column:
     """Numeric waypoint name; renamed duplicates above ``threshold`` divided back."""
     n = name.try_cast("double")

@@ -94,6 +94,30 @@ def asof_or_own(df: DataFrame, track: DataFrame, ts: str, own: Sequence[str], tr
     return m.select(*[c for c in df.columns if c not in out], *filled)
 
 
+def yearly(layers: dict, corrections: DataFrame | None = None, year_col: str = "year") -> DataFrame:
+    """Counts per year from several layers, manual corrections, and their total.
+
+    ``layers`` maps a layer name to ``(frame, year column expression)``; the
+    result has one ``n_<layer>`` column per layer (full outer join on the
+    year) and ``total`` = their sum (missing if any layer lacks the year).
+    ``corrections`` holds ``(year, layer, add_n)`` rows added to the counts.
+    """
+    from functools import reduce
+    from .joins import full_merge
+    from ..functions.semantics import row_sum
+    frames = []
+    for name, (df, year) in layers.items():
+        c = df.groupBy(year.alias(year_col)).agg(F.count(F.lit(1)).alias("__n"))
+        if corrections is not None:
+            fx = (corrections.filter(F.col("layer") == name).groupBy(F.col(year_col).alias("__fy"))
+                  .agg(F.sum("add_n").alias("__add")))
+            c = c.join(fx, c[year_col] == fx["__fy"], "left").select(
+                year_col, (F.col("__n") + F.coalesce("__add", F.lit(0))).alias("__n"))
+        frames.append(c.select(year_col, F.col("__n").cast("long").alias(f"n_{name}")))
+    m = reduce(lambda a, b: full_merge(a, b, [year_col]), frames)
+    return m.withColumn("total", row_sum([f"n_{n}" for n in layers]).cast("long"))
+
+
 def daily(df: DataFrame, keys: Sequence[str], date: str, value: str, out: str = "value") -> DataFrame:
     """Daily value per key (sum of same-day readings; NULL if all readings NULL)."""
     return df.groupBy(*keys, F.to_date(date).alias("date")).agg(F.sum(value).alias(out))

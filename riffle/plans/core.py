@@ -30,7 +30,7 @@ SITE_TEMPLATE = StructType([
 ])
 
 
-@query("conform_sources", sql="""
+@query("conform_sources", ids="S2 U1 U2 P8 P9", sql="""
 SELECT o_orderkey AS id, 'form_f' AS source, o_custkey AS cust, o_totalprice AS amount,
        CAST(o_orderdate AS DATE) AS survey_date, CAST(NULL AS VARCHAR) AS priority,
        CAST(NULL AS VARCHAR) AS comments
@@ -84,7 +84,7 @@ def _schema_diff_sql() -> str:
     return "\nUNION ALL ".join(sel)
 
 
-@query("schema_diff", sql=_schema_diff_sql())
+@query("schema_diff", ids="U3 P5 P10 Q8", sql=_schema_diff_sql())
 def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which fields two forms share (prefix-stripped names) and how filled they are."""
     t = Tables(spark, sf_dir)
@@ -100,7 +100,7 @@ def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- F1 F2 F3 F5 N4
 
-@query("regex_filter", sql="""
+@query("regex_filter", ids="F1 F2 F3 F5", sql="""
 WITH d AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE source END AS source,
                   lang, n_chars, text FROM documents)
 SELECT doc_id, source, lang, n_chars FROM d
@@ -122,7 +122,7 @@ def regex_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- F4 J8 J9 S5
 
-@query("semi_members", sql="""
+@query("semi_members", ids="F4 J8 S5", sql="""
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
 def semi_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +132,7 @@ def semi_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.fetch_by_ids(t.orders, ids, "o_custkey", "c_custkey").select("o_orderkey", "o_custkey", "o_totalprice")
 
 
-@query("anti_members", sql="""
+@query("anti_members", ids="J9 F4", sql="""
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey = o_custkey)""")
 def anti_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +143,7 @@ def anti_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- F6 W9 Q1
 
-@query("dup_groups", sql="""
+@query("dup_groups", ids="F6 W9 Q1", sql="""
 WITH d AS (SELECT doc_id, source, md5(text) AS text_md5 FROM documents),
 g AS (SELECT text_md5, count(*) AS dupe_count FROM d GROUP BY text_md5 HAVING count(*) >= 2)
 SELECT d.doc_id, d.source, d.text_md5, g.dupe_count FROM d JOIN g USING (text_md5)""")
@@ -155,7 +155,7 @@ def dup_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- F8
 
-@query("threshold_filter", sql="""
+@query("threshold_filter", ids="F8", sql="""
 SELECT l_orderkey, l_linenumber, l_discount, l_tax, l_quantity, l_returnflag FROM lineitem
 WHERE l_returnflag <> 'N' AND l_discount < 0.03 AND l_tax < 0.05 AND l_quantity <= 20""")
 def threshold_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +169,7 @@ def threshold_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- F9 W5 W6 P12
 
-@query("slice_order", sql="""
+@query("slice_order", ids="F9 W5 W6 P12", sql="""
 WITH e AS (SELECT event_id, CAST(user_id AS VARCHAR) AS user_text, ts FROM events),
 r AS (SELECT *, row_number() OVER (ORDER BY TRY_CAST(user_text AS BIGINT), ts, event_id) AS row_id FROM e)
 SELECT event_id, user_text, ts, row_id FROM r WHERE row_id > 100""")
@@ -182,7 +182,7 @@ def slice_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- P1 P2 P3 P4 D8
 
-@query("column_tools", sql="""
+@query("column_tools", ids="P1 P2 P3 P4 D8 X6", sql="""
 SELECT upper(substr(regexp_extract(o_orderpriority, '^\\d-(.*)$', 1), 1, 1))
        || lower(substr(regexp_extract(o_orderpriority, '^\\d-(.*)$', 1), 2)) AS "Priority",
        o_orderkey AS "Order", o_orderstatus, CAST(o_orderdate AS DATE) AS o_orderdate,
@@ -205,7 +205,7 @@ def column_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- G8 P7
 
-@query("attach_attributes", sql="""
+@query("attach_attributes", ids="G8 P7 J1", sql="""
 SELECT c_custkey, n_name,
   CAST(round(CAST(c_acctbal / 100 AS DECIMAL(38,10)), 2) AS DOUBLE) AS area_km2,
   CAST(round(CAST(c_acctbal * 0.3 + n_nationkey AS DECIMAL(38,10)), 0) AS DOUBLE) AS elev_site,
@@ -213,20 +213,19 @@ SELECT c_custkey, n_name,
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
 def attach_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area ha→km² and ``elev*`` columns rounded by name pattern, after a lookup join."""
+    from ..operators.spatial import watershed_attrs
     t = Tables(spark, sf_dir)
-    c = t.customer.select("c_custkey", "c_nationkey", (F.col("c_acctbal") / 100).alias("area_km2"),
-                          (F.col("c_acctbal") * 0.3).alias("elev_site_raw"),
+    c = t.customer.select("c_custkey", "c_nationkey", F.col("c_acctbal").alias("area_ha"),
+                          (F.col("c_acctbal") * 0.3 + F.col("c_nationkey")).alias("elev_site"),
                           (F.col("c_acctbal") * 0.7).alias("elev_max"))
-    j = J.join_na(c, t.nation.select("n_nationkey", "n_name"), "c_nationkey", "left", "n_nationkey")
-    j = j.withColumn("elev_site", F.col("elev_site_raw") + F.col("c_nationkey")).drop("elev_site_raw")
-    j = P.across(j, lambda n, _t: n.startswith("elev"), lambda c: round_half_up(c, 0))
-    j = P.across(j, ["area_km2"], lambda c: round_half_up(c, 2))
+    j = watershed_attrs(c, t.nation.select("n_nationkey", "n_name"), "c_nationkey", "n_nationkey",
+                        area_ha="area_ha")
     return j.select("c_custkey", "n_name", "area_km2", "elev_site", "elev_max")
 
 
 # ---------------------------------------------------------------- W1 W4 P12
 
-@query("keep_first", sql="""
+@query("keep_first", ids="W1 W4 W7", sql="""
 WITH r AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY
       CASE event_type WHEN 'purchase' THEN 0 WHEN 'signup' THEN 1 ELSE 2 END, ts, event_id) AS rn
@@ -240,7 +239,7 @@ def keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- W2 J7
 
-@query("distinct_on", sql="""
+@query("distinct_on", ids="W2 J7", sql="""
 WITH j AS (
   SELECT o_orderkey, o_custkey, l_linenumber, l_shipdate, l_quantity,
          row_number() OVER (PARTITION BY o_orderkey ORDER BY l_shipdate DESC NULLS LAST,
@@ -262,7 +261,7 @@ def distinct_on(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- J1 N1
 
-@query("null_safe_join", sql="""
+@query("null_safe_join", ids="J1", sql="""
 WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_custkey END AS cust_key FROM orders),
 c AS (SELECT CASE WHEN c_custkey = 0 THEN NULL ELSE c_custkey END AS ckey, c_name, c_mktsegment FROM customer)
 SELECT o_orderkey, cust_key, c_name, c_mktsegment FROM o LEFT JOIN c ON o.cust_key IS NOT DISTINCT FROM c.ckey""")
@@ -278,7 +277,7 @@ def null_safe_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- J3 J4 J5
 
-@query("outer_merge", sql="""
+@query("outer_merge", ids="J3 J4 J5", sql="""
 WITH a AS (SELECT o_orderkey AS k_id, o_orderstatus AS k_status, CAST(year(o_orderdate) AS INTEGER) AS k_year, 1 AS k_method,
                   o_totalprice FROM orders),
 b AS (SELECT l_orderkey AS k_id, l_linestatus AS k_status, CAST(year(l_shipdate) AS INTEGER) AS k_year, 1 AS k_method,
@@ -303,7 +302,7 @@ def outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- J10 J11 J12 D5 X21
 
-@query("xref_resolve", sql="""
+@query("xref_resolve", ids="J10 J11 J12 D5 D30 X21 X23", sql="""
 WITH s AS (
   SELECT o_orderkey, o_custkey,
     CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 = 1 THEN 'x' || CAST(o_orderkey AS VARCHAR)
@@ -349,7 +348,7 @@ def xref_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- J6 G9
 
-@query("range_residual", sql="""
+@query("range_residual", ids="J6 G9", sql="""
 SELECT l_orderkey, l_linenumber, o_orderdate, l_shipdate,
        datediff('day', o_orderdate, l_shipdate) AS days_after
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -375,7 +374,7 @@ REPAIRS = [(11, "f1_length", "2.0"), (11, "f1_kind", "debris jam"), (32, "f2_len
 FEATURE_NAMES = [("pool", "Pool"), ("riffle", "Riffle"), ("falls", "Falls"), ("debris jam", "Large woody debris jam")]
 
 
-@query("feature_stack", sql="""
+@query("feature_stack", ids="U4 U5 D22 X23 S10", sql="""
 WITH s AS (
   SELECT l_orderkey * 10 + l_linenumber AS site_id,
     'pool' AS f1_kind, l_quantity AS f1_length,

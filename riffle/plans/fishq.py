@@ -107,7 +107,7 @@ REC_COLS = ["reference_number", "sampling_method", "method_number", "haul_number
             "species_code", "length_mm", "life_stage", "local_name", "site", "location", "ef", "site_id"]
 
 
-@query("fish_records", sql="WITH " + REC_SQL + f"\nSELECT {', '.join(REC_COLS)} FROM recs")
+@query("fish_records", ids="D12 J4 X2 X3 X5", sql="WITH " + REC_SQL + f"\nSELECT {', '.join(REC_COLS)} FROM recs")
 def fish_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fish × events full join: NFC for empty events, life stage by length."""
     return records(Tables(spark, sf_dir)).select(*REC_COLS)
@@ -136,7 +136,7 @@ sizes AS (
                                  ef_width_m NULLS LAST) AS rn FROM ev) WHERE rn = 1)"""
 
 
-@query("catch_density", sql="WITH " + CATCH_SQL + """
+@query("catch_density", ids="D13 D14 D15 A5 A6 W3", sql="WITH " + CATCH_SQL + """
 SELECT tot.local_name, tot.species_code, tot.life_stage, tot.catch, flag.nfc_pass,
        s.ef_length_m, s.ef_width_m, s.ef_seconds, s.enclosure,
        CAST(round_even(CAST(s.ef_length_m * s.ef_width_m AS DECIMAL(38,10)), 1) AS DOUBLE) AS area_m2,
@@ -155,7 +155,7 @@ def catch_density(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "ef_seconds", "enclosure", "area_m2", "density_100m2")
 
 
-@query("site_summary", sql="WITH " + CATCH_SQL + """,
+@query("site_summary", ids="D16 A1 A7", sql="WITH " + CATCH_SQL + """,
 pas AS (SELECT local_name, max(haul_number_pass_number) AS passes FROM c GROUP BY local_name),
 sz AS (SELECT DISTINCT local_name, ef_length_m, ef_width_m, enclosure FROM ev)
 SELECT pas.local_name AS site, passes, ef_length_m, ef_width_m,
@@ -168,7 +168,7 @@ def site_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.site_summary(c, events(t))
 
 
-@query("haul_density", sql="WITH " + REC_SQL + """,
+@query("haul_density", ids="D17 A1 X14", sql="WITH " + REC_SQL + """,
 r AS (SELECT *, CAST(round_even(CAST(ef_length_m * ef_width_m AS DECIMAL(38,10)), 0) AS DOUBLE) AS area
       FROM recs WHERE sampling_method = 'electrofishing')
 SELECT local_name, method_number, haul_number_pass_number, ef_length_m, ef_width_m, ef_seconds, species_code,
@@ -185,7 +185,7 @@ SUB_COLS = ["reference_number", "local_name", "sampling_method", "method_number"
             "species_code", "life_stage"]
 
 
-@query("submission_summary", sql="WITH " + REC_SQL + """,
+@query("submission_summary", ids="D18 A2 A3 J18", sql="WITH " + REC_SQL + """,
 names AS (SELECT * FROM (VALUES """ + ", ".join(f"('{a}', '{b}')" for a, b in SPECIES_NAMES) + """) AS n(code, species)),
 g AS (
   SELECT reference_number, local_name, sampling_method, method_number, haul_number_pass_number, species_code,

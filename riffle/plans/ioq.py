@@ -26,7 +26,7 @@ def _scratch(spark: SparkSession, tag: str) -> str:
     return f"{base}/riffle-{tag}-{uuid.uuid4().hex[:12]}"
 
 
-@query("route_by_source", sql="""
+@query("route_by_source", ids="K2 S2 S3", sql="""
 SELECT CASE o_orderstatus WHEN 'F' THEN 'barrier' WHEN 'O' THEN 'potential' END AS dest,
        count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
 FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1""")
@@ -41,7 +41,7 @@ def route_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
 
 
-@query("snapshot_archive", sql="""
+@query("snapshot_archive", ids="K1 K3 K4 K5 S1 S4", sql="""
 SELECT 'csv' AS part, count(*) AS n FROM orders
 UNION ALL SELECT 'archive', count(*) FROM orders WHERE o_orderstatus = 'F'
 UNION ALL SELECT 'current', count(*) FROM orders""")
@@ -54,13 +54,13 @@ def snapshot_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     K.snapshot(o, f"{root}/table", "20240102")
     K.replace_table(o.select("o_orderkey"), f"{root}/ids")
     parts = [S.read_csv(spark, csv_path).select(F.lit("csv").alias("part")),
-             spark.read.parquet(f"{root}/table/archive_20240102").select(F.lit("archive").alias("part")),
-             spark.read.parquet(f"{root}/table/current").select(F.lit("current").alias("part"))]
+             S.read_table(spark, f"{root}/table/archive_20240102").select(F.lit("archive").alias("part")),
+             S.read_table(spark, f"{root}/table/current").select(F.lit("current").alias("part"))]
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return u.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("formats", sql="""
+@query("formats", ids="S1 S6 S7 S8 K6 P9 P10", sql="""
 SELECT 'csv' AS format, count(*) AS n FROM nation
 UNION ALL SELECT 'csv_numeric_cols', 2
 UNION ALL SELECT 'geojson', count(*) FROM embeddings
@@ -102,7 +102,7 @@ LINE_LABELS = [("l_orderkey", "Site", 1, 1), ("l_quantity", "Width (m)", 2, 1),
                ("l_returnflag", "Barrier", 4, 1), ("l_shipdate", "Date", 1, 2), ("l_discount", "Gradient", 2, 2)]
 
 
-@query("dictionary_report", sql="""
+@query("dictionary_report", ids="S9 D27 P1 P6 P7", sql="""
 WITH lab AS (SELECT * FROM (VALUES """ + ", ".join(f"('{a}', '{b}', {c}, {d})" for a, b, c, d in LINE_LABELS) + """)
              AS l(name, report, id_join, id_side))
 SELECT lab.name, CASE lab.name WHEN 'l_orderkey' THEN 'bigint' WHEN 'l_quantity' THEN 'double'

@@ -24,7 +24,7 @@ from .registry import Tables, query
 RANK_FIXES = [(11, "erosion_issues", "3"), (12, "climate_change_flood_risk", "1"), (23, "priority_rank", "9")]
 
 
-@query("risk_ranks", sql="""
+@query("risk_ranks", ids="D9 D10 D11 A10", sql="""
 WITH s AS (
   SELECT l_orderkey * 10 + l_linenumber AS site_id,
     CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber % 3 END AS erosion_issues,
@@ -87,7 +87,7 @@ def _class_inputs(t: Tables) -> DataFrame:
         (F.col("p_retailprice") % 200).alias("distance"))
 
 
-@query("class_labels", sql="""
+@query("class_labels", ids="D3 D4 G4 X6 X7 X8 X9 X11", sql="""
 WITH p AS (
   SELECT p_partkey,
     CASE p_type WHEN 'ECONOMY' THEN 'Forest Service Road' WHEN 'PROMO' THEN 'Special Use Permit, Road Works'
@@ -134,7 +134,7 @@ def class_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- X12 X10
 
-@query("code_format", sql="""
+@query("code_format", ids="X12", sql="""
 WITH c AS (SELECT o_orderkey, lpad(CAST(o_custkey AS VARCHAR), 3, '0') || lpad(CAST(o_orderkey AS VARCHAR), 6, '0')
                   || repeat('0', 36) AS code45 FROM orders)
 SELECT o_orderkey, code45,
@@ -151,7 +151,7 @@ def code_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "code_grouped", grouped_code("code45", WATERSHED_CODE_WIDTHS))
 
 
-@query("url_parts", sql="""
+@query("url_parts", ids="X10 X11", sql="""
 SELECT page_id, regexp_extract(url, '[^/]*$', 0) AS file_name,
        length(regexp_extract(url, '[^/]*$', 0)) AS name_length,
        trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '\\s+', ' ', 'g')) AS title
@@ -175,7 +175,7 @@ def _tag_log(t: Tables) -> DataFrame:
     return row_id(log, [F.col("ts"), F.col("event_id")], "rowid").select("rowid", "date", "tag_id")
 
 
-@query("tag_parse", sql="""
+@query("tag_parse", ids="X4 D28 J13 J14 P12", sql="""
 WITH log AS (
   SELECT row_number() OVER (ORDER BY ts, event_id) AS rowid,
          strftime(ts, '%m-%d-%Y %H:%M:%S') || ' 01 TAG 900' || CAST(event_id AS VARCHAR) AS tag
@@ -196,7 +196,7 @@ def tag_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.tag_join(fish, _tag_log(t)).select("o_orderkey", "tag_row", "date", "tag_id")
 
 
-@query("review_sample")
+@query("review_sample", ids="Q7 P12")
 def review_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeded, exact-size 15 % sample of tagged fish for manual review."""
     t = Tables(spark, sf_dir)
@@ -206,7 +206,7 @@ def review_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- X15 X16 X17
 
-@query("excel_dates", sql="""
+@query("excel_dates", ids="X15 X16", sql="""
 WITH s AS (
   SELECT o_orderkey,
     CASE WHEN o_orderkey % 9 = 0 THEN 'n/a' ELSE CAST(datediff('day', DATE '1899-12-30', o_orderdate) AS VARCHAR) END
@@ -229,7 +229,7 @@ def excel_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _local_times(spark, sf_dir).drop("utc_ts")
 
 
-@query("zone_attach")
+@query("zone_attach", ids="X17")
 def zone_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Local survey times attached to America/Vancouver and expressed in UTC.
 
@@ -267,7 +267,7 @@ def _words_case(expr: str, ordinal: bool) -> str:
     return f"CASE {expr} {whens} ELSE CAST({expr} AS VARCHAR) END"
 
 
-@query("links", sql=f"""
+@query("links", ids="X13 D23 X22 W1", sql=f"""
 WITH s AS (
   SELECT o_custkey AS site_id, o_orderkey,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'high' WHEN '2-HIGH' THEN 'mod' WHEN '3-MEDIUM' THEN 'mod'
@@ -303,7 +303,7 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
 REQUIRED_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
-@query("completeness", sql="""
+@query("completeness", ids="Q2 Q3 Q4 Q9 F10", sql="""
 WITH ev AS (SELECT user_id, event_type, CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END AS value FROM events),
 req AS (SELECT c_custkey, t FROM customer, (VALUES """ + ", ".join(f"('{r}')" for r in REQUIRED_TYPES) + """) AS r(t)),
 present AS (SELECT DISTINCT user_id, event_type FROM ev),
@@ -334,7 +334,7 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 SEGMENT_VALUE = [("BUILDING", "High"), ("MACHINERY", "High"), ("AUTOMOBILE", "Medium"), ("FURNITURE", "Low")]
 
 
-@query("habitat_overview", sql="""
+@query("habitat_overview", ids="D19 D20 D21 D24 D25 D29 D31 F7", sql="""
 WITH sites AS (
   SELECT c_custkey AS site, c_custkey || '_' || CASE WHEN c_custkey % 2 = 0 THEN 'us' ELSE 'ds' END AS alias_local_name,
          c_nationkey, c_mktsegment, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS length_surveyed,
@@ -392,7 +392,7 @@ RENAME_RULES = [(r"^(\d+)$", "$1_nm"), (r"\.html$", "_nm.html")]
 DROP_RULES = [("url", "utm_source"), ("url", r"^http://blog\.")]
 
 
-@query("rename_plan", sql="""
+@query("rename_plan", ids="Q10 Q11", sql="""
 WITH p AS (SELECT page_id, url FROM pages
            WHERE NOT (coalesce(regexp_matches(url, 'utm_source'), false)
                       OR coalesce(regexp_matches(url, '^http://blog\\.'), false))),

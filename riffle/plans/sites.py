@@ -93,7 +93,7 @@ def sized_crossings(t: Tables) -> DataFrame:
     return scoring.structure_size(crossings(t), base_span=15.0, fill_std=3.0, fill_mult=3.0)
 
 
-@query("structure_sizing", sql="WITH " + SIZED_SQL + """
+@query("structure_sizing", ids="D2 X1 X14", sql="WITH " + SIZED_SQL + """
 SELECT site_id, barrier_result, downstream_channel_width_meters, fill_depth_meters,
        crossing_fix, span_input FROM sized""")
 def structure_sizing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +145,7 @@ estimated AS (
   FROM priced p LEFT JOIN overrides o ON p.site_id = o.o_site)"""
 
 
-@query("cost_estimate", sql="WITH " + ESTIMATED_SQL + """
+@query("cost_estimate", ids="D6 J2 S10 X14", sql="WITH " + ESTIMATED_SQL + """
 SELECT site_id, my_road_class, my_road_surface, crossing_fix, span_input, cost_est_1000s FROM estimated""")
 def cost_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return estimated(spark, Tables(spark, sf_dir)).select(
@@ -156,7 +156,7 @@ def _r1(expr: str) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(38,10)), 1) AS DOUBLE)"
 
 
-@query("cost_benefit", sql="WITH " + ESTIMATED_SQL + f"""
+@query("cost_benefit", ids="D7 D6", sql="WITH " + ESTIMATED_SQL + f"""
 SELECT site_id, cost_est_1000s,
   {_r1('habitat_net_m / nullif(cost_est_1000s, 0)')} AS cost_net,
   {_r1('habitat_net_m * downstream_channel_width_meters * 0.5 / nullif(cost_est_1000s, 0)')} AS cost_area_net,
@@ -169,7 +169,7 @@ def cost_benefit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cb.select("site_id", "cost_est_1000s", "cost_net", "cost_area_net", "cost_gross", "cost_area_gross")
 
 
-@query("priority_rules", sql="""
+@query("priority_rules", ids="D1 X1", sql="""
 WITH s AS (
   SELECT o_orderkey AS site_id,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'High' WHEN '2-HIGH' THEN 'High'

@@ -24,7 +24,7 @@ def _points(t: Tables, scale: float = 1.0) -> DataFrame:
                     (F.col("embedding")[1].cast("double") * scale).alias("y"))
 
 
-@query("nearest", sql=f"""
+@query("nearest", ids="G1 G4 Q5 W8 J17", sql=f"""
 WITH p AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
 l AS (SELECT vec_id, x, y FROM p WHERE label = 0),
 r AS (SELECT vec_id AS rid, x AS rx, y AS ry FROM p WHERE label <> 0),
@@ -77,7 +77,7 @@ def _inside_sql(pts: str, edges: str, out: str) -> str:
                           AND p.x < (e.x2 - e.x1) * (p.y - e.y1) / nullif(e.y2 - e.y1, 0) + e.x1) % 2 = 1)"""
 
 
-@query("in_polygon", sql=f"""
+@query("in_polygon", ids="G2 G3 J17", sql=f"""
 WITH pts AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) * 4 AS x, CAST(embedding[2] AS DOUBLE) * 4 AS y
              FROM embeddings),
 {_edges_sql(REGION_RINGS, 'redges')},
@@ -97,7 +97,7 @@ def in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", "r_regionkey", "r_name", "municipality")
 
 
-@query("transform_crs")
+@query("transform_crs", ids="G5 G6")
 def transform_crs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points to UTM zone 9 and to BC Albers and back (round trips), as point structs and columns."""
     p = _points(Tables(spark, sf_dir)).select("vec_id", (F.lit(-127.0) + F.col("x") * 2).alias("lon"),
@@ -126,7 +126,7 @@ def _recorder(e: DataFrame, etype: str, source: str, with_ele: bool) -> DataFram
     return w.withColumn("name", G.waypoint_key(F.col("name_old"), F.col("source"), F.col("time")))
 
 
-@query("waypoint_merge", sql="""
+@query("waypoint_merge", ids="G7 X5 W1", sql="""
 WITH wp0 AS (
   SELECT event_id AS wp_event_id, CAST(event_id % 2000 AS DOUBLE) AS n, ts AS time, value * 1000 AS easting,
          CAST(user_id * 10 AS DOUBLE) AS northing, value AS ele, 'KP' AS source FROM events WHERE event_type = 'view'

@@ -10,6 +10,7 @@ from ..functions.text import bin_label, fmt, number_word, split_list
 from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import reshape as R
+from ..operators import scoring
 from ..operators.dedupe import level_order
 from .registry import Tables, query
 
@@ -24,7 +25,7 @@ def _re(expr: str, d: int) -> str:
 
 # ---------------------------------------------------------------- A9
 
-@query("totals_row", sql="""
+@query("totals_row", ids="A9", sql="""
 SELECT CASE WHEN grouping(l_returnflag) = 1 THEN 'Total' ELSE l_returnflag END AS l_returnflag,
        count(*) AS n_lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty
 FROM lineitem GROUP BY ROLLUP (l_returnflag)""")
@@ -38,7 +39,7 @@ def totals_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- A8 A13 A16 X20 X22
 
-@query("scalar_counts", sql="""
+@query("scalar_counts", ids="A8 A13 A16 X20 X22", sql="""
 SELECT count(DISTINCT o_custkey) AS n_sites,
        count(*) FILTER (WHERE o_orderstatus = 'F') AS n_barrier,
        count(*) FILTER (WHERE o_orderstatus = 'O') AS n_potential,
@@ -72,7 +73,7 @@ QTY_EDGES = [10, 25, 40]
 QTY_LABELS = ["00 - 10", "10 - 25", "25 - 40", "40+"]
 
 
-@query("percent_by_bin", sql=f"""
+@query("percent_by_bin", ids="A11 A12 X2", sql=f"""
 WITH b AS (
   SELECT l_returnflag,
     CASE WHEN l_quantity < 10 THEN '00 - 10' WHEN l_quantity < 25 THEN '10 - 25'
@@ -93,7 +94,7 @@ def percent_by_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- A18
 
-@query("histogram5", sql="""
+@query("histogram5", ids="A18 A13", sql="""
 WITH v AS (SELECT o_orderpriority, floor(o_totalprice / 1000 / 25) * 25 AS bin FROM orders),
 c AS (SELECT o_orderpriority, bin, count(*) AS n FROM v GROUP BY ALL),
 bounds AS (SELECT min(bin) AS lo, max(bin) AS hi FROM c),
@@ -111,7 +112,7 @@ def histogram5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- A17
 
-@query("box_summary", sql=f"""
+@query("box_summary", ids="A17", sql=f"""
 WITH v AS (
   SELECT p_brand, CASE WHEN p_size <= 25 THEN 'small' ELSE 'large' END AS size_class,
          l_extendedprice / l_quantity AS unit
@@ -141,7 +142,7 @@ def box_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- R1 P11
 
-@query("pivot_counts", sql="""
+@query("pivot_counts", ids="R1 P11", sql="""
 SELECT l_returnflag, count(*) FILTER (WHERE l_linestatus = 'F') AS "Finished",
        count(*) FILTER (WHERE l_linestatus = 'O') AS "Open",
        count(*) FILTER (WHERE l_linestatus = 'X') AS "Other"
@@ -157,7 +158,7 @@ def pivot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 MODEL_REGEX = r"^([a-z]+)_(.+)_(km|ha)$"
 
 
-@query("unpivot_model", sql=f"""
+@query("unpivot_model", ids="R2 R3", sql=f"""
 WITH m AS (
   SELECT c_custkey,
     c_acctbal / 100 AS ch_spawning_km, CAST(c_nationkey - 10 AS DOUBLE) AS co_rearing_km,
@@ -192,14 +193,14 @@ def _profile_sql() -> str:
 WITH p AS (
   SELECT r_name, CAST(count(*) AS VARCHAR) AS n_sites,
          CAST({_r('avg(c_acctbal)', 2)} AS VARCHAR) AS mean_balance,
-         CAST({_r('100.0 * count(*) FILTER (WHERE c_acctbal < 0) / count(*)', 1)} AS VARCHAR) AS pct_negative
+         CAST({_r('count(*) FILTER (WHERE c_acctbal < 0) / count(*) * 100', 1)} AS VARCHAR) AS pct_negative
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
   GROUP BY r_name),
 l AS (UNPIVOT p ON n_sites, mean_balance, pct_negative INTO NAME attribute VALUE v)
 SELECT attribute, {cols} FROM l GROUP BY attribute"""
 
 
-@query("transpose_profile", sql=_profile_sql())
+@query("transpose_profile", ids="R4 R5 D26 M5", sql=_profile_sql())
 def transpose_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-region profile, transposed so attributes are rows and regions columns."""
     t = Tables(spark, sf_dir)
@@ -208,13 +209,13 @@ def transpose_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = j.groupBy("r_name").agg(
         F.count(F.lit(1)).alias("n_sites"),
         round_half_up(F.avg("c_acctbal"), 2).alias("mean_balance"),
-        round_half_up(F.count_if(F.col("c_acctbal") < 0) * 100.0 / F.count(F.lit(1)), 1).alias("pct_negative"))
-    return R.transpose(p, "r_name", REGIONS)
+        (F.count_if(F.col("c_acctbal") < 0) / F.count(F.lit(1))).alias("pct_negative"))
+    return scoring.threshold_table(p, "r_name", REGIONS, pct_cols=["pct_negative"])
 
 
 # ---------------------------------------------------------------- R6 J18
 
-@query("presence_matrix", sql="""
+@query("presence_matrix", ids="R6 J18", sql="""
 WITH v AS (
   SELECT p_type, r_name FROM lineitem
   JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
@@ -237,7 +238,7 @@ def presence_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- J15 D27 W7
 
-@query("side_by_side", sql="""
+@query("side_by_side", ids="J15 W7 D27", sql="""
 WITH s AS (
   SELECT l_orderkey * 10 + (l_linenumber - 1) % 3 AS slot,
          CASE WHEN l_linenumber <= 3 THEN 1 ELSE 2 END AS side,
@@ -262,7 +263,7 @@ def side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- A14 R7 X24 M3
 
-@query("species_string", sql="""
+@query("species_string", ids="A14 R7 X24 M3", sql="""
 WITH d AS (SELECT DISTINCT user_id, event_type FROM events),
 s AS (SELECT user_id, string_agg(event_type, ' ' ORDER BY event_type) AS species FROM d GROUP BY user_id)
 SELECT user_id, species, '{' || replace(species, ' ', ',') || '}' AS species_array,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.semantics import round_half_up, row_sum
+from ..functions.semantics import round_half_up
 from ..functions.timefn import ymd_parts
 from ..operators import aggregates as A
 from ..operators import joins as J
@@ -19,7 +19,7 @@ def _r(expr: str, d: int) -> str:
 
 # ---------------------------------------------------------------- T1 T2 M1 J16
 
-@query("asof_backward", sql="""
+@query("asof_backward", ids="T1 T2 J16 M1", sql="""
 WITH p AS (SELECT event_id, ts, user_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS own_value
            FROM events WHERE event_type = 'purchase'),
 v AS (SELECT event_id AS r_event_id, ts AS r_ts, user_id AS v_user, value AS r_value
@@ -40,7 +40,7 @@ def asof_backward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- T6
 
-@query("assign_by_time", sql="""
+@query("assign_by_time", ids="T6 T1", sql="""
 WITH e AS (SELECT event_id, ts, user_id, event_type FROM events WHERE event_type <> 'signup'),
 s AS (SELECT event_id AS r_event_id, ts AS r_ts, user_id AS s_user FROM events WHERE event_type = 'signup')
 SELECT e.event_id, e.ts, e.user_id, e.event_type, s.r_event_id, s.r_ts
@@ -67,7 +67,7 @@ def _daily(t: Tables) -> DataFrame:
     return T.daily(o, ["station"], "date", "v").withColumn("value", F.col("value").cast("double"))
 
 
-@query("climatology", sql="""
+@query("climatology", ids="T3 A4 X18", sql="""
 WITH d AS (SELECT o_orderpriority AS station, CAST(o_orderdate AS DATE) AS date,
                   sum(CAST(o_totalprice AS DECIMAL(18,2))) AS value
            FROM orders GROUP BY ALL),
@@ -92,7 +92,7 @@ def climatology(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- T4 T5 A15 X20
 
-@query("period_record", sql="WITH " + DAILY_SQL + f""",
+@query("period_record", ids="T4 T5 A15 X13 X20", sql="WITH " + DAILY_SQL + f""",
 s AS (SELECT station, CAST(year(date) AS INTEGER) AS year, count(value) AS n_days,
              CAST(dayofyear(make_date(CAST(year(date) AS BIGINT), 12, 31)) - count(value) AS BIGINT) AS n_missing,
              min(value) AS min, max(value) AS max, {_r('avg(value)', 2)} AS mean,
@@ -126,7 +126,7 @@ def period_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 YEAR_FIXES = [("1996", "a", 5), ("1999", "b", -2)]
 
 
-@query("yearly_totals", sql="""
+@query("yearly_totals", ids="T8 X19 Q6 A10 S10", sql="""
 WITH a AS (SELECT split_part(strftime(o_orderdate, '%Y-%m-%d'), '-', 1) AS year, count(*) AS n FROM orders GROUP BY 1),
 b AS (SELECT split_part(strftime(l_shipdate, '%Y-%m-%d'), '-', 1) AS year, count(*) AS n FROM lineitem
       WHERE l_linenumber = 1 GROUP BY 1),
@@ -146,28 +146,18 @@ def yearly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     ya = ymd_parts("o_orderdate")[0]
     yb = ymd_parts("l_shipdate")[0]
-    a = t.orders.groupBy(ya.alias("year")).agg(F.count(F.lit(1)).alias("n"))
     first_lines = t.lineitem.filter(F.col("l_linenumber") == 1)
-    b = first_lines.groupBy(yb.alias("year")).agg(F.count(F.lit(1)).alias("n"))
     fx = J.lookup(spark, YEAR_FIXES, "year string, layer string, add_n int")
-
-    def corrected(df, layer, out):
-        f = fx.filter(F.col("layer") == layer).groupBy(F.col("year").alias("__fy")).agg(F.sum("add_n").alias("__add"))
-        return (df.join(f, df["year"] == f["__fy"], "left")
-                .select("year", (F.col("n") + F.coalesce("__add", F.lit(0))).cast("long").alias(out)))
-
-    a2, b2 = corrected(a, "a", "n_a"), corrected(b, "b", "n_b")
+    m = T.yearly({"a": (t.orders, ya), "b": (first_lines, yb)}, fx)
     only_a = (J.missing_from(t.orders, first_lines, "o_orderkey", "l_orderkey")
               .groupBy(ya.alias("year")).agg(F.count(F.lit(1)).alias("n_a_only")))
-    m = J.full_merge(a2, b2, ["year"])
-    m = m.withColumn("total", row_sum(["n_a", "n_b"]).cast("long"))
     m = m.join(only_a, "year", "left")
     return m.select("year", "n_a", "n_b", "total", F.coalesce("n_a_only", F.lit(0)).cast("long").alias("n_a_only"))
 
 
 # ---------------------------------------------------------------- T7
 
-@query("calendar_overlap", sql="""
+@query("calendar_overlap", ids="T7", sql="""
 WITH iv AS (SELECT l_returnflag, CAST(o_orderdate AS DATE) AS s, CAST(l_shipdate AS DATE) AS e
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 m AS (SELECT l_returnflag, unnest(generate_series(date_trunc('month', s), date_trunc('month', e), INTERVAL 1 MONTH))

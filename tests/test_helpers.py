@@ -80,3 +80,19 @@ def test_time_helpers(spark):
     assert r.d == dt.date(2022, 9, 9) and r.t == "12:00:00" and r.dd == dt.date(2016, 2, 29)
     assert (r.p0, r.p1, r.p2) == ("2022", "09", "09")
     assert r.pt is not None
+
+
+def test_yearly_watershed_threshold(spark):
+    from riffle.operators import spatial as G
+    a = spark.createDataFrame([("2020",), ("2020",), ("2021",)], "y string")
+    b = spark.createDataFrame([("2021",), ("2022",)], "y string")
+    fx = spark.createDataFrame([("2020", "a", 5)], "year string, layer string, add_n int")
+    got = {r.year: (r.n_a, r.n_b, r.total) for r in T.yearly({"a": (a, F.col("y")), "b": (b, F.col("y"))}, fx).collect()}
+    assert got == {"2020": (7, None, None), "2021": (1, 1, 2), "2022": (None, 1, None)}
+    sites = spark.createDataFrame([(1, 1234.5, 101.6)], "site long, area ha double, elev_max double".replace("area ha", "area_ha"))
+    wshd = spark.createDataFrame([(1, "Tea")], "site long, name string")
+    w = G.watershed_attrs(sites, wshd, "site", area_ha="area_ha").first()
+    assert (w.area_km2, w.elev_max, w.name) == (12.35, 102.0, "Tea")
+    thr = spark.createDataFrame([("CO", 0.055, 1.5), ("ST", 0.08, 2.0)], "species string, grad double, width double")
+    t = {r.attribute: (r.CO, r.ST) for r in scoring.threshold_table(thr, "species", ["CO", "ST"], ["grad"]).collect()}
+    assert t == {"grad": ("5.5", "8.0"), "width": ("1.5", "2.0")}

@@ -23,6 +23,9 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Reliable checkpoints go to the shared folder; remove them once the
+    # DataFrames that use them are gone, so the folder does not grow.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Lookup tables are broadcast explicitly (with a size check); keep the
     # automatic threshold at its default 10 MB so nothing large is broadcast.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),

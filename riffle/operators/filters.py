@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import any_null as _any_null
-from ..functions.semantics import is_true
 from .columns import row_id
 from .joins import members  # noqa: F401  (F4 lives with the joins)
 
@@ -54,10 +53,15 @@ def group_size(df: DataFrame, keys: Sequence[str], min_n: int = 2,
 
 
 def cascade(df: DataFrame, predicates: Sequence[Column]) -> DataFrame:
-    """All predicates must hold; a missing test fails the row."""
+    """All predicates must hold; a missing test fails the row.
+
+    A filter already drops rows whose condition is NULL (rule N2), so the
+    predicates are ANDed as they are — no ``coalesce`` wrapper — which keeps
+    simple comparisons pushable into the Parquet scan.
+    """
     cond = None
     for p in predicates:
-        cond = is_true(p) if cond is None else cond & is_true(p)
+        cond = p if cond is None else cond & p
     return df.filter(cond)
 
 

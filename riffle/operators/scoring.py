@@ -12,7 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.semantics import is_true, paste0, rlike_na, round_half_up, round_multiple, safe_div
+from ..functions.semantics import paste0, rlike_na, round_half_up, round_multiple, safe_div
 from ..functions.text import first_match, first_word, replace_rules
 from .joins import lookup
 
@@ -271,7 +271,5 @@ def merge_renamed(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
 def planning_list(df: DataFrame, predicates: Sequence[Column]) -> DataFrame:
     """Keep rows passing every predicate; a missing test fails the row."""
-    cond = None
-    for p in predicates:
-        cond = is_true(p) if cond is None else cond & is_true(p)
-    return df.filter(cond)
+    from .filters import cascade
+    return cascade(df, predicates)

@@ -327,6 +327,21 @@ def watershed_attrs(sites: DataFrame, wshd: DataFrame, key: str, wshd_key: str |
     return across(j, lambda n, _t: bool(re.search(elev_pattern, n)), lambda c: round_half_up(c, 0))
 
 
+def attach_segment(obs: DataFrame, segments: DataFrame, key: str, measure: str, seg_start: str,
+                   cols: Sequence[str], seg_key: str | None = None, width: float = 1000.0) -> DataFrame:
+    """Stream-segment attributes at each observation by linear reference.
+
+    The segment of a line that holds a measure is the one whose start is the
+    greatest at or below it — an as-of match on the numeric measure (bucketed
+    by ``width`` units), so an observation gets exactly one segment and a
+    line with very many segments never emits all (observation, segment)
+    pairs.
+    """
+    from .timeseries import asof
+    s = segments.select(F.col(seg_key or key).alias(key), F.col(seg_start).alias(measure), *cols)
+    return asof(obs, s, measure, by=[key], cols=list(cols), prefix="seg_", bucket_seconds=width)
+
+
 def clean_waypoint(name: Column, threshold: float = 1000, divisor: float = 10) -> Column:
     """Numeric waypoint name; renamed duplicates above ``threshold`` divided back."""
     n = name.try_cast("double")

@@ -20,7 +20,11 @@ from ..functions.timefn import doy_to_date
 DAY_SECONDS = 86400
 
 
-def _bucket(ts: Column, seconds: int) -> Column:
+def _bucket(ts: Column, seconds: float, numeric: bool = False) -> Column:
+    """Bucket index of an order value: ``seconds``-wide for timestamps, or
+    ``seconds`` units wide for a numeric order column (e.g. a measure in m)."""
+    if numeric:
+        return F.floor(ts.cast("double") / F.lit(float(seconds))).cast("long")
     return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
 
 
@@ -32,7 +36,9 @@ def asof(left: DataFrame, right: DataFrame, ts: str, by: Sequence[str] = (),
     Returns all left columns plus ``prefix + c`` for each right column in
     ``cols`` and the matched right timestamp.  No earlier right row → NULLs.
     Missing ``by`` keys never match.  Ties on the right timestamp are broken
-    by the right columns (largest wins), the same way on both paths.
+    by the right columns (largest wins), the same way on both paths.  The
+    order column may also be numeric (a measure along a line); then
+    ``bucket_seconds`` is the bucket width in its units.
     """
     rts = right_ts or ts
     by = list(by)
@@ -52,8 +58,9 @@ def asof(left: DataFrame, right: DataFrame, ts: str, by: Sequence[str] = (),
                      F.col(rts).alias("__ts"), F.lit(0).alias("__side"), F.lit(None).cast(ltype).alias("__l"),
                      rrow.alias("__r"))
     keys = [f"__by{i}" for i in range(len(by))]
-    lu = lu.withColumn("__b", _bucket(F.col("__ts"), bucket_seconds))
-    ru = ru.withColumn("__b", _bucket(F.col("__ts"), bucket_seconds))
+    numeric = dict(left.dtypes)[ts] not in ("timestamp", "timestamp_ntz", "date")
+    lu = lu.withColumn("__b", _bucket(F.col("__ts"), bucket_seconds, numeric))
+    ru = ru.withColumn("__b", _bucket(F.col("__ts"), bucket_seconds, numeric))
     u = lu.unionByName(ru)
 
     # 1) within (key, bucket): last right row up to and including each row
@@ -199,6 +206,16 @@ def active_by_month(df: DataFrame, keys: Sequence[str], start: str, end: str,
     return r
 
 
+def calendar(df: DataFrame, start: str, end: str, stage: str, levels: Sequence[str],
+             keep: Column | None = None, out: str = "stage_order") -> DataFrame:
+    """Life-stage calendar rows (T7 W7): optionally filtered, with the stage's
+    position in ``levels`` for ordering, and start/end as dates."""
+    from .dedupe import level_order
+    d = df if keep is None else df.filter(keep)
+    return (d.withColumn(start, F.to_date(start)).withColumn(end, F.to_date(end))
+            .withColumn(out, level_order(stage, levels)))
+
+
 def month_overlaps(df: DataFrame, start: str, end: str, out: str = "month") -> DataFrame:
     """One row per calendar month an interval ``[start, end]`` touches."""
     s, e = F.trunc(F.to_date(start), "month"), F.trunc(F.to_date(end), "month")

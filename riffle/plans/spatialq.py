@@ -154,3 +154,20 @@ def waypoint_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.year("ts").cast("string")).alias("wp_key"))
     j = join_na(pr, wp.select("name", "wp_event_id", "easting", "northing", "ele"), "wp_key", "left", "name")
     return j.select("event_id", "wp_key", "wp_event_id", "easting", "northing", "ele")
+
+
+@query("segment_attach", ids="G9 J6 J16", sql="""
+WITH obs AS (SELECT c_custkey, c_acctbal * 50 AS measure FROM customer),
+seg AS (SELECT o_custkey, o_totalprice AS seg_measure, o_orderkey AS seg_o_orderkey,
+               o_orderpriority AS seg_o_orderpriority FROM orders)
+SELECT obs.c_custkey, obs.measure, seg.seg_measure, seg.seg_o_orderkey, seg.seg_o_orderpriority
+FROM obs ASOF LEFT JOIN seg ON obs.c_custkey = seg.o_custkey AND obs.measure >= seg.seg_measure""")
+def segment_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each site (customer) gets the attributes of the line segment (order) whose start
+    measure (total) is the greatest at or below the site's measure — linear referencing."""
+    t = Tables(spark, sf_dir)
+    obs = t.customer.select("c_custkey", (F.col("c_acctbal") * 50).alias("measure"))
+    seg = t.orders.select("o_custkey", "o_totalprice", "o_orderkey", "o_orderpriority")
+    m = G.attach_segment(obs, seg, "c_custkey", "measure", "o_totalprice", ["o_orderkey", "o_orderpriority"],
+                         seg_key="o_custkey", width=50000.0)
+    return m.select("c_custkey", "measure", "seg_measure", "seg_o_orderkey", "seg_o_orderpriority")

@@ -96,3 +96,21 @@ def test_yearly_watershed_threshold(spark):
     thr = spark.createDataFrame([("CO", 0.055, 1.5), ("ST", 0.08, 2.0)], "species string, grad double, width double")
     t = {r.attribute: (r.CO, r.ST) for r in scoring.threshold_table(thr, "species", ["CO", "ST"], ["grad"]).collect()}
     assert t == {"grad": ("5.5", "8.0"), "width": ("1.5", "2.0")}
+
+
+def test_attach_segment_and_calendar(spark):
+    import random
+    from riffle.operators import spatial as G
+    rnd = random.Random(4)
+    segs = [(lf, float(start), round(rnd.random(), 3)) for lf in (1, 2) for start in range(0, 10000, 700)]
+    obs = [(i, rnd.choice([1, 2, 3]), float(rnd.randint(0, 12000))) for i in range(200)]
+    S_ = spark.createDataFrame(segs, "lf long, drm double, gradient double")
+    O_ = spark.createDataFrame(obs, "id long, lf long, m double")
+    got = {r.id: r.seg_gradient for r in G.attach_segment(O_, S_, "lf", "m", "drm", ["gradient"], width=1500).collect()}
+    for i, lf, m in obs:
+        cands = [(s, g) for k, s, g in segs if k == lf and s <= m]
+        assert got[i] == (max(cands)[1] if cands else None)
+    cal = spark.createDataFrame([("CO", "rearing", "1900-03-01", "1900-10-31"), ("ST", "spawning", "1900-04-01", "1900-06-30")],
+                                "species string, life_stage string, start string, end string")
+    c = T.calendar(cal, "start", "end", "life_stage", ["spawning", "rearing"], keep=F.col("species") != "XX")
+    assert {r.species: (r.stage_order, str(r.start)) for r in c.collect()} == {"CO": (1, "1900-03-01"), "ST": (0, "1900-04-01")}

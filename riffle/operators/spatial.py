@@ -351,3 +351,22 @@ def clean_waypoint(name: Column, threshold: float = 1000, divisor: float = 10) -
 def waypoint_key(name: Column, source: Column, ts: Column) -> Column:
     """``name_source_year`` key for a waypoint."""
     return paste0(name.cast("long"), F.lit("_"), source, F.lit("_"), F.year(ts))
+
+
+def merge_waypoints(recorders: dict, name: str = "name", time: str = "time",
+                    order: Sequence[str] | None = None) -> DataFrame:
+    """Waypoints of several recorders in one table.
+
+    ``recorders`` maps a source code to its frame.  Names are cleaned
+    (renamed duplicates divided back), tagged with the source, keyed
+    ``name_source_year``, stacked by column name (missing columns NULL) and
+    reduced to one row per key (latest time first, then ``order``).
+    """
+    from functools import reduce
+    from .dedupe import keep_first
+    frames = []
+    for src, df in recorders.items():
+        w = (df.withColumn("name_old", clean_waypoint(F.col(name))).withColumn("source", F.lit(src)))
+        frames.append(w.withColumn(name, waypoint_key(F.col("name_old"), F.col("source"), F.col(time))))
+    wp = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return keep_first(wp, [name], [f"{time} desc", *(order or [])])

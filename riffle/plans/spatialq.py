@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.semantics import round_half_up
 from ..operators import spatial as G
-from ..operators.dedupe import keep_first
 from ..operators.joins import join_na
 from .registry import Tables, query
 
@@ -115,15 +114,13 @@ def transform_crs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     round_half_up("lon_alb", 6).alias("lon_alb"), round_half_up("lat_alb", 6).alias("lat_alb"))
 
 
-def _recorder(e: DataFrame, etype: str, source: str, with_ele: bool) -> DataFrame:
+def _recorder(e: DataFrame, etype: str, with_ele: bool) -> DataFrame:
     cols = [F.col("event_id").alias("wp_event_id"), (F.col("event_id") % 2000).cast("string").alias("name"),
             F.col("ts").alias("time"), (F.col("value") * 1000).alias("easting"),
             (F.col("user_id") * 10.0).alias("northing")]
     if with_ele:
         cols.append(F.col("value").alias("ele"))
-    w = e.filter(F.col("event_type") == etype).select(*cols)
-    w = w.withColumn("name_old", G.clean_waypoint(F.col("name"))).withColumn("source", F.lit(source))
-    return w.withColumn("name", G.waypoint_key(F.col("name_old"), F.col("source"), F.col("time")))
+    return e.filter(F.col("event_type") == etype).select(*cols)
 
 
 @query("waypoint_merge", ids="G7 X5 W1", sql="""
@@ -146,8 +143,8 @@ FROM pr LEFT JOIN wp ON pr.wp_key = wp.name""")
 def waypoint_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two recorders' waypoints cleaned, keyed by name_source_year, joined to sites."""
     e = Tables(spark, sf_dir).events
-    wp = _recorder(e, "view", "KP", True).unionByName(_recorder(e, "click", "AI", False), allowMissingColumns=True)
-    wp = keep_first(wp, ["name"], ["time desc", "wp_event_id"])
+    wp = G.merge_waypoints({"KP": _recorder(e, "view", True), "AI": _recorder(e, "click", False)},
+                           order=["wp_event_id"])
     pr = e.filter(F.col("event_type") == "purchase").select(
         "event_id", F.concat((F.col("event_id") % 200).cast("string"), F.lit("_"),
                              F.when(F.col("user_id") % 2 == 0, "KP").otherwise("AI"), F.lit("_"),

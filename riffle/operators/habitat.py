@@ -51,6 +51,17 @@ def overview(pri: DataFrame, sites: DataFrame, key: str, priority: str = "priori
     return j
 
 
+def habitat_summary(df: DataFrame, location: str = "location", order: Sequence[str] = ("site", "location"),
+                    extra_rules: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Habitat summary for print (D21): location codes relabelled (and any text
+    rules applied), sorted by ``order`` (a global, range-partitioned sort)."""
+    from ..functions.text import replace_rules
+    lab = location_label(location)
+    if extra_rules:
+        lab = replace_rules(lab, extra_rules)
+    return df.withColumn(location, lab).orderBy(*order)
+
+
 def gain_estimate(df: DataFrame, species_list: str, length_m: str, out_prefix: str = "") -> DataFrame:
     """Species count and upstream length (km) per site from a species list column."""
     return (df.withColumn(f"{out_prefix}n_species", F.size(F.filter(split_list(species_list, ","),

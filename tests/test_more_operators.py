@@ -159,3 +159,10 @@ def test_active_by_month_matches_expansion(spark):
     slow = {(r.k, r.month): r.n for r in T.month_overlaps(ok, "s", "e").groupBy("k", "month")
             .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert fast == slow
+
+
+def test_habitat_summary(spark):
+    df = spark.createDataFrame([("198222", "us", 1.2), ("198222", "ds", 0.8), ("8530", "us", 2.0)],
+                               "site string, location string, width double")
+    got = [(r.site, r.location) for r in H.habitat_summary(df).collect()]
+    assert got == [("198222", "Downstream"), ("198222", "Upstream"), ("8530", "Upstream")]

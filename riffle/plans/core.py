@@ -148,8 +148,14 @@ WITH d AS (SELECT doc_id, source, md5(text) AS text_md5 FROM documents),
 g AS (SELECT text_md5, count(*) AS dupe_count FROM d GROUP BY text_md5 HAVING count(*) >= 2)
 SELECT d.doc_id, d.source, d.text_md5, g.dupe_count FROM d JOIN g USING (text_md5)""")
 def dup_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose exact text repeats, with the group size."""
-    d = Tables(spark, sf_dir).documents.select("doc_id", "source", F.md5("text").alias("text_md5"))
+    """Documents whose exact text repeats, with the group size.
+
+    The whole text is hashed once into a narrow (doc_id, source, md5) table,
+    materialised with a reliable checkpoint; the count and the join back then
+    read that table, so the large text column is scanned and hashed once.
+    """
+    from ..session import cut_lineage
+    d = cut_lineage(Tables(spark, sf_dir).documents.select("doc_id", "source", F.md5("text").alias("text_md5")))
     return W.duplicates(d, ["text_md5"]).select("doc_id", "source", "text_md5", "dupe_count")
 
 

@@ -146,7 +146,8 @@ def within(points: DataFrame, polygons: DataFrame, pid: str, ring_name: str = "r
 
     Polygons are registered in every grid cell of their bounding box (an
     ``explode`` of a ``sequence``), points in their own cell; the equi-join
-    on the cell is followed by the exact crossing test.
+    on the cell carries the exact crossing test as its residual condition,
+    so inner and left joins are both a single pass over the points.
     """
     xs = F.transform(F.col(ring_name), lambda p: p["x"])
     ys = F.transform(F.col(ring_name), lambda p: p["y"])
@@ -155,14 +156,15 @@ def within(points: DataFrame, polygons: DataFrame, pid: str, ring_name: str = "r
     pg = (pg.withColumn("__kx", F.explode(F.sequence("__x0", "__x1")))
           .withColumn("__ky", F.explode(F.sequence("__y0", "__y1")))
           .drop("__x0", "__x1", "__y0", "__y1"))
+    pg = pg.withColumnRenamed("__kx", "__pkx").withColumnRenamed("__ky", "__pky")
     px, py = F.col(xy[0]).cast("double"), F.col(xy[1]).cast("double")
     pt = points.select("*", _cell(px, cell).alias("__kx"), _cell(py, cell).alias("__ky"))
-    j = pt.join(pg, ["__kx", "__ky"], "inner").filter(contains(F.col(ring_name), px, py))
-    j = j.drop("__kx", "__ky", ring_name)
-    if how == "inner":
-        return j
-    extra = [c for c in j.columns if c not in points.columns]
-    return points.join(j.select(pid, *extra), pid, "left")
+    # equi-join on the cell, crossing test as the join's residual condition:
+    # one pass for inner and left (unmatched points keep NULL polygon columns)
+    cond = ((F.col("__kx") == F.col("__pkx")) & (F.col("__ky") == F.col("__pky"))
+            & contains(F.col(ring_name), px, py))
+    j = pt.join(pg, cond, "left" if how == "left" else "inner")
+    return j.drop("__kx", "__ky", "__pkx", "__pky", ring_name)
 
 
 # --- coordinate transforms (G5): transverse Mercator series, public formulas.

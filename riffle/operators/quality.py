@@ -17,18 +17,23 @@ from .columns import row_id
 
 
 def missing_required(sites: DataFrame, items: DataFrame, site: str, item: str, required: Sequence[str],
-                     items_site: str | None = None, out: str = "missing", sep: str = " ") -> DataFrame:
+                     items_site: str | None = None, out: str = "missing", sep: str = " ",
+                     extra: dict | None = None) -> DataFrame:
     """Per site, the required items it lacks, sorted and joined (Q2), and whether it has none (Q4).
 
     One aggregate over the items collects, per site, the set of *required*
     items present (bounded by the required list); the missing ones are the
-    array difference, after one left join to the sites.
+    array difference, after one left join to the sites.  ``extra`` adds
+    per-site aggregates over the items (``{name: Column}``) in the same pass
+    (NULL for sites without items).
     """
     isite = items_site or site
     req = F.array(*[F.lit(r) for r in sorted(required)])
     it = F.col(item)
+    extra = extra or {}
     present = items.groupBy(F.col(isite).alias("__site")).agg(
-        F.collect_set(F.when(it.isin(list(required)), it)).alias("__have"))
+        F.collect_set(F.when(it.isin(list(required)), it)).alias("__have"),
+        *[e.alias(n) for n, e in extra.items()])
     j = sites.join(present, sites[site].eqNullSafe(present["__site"]), "left")
     missing = F.array_except(req, F.coalesce(F.col("__have"), F.array().cast("array<string>")))
     return (j.withColumn(out, F.concat_ws(sep, F.array_sort(missing)))

@@ -321,10 +321,9 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = t.events.select("user_id", "event_type", F.when(F.col("event_id") % 10 == 0, F.lit(None))
                          .otherwise(F.col("value")).alias("value"))
     sites = t.customer.select("c_custkey")
-    m = Q.missing_required(sites, ev, "c_custkey", "event_type", REQUIRED_TYPES, items_site="user_id")
-    mf = Q.missing_fields(ev, ["value"], by=["user_id"]).withColumnRenamed("n_missing_value", "__nmv")
-    j = m.join(mf, m["c_custkey"] == mf["user_id"], "left")
-    return j.select("c_custkey", "missing", "n_missing", "no_items",
+    m = Q.missing_required(sites, ev, "c_custkey", "event_type", REQUIRED_TYPES, items_site="user_id",
+                           extra={"__nmv": F.count_if(F.col("value").isNull())})
+    return m.select("c_custkey", "missing", "n_missing", "no_items",
                     F.coalesce("__nmv", F.lit(0)).cast("long").alias("n_missing_value"))
 
 

@@ -166,3 +166,25 @@ def test_habitat_summary(spark):
                                "site string, location string, width double")
     got = [(r.site, r.location) for r in H.habitat_summary(df).collect()]
     assert got == [("198222", "Downstream"), ("198222", "Upstream"), ("8530", "Upstream")]
+
+
+def test_last_pass_flag_and_catch(spark):
+    from riffle.operators import fish
+    c = spark.createDataFrame(
+        [("s1", "CO", "fry", 1, 3), ("s1", "CO", "fry", 2, 1), ("s1", "ST", "parr", 1, 2), ("s2", "NFC", None, 1, 0)],
+        "local_name string, species_code string, life_stage string, haul_number_pass_number int, catch long")
+    f = {(r.local_name, r.species_code): r.nfc_pass for r in fish.last_pass_flag(c).collect()}
+    assert f == {("s1", "CO"): False, ("s1", "ST"): True, ("s2", "NFC"): True}
+
+
+def test_histogram_without_zero_bins_and_conform_extra(spark):
+    from pyspark.sql.types import LongType, StructField, StructType
+    from riffle.operators import sets as U
+    df = spark.createDataFrame([("a", 1.0), ("a", 12.0)], "k string, v double")
+    h = sorted((r.k, r.bin, r.n) for r in A.histogram(df, ["k"], "v", 5, fill_zero=False).collect())
+    assert h == [("a", 0.0, 1), ("a", 10.0, 1)]
+    x = spark.createDataFrame([("7", "note")], "id string, extra string")
+    c = U.conform(x, StructType([StructField("id", LongType())]), keep_extra=True)
+    assert c.columns == ["id", "extra"] and c.first().id == 7
+    u = U.union_all([x, spark.createDataFrame([("8",)], "id string")])
+    assert sorted((r.id, r.extra) for r in u.collect()) == [("7", "note"), ("8", None)]

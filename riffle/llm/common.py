@@ -31,7 +31,7 @@ def scratch_table(df: DataFrame, label: str) -> DataFrame:
     if before is not None:
         spark.conf.set(CLEAN_UP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         if before is not None:
             spark.conf.set(CLEAN_UP, before)

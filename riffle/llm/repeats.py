@@ -38,92 +38,133 @@ from pyspark.sql import functions as F
 
 from .common import mix64, scratch_table, shuffle_partitions, slices_by_bytes, text_bytes
 
-LENGTH, GRAM, SLICE = 50, 20, 8 << 20
+LENGTH, GRAM, SLICE, BLOCK = 50, 20, 8 << 20, 1 << 18
 _U = np.uint64
 PACKED = "bucket int, sure boolean, row binary, doc binary, n binary, name binary, at binary, span binary"
 FOUND = "row long, repeated boolean, name binary, at binary, span binary"
 
 
-def byte_names(data: np.ndarray) -> np.ndarray:
-    """Names of the 8 bytes at each position (their value, scrambled); zeros follow the end."""
-    padded = np.concatenate([data, np.zeros(7, np.uint8)])
-    out = np.zeros(len(data), _U)
-    for k in range(8):
-        out |= padded[k:k + len(data)].astype(_U) << _U(8 * k)
-    return mix64(out + _U(0x9E3779B97F4A7C15))
+#: A scrambled number for each byte value, and the multipliers of pairs.
+BYTES = mix64(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
+FACTORS = mix64(np.arange(1, 65, dtype=_U) * _U(0xD1342543DE82EF95)) | _U(1)
 
 
-def pair(names: np.ndarray, offset: int) -> np.ndarray:
-    """Names of the pairs of a position and the one ``offset`` further on."""
-    n = len(names) - offset
-    return mix64(names[:max(n, 0)] * _U(0xD1342543DE82EF95) + mix64(names[offset:] ^ _U(0x2545F4914F6CDD1D)))
+def double(names: np.ndarray, have: int, want: int) -> np.ndarray:
+    """Names of ``want`` bytes from names of ``have``: pairs at growing offsets.
 
-
-def grow(names: np.ndarray, have: int, want: int) -> np.ndarray:
-    """Names of ``want`` bytes from names of ``have`` bytes, by doubling."""
+    The name at a position pairs those there and ``step`` bytes on; halves may
+    overlap.  Equal strings have equal names; others differ but for a chance
+    of about 2^-64.
+    """
     while have < want:
         step = min(have, want - have)
-        names, have = pair(names, step), have + step
+        n = max(len(names) - step, 0)
+        names, have = names[:n] * FACTORS[have] + names[step:], have + step
     return names
 
 
-def smallest(names: np.ndarray, width: int) -> np.ndarray:
-    """Leftmost position of the smallest of ``width`` names from each position on."""
-    at, have = np.arange(len(names)), 1
+def smallest(keys: np.ndarray, width: int) -> np.ndarray:
+    """Smallest of ``width`` keys from each place on, by doubling."""
+    have = 1
     while have < width:
         step = min(have, width - have)
-        left, right = at[:len(at) - step], at[step:]
-        at, have = np.where(names[right] < names[left], right, left), have + step
-    return at
+        keys, have = np.minimum(keys[:len(keys) - step], keys[step:]), have + step
+    return keys
+
+
+def runs(data: np.ndarray, bounds: np.ndarray):
+    """Stretches of windows that chose one position: ``(chosen, first, count, owner, name)``.
+
+    Also the names of the windows at the ends of each stretch.  Keys hold the
+    scrambled name's upper half, then the position, so ties go to the left.
+    """
+    none = np.zeros(0, np.int64)
+    if len(data) < LENGTH:
+        return none, none, none, none, none.astype(_U), none.astype(_U), none.astype(_U)
+    sixteen = double(BYTES[data], 1, 16)
+    grams = mix64(double(sixteen, 16, GRAM))
+    keys = (grams & _U(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=_U)
+    chosen = (smallest(keys, LENGTH - GRAM + 1) & _U(0xFFFFFFFF)).astype(np.int64)
+    fits = np.ones(len(data), bool)
+    for end in bounds[1:]:  # windows that would run into the next text
+        fits[max(0, end - LENGTH + 1):end] = False
+    fits = fits[:len(chosen)]
+    new = fits.copy()
+    new[1:] &= (chosen[1:] != chosen[:-1]) | ~fits[:-1]
+    stop = fits.copy()
+    stop[:-1] &= (chosen[1:] != chosen[:-1]) | ~fits[1:]
+    first, last = np.flatnonzero(new), np.flatnonzero(stop)
+    window = double(sixteen, 16, LENGTH)
+    own = chosen[first]
+    return (own, first, last - first + 1, np.searchsorted(bounds, first, side="right") - 1, grams[own],
+            window[first], window[last])
 
 
 class Slice:
-    """The texts of some rows with the stretches of windows that chose one position."""
+    """The texts of some rows with their stretches, found a few rows at a time."""
 
-    def __init__(self, part):
-        self.rows = part.column("row").to_numpy()
-        self.docs = part.column("doc_id").to_numpy()
+    def __init__(self, part, stretches: bool = True):
+        self.rows, self.docs = part.column("row").to_numpy(), part.column("doc_id").to_numpy()
         self.data, self.bounds = text_bytes(part.column("text"))
-        none = np.zeros(0, np.int64)
-        self.chosen = self.first = self.count = self.owner = none
-        self.names = none.astype(_U)
-        if len(self.data) < LENGTH:
+        if not stretches:
             return
-        self.eight = byte_names(self.data)
-        grams = grow(self.eight, 8, GRAM)
-        chosen = smallest(grams, LENGTH - GRAM + 1)[:len(self.data) - LENGTH + 1]
-        owner = np.searchsorted(self.bounds, np.arange(len(chosen)), side="right") - 1
-        fits = np.arange(len(chosen)) + LENGTH <= self.bounds[owner + 1]
-        windows = np.flatnonzero(fits)
-        if not len(windows):
-            return
-        own, new = chosen[windows], np.ones(len(windows), bool)
-        new[1:] = (own[1:] != own[:-1]) | (windows[1:] != windows[:-1] + 1)
-        at = np.flatnonzero(new)
-        self.chosen, self.first = own[at], windows[at]
-        self.count = np.diff(np.append(at, len(windows)))  # windows of the stretch
-        self.owner, self.names = owner[self.first], grams[self.chosen]
-
-    def starts(self, positions: np.ndarray, owner: np.ndarray) -> np.ndarray:
-        return positions - self.bounds[owner]
+        found = []
+        for a, b in self.blocks():
+            base = self.bounds[a]
+            chosen, first, count, owner, *names = runs(self.data[base:self.bounds[b]], self.bounds[a:b + 1] - base)
+            found.append((chosen + base, first + base, count, owner + a, *names))
+        self.chosen, self.first, self.count, self.owner, self.names, self.head, self.tail = (
+            map(np.concatenate, zip(*found)) if found else runs(self.data, self.bounds))
+
+    def blocks(self):
+        """Runs of rows of about BLOCK bytes: arrays stay in the processor's cache."""
+        a, n = 0, len(self.rows)
+        while a < n:
+            b = min(max(int(np.searchsorted(self.bounds, self.bounds[a] + BLOCK, side="right")) - 1, a + 1), n)
+            yield a, b
+            a = b
 
     def stretch_names(self, keep: np.ndarray) -> np.ndarray:
-        """Names of whole stretches: the windows at both ends, which overlap, and the place of the chosen one.
+        """Names of whole stretches: their first and last windows and the place of the chosen position.
 
         A stretch is at most 2 * LENGTH - GRAM long, so its first and last
         window meet and fix all its bytes.
         """
-        window = grow(self.eight, 8, LENGTH)
-        first, count = self.first[keep], self.count[keep]
-        place = (self.chosen[keep] - first).astype(_U)
-        return mix64(window[first] + mix64(window[first + count - 1] ^ (count.astype(_U) << _U(32)) ^ place))
+        place = (self.chosen[keep] - self.first[keep]).astype(_U)
+        return mix64(self.head[keep] + mix64(self.tail[keep] ^ (self.count[keep].astype(_U) << _U(32)) ^ place))
+
+    def window_names(self, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Names of the windows at these places (sorted by row) of these rows."""
+        out = []
+        for a, b in self.blocks():
+            lo, hi = np.searchsorted(owner, [a, b])
+            if lo < hi:
+                base = self.bounds[a]
+                names = double(BYTES[self.data[base:self.bounds[b]]], 1, LENGTH)
+                out.append(mix64(names[self.bounds[owner[lo:hi]] - base + at[lo:hi]]))
+        return np.concatenate(out) if out else np.zeros(0, _U)
+
+
+def bucket_of(names: np.ndarray, buckets: int) -> np.ndarray:
+    return ((names >> _U(32)) % _U(buckets)).astype(np.int64)
+
+
+def short(names: np.ndarray, buckets: int) -> np.ndarray:
+    """Level 1 keeps 32 bits of a name and its bucket; a clash only lets a position pass."""
+    return (bucket_of(names, buckets).astype(_U) << _U(32)) | (names & _U(0xFFFFFFFF))
 
 
 def packed(buckets: int, owner, names, at, span, part: Slice, sure: bool):
-    """Rows of PACKED: the records of each bucket as arrays, in order of their rows."""
+    """Rows of PACKED: the records of each bucket as arrays, in order of their rows.
+
+    Without ``at``, names are cut to 32 bits.
+    """
     if not len(names):
         return
-    bucket = ((names >> _U(32)) % _U(buckets)).astype(np.int64)
+    bucket = bucket_of(names, buckets)
+    brief = at is None
+    if brief:
+        at = span = np.zeros(len(names), np.uint8)
     order = np.lexsort((owner, bucket))
     owner, names, at, span, bucket = owner[order], names[order], at[order], span[order], bucket[order]
     cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
@@ -132,18 +173,19 @@ def packed(buckets: int, owner, names, at, span, part: Slice, sure: bool):
         rows, n = np.unique(owner[a:b], return_counts=True)
         out.append((int(bucket[a]), sure, part.rows[rows].astype("<i8").tobytes(),
                     part.docs[rows].astype("<i8").tobytes(), n.astype("<u4").tobytes(),
-                    names[a:b].astype("<u8").tobytes(), at[a:b].astype("<u4").tobytes(),
-                    span[a:b].astype("u1").tobytes()))
+                    (names[a:b] & _U(0xFFFFFFFF)).astype("<u4").tobytes() if brief else names[a:b].tobytes(),
+                    b"" if brief else at[a:b].astype("<u4").tobytes(),
+                    b"" if brief else span[a:b].astype("u1").tobytes()))
     kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 6]
     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                      [x.split()[0] for x in PACKED.split(", ")])
 
 
-def unpack(group: pd.DataFrame):
+def unpack(group: pd.DataFrame, name: str = "<u8"):
     """``row, doc, name, at, span`` of all records of some PACKED rows."""
     read = lambda c, kind: np.frombuffer(b"".join(group[c]), kind)
     n = read("n", "<u4")
-    return (np.repeat(read("row", "<i8"), n), np.repeat(read("doc", "<i8"), n), read("name", "<u8"),
+    return (np.repeat(read("row", "<i8"), n), np.repeat(read("doc", "<i8"), n), read("name", name),
             read("at", "<u4"), read("span", "u1"))
 
 
@@ -190,23 +232,23 @@ def shared_names(texts: DataFrame) -> DataFrame:
                     continue
                 least, most = first_of(names, s.docs[owner])
                 many = least != most
-                none = np.zeros(len(names), np.uint8)
                 # shared within the slice: known to be, and one record tells the others
-                yield from packed(buckets, owner[many], names[many], none[many], none[many], s, True)
+                yield from packed(buckets, owner[many], names[many], None, None, s, True)
                 one = ~many | (s.docs[owner] == least)
-                yield from packed(buckets, owner[one], names[one], none[one], none[one], s, False)
+                yield from packed(buckets, owner[one], names[one], None, None, s, False)
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        known, open_ = unpack(group[group["sure"]]), unpack(group[~group["sure"]])
+        known, open_ = unpack(group[group["sure"]], "<u4"), unpack(group[~group["sure"]], "<u4")
         keep = np.zeros(len(open_[0]), bool)
         if len(keep):
             least, most = first_of(open_[2], open_[1])
             keep = least != most
-        row, _, name, at, span = (np.concatenate([k, o[keep]]) for k, o in zip(known, open_))
-        return found_rows(row, name, at, span, np.ones(len(row), bool))
+        row, name = (np.concatenate([known[k], open_[k][keep]]) for k in (0, 2))
+        bucket = _U(group["bucket"].iloc[0]) << _U(32)
+        return found_rows(row, name.astype(_U) | bucket, name, name, np.ones(len(row), bool))
 
     met = texts.select("row", "doc_id", "text").mapInArrow(deal, PACKED).groupBy("bucket").applyInPandas(meet, FOUND)
-    return met.groupBy("row").agg(F.collect_list("name").alias("names"))
+    return met.select("row", "name").groupBy("row").agg(F.collect_list("name").alias("names"))
 
 
 def repeated_stretches(texts: DataFrame, windows: bool) -> DataFrame:
@@ -226,20 +268,18 @@ def repeated_stretches(texts: DataFrame, windows: bool) -> DataFrame:
                 np.repeat(np.arange(len(lists)), [len(x) // width for x in lists]))
 
     def records(part):
-        s = Slice(part)
+        s = Slice(part, stretches=not windows)
         if not windows:
             names, row = listed(part, "names", "<u8")
-            keep = np.isin(mix64(s.names + mix64(s.owner.astype(_U))), mix64(names + mix64(row.astype(_U))))
-            keep = np.flatnonzero(keep)
-            if not len(keep):
-                return s, s.owner[keep], s.names[keep], s.first[keep], s.count[keep]
-            return s, s.owner[keep], s.stretch_names(keep), s.starts(s.first[keep], s.owner[keep]), s.count[keep]
+            both = lambda n, r: mix64(n + mix64(r.astype(_U)))
+            keep = np.flatnonzero(np.isin(both(short(s.names, buckets), s.owner), both(names, row)))
+            owner = s.owner[keep]
+            return s, owner, s.stretch_names(keep), s.first[keep] - s.bounds[owner], s.count[keep]
         at, row = listed(part, "at", "<u4")
         span = listed(part, "span", "u1")[0].astype(np.int64)
         owner = np.repeat(row, span)
         first = np.repeat(at.astype(np.int64), span) + np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
-        names = grow(s.eight, 8, LENGTH)[s.bounds[owner] + first] if len(owner) else np.zeros(0, _U)
-        return s, owner, names, first, np.ones(len(owner), np.int64)
+        return s, owner, s.window_names(owner, first), first, np.ones(len(owner), np.int64)
 
     def deal(batches):
         for batch in batches:
@@ -307,8 +347,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     single = scratch_table(repeated_stretches(texts.join(first, "row"), windows=True), "repeat-windows")
     gone = stretches.where("repeated").union(single).groupBy("row").agg(*lists)
     cuts = cut(texts.join(gone, "row"))
-    digested = F.sha2("kept", 256) if digest else F.col("kept")
-    cuts = cuts.withColumn("kept", digested)
+    if digest:
+        cuts = cuts.withColumn("kept", F.sha2("kept", 256))
+    cuts = scratch_table(cuts, "repeat-cuts")
     whole = F.sha2("text", 256) if digest else F.encode("text", "UTF-8")
     out = rows.select("doc_id", "row", F.octet_length("text").cast("long").alias("n_bytes"),
                       whole.alias("whole"))

@@ -7,7 +7,7 @@ on, up to LENGTH.  Spark deals positions by name, finds which documents share
 one, and positions whose name is unique drop out before longer names are
 looked at.
 
-Three levels, each a shuffle of (name, position) records:
+Four levels, each a shuffle of (name, position) records:
 
 1. Of every LENGTH-byte window, only the position with the smallest scrambled
    name of GRAM bytes is kept (equal windows keep equal positions, so nothing
@@ -15,8 +15,10 @@ Three levels, each a shuffle of (name, position) records:
 2. The kept positions get the name of their whole stretch, the windows that
    chose them and their bytes.  Where a smaller document has the same stretch,
    all its windows are repeats.
-3. For the first document of each stretch, the names of its single windows of
-   LENGTH bytes are compared.
+3. The first document of each stretch is still open.  Where its position's
+   name occurs in no other stretch, no window can be shared with a smaller
+   document, and it drops out.
+4. For those left, the names of single windows of LENGTH bytes are compared.
 
 At each level a task merges the records of a name before the shuffle, so a
 passage that a third of all documents share costs a record a task.  Records
@@ -40,8 +42,8 @@ from .common import mix64, scratch_table, shuffle_partitions, slices_by_bytes, t
 
 LENGTH, GRAM, SLICE, BLOCK = 50, 20, 8 << 20, 1 << 18
 _U = np.uint64
-PACKED = "bucket int, sure boolean, row binary, doc binary, n binary, name binary, at binary, span binary"
-FOUND = "row long, repeated boolean, name binary, at binary, span binary"
+PACKED = "bucket int, sure boolean, row binary, doc binary, n binary, name binary, mate binary, at binary, span binary"
+FOUND = "row long, repeated boolean, name binary, mate binary, at binary, span binary"
 
 
 #: A scrambled number for each byte value, and the multipliers of pairs.
@@ -154,10 +156,11 @@ def short(names: np.ndarray, buckets: int) -> np.ndarray:
     return (bucket_of(names, buckets).astype(_U) << _U(32)) | (names & _U(0xFFFFFFFF))
 
 
-def packed(buckets: int, owner, names, at, span, part: Slice, sure: bool):
+def packed(buckets: int, owner, names, mates, at, span, rows, docs, sure: bool):
     """Rows of PACKED: the records of each bucket as arrays, in order of their rows.
 
-    Without ``at``, names are cut to 32 bits.
+    ``owner`` points into ``rows`` and ``docs``; ``mates`` are names that
+    travel along.  Without ``at``, names are cut to 32 bits.
     """
     if not len(names):
         return
@@ -165,40 +168,42 @@ def packed(buckets: int, owner, names, at, span, part: Slice, sure: bool):
     brief = at is None
     if brief:
         at = span = np.zeros(len(names), np.uint8)
+    mates = np.zeros(0, _U) if mates is None else mates
     order = np.lexsort((owner, bucket))
     owner, names, at, span, bucket = owner[order], names[order], at[order], span[order], bucket[order]
+    mates = mates[order] if len(mates) else mates
     cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
     out = []
     for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
-        rows, n = np.unique(owner[a:b], return_counts=True)
-        out.append((int(bucket[a]), sure, part.rows[rows].astype("<i8").tobytes(),
-                    part.docs[rows].astype("<i8").tobytes(), n.astype("<u4").tobytes(),
+        own, n = np.unique(owner[a:b], return_counts=True)
+        out.append((int(bucket[a]), sure, rows[own].astype("<i8").tobytes(),
+                    docs[own].astype("<i8").tobytes(), n.astype("<u4").tobytes(),
                     (names[a:b] & _U(0xFFFFFFFF)).astype("<u4").tobytes() if brief else names[a:b].tobytes(),
-                    b"" if brief else at[a:b].astype("<u4").tobytes(),
+                    mates[a:b].tobytes(), b"" if brief else at[a:b].astype("<u4").tobytes(),
                     b"" if brief else span[a:b].astype("u1").tobytes()))
-    kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 6]
+    kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 7]
     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                      [x.split()[0] for x in PACKED.split(", ")])
 
 
 def unpack(group: pd.DataFrame, name: str = "<u8"):
-    """``row, doc, name, at, span`` of all records of some PACKED rows."""
+    """``row, doc, name, mate, at, span`` of all records of some PACKED rows."""
     read = lambda c, kind: np.frombuffer(b"".join(group[c]), kind)
     n = read("n", "<u4")
     return (np.repeat(read("row", "<i8"), n), np.repeat(read("doc", "<i8"), n), read("name", name),
-            read("at", "<u4"), read("span", "u1"))
+            read("mate", "<u8"), read("at", "<u4"), read("span", "u1"))
 
 
-def found_rows(row, name, at, span, repeated) -> pd.DataFrame:
-    """Rows of FOUND: one a row and outcome."""
+def found_rows(row, name, mate, at, span, repeated) -> pd.DataFrame:
+    """Rows of FOUND: one a row and outcome; empty arrays stay empty."""
     out = []
     order = np.lexsort((repeated, row))
-    row, name, at, span, repeated = row[order], name[order], at[order], span[order], repeated[order]
+    row, repeated, *rest = (x[order] if len(x) else x for x in (row, repeated, name, mate, at, span))
     if len(row):
         cuts = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (repeated[1:] != repeated[:-1])))
         for a, b in zip(cuts, np.append(cuts[1:], len(row))):
-            out.append((row[a], bool(repeated[a]), name[a:b].tobytes(), at[a:b].tobytes(), span[a:b].tobytes()))
-    return pd.DataFrame(out, columns=["row", "repeated", "name", "at", "span"])
+            out.append((row[a], bool(repeated[a]), *[x[a:b].tobytes() for x in rest]))
+    return pd.DataFrame(out, columns=["row", "repeated", "name", "mate", "at", "span"])
 
 
 def first_of(names: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -233,9 +238,9 @@ def shared_names(texts: DataFrame) -> DataFrame:
                 least, most = first_of(names, s.docs[owner])
                 many = least != most
                 # shared within the slice: known to be, and one record tells the others
-                yield from packed(buckets, owner[many], names[many], None, None, s, True)
+                yield from packed(buckets, owner[many], names[many], None, None, None, s.rows, s.docs, True)
                 one = ~many | (s.docs[owner] == least)
-                yield from packed(buckets, owner[one], names[one], None, None, s, False)
+                yield from packed(buckets, owner[one], names[one], None, None, None, s.rows, s.docs, False)
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         known, open_ = unpack(group[group["sure"]], "<u4"), unpack(group[~group["sure"]], "<u4")
@@ -245,62 +250,111 @@ def shared_names(texts: DataFrame) -> DataFrame:
             keep = least != most
         row, name = (np.concatenate([known[k], open_[k][keep]]) for k in (0, 2))
         bucket = _U(group["bucket"].iloc[0]) << _U(32)
-        return found_rows(row, name.astype(_U) | bucket, name, name, np.ones(len(row), bool))
+        none = np.zeros(0, np.uint8)
+        return found_rows(row, name.astype(_U) | bucket, none, none, none, np.ones(len(row), bool))
 
     met = texts.select("row", "doc_id", "text").mapInArrow(deal, PACKED).groupBy("bucket").applyInPandas(meet, FOUND)
     return met.select("row", "name").groupBy("row").agg(F.collect_list("name").alias("names"))
 
 
-def repeated_stretches(texts: DataFrame, windows: bool) -> DataFrame:
-    """Levels 2 and 3 as FOUND rows, ``at`` and ``span`` being first windows and their number.
+def joined(column, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a column of lists of packed arrays, and the row of each."""
+    lists = [b"".join(x) for x in column.to_pylist()]
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(lists), kind), np.repeat(np.arange(len(lists)), [len(x) // width for x in lists])
 
-    ``repeated``: a smaller document has the same string; else it is the first.
-    Level 2 takes ``row, doc_id, text, names``, level 3 ``row, doc_id, text,
-    at, span`` (lists of arrays) and names each window.
+
+def repeated_strings(texts: DataFrame, windows: bool) -> DataFrame:
+    """Levels 2 and 4 as FOUND rows, ``at`` and ``span`` being first windows and their number.
+
+    ``repeated``: a smaller document has the same string; else it is the first
+    (given at level 2 only, with the stretch's name and that of its chosen
+    position).  Level 2 takes ``row, doc_id, text, names``, level 4 ``row,
+    doc_id, text, at, span`` (lists of arrays) and names each window.
     """
     buckets = shuffle_partitions(texts.sparkSession)
     extra = ["at", "span"] if windows else ["names"]
 
-    def listed(part, column: str, kind: str) -> tuple[np.ndarray, np.ndarray]:
-        lists = [b"".join(x) for x in part.column(column).to_pylist()]
-        width = np.dtype(kind).itemsize
-        return (np.frombuffer(b"".join(lists), kind),
-                np.repeat(np.arange(len(lists)), [len(x) // width for x in lists]))
-
     def records(part):
         s = Slice(part, stretches=not windows)
         if not windows:
-            names, row = listed(part, "names", "<u8")
+            names, row = joined(part.column("names"), "<u8")
             both = lambda n, r: mix64(n + mix64(r.astype(_U)))
             keep = np.flatnonzero(np.isin(both(short(s.names, buckets), s.owner), both(names, row)))
             owner = s.owner[keep]
-            return s, owner, s.stretch_names(keep), s.first[keep] - s.bounds[owner], s.count[keep]
-        at, row = listed(part, "at", "<u4")
-        span = listed(part, "span", "u1")[0].astype(np.int64)
+            return s, owner, s.stretch_names(keep), s.names[keep], s.first[keep] - s.bounds[owner], s.count[keep]
+        at, row = joined(part.column("at"), "<u4")
+        span = joined(part.column("span"), "u1")[0].astype(np.int64)
         owner = np.repeat(row, span)
         first = np.repeat(at.astype(np.int64), span) + np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
-        return s, owner, s.window_names(owner, first), first, np.ones(len(owner), np.int64)
+        order = np.argsort(owner, kind="stable")
+        owner, first = owner[order], first[order]
+        return s, owner, s.window_names(owner, first), None, first, np.ones(len(owner), np.int64)
 
     def deal(batches):
         for batch in batches:
             for part in slices_by_bytes(batch, "text", SLICE):
-                s, owner, names, first, count = records(part)
+                s, owner, names, mates, first, count = records(part)
                 if not len(names):
                     continue
                 docs = s.docs[owner]
                 later = first_of(names, docs)[0] < docs
-                yield from packed(buckets, owner[later], names[later], first[later], count[later], s, True)
-                yield from packed(buckets, owner[~later], names[~later], first[~later], count[~later], s, False)
+                for which, sure in ((later, True), (~later, False)):
+                    yield from packed(buckets, owner[which], names[which], None if mates is None else mates[which],
+                                      first[which], count[which], s.rows, s.docs, sure)
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         known, open_ = unpack(group[group["sure"]]), unpack(group[~group["sure"]])
         later = first_of(open_[2], open_[1])[0] < open_[1] if len(open_[0]) else np.zeros(0, bool)
-        row, _, name, at, span = (np.concatenate([k, o]) for k, o in zip(known, open_))
-        out = found_rows(row, name, at, span, np.concatenate([np.ones(len(known[0]), bool), later]))
-        return out[out["repeated"]] if windows else out
+        row, _, name, mate, at, span = (np.concatenate([k, o]) for k, o in zip(known, open_))
+        repeated = np.concatenate([np.ones(len(known[0]), bool), later])
+        # names are of use for first strings only, and those only at level 2
+        parts = [found_rows(row[repeated], name[:0], mate[:0], at[repeated], span[repeated], repeated[repeated])]
+        if not windows:
+            parts.append(found_rows(*[x[~repeated] for x in (row, name, mate, at, span, repeated)]))
+        return pd.concat(parts)
 
     return (texts.select("row", "doc_id", "text", *extra).mapInArrow(deal, PACKED)
-            .groupBy("bucket").applyInPandas(meet, FOUND).drop("name"))
+            .groupBy("bucket").applyInPandas(meet, FOUND))
+
+
+def open_stretches(stretches: DataFrame) -> DataFrame:
+    """Level 3, ``row, at, span`` (lists): first stretches whose chosen name is in another stretch too.
+
+    Those that differ from all others only by being first hold no window that
+    a smaller document could have, so they drop out.
+    """
+    buckets = shuffle_partitions(stretches.sparkSession)
+
+    def deal(batches):
+        for b in batches:
+            if not len(b):
+                continue
+            read = lambda c, kind: np.frombuffer(b"".join(b[c]), kind)
+            names, grams, at, span = (read(*x) for x in (("name", "<u8"), ("mate", "<u8"), ("at", "<u4"),
+                                                          ("span", "u1")))
+            owner = np.repeat(np.arange(len(b)), b["span"].map(len))
+            rows = b["row"].to_numpy()
+            least, most = first_of(grams, names)
+            many = least != most
+            for which, sure in ((many, True), (~many | (names == least), False)):
+                for batch in packed(buckets, owner[which], grams[which], names[which], at[which], span[which], rows,
+                                    rows, sure):
+                    yield batch.to_pandas()
+
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        known, open_ = unpack(group[group["sure"]]), unpack(group[~group["sure"]])
+        many = np.zeros(len(open_[0]), bool)
+        if len(many):
+            least, most = first_of(open_[2], open_[3])
+            many = least != most
+        row, _, _, _, at, span = (np.concatenate([k, o[many]]) for k, o in zip(known, open_))
+        none = np.zeros(0, np.uint8)
+        return found_rows(row, none, none, at, span, np.zeros(len(row), bool))
+
+    met = stretches.select("row", "name", "mate", "at", "span").mapInPandas(deal, PACKED).groupBy("bucket") \
+        .applyInPandas(meet, FOUND)
+    return met.groupBy("row").agg(F.collect_list("at").alias("at"), F.collect_list("span").alias("span"))
 
 
 def cut(texts: DataFrame) -> DataFrame:
@@ -341,11 +395,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     shared = scratch_table(shared_names(able), "repeat-names")
     open_ = scratch_table(able.join(shared, "row").dropDuplicates(["row"]), "repeat-texts")
-    stretches = scratch_table(repeated_stretches(open_, windows=False), "repeat-stretches")
+    stretches = scratch_table(repeated_strings(open_, windows=False), "repeat-stretches")
     texts = open_.select("row", "doc_id", "text")
-    first = stretches.where(~F.col("repeated")).groupBy("row").agg(*lists)
-    single = scratch_table(repeated_stretches(texts.join(first, "row"), windows=True), "repeat-windows")
-    gone = stretches.where("repeated").union(single).groupBy("row").agg(*lists)
+    first = scratch_table(open_stretches(stretches.where(~F.col("repeated"))), "repeat-first")
+    single = scratch_table(repeated_strings(texts.join(first, "row"), windows=True).select("row", "at", "span"),
+                           "repeat-windows")
+    gone = stretches.where("repeated").select("row", "at", "span").union(single).groupBy("row").agg(*lists)
     cuts = cut(texts.join(gone, "row"))
     if digest:
         cuts = cuts.withColumn("kept", F.sha2("kept", 256))

@@ -7,6 +7,7 @@ executors, and later jobs read only the columns they need.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from functools import reduce
 
@@ -17,24 +18,33 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-#: A finished job's shuffle files go at once, not when the driver happens to collect its garbage.
-CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: The five ASCII control blanks and the space; everything else is a word character.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def scratch_table(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and return it read back."""
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the files of finished shuffles removed now.
+
+    Spark removes them once the driver's garbage collector finds that no plan
+    needs them, which on an idle driver may be half an hour later; the plan of
+    the last query is held until another one ends.
+    """
+    spark.sql("SELECT 1").collect()
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def scratch_table(df: DataFrame, label: str, release: bool = False) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and return it read back.
+
+    ``release`` is for jobs that shuffle about as much as the input: their
+    files go before the next job starts.
+    """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEAN_UP, None)
-    if before is not None:
-        spark.conf.set(CLEAN_UP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        if before is not None:
-            spark.conf.set(CLEAN_UP, before)
+    df.write.option("compression", "zstd").parquet(path)
+    if release:
+        release_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

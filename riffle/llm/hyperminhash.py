@@ -217,10 +217,26 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def grown(parts: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``node, component`` with the links ``a, b`` added."""
+    if parts is None:
+        return connected_components(links, "hmh")
+    for side in ("a", "b"):
+        links = (links.join(parts, F.col(side) == F.col("node"), "left")
+                 .withColumn(f"{side}_in", F.coalesce("component", side)).drop("node", "component"))
+    merged = connected_components(links.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")), "hmh")
+    merged = merged.withColumnsRenamed({"node": "old", "component": "new"})
+    known = parts.join(merged, F.col("component") == F.col("old"), "left").select(
+        "node", F.coalesce("new", "component").alias("component"))
+    fresh = merged.join(parts, F.col("old") == F.col("node"), "left_anti").select(
+        F.col("old").alias("node"), F.col("new").alias("component"))
+    return scratch_table(known.union(fresh), "hmh-parts")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
     threshold = percent / 100
-    sk = scratch_table(sketch(docs, id_col, text_col), "hmh-sketch")
+    sk = scratch_table(sketch(docs, id_col, text_col), "hmh-sketch", release=True)
     set_key = ["n_shingles", "set_a", "set_b"]
     some = sk.where("n_shingles > 0 and doc_id is not null")
     # one row a class; the smallest document (and of its rows the smallest text key) stands for it
@@ -228,7 +244,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     classes = scratch_table(classes.select(*set_key, "rep.doc_id", "rep.text_key"), "hmh-classes")
     reps = (some.join(classes, ["doc_id", "text_key", *set_key], "left_semi")
             .dropDuplicates(["doc_id", "text_key"]))
-    reps = scratch_table(reps, "hmh-reps")
+    reps = scratch_table(reps, "hmh-reps", release=True)
 
     banded = reps.select(F.explode("bands").alias("bucket"), "doc_id", "text_key")
     shared = (banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"))
@@ -237,11 +253,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
     texts = scratch_table(
         texts.join(ids, (F.col("id") == F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left_semi")
-        .dropDuplicates(["id", "key"]), "hmh-texts")
+        .dropDuplicates(["id", "key"]), "hmh-texts", release=True)
     sketches = scratch_table(reps.join(ids, ["doc_id", "text_key"], "left_semi")
                              .select("doc_id", "text_key", "regs", "n_shingles"), "hmh-candidates")
 
-    edges, parts, leaders = None, None, 1
+    parts, leaders = None, 1
     while not members.isEmpty():
         comp = F.col("doc_id") if parts is None else F.coalesce("component", "doc_id")
         now = members if parts is None else members.join(
@@ -273,9 +289,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         pairs = pairs.select(*[F.when(turn, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
             ("b", "a", "a"), ("b_key", "a_key", "a_key"), ("a", "b", "b"), ("a_key", "b_key", "b_key"))]).distinct()
         near = scratch_table(promising(pairs, sketches, threshold), f"hmh-pairs-{leaders}")
-        links = scratch_table(confirmed(near, texts, percent), f"hmh-links-{leaders}")
-        edges = links if edges is None else edges.union(links)
-        parts = connected_components(edges, "hmh")
+        links = scratch_table(confirmed(near, texts, percent), f"hmh-links-{leaders}", release=True)
+        if not links.isEmpty():
+            # new links between the components known so far
+            parts = grown(parts, links)
         led = lead.select(F.col("bucket").alias("k"), F.col("a").alias("d"), F.col("a_key").alias("t"),
                           F.lit(True).alias("now_led"))
         members = scratch_table(
@@ -283,7 +300,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
                      & (F.col("text_key") == F.col("t")), "left")
             .select("bucket", "doc_id", "text_key", (F.col("led") | F.col("now_led").isNotNull()).alias("led")),
             f"hmh-members-{leaders}")
-        leaders *= 4
+        leaders *= 8
 
     out = sk.join(classes.withColumnsRenamed({"doc_id": "rep", "text_key": "rep_key"}), set_key, "left")
     if parts is None:

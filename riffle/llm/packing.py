@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import zlib
 
 import numpy as np
@@ -29,34 +30,55 @@ from .common import scratch_table, shuffle_partitions, slices_by_bytes
 #: Most items that one task packs, and bins this full are final before the root.
 ITEMS, FULL, FAN_IN = 100_000, 0.99, 4
 #: Words whose ids a task remembers.
-WORDS = 400_000
+WORDS = 800_000
 
 
-class WordIds:
+class WordIds(dict):
     """Token ids of whole texts as little-endian 32-bit bytes.
 
-    The tokenizer drops white space and never joins characters across it, so a
-    text's ids are its blank-separated words' ids in a row, and frequent words
-    need to be looked up only.
+    The tokenizer lower-cases, drops white space, cuts between a letter and a
+    comma or full stop, and never joins across these, so a text's ids are its
+    words' ids in a row, and frequent words need to be looked up only.
     """
 
+    #: A word that ends in one of these after an ASCII letter is cut before it.
+    STOPS = re.compile(rb"(?<=[a-z])[.,](?=[\x20\x09-\x0D]|$)")
+
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.comma = self.tokenizer.encode(",", add_special_tokens=False).ids
+
+    def words(self, text: bytes) -> list[bytes]:
+        if b"<|" not in text:  # the strings of special tokens are read before lower-casing
+            text = text.lower()  # of bytes: A to Z only
+        return self.STOPS.sub(rb" \g<0>", text).split()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > WORDS:
-            self.known = {}
-        split = [t.split() for t in texts]  # of bytes: at ASCII blanks only
-        new = list({w for words in split for w in words} - self.known.keys())
-        for at in range(0, len(new), 50_000):
-            part = new[at:at + 50_000]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(
-                    [w.decode() for w in part], add_special_tokens=False)):
-                self.known[word] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        if len(self) > WORDS:
+            self.clear()
+        split = [self.words(t) for t in texts]
+        self.learn(list(set().union(*split) - self.keys()))
+        return [b"".join(map(self.__getitem__, words)) for words in split]
+
+    def learn(self, new: list[bytes]) -> None:
+        # Words without a comma are read together, parted by commas.
+        plain, odd = [], []
+        for w in new:
+            (odd if b"," in w else plain).append(w)
+        for at in range(0, len(plain), 1000):
+            part = plain[at:at + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast(
+                [b" , ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.comma[0])
+            data = ids.tobytes()
+            starts = [0, *(4 * (cuts + 1)).tolist()]
+            for w, a, b in zip(part, starts, [*(4 * cuts).tolist(), len(data)], strict=True):
+                self[w] = data[a:b]
+        for w, e in zip(odd, self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)):
+            self[w] = np.array(e.ids, "<u4").tobytes()
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, closing: int = 0, keep_ids: bool = False,

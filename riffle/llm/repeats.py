@@ -393,18 +393,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     able = rows.where((F.octet_length("text") >= LENGTH) & F.col("doc_id").isNotNull())
     lists = [F.collect_list("at").alias("at"), F.collect_list("span").alias("span")]
 
-    shared = scratch_table(shared_names(able), "repeat-names")
-    open_ = scratch_table(able.join(shared, "row").dropDuplicates(["row"]), "repeat-texts")
-    stretches = scratch_table(repeated_strings(open_, windows=False), "repeat-stretches")
+    shared = scratch_table(shared_names(able), "repeat-names", release=True)
+    open_ = scratch_table(able.join(shared, "row").dropDuplicates(["row"]), "repeat-texts", release=True)
+    stretches = scratch_table(repeated_strings(open_, windows=False), "repeat-stretches", release=True)
     texts = open_.select("row", "doc_id", "text")
     first = scratch_table(open_stretches(stretches.where(~F.col("repeated"))), "repeat-first")
     single = scratch_table(repeated_strings(texts.join(first, "row"), windows=True).select("row", "at", "span"),
-                           "repeat-windows")
+                           "repeat-windows", release=True)
     gone = stretches.where("repeated").select("row", "at", "span").union(single).groupBy("row").agg(*lists)
     cuts = cut(texts.join(gone, "row"))
     if digest:
         cuts = cuts.withColumn("kept", F.sha2("kept", 256))
-    cuts = scratch_table(cuts, "repeat-cuts")
+    cuts = scratch_table(cuts, "repeat-cuts", release=True)
     whole = F.sha2("text", 256) if digest else F.encode("text", "UTF-8")
     out = rows.select("doc_id", "row", F.octet_length("text").cast("long").alias("n_bytes"),
                       whole.alias("whole"))

@@ -29,9 +29,10 @@ def release_shuffles(spark: SparkSession) -> None:
     needs them, which on an idle driver may be half an hour later; the plan of
     the last query is held until another one ends.
     """
-    spark.sql("SELECT 1").collect()
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first ends the last query, the second finds its plan unused
+        spark.sql("SELECT 1").collect()
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def scratch_table(df: DataFrame, label: str, release: bool = False) -> DataFrame:

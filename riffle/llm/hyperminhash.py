@@ -9,10 +9,12 @@ their registers, the share of equal ones corrected for chance collisions, and
 those that may reach the threshold are confirmed on their full sets.
 
 Documents with equal sets are one class from the start.  Within the documents
-of one key nothing like all pairs is made: leaders, few at first and more each
-round, are compared with those that are not yet in their component, and a key
-is done once its documents that never led are in one component.  So no link
-between components is missed, and work follows the links still open.
+of one key nothing like all pairs is made.  A document too few of whose
+shingles are in any other candidate can link with none and drops out.  Leaders,
+few at first and more each round, are compared with those that are not yet in
+their component, and a key is done once its documents that never led are in
+one component.  So no link between components is missed, and work follows the
+links still open.
 
 Defined results: null text or text without words has the empty set and links
 with nothing; rows that repeat a doc_id are judged each by its own text; a
@@ -23,12 +25,15 @@ shingled whole; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import connected_components, mix64, scratch_table, slices_by_bytes, text_bytes
+from .common import (connected_components, mix64, scratch_table, shuffle_partitions, slices_by_bytes,
+                     text_bytes)
+from .repeats import PACKED, first_of, packed, unpack
 
 SHINGLE, BANDS, ROWS = 5, 21, 6
 REGISTERS, MANTISSA = BANDS * ROWS, 10
@@ -217,6 +222,41 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def shared_shingles(texts: DataFrame) -> DataFrame:
+    """``doc_id, text_key, shared``: how many of each text's shingles another of the texts has too.
+
+    Shingles are dealt by hash, merged within a task first; hashes are cut to
+    32 bits a bucket, so a clash can only raise a count.
+    """
+    buckets = shuffle_partitions(texts.sparkSession)
+
+    def deal(batches):
+        for batch in batches:
+            for part in slices_by_bytes(batch, "text"):
+                h, owner = shingles(part.column("text"))
+                if not len(h):
+                    continue
+                docs = part.column("row").to_numpy()
+                least, most = first_of(h, owner)
+                many = least != most
+                one = ~many | (owner == least)
+                yield from packed(buckets, owner[many], h[many], None, None, None, docs, docs, True)
+                yield from packed(buckets, owner[one], h[one], None, None, None, docs, docs, False)
+
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        known, open_ = unpack(group[group["sure"]], "<u4"), unpack(group[~group["sure"]], "<u4")
+        least, most = first_of(open_[2], open_[1]) if len(open_[0]) else (open_[1], open_[1])
+        # a shingle known in a slice and met again in another counts once
+        both = pd.DataFrame({"row": np.concatenate([known[0], open_[0][least != most]]),
+                             "name": np.concatenate([known[2], open_[2][least != most]])}).drop_duplicates()
+        return both.groupby("row", as_index=False).agg(shared=("name", "size"))
+
+    numbered = texts.withColumn("row", F.xxhash64("id", "key"))
+    counts = (numbered.select("row", "text").mapInArrow(deal, PACKED).groupBy("bucket")
+              .applyInPandas(meet, "row long, shared long").groupBy("row").agg(F.sum("shared").alias("shared")))
+    return numbered.join(counts, "row").select(F.col("id").alias("doc_id"), F.col("key").alias("text_key"), "shared")
+
+
 def grown(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     """``node, component`` with the links ``a, b`` added."""
     if parts is None:
@@ -247,59 +287,69 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     reps = scratch_table(reps, "hmh-reps", release=True)
 
     banded = reps.select(F.explode("bands").alias("bucket"), "doc_id", "text_key")
-    shared = (banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"))
-    members = scratch_table(banded.join(shared, "bucket").withColumn("led", F.lit(False)), "hmh-members")
-    ids = members.select("doc_id", "text_key").distinct()
+    crowd = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    near = scratch_table(banded.join(crowd, "bucket"), "hmh-members")
+    # a document that many others are near to, such as the one they were copied from, leads first
+    central = near.groupBy("doc_id", "text_key").agg(F.sum("n").alias("central"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
     texts = scratch_table(
-        texts.join(ids, (F.col("id") == F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left_semi")
+        texts.join(central, (F.col("id") == F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left_semi")
         .dropDuplicates(["id", "key"]), "hmh-texts", release=True)
-    sketches = scratch_table(reps.join(ids, ["doc_id", "text_key"], "left_semi")
+    sketches = scratch_table(reps.join(central, ["doc_id", "text_key"], "left_semi")
                              .select("doc_id", "text_key", "regs", "n_shingles"), "hmh-candidates")
+    able = (sketches.drop("regs").join(central, ["doc_id", "text_key"])
+            .join(shared_shingles(texts), ["doc_id", "text_key"]))
+    # the sets of a pair have no more in common than either shares with anyone
+    fits = lambda s, n, other: (100 + percent) * s >= percent * (n + other)
+    able = scratch_table(able.where(100 * F.col("shared") >= percent * F.col("n_shingles")), "hmh-able")
+    members = scratch_table(near.drop("n").join(able, ["doc_id", "text_key"]).withColumn("led", F.lit(False)),
+                            "hmh-able-members")
 
     parts, leaders = None, 1
+    kept = ["bucket", "doc_id", "text_key", "n_shingles", "shared", "central", "led"]
     while not members.isEmpty():
         comp = F.col("doc_id") if parts is None else F.coalesce("component", "doc_id")
         now = members if parts is None else members.join(
             parts.withColumnRenamed("node", "in_graph"), F.col("doc_id") == F.col("in_graph"), "left")
-        now = now.withColumn("comp", comp).select("bucket", "doc_id", "text_key", "led", "comp")
+        now = now.withColumn("comp", comp).select(*kept, "comp")
+        # documents that cannot reach the threshold with the smallest set of their key are out of it
+        small = now.groupBy("bucket").agg(F.min("n_shingles").alias("least"))
+        now = now.join(small, "bucket").where(fits(F.col("shared"), F.col("n_shingles"), F.col("least"))).drop("least")
+        now = scratch_table(now, f"hmh-fit-{leaders}")
         # a key is open while documents that never led are in two components
         span = now.groupBy("bucket").agg(F.min(F.when(~F.col("led"), F.col("comp"))).alias("lo"),
                                          F.max(F.when(~F.col("led"), F.col("comp"))).alias("hi"))
-        now = scratch_table(now.join(span.where("lo < hi").select("bucket"), "bucket"), "hmh-open")
+        now = scratch_table(now.join(span.where("lo < hi").select("bucket"), "bucket"), f"hmh-open-{leaders}")
         if now.isEmpty():
             break
-        order = (F.col("led"), F.xxhash64("doc_id", "bucket"), F.col("doc_id"), F.col("text_key"))
         if leaders == 1:  # an aggregate, combined before the shuffle, when a key may hold most documents
-            first = now.groupBy("bucket").agg(F.min(F.struct("doc_id", "text_key")).alias("x"))
-            lead = first.select("bucket", F.col("x.doc_id").alias("a"), F.col("x.text_key").alias("a_key"))
+            lead = (now.groupBy("bucket").agg(F.max(F.struct("central", -F.col("doc_id"), *kept[1:5], "comp"))
+                                              .alias("x")).select("bucket", "x.*"))
         else:
-            nth = F.row_number().over(Window.partitionBy("bucket").orderBy(*order))
-            lead = now.withColumn("nth", nth).where((F.col("nth") <= leaders) & ~F.col("led")).select(
-                "bucket", F.col("doc_id").alias("a"), F.col("text_key").alias("a_key"))
-        lead = scratch_table(lead.join(
-            now.select(F.col("bucket").alias("k"), F.col("doc_id").alias("d"), F.col("text_key").alias("t"),
-                       F.col("comp").alias("a_comp")),
-            (F.col("bucket") == F.col("k")) & (F.col("a") == F.col("d")) & (F.col("a_key") == F.col("t")))
-            .select("bucket", "a", "a_key", "a_comp"), f"hmh-leaders-{leaders}")
-        pairs = (now.join(lead, "bucket").where(F.col("comp") != F.col("a_comp"))
-                 .select("a", "a_key", F.col("doc_id").alias("b"), F.col("text_key").alias("b_key")))
+            nth = F.row_number().over(Window.partitionBy("bucket").orderBy(
+                "led", F.desc("central"), F.xxhash64("doc_id", "bucket"), "doc_id", "text_key"))
+            lead = now.withColumn("nth", nth).where((F.col("nth") <= leaders) & ~F.col("led"))
+        lead = scratch_table(lead.select(
+            F.col("bucket").alias("k"), F.col("doc_id").alias("a"), F.col("text_key").alias("a_key"),
+            F.col("comp").alias("a_comp"), F.col("n_shingles").alias("a_n"), F.col("shared").alias("a_shared")),
+            f"hmh-leaders-{leaders}")
+        both = F.least("shared", "a_shared", "n_shingles", "a_n")
+        pairs = now.join(lead, (F.col("bucket") == F.col("k")) & (F.col("comp") != F.col("a_comp"))
+                         & fits(both, F.col("n_shingles"), F.col("a_n")))
         # either order is one pair
-        turn = F.col("a") > F.col("b")
+        turn = F.col("a") > F.col("doc_id")
         pairs = pairs.select(*[F.when(turn, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
-            ("b", "a", "a"), ("b_key", "a_key", "a_key"), ("a", "b", "b"), ("a_key", "b_key", "b_key"))]).distinct()
-        near = scratch_table(promising(pairs, sketches, threshold), f"hmh-pairs-{leaders}")
-        links = scratch_table(confirmed(near, texts, percent), f"hmh-links-{leaders}", release=True)
+            ("doc_id", "a", "a"), ("text_key", "a_key", "a_key"), ("a", "doc_id", "b"),
+            ("a_key", "text_key", "b_key"))]).distinct()
+        close = scratch_table(promising(pairs, sketches, threshold), f"hmh-pairs-{leaders}")
+        links = scratch_table(confirmed(close, texts, percent), f"hmh-links-{leaders}", release=True)
         if not links.isEmpty():
-            # new links between the components known so far
             parts = grown(parts, links)
-        led = lead.select(F.col("bucket").alias("k"), F.col("a").alias("d"), F.col("a_key").alias("t"),
-                          F.lit(True).alias("now_led"))
+        led = lead.select("k", F.col("a").alias("d"), F.col("a_key").alias("t"), F.lit(True).alias("now_led"))
         members = scratch_table(
             now.join(led, (F.col("bucket") == F.col("k")) & (F.col("doc_id") == F.col("d"))
                      & (F.col("text_key") == F.col("t")), "left")
-            .select("bucket", "doc_id", "text_key", (F.col("led") | F.col("now_led").isNotNull()).alias("led")),
-            f"hmh-members-{leaders}")
+            .withColumn("led", F.col("led") | F.col("now_led").isNotNull()).select(kept), f"hmh-members-{leaders}")
         leaders *= 8
 
     out = sk.join(classes.withColumnsRenamed({"doc_id": "rep", "text_key": "rep_key"}), set_key, "left")

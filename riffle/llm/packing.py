@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import math
 import os
-import re
 import zlib
 
 import numpy as np
@@ -30,7 +29,7 @@ from .common import scratch_table, shuffle_partitions, slices_by_bytes
 #: Most items that one task packs, and bins this full are final before the root.
 ITEMS, FULL, FAN_IN = 100_000, 0.99, 4
 #: Words whose ids a task remembers.
-WORDS = 800_000
+WORDS = 1_200_000
 
 
 class WordIds(dict):
@@ -41,44 +40,55 @@ class WordIds(dict):
     words' ids in a row, and frequent words need to be looked up only.
     """
 
-    #: A word that ends in one of these after an ASCII letter is cut before it.
-    STOPS = re.compile(rb"(?<=[a-z])[.,](?=[\x20\x09-\x0D]|$)")
-
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.comma = self.tokenizer.encode(",", add_special_tokens=False).ids
-
-    def words(self, text: bytes) -> list[bytes]:
-        if b"<|" not in text:  # the strings of special tokens are read before lower-casing
-            text = text.lower()  # of bytes: A to Z only
-        return self.STOPS.sub(rb" \g<0>", text).split()
+        self.stops = {c: np.array(self.tokenizer.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+                      for c in (b",", b".")}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self) > WORDS:
             self.clear()
-        split = [self.words(t) for t in texts]
-        self.learn(list(set().union(*split) - self.keys()))
+        # of bytes: lower() changes A to Z only, split() cuts at ASCII blanks only;
+        # the strings of special tokens are read before lower-casing
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        self.learn(set().union(*split) - self.keys())
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
-    def learn(self, new: list[bytes]) -> None:
+    def learn(self, new: set[bytes]) -> None:
+        # a comma or full stop after an ASCII letter is a token of its own
+        ended = [w for w in new if w[-1:] in self.stops and w[-2:-1].isalpha() and b"<|" not in w]
+        wanted = (new.difference(ended)).union(w[:-1] for w in ended) - self.keys()
         # Words without a comma are read together, parted by commas.
         plain, odd = [], []
-        for w in new:
+        for w in wanted:
             (odd if b"," in w else plain).append(w)
+        comma = np.frombuffer(self.stops[b","], "<u4")[0]
         for at in range(0, len(plain), 1000):
             part = plain[at:at + 1000]
             ids = np.array(self.tokenizer.encode_batch_fast(
                 [b" , ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.comma[0])
+            cuts = np.flatnonzero(ids == comma)
             data = ids.tobytes()
             starts = [0, *(4 * (cuts + 1)).tolist()]
             for w, a, b in zip(part, starts, [*(4 * cuts).tolist(), len(data)], strict=True):
                 self[w] = data[a:b]
         for w, e in zip(odd, self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)):
             self[w] = np.array(e.ids, "<u4").tobytes()
+        for w in ended:
+            self[w] = self[w[:-1]] + self.stops[w[-1:]]
+
+
+#: One for each tokenizer file, kept by a Python worker from task to task.
+_WORDS: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    if path not in _WORDS:
+        _WORDS[path] = WordIds(path)
+    return _WORDS[path]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, closing: int = 0, keep_ids: bool = False,
@@ -88,7 +98,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, closing: int = 0
     end = np.array([closing], "<u4").tobytes()
 
     def run(batches):
-        words = WordIds(tokenizer_path)
+        from riffle.llm.packing import word_ids  # the module's own, which outlives the task
+        words = word_ids(tokenizer_path)
         for batch in batches:
             for part in slices_by_bytes(batch, "text", 2 << 20):
                 texts = part.column("text").cast(pa.large_binary()).fill_null(b"").to_pylist()

@@ -117,6 +117,7 @@ class Model:
             return d * kinds[y][h] / top[y][h] if top[y][h] else 1.0
 
         self.context = {h: math.log(weight(1, h) / weight(0, h)) for h in top[0].keys() | top[1].keys()}
+        self.known: dict[str, float] = {}  # words' ratios, filled by tasks
         self.seen = {}
         for g, *n in counts:
             h, back = g[:-1], shared(g[1:])
@@ -133,12 +134,12 @@ def features(rows: DataFrame, model, text_col: str = "text", names: list[str] =
     schema = T.StructType([*rows.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
 
     def run(batches):
-        known: dict[str, float] = {}
-        own: Model = model.value
+        own: Model = model.value  # a worker's one copy
+        known = own.known
         for batch in batches:
             for part in slices_by_bytes(batch, text_col):
                 if len(known) > WORDS:
-                    known = {}
+                    known.clear()
                 split = [LETTERS.findall((t or "").lower()) for t in part.column(text_col).to_pylist()]
                 for w in {w for words in split for w in words} - known.keys():
                     known[w] = own.word(w)

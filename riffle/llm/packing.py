@@ -54,13 +54,14 @@ class WordIds(dict):
         # of bytes: lower() changes A to Z only, split() cuts at ASCII blanks only;
         # the strings of special tokens are read before lower-casing
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        self.learn(set().union(*split) - self.keys())
+        self.learn({w for w in set().union(*split) if w not in self})
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
     def learn(self, new: set[bytes]) -> None:
         # a comma or full stop after an ASCII letter is a token of its own
         ended = [w for w in new if w[-1:] in self.stops and w[-2:-1].isalpha() and b"<|" not in w]
-        wanted = (new.difference(ended)).union(w[:-1] for w in ended) - self.keys()
+        wanted = new.difference(ended)
+        wanted.update(w[:-1] for w in ended if w[:-1] not in self)
         # Words without a comma are read together, parted by commas.
         plain, odd = [], []
         for w in wanted:

@@ -141,8 +141,9 @@ def features(rows: DataFrame, model, text_col: str = "text", names: list[str] =
                 if len(known) > WORDS:
                     known.clear()
                 split = [LETTERS.findall((t or "").lower()) for t in part.column(text_col).to_pylist()]
-                for w in {w for words in split for w in words} - known.keys():
-                    known[w] = own.word(w)
+                for w in set().union(*split):
+                    if w not in known:
+                        known[w] = own.word(w)
                 mean, passage = [], []
                 for words in split:
                     x = np.fromiter(map(known.__getitem__, words), float, len(words))
@@ -183,7 +184,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .groupBy(F.col(id_col).alias("doc_id")).agg(F.max((F.col(label_col) != 0).cast("int")).alias("toxic"))
              .withColumn("fold", fold("doc_id")))
     learn = (texts.where(fold("doc_id").between(1, FOLDS - 2))
-             .join(known.where(F.col("fold").between(1, FOLDS - 2)).drop("fold"), "doc_id"))
+             # labels grow with the documents, so they are never broadcast
+             .join(known.where(F.col("fold").between(1, FOLDS - 2)).drop("fold").hint("merge"), "doc_id"))
     counts = scratch_table(gram_counts(learn), "toxic-grams")
     # max_grams rows at most
     kept = [tuple(r) for r in counts.orderBy(F.desc(F.col("ordinary") + F.col("toxic")), "gram")

@@ -41,7 +41,7 @@ _SHARE = ("transform({0}, m -> named_struct('role', case m.from when 'human' the
 
 #: Layout name -> (nested field paths, SQL that gives canonical turns of one record).
 LAYOUTS: dict[str, tuple[tuple[str, ...], str]] = {
-    "turn_rows": (("conv_id", "turn", "role", "text"), "array(named_struct('role', role, 'text', text))"),
+    "turn_rows": (("turn", "role", "text"), "array(named_struct('role', role, 'text', text))"),
     "messages": (("messages[].role", "messages[].content"), _MESSAGES.format("messages", "role", "content")),
     "conversations": (("conversations[].from", "conversations[].value"), _SHARE.format("conversations")),
     "prompt_response": (("prompt", "response"), _PAIR.format("prompt", "response")),
@@ -99,7 +99,8 @@ def json_turns(df: DataFrame, json_col: str, id_col: str = "conv_id") -> DataFra
     Broken JSON and layouts without a mapping give null layout and turns.
     """
     probe = "if(try_variant_get(v, '$.{0}') is not null, '{1}', null)"
-    seen = [F.expr(probe.format(p.replace("[]", "[0]"), p)) for p in VOCABULARY if p not in ("conv_id", "turn")]
+    seen = [F.expr(probe.format(p.replace("[]", "[0]"), p)) for p in VOCABULARY
+            if p not in LAYOUTS["turn_rows"][0]]
     df = df.select(F.col(id_col).alias("conv_id"), F.try_parse_json(F.col(json_col)).alias("v"))
     df = df.withColumn("print", F.sha2(F.concat_ws("\n", F.array_compact(F.array(*seen))), 256))
     kinds = {"messages": "array<struct<role:string,content:string>>",

@@ -130,15 +130,29 @@ _ORDINAL_IRREGULAR = {"one": "first", "two": "second", "three": "third",
                       "twelve": "twelfth"}
 
 
+# Names of the thousands groups, from the units up.
+_GROUPS = ["", "thousand", "million", "billion", "trillion", "quadrillion", "quintillion"]
+
+
 def _word(n: int) -> str:
+    """Words of a whole number: groups of three digits, joined by blanks."""
+    if n < 0:
+        return f"minus {_word(-n)}"
     if n < 20:
         return _UNITS[n]
     if n < 100:
         t, u = divmod(n, 10)
         return _TENS[t] if u == 0 else f"{_TENS[t]} {_UNITS[u]}"
-    if n == 100:
-        return "one hundred"
-    raise ValueError(n)
+    if n < 1000:
+        h, rest = divmod(n, 100)
+        return f"{_UNITS[h]} hundred" + (f" {_word(rest)}" if rest else "")
+    parts, k = [], 0
+    while n:
+        n, rest = divmod(n, 1000)
+        if rest:
+            parts.append(f"{_word(rest)} {_GROUPS[k]}".strip())
+        k += 1
+    return " ".join(reversed(parts))
 
 
 def _ordinal(n: int) -> str:
@@ -158,8 +172,33 @@ def number_words(max_n: int = 100, ordinal: bool = False) -> list[str]:
     return [(_ordinal(i) if ordinal and i else _word(i)) for i in range(max_n + 1)]
 
 
-def number_word(col: ColumnOrName, ordinal: bool = False, max_n: int = 100) -> Column:
-    """Spell a count 0–100 as words (X22); outside that range the digits are kept."""
-    words = F.array(*[F.lit(w) for w in number_words(max_n, ordinal)])
-    c = _c(col).cast("int")
-    return F.when((c >= 0) & (c <= max_n), F.get(words, c)).otherwise(c.cast("string"))
+def number_word(col: ColumnOrName, ordinal: bool = False) -> Column:
+    """Spell any whole number as words (X22), composed from groups of three digits."""
+    c = _c(col).cast("decimal(20,0)")
+    size = F.abs(c)
+    units = F.array(*[F.lit(w) for w in _UNITS])
+    tens = F.array(*[F.lit(w) for w in _TENS])
+
+    def below_hundred(n: Column) -> Column:
+        n = n.cast("int")
+        t, u = F.floor(n / 10).cast("int"), n % 10
+        return (F.when(n == 0, F.lit(None)).when(n < 20, F.get(units, n))
+                .otherwise(F.concat_ws(" ", F.get(tens, t), F.when(u > 0, F.get(units, u)))))
+
+    groups = []
+    for k in range(len(_GROUPS) - 1, -1, -1):
+        part = F.floor(size / F.lit(1000 ** k).cast("decimal(20,0)")).cast("decimal(20,0)") % 1000
+        h = F.floor(part / 100).cast("int")
+        words = F.concat_ws(" ", F.when(h > 0, F.concat(F.get(units, h), F.lit(" hundred"))), below_hundred(part % 100),
+                            *([F.lit(_GROUPS[k])] if k else []))
+        groups.append(F.when(part > 0, words))
+    text = F.when(c == 0, F.lit(_UNITS[0])).otherwise(
+        F.concat_ws(" ", F.when(c < 0, F.lit("minus")), *groups))
+    if ordinal:
+        last = F.regexp_extract(text, r"(\S+)$", 1)
+        irregular = F.create_map(*[F.lit(x) for kv in _ORDINAL_IRREGULAR.items() for x in kv])
+        end = F.coalesce(F.try_element_at(irregular, last),
+                         F.when(last.endswith("y"), F.regexp_replace(last, "y$", "ieth"))
+                         .otherwise(F.concat(last, F.lit("th"))))
+        text = F.when(c == 0, text).otherwise(F.concat(F.regexp_replace(text, r"\S+$", ""), end))
+    return F.when(c.isNotNull(), text)

@@ -21,9 +21,11 @@ LOCATION_LABELS = {"us": "Upstream", "ds": "Downstream"}
 
 
 def location_label(col: Column | str) -> Column:
-    """``us`` → Upstream, anything else → Downstream."""
+    """``us`` → Upstream and ``ds`` → Downstream inside the text, so ``us2`` is Upstream2."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.when(c == "us", F.lit(LOCATION_LABELS["us"])).otherwise(F.lit(LOCATION_LABELS["ds"]))
+    for code, label in LOCATION_LABELS.items():
+        c = F.replace(c, F.lit(code), F.lit(label))
+    return c
 
 
 def prefix_comment(df: DataFrame, site: str, comment: str, out: str = "comments") -> DataFrame:

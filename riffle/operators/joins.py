@@ -5,8 +5,8 @@ or (when AQE measures one side as small at run time) broadcast hash joins.
 Missing keys match each other where the rule asks for it (``<=>``), which
 Spark still plans as an equi-join on ``(coalesce(k), isnull(k))``.
 
-Literal lookup tables (rates, codes, rules) are the only sides broadcast by
-hint: their size is fixed by the caller and checked in :func:`lookup`.
+No side is broadcast by hint: literal lookup tables (rates, codes, rules) are
+local relations, whose size Spark knows, so the measured size chooses the join.
 """
 
 from __future__ import annotations
@@ -14,18 +14,20 @@ from __future__ import annotations
 from functools import reduce
 from typing import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-# Largest literal table we are willing to broadcast by hint.
-LOOKUP_MAX_ROWS = 100_000
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def lookup(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A literal lookup table, broadcast by hint (its size is known here)."""
-    if len(rows) > LOOKUP_MAX_ROWS:
-        raise ValueError(f"literal lookup of {len(rows)} rows is too large to broadcast")
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    """A literal lookup table of any size, with statistics for the join choice."""
+    kinds = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(kinds)
+    fields = to_arrow_schema(kinds)
+    data = pa.table([pa.array(list(c), f.type) for c, f in zip(columns, fields)], schema=fields)
+    return spark.createDataFrame(data, kinds)
 
 
 def _keys(on, right_on=None):
@@ -132,13 +134,12 @@ def fill_from(df: DataFrame, sources: Sequence[tuple[DataFrame, str]], key: str,
 
     Each source is ``(frame, its key column)``; the first source with a
     value wins.  One left join per source, values coalesced in order.  A
-    source is reduced to one row per key first (the row with the smallest
-    values, deterministically), so a repeated key cannot multiply rows.
+    source is reduced to one row per key first (per column the smallest value
+    that is not missing), so a repeated key cannot multiply rows.
     """
-    from .dedupe import keep_first
     out = df
     for i, (src, skey) in enumerate(sources):
-        one = keep_first(src.select(skey, *cols).where(F.col(skey).isNotNull()), [skey], list(cols))
+        one = src.where(F.col(skey).isNotNull()).groupBy(skey).agg(*[F.min(c).alias(c) for c in cols])
         s = one.select(F.col(skey).alias(f"__k{i}"),
                        *[F.col(c).alias(f"__{c}_{i}") for c in cols])
         out = out.join(s, out[key].eqNullSafe(s[f"__k{i}"]), "left")

@@ -1,8 +1,8 @@
 """Long/wide reshaping.
 
-Pivots always take their level list from the caller, so Spark never runs a
-hidden ``distinct`` job to discover column names and the output schema is
-fixed by the query, not by the data.
+A pivot's level list comes from the caller, which fixes the output schema, or
+is found with one aggregate.  A value outside a given list is never lost: it
+goes to the ``other`` column, or the query fails.
 """
 
 from __future__ import annotations
@@ -13,16 +13,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def pivot_counts(df: DataFrame, rows: Sequence[str], col: str, levels: Sequence,
-                 labels: Sequence[str] | None = None) -> DataFrame:
+def find_levels(df: DataFrame, col: str) -> list:
+    """All values of ``col`` but NULL, in order: they are to be column names."""
+    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+
+
+def _unlisted(col: str, levels: Sequence) -> Column:
+    """How many values are neither NULL nor listed."""
+    listed = F.col(col).isin(list(levels)) if levels else F.lit(False)
+    return F.count_if(F.col(col).isNotNull() & ~listed)
+
+
+def _checked(grouped: DataFrame, rows: Sequence[str], labels: Sequence[str], bad: str, col: str) -> DataFrame:
+    """Drop the count of unlisted values; fail if it is not zero."""
+    fail = F.raise_error(F.concat(F.lit(f"{col}: values outside the level list: "), F.col(bad).cast("string")))
+    first, *rest = labels
+    ok = F.when(F.col(bad) > 0, fail).otherwise(F.col(f"`{first}`")).alias(first)
+    return grouped.select(*rows, ok, *[F.col(f"`{x}`") for x in rest])
+
+
+def pivot_counts(df: DataFrame, rows: Sequence[str], col: str, levels: Sequence | None = None,
+                 labels: Sequence[str] | None = None, other: str | None = None) -> DataFrame:
     """Long → wide counts, missing cells 0.
 
     Written as conditional counts (one aggregate, partial map-side) over the
-    explicit ``levels``; ``labels`` renames the output columns.
+    ``levels`` (found if not given); ``labels`` renames the output columns.
+    Values outside the list are counted in ``other``; without it they fail.
     """
+    levels = find_levels(df, col) if levels is None else list(levels)
     labels = list(labels or [str(v) for v in levels])
     aggs = [F.count_if(F.col(col) == F.lit(v)).alias(lab) for v, lab in zip(levels, labels)]
-    return df.groupBy(*rows).agg(*aggs)
+    if other or not labels:
+        return df.groupBy(*rows).agg(*aggs, _unlisted(col, levels).alias(other or "other"))
+    return _checked(df.groupBy(*rows).agg(*aggs, _unlisted(col, levels).alias("__bad")), rows, labels, "__bad", col)
 
 
 def to_long(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str = "name",
@@ -49,13 +72,14 @@ def model_long(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name_rege
                                for i, p in enumerate(parts)], value)
 
 
-def transpose(df: DataFrame, id_col: str, ids: Sequence[str], attr: str = "attribute",
+def transpose(df: DataFrame, id_col: str, ids: Sequence[str] | None = None, attr: str = "attribute",
               cols: Sequence[str] | None = None) -> DataFrame:
     """Attributes as rows, one column per id value.
 
     ``ids`` lists the id values that become columns (the first row becomes
-    the header).  All attribute values are rendered as text.
+    the header); without it, all are.  All attribute values are rendered as text.
     """
+    ids = find_levels(df, id_col) if ids is None else ids
     cols = [c for c in (cols or df.columns) if c != id_col]
     long = df.select(F.col(id_col).cast("string").alias("__id"),
                      *[F.col(c).cast("string").alias(c) for c in cols]) \
@@ -66,11 +90,21 @@ def transpose(df: DataFrame, id_col: str, ids: Sequence[str], attr: str = "attri
     return wide.withColumn("__o", ordmap[F.col(attr)]).orderBy("__o").drop("__o")
 
 
-def presence(df: DataFrame, row: str, col: str, levels: Sequence[str],
-             label: str = "Yes") -> DataFrame:
-    """Presence matrix: one row per ``row`` value, ``label`` where seen, else NULL."""
+def presence(df: DataFrame, row: str, col: str, levels: Sequence[str] | None = None,
+             label: str = "Yes", other: str | None = None) -> DataFrame:
+    """Presence matrix: one row per ``row`` value, ``label`` where seen, else NULL.
+
+    Levels are found if not given; a value outside a given list marks the
+    ``other`` column, or fails without one.
+    """
+    levels = find_levels(df, col) if levels is None else list(levels)
     aggs = [F.when(F.count_if(F.col(col) == F.lit(v)) > 0, F.lit(label)).alias(str(v)) for v in levels]
-    return df.groupBy(row).agg(*aggs)
+    if not levels:
+        return df.select(row).distinct()
+    if other:
+        return df.groupBy(row).agg(*aggs, F.when(_unlisted(col, levels) > 0, F.lit(label)).alias(other))
+    return _checked(df.groupBy(row).agg(*aggs, _unlisted(col, levels).alias("__bad")), [row],
+                    [str(v) for v in levels], "__bad", col)
 
 
 def explode_list(df: DataFrame, col: str, sep: str = ",", out: str | None = None) -> DataFrame:

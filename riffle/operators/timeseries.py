@@ -118,8 +118,11 @@ def yearly(layers: dict, corrections: DataFrame | None = None, year_col: str = "
         if corrections is not None:
             fx = (corrections.filter(F.col("layer") == name).groupBy(F.col(year_col).alias("__fy"))
                   .agg(F.sum("add_n").alias("__add")))
-            c = c.join(fx, c[year_col] == fx["__fy"], "left").select(
-                year_col, (F.col("__n") + F.coalesce("__add", F.lit(0))).alias("__n"))
+            # a corrected year need not have a counted row
+            zero = F.lit(0)
+            c = c.join(fx, c[year_col] == fx["__fy"], "full").select(
+                F.coalesce(year_col, "__fy").alias(year_col),
+                (F.coalesce("__n", zero) + F.coalesce("__add", zero)).alias("__n"))
         frames.append(c.select(year_col, F.col("__n").cast("long").alias(f"n_{name}")))
     m = reduce(lambda a, b: full_merge(a, b, [year_col]), frames)
     return m.withColumn("total", row_sum([f"n_{n}" for n in layers]).cast("long"))

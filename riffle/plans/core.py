@@ -251,12 +251,12 @@ WITH j AS (
          row_number() OVER (PARTITION BY o_orderkey ORDER BY l_shipdate DESC NULLS LAST,
                             l_linenumber NULLS FIRST, l_quantity NULLS FIRST, l_partkey NULLS FIRST,
                             l_suppkey NULLS FIRST) AS rn
-  FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R') ON o_orderkey = l_orderkey)
+  FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey)
 SELECT o_orderkey, o_custkey, l_linenumber, l_shipdate, l_quantity FROM j WHERE rn = 1""")
 def distinct_on(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest returned line per order (left join, then best match per order)."""
+    """Latest line per order (left join, then best match per order)."""
     t = Tables(spark, sf_dir)
-    li = t.lineitem.filter(F.col("l_returnflag") == "R").select("l_orderkey", "l_linenumber", "l_shipdate",
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate",
                                                                 "l_quantity", "l_partkey", "l_suppkey")
     o = t.orders.select("o_orderkey", "o_custkey")
     return J.join_best(o, li, "o_orderkey", ["l_shipdate desc", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey"],

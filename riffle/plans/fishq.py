@@ -47,7 +47,7 @@ def events(t: Tables) -> DataFrame:
 
 def fish(t: Tables) -> DataFrame:
     sp = F.array(*[F.lit(s) for s in SPECIES])
-    return t.lineitem.filter(F.col("l_returnflag") != "N").select(
+    return t.lineitem.select(
         *_keys("l_orderkey"),
         F.get(sp, F.col("l_partkey") % 10).alias("species_code"),
         F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.col("l_quantity") * 5).alias("length_mm"),
@@ -79,7 +79,7 @@ fi AS (
     (['{"', '".join(SPECIES)}'])[l_partkey % 10 + 1] AS species_code,
     CASE WHEN l_linenumber = 7 THEN NULL ELSE l_quantity * 5 END AS length_mm,
     l_extendedprice / 1000 AS weight_g
-  FROM lineitem WHERE l_returnflag <> 'N'),
+  FROM lineitem),
 j AS (
   SELECT coalesce(fi.reference_number, ev.reference_number) AS reference_number,
          coalesce(fi.sampling_method, ev.sampling_method) AS sampling_method,

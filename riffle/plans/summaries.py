@@ -219,16 +219,14 @@ def transpose_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH v AS (
   SELECT p_type, r_name FROM lineitem
   JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
-  JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE l_quantity >= 49 AND l_discount >= 0.09)
+  JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
 SELECT p_type, """ + ", ".join(
     f"CASE WHEN count(*) FILTER (WHERE r_name = '{r}') > 0 THEN 'Yes' END AS \"{r}\"" for r in REGIONS
 ) + " FROM v GROUP BY p_type")
 def presence_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which part types (species) occur in which region (watershed): Yes / NULL."""
     t = Tables(spark, sf_dir)
-    li = t.lineitem.filter((F.col("l_quantity") >= 49) & (F.col("l_discount") >= 0.09))
-    v = (li.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    v = (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
          .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
          .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
          .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -240,10 +238,10 @@ def presence_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("side_by_side", ids="J15 W7 D27", sql="""
 WITH s AS (
-  SELECT l_orderkey * 10 + (l_linenumber - 1) % 3 AS slot,
-         CASE WHEN l_linenumber <= 3 THEN 1 ELSE 2 END AS side,
+  SELECT l_orderkey * 10 + (l_linenumber - 1) % 4 AS slot,
+         CASE WHEN l_linenumber <= 4 THEN 1 ELSE 2 END AS side,
          l_quantity AS value, l_returnflag AS label
-  FROM lineitem WHERE l_linenumber <= 6),
+  FROM lineitem),
 d AS (SELECT slot, side, min(value) AS value, min(label) AS label FROM s GROUP BY ALL),
 a AS (SELECT * FROM d WHERE side = 1), b AS (SELECT * FROM d WHERE side = 2)
 SELECT coalesce(a.slot, b.slot) AS slot, a.value AS value_left, a.label AS label_left,
@@ -251,10 +249,10 @@ SELECT coalesce(a.slot, b.slot) AS slot, a.value AS value_left, a.label AS label
        CASE coalesce(a.label, b.label) WHEN 'R' THEN 0 WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS label_order
 FROM a FULL OUTER JOIN b ON a.slot = b.slot""")
 def side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two halves (lines 1–3, 4–6) of each order next to each other by slot."""
-    li = Tables(spark, sf_dir).lineitem.filter(F.col("l_linenumber") <= 6)
-    s = li.select((F.col("l_orderkey") * 10 + (F.col("l_linenumber") - 1) % 3).alias("slot"),
-                  F.when(F.col("l_linenumber") <= 3, 1).otherwise(2).alias("side"),
+    """Two halves (lines 1–4, 5–7) of each order next to each other by slot."""
+    li = Tables(spark, sf_dir).lineitem
+    s = li.select((F.col("l_orderkey") * 10 + (F.col("l_linenumber") - 1) % 4).alias("slot"),
+                  F.when(F.col("l_linenumber") <= 4, 1).otherwise(2).alias("side"),
                   F.col("l_quantity").alias("value"), F.col("l_returnflag").alias("label"))
     d = s.groupBy("slot", "side").agg(F.min("value").alias("value"), F.min("label").alias("label"))
     out = J.side_by_side(d, "side", "slot", ["value", "label"], 1, 2)

@@ -128,15 +128,14 @@ YEAR_FIXES = [("1996", "a", 5), ("1999", "b", -2)]
 
 @query("yearly_totals", ids="T8 X19 Q6 A10 S10", sql="""
 WITH a AS (SELECT split_part(strftime(o_orderdate, '%Y-%m-%d'), '-', 1) AS year, count(*) AS n FROM orders GROUP BY 1),
-b AS (SELECT split_part(strftime(l_shipdate, '%Y-%m-%d'), '-', 1) AS year, count(*) AS n FROM lineitem
-      WHERE l_linenumber = 1 GROUP BY 1),
+b AS (SELECT split_part(strftime(l_shipdate, '%Y-%m-%d'), '-', 1) AS year, count(*) AS n FROM lineitem GROUP BY 1),
 fx AS (SELECT * FROM (VALUES """ + ", ".join(f"('{y}', '{l}', {n})" for y, l, n in YEAR_FIXES) + """) AS f(year, layer, add_n)),
 a2 AS (SELECT a.year, a.n + coalesce(sum(fx.add_n), 0) AS n_a FROM a LEFT JOIN fx ON a.year = fx.year AND fx.layer = 'a'
        GROUP BY a.year, a.n),
 b2 AS (SELECT b.year, b.n + coalesce(sum(fx.add_n), 0) AS n_b FROM b LEFT JOIN fx ON b.year = fx.year AND fx.layer = 'b'
        GROUP BY b.year, b.n),
 only_a AS (SELECT split_part(strftime(o_orderdate, '%Y-%m-%d'), '-', 1) AS year, count(*) AS n_a_only FROM orders
-           WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_linenumber = 1 AND l_orderkey = o_orderkey) GROUP BY 1)
+           WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) GROUP BY 1)
 SELECT coalesce(a2.year, b2.year) AS year, CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b,
        CAST(n_a + n_b AS BIGINT) AS total, CAST(coalesce(n_a_only, 0) AS BIGINT) AS n_a_only
 FROM a2 FULL OUTER JOIN b2 ON a2.year = b2.year LEFT JOIN only_a ON coalesce(a2.year, b2.year) = only_a.year""")
@@ -146,10 +145,10 @@ def yearly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     ya = ymd_parts("o_orderdate")[0]
     yb = ymd_parts("l_shipdate")[0]
-    first_lines = t.lineitem.filter(F.col("l_linenumber") == 1)
+    lines = t.lineitem
     fx = J.lookup(spark, YEAR_FIXES, "year string, layer string, add_n int")
-    m = T.yearly({"a": (t.orders, ya), "b": (first_lines, yb)}, fx)
-    only_a = (J.missing_from(t.orders, first_lines, "o_orderkey", "l_orderkey")
+    m = T.yearly({"a": (t.orders, ya), "b": (lines, yb)}, fx)
+    only_a = (J.missing_from(t.orders, lines, "o_orderkey", "l_orderkey")
               .groupBy(ya.alias("year")).agg(F.count(F.lit(1)).alias("n_a_only")))
     m = m.join(only_a, "year", "left")
     return m.select("year", "n_a", "n_b", "total", F.coalesce("n_a_only", F.lit(0)).cast("long").alias("n_a_only"))

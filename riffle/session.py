@@ -53,9 +53,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is respected as
-    is.  Only when it is unset (local tests) a scratch folder is created.
+    is.  Only when it is unset and everything runs in one process (local
+    mode, as in tests) a scratch folder is created; on a cluster the setting
+    is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = configured or tempfile.mkdtemp(prefix="riffle-ckpt-")
     if not configured:
         spark.conf.set("spark.checkpoint.dir", path)

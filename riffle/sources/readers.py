@@ -23,15 +23,21 @@ def _strip_bom(df: DataFrame) -> DataFrame:
     return df
 
 
+#: Quotes inside a value are doubled; rows that do not fit the header fail rather than lose fields.
+CSV_OPTIONS = {"quote": '"', "escape": '"', "encoding": "UTF-8", "mode": "FAILFAST"}
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, header: bool = True,
-             na: str = "") -> DataFrame:
+             na: str = "", multi_line: bool = True) -> DataFrame:
     """CSV with header, UTF-8 (BOM stripped from the first name), empty text = NULL.
 
     Without a schema every column is text; use ``infer_types`` (one pass)
-    rather than Spark's sampling ``inferSchema``.
+    rather than Spark's sampling ``inferSchema``.  ``multi_line`` reads line
+    breaks inside quoted values, and a file in one task; turn it off for large
+    files without such values, which are then split.
     """
-    r = spark.read.option("header", header).option("encoding", "UTF-8").option("nullValue", na) \
-        .option("emptyValue", na).option("mode", "PERMISSIVE")
+    r = (spark.read.options(**CSV_OPTIONS).option("header", header).option("nullValue", na)
+         .option("emptyValue", na).option("multiLine", multi_line))
     if schema:
         r = r.schema(schema)
     return _strip_bom(r.csv(path))
@@ -44,11 +50,15 @@ def read_many(spark: SparkSession, path: str, fmt: str = "csv", exclude: str | N
 
     ``exclude`` is a regex on the file name, ``exclude_path`` one on the full
     path (e.g. a partition folder); both filter on the hidden ``_metadata``
-    columns, so rows of excluded files are never kept.
+    columns, so rows of excluded files are never kept.  CSV files are stacked
+    by column name: each distinct header is read by itself, and a column that
+    a file lacks is NULL for its rows.
     """
-    r = spark.read.format(fmt).options(**(options or {}))
     if fmt == "csv":
-        r = r.option("header", True)
+        return _stacked_csv(spark, path, exclude, source_col, options or {}, exclude_path)
+    r = spark.read.format(fmt).options(**(options or {}))
+    if fmt == "parquet":
+        r = r.option("mergeSchema", True)
     df = r.load(path)
     for col, pat in (("_metadata.file_name", exclude), ("_metadata.file_path", exclude_path)):
         if pat:
@@ -57,6 +67,27 @@ def read_many(spark: SparkSession, path: str, fmt: str = "csv", exclude: str | N
     return _strip_bom(df)
 
 
+def _stacked_csv(spark: SparkSession, path: str, exclude: str | None, source_col: str, options: dict,
+                 exclude_path: str | None) -> DataFrame:
+    kept = lambda c, pat: ~F.coalesce(c.rlike(pat), F.lit(False)) if pat else F.lit(True)
+    name = F.element_at(F.split("path", "/"), -1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").where(
+        kept(name, exclude) & kept(F.col("path"), exclude_path))
+    paths = sorted(r[0] for r in files.collect())  # one short row a file
+    headers: dict[tuple, list[str]] = {}
+    for p in paths:
+        one = spark.read.options(**CSV_OPTIONS).options(**options).option("header", True).option("multiLine", True)
+        headers.setdefault(tuple(one.csv(p).columns), []).append(p)
+    out = None
+    for own in headers.values():
+        r = spark.read.options(**CSV_OPTIONS).option("multiLine", True).options(**options).option("header", True)
+        df = _strip_bom(r.csv(own).withColumn(source_col, F.col("_metadata.file_name")))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        raise FileNotFoundError(f"no file under {path}")
+    return out
+
+
 def read_table(spark: SparkSession, name_or_url: str, query: str | None = None,
                properties: dict | None = None, partition: dict | None = None) -> DataFrame:
     """A table from a relational database over JDBC, or a Parquet table path.

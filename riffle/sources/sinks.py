@@ -15,8 +15,13 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> str:
-    """CSV with missing values written as empty strings (K1)."""
-    df.write.mode(mode).option("header", header).option("nullValue", "").option("emptyValue", "").csv(path)
+    """CSV with missing values written as empty strings (K1).
+
+    Blanks at the ends of a value stay; quotes inside one are doubled.
+    """
+    (df.write.mode(mode).option("header", header).option("nullValue", "").option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("quote", '"').option("escape", '"').csv(path))
     return path
 
 
@@ -25,15 +30,14 @@ def route(df: DataFrame, rules: Sequence[tuple[Column, str]], path: str, fmt: st
     """Route rows to several outputs by predicate in ONE pass (K2).
 
     The first matching rule names the destination; output is partitioned by
-    it (``<path>/dest=<name>/``).  Rows matching no rule go to ``default`` or
-    are not written.
+    it (``<path>/dest=<name>/``).  Rows matching no rule go to ``default``;
+    without one such a row fails the write.
     """
     expr = None
     for cond, name in rules:
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    if default is not None:
-        expr = expr.otherwise(F.lit(default))
-    out = df.withColumn(dest_col, expr).filter(F.col(dest_col).isNotNull())
+    rest = F.lit(default) if default is not None else F.raise_error(F.lit("a row matches no rule and no default"))
+    out = df.withColumn(dest_col, expr.otherwise(rest))
     out.write.mode(mode).partitionBy(dest_col).format(fmt).save(path)
     return path
 

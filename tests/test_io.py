@@ -1,3 +1,4 @@
+import pytest
 """Sources and sinks round trips (S1–S10, K1–K6) in a scratch folder."""
 
 from pyspark.sql import functions as F
@@ -34,10 +35,12 @@ def test_read_many_tags_source_and_excludes(spark, tmp_path):
 
 def test_route_snapshot_and_listing(spark, tmp_path):
     df = spark.createDataFrame([(1, "phase1"), (2, "phase2"), (3, "other")], "id int, source string")
+    with pytest.raises(Exception, match="no rule"):
+        K.route(df, [(F.col("source") == "phase1", "p1")], str(tmp_path / "lost"))
     root = str(tmp_path / "routed")
-    K.route(df, [(F.col("source") == "phase1", "p1"), (F.col("source") == "phase2", "p2")], root)
+    K.route(df, [(F.col("source") == "phase1", "p1"), (F.col("source") == "phase2", "p2")], root, default="rest")
     back = spark.read.parquet(root)
-    assert sorted((r.id, r.dest) for r in back.collect()) == [(1, "p1"), (2, "p2")]
+    assert sorted((r.id, r.dest) for r in back.collect()) == [(1, "p1"), (2, "p2"), (3, "rest")]
     snap = str(tmp_path / "snap")
     K.snapshot(df.filter("id = 1"), snap, "20240101")
     K.snapshot(df, snap, "20240102")
@@ -66,3 +69,20 @@ def test_column_catalog_and_literal_table(spark):
     assert cat == {"a": ("int", 2), "b": ("string", 1)}
     lt = S.literal_table(spark, [("fsr", 30.0)], "cls string, rate double")
     assert lt.count() == 1
+
+
+def test_csv_keeps_quotes_blanks_and_line_breaks(spark, tmp_path):
+    rows = [(1, 'say ""hi"", "ok"', "  pad "), (2, "a\nb,c", None), (3, "\\", 'x"'), (4, None, "é")]
+    df = spark.createDataFrame(rows, "id int, a string, b string")
+    K.write_csv(df, str(tmp_path / "w"))
+    back = S.read_csv(spark, str(tmp_path / "w"))
+    assert sorted((int(r.id), r.a, r.b) for r in back.collect()) == rows
+
+
+def test_read_many_stacks_by_column_name(spark, tmp_path):
+    d = tmp_path / "mixed"
+    d.mkdir()
+    (d / "a.csv").write_text("id,name\n1,x\n")
+    (d / "b.csv").write_text('name,id,extra\n"y, ""q""",2,zz\n')
+    got = sorted((r.id, r.name, r.extra, r.source) for r in S.read_many(spark, str(d)).collect())
+    assert got == [("1", "x", None, "a.csv"), ("2", 'y, "q"', "zz", "b.csv")]

@@ -107,7 +107,8 @@ def test_habitat_helpers(spark):
     df = spark.createDataFrame([("198220_us", "CO,ST,", 1500.0, "Good pools")], "alias string, sp string, len double, c string")
     x = H.gain_estimate(H.prefix_comment(df, "alias", "c"), "sp", "len").first()
     assert (x.comments, x.n_species, x.upstream_km) == ("Site 198220_us. Good pools", 2, 1.5)
-    assert df.select(H.location_label(F.lit("us")).alias("l")).first().l == "Upstream"
+    labels = [H.location_label(F.lit(x).cast("string")).alias(f"l{k}") for k, x in enumerate(["us", "us2", None, "ds2"])]
+    assert list(df.select(*labels).first()) == ["Upstream", "Upstream2", None, "Downstream2"]
 
 
 def test_rate_report(spark):

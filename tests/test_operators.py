@@ -105,10 +105,17 @@ def test_add_totals_and_share(spark):
 
 def test_pivot_presence_and_collect(spark):
     df = spark.createDataFrame([("s1", "CO"), ("s1", "CT"), ("s1", "CO"), ("s2", "DV")], "site string, sp string")
-    p = {r.site: (r.CO, r.DV, r.XX) for r in R.pivot_counts(df, ["site"], "sp", ["CO", "DV", "XX"]).collect()}
-    assert p == {"s1": (2, 0, 0), "s2": (0, 1, 0)}
-    pr = {r.site: (r.CO, r.DV) for r in R.presence(df, "site", "sp", ["CO", "DV"]).collect()}
-    assert pr == {"s1": ("Yes", None), "s2": (None, "Yes")}
+    p = {r.site: (r.CO, r.DV, r.XX, r.rest)
+         for r in R.pivot_counts(df, ["site"], "sp", ["CO", "DV", "XX"], other="rest").collect()}
+    assert p == {"s1": (2, 0, 0, 1), "s2": (0, 1, 0, 0)}
+    pr = {r.site: (r.CO, r.DV, r.rest) for r in R.presence(df, "site", "sp", ["CO", "DV"], other="rest").collect()}
+    assert pr == {"s1": ("Yes", None, "Yes"), "s2": (None, "Yes", None)}
+    # found levels lose nothing; an incomplete list without a column for the rest fails
+    assert R.pivot_counts(df, ["site"], "sp").columns == ["site", "CO", "CT", "DV"]
+    assert R.presence(df, "site", "sp").columns == ["site", "CO", "CT", "DV"]
+    for lost in (R.pivot_counts(df, ["site"], "sp", ["CO", "DV"]), R.presence(df, "site", "sp", ["CO", "DV"])):
+        with pytest.raises(Exception, match="outside the level list"):
+            lost.collect()
     cs = {r.site: r.sp for r in A.collect_string(df, ["site"], "sp").collect()}
     assert cs == {"s1": "CO CT", "s2": "DV"}
 
@@ -152,19 +159,6 @@ def test_clean_names():
     assert P.snake("utmEasting") == "utm_easting"
 
 
-def test_incremental_adapter(spark, tmp_path):
-    from riffle.operators import scoring
-    from riffle.streaming.incremental import run_incremental
-    src = str(tmp_path / "in")
-    spark.createDataFrame([("High", "Barrier"), ("Low", "Passable")],
-                          "habitat_value string, barrier_result string").write.parquet(src)
-    schema = spark.read.parquet(src).schema
-    q = run_incremental(spark, src, schema, scoring.site_priority, str(tmp_path / "out"), str(tmp_path / "ck"))
-    q.awaitTermination(120)
-    got = sorted((r.habitat_value, r.priority_phase1) for r in spark.read.parquet(str(tmp_path / "out")).collect())
-    assert got == [("High", "high"), ("Low", None)]
-
-
 def test_exact_quantiles_match_numpy_across_partitions(spark):
     import numpy as np
     rnd = random.Random(11)

@@ -85,8 +85,14 @@ def test_number_words():
 
 
 def test_number_word_column(spark):
-    df = spark.createDataFrame([(5,), (250,)], "n int")
-    assert [r[0] for r in df.select(number_word("n")).collect()] == ["five", "250"]
+    df = spark.createDataFrame([(5,), (250,), (1000,), (-21,), (1234567,), (None,), (10 ** 18,)], "n long")
+    got = [tuple(r) for r in df.select(number_word("n"), number_word("n", ordinal=True)).collect()]
+    assert [g[0] for g in got] == ["five", "two hundred fifty", "one thousand", "minus twenty one",
+                                   "one million two hundred thirty four thousand five hundred sixty seven", None,
+                                   "one quintillion"]
+    assert got[1][1] == "two hundred fiftieth" and got[3][1] == "minus twenty first"
+    n = spark.range(2100).select(number_word("id").alias("w"), number_word("id", ordinal=True).alias("o")).collect()
+    assert [r.w for r in n] == number_words(2099) and [r.o for r in n] == number_words(2099, ordinal=True)
 
 
 def test_grouped_code(spark):

@@ -34,7 +34,7 @@ def ids_in(text: str) -> set[str]:
 
 def main():
     funcs: dict[str, list[str]] = {}
-    for sub in ("functions", "operators", "sources", "streaming"):
+    for sub in ("functions", "operators", "sources"):
         d = os.path.join(ROOT, "riffle", sub)
         for f in sorted(os.listdir(d)):
             if not f.endswith(".py") or f == "__init__.py":

@@ -31,14 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import (connected_components, mix64, scratch_table, shuffle_partitions, slices_by_bytes,
-                     text_bytes)
+from .common import connected_components, mix64, scratch_table, slices_by_bytes, text_bytes
 from .repeats import PACKED, first_of, packed, unpack
 
 SHINGLE, BANDS, ROWS = 5, 21, 6
 REGISTERS, MANTISSA = BANDS * ROWS, 10
 #: Estimates this far below the threshold are not verified: five deviations of the estimate.
 SLACK = 0.16
+#: Text bytes whose shingle hashes meet in one task.
+BUCKET_BYTES = 64 << 20
 _U = np.uint64
 _FACTOR = _U(0x9E3779B97F4A7C15)
 _SALTS = np.arange(1, 9, dtype=_U) * _FACTOR
@@ -228,7 +229,8 @@ def shared_shingles(texts: DataFrame) -> DataFrame:
     Shingles are dealt by hash, merged within a task first; hashes are cut to
     32 bits a bucket, so a clash can only raise a count.
     """
-    buckets = shuffle_partitions(texts.sparkSession)
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(16, -(-size // BUCKET_BYTES))
 
     def deal(batches):
         for batch in batches:
@@ -296,7 +298,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         texts.join(central, (F.col("id") == F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left_semi")
         .dropDuplicates(["id", "key"]), "hmh-texts", release=True)
     sketches = scratch_table(reps.join(central, ["doc_id", "text_key"], "left_semi")
-                             .select("doc_id", "text_key", "regs", "n_shingles"), "hmh-candidates")
+                             .select("doc_id", "text_key", "regs", "n_shingles", "bands"), "hmh-candidates")
     able = (sketches.drop("regs").join(central, ["doc_id", "text_key"])
             .join(shared_shingles(texts), ["doc_id", "text_key"]))
     # the sets of a pair have no more in common than either shares with anyone
@@ -306,7 +308,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
                             "hmh-able-members")
 
     parts, leaders = None, 1
-    kept = ["bucket", "doc_id", "text_key", "n_shingles", "shared", "central", "led"]
+    kept = ["bucket", "doc_id", "text_key", "n_shingles", "shared", "central", "bands", "led"]
     while not members.isEmpty():
         comp = F.col("doc_id") if parts is None else F.coalesce("component", "doc_id")
         now = members if parts is None else members.join(
@@ -323,7 +325,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         if now.isEmpty():
             break
         if leaders == 1:  # an aggregate, combined before the shuffle, when a key may hold most documents
-            lead = (now.groupBy("bucket").agg(F.max(F.struct("central", -F.col("doc_id"), *kept[1:5], "comp"))
+            lead = (now.groupBy("bucket").agg(F.max(F.struct("central", -F.col("doc_id"), *kept[1:5], "bands", "comp"))
                                               .alias("x")).select("bucket", "x.*"))
         else:
             nth = F.row_number().over(Window.partitionBy("bucket").orderBy(
@@ -331,11 +333,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
             lead = now.withColumn("nth", nth).where((F.col("nth") <= leaders) & ~F.col("led"))
         lead = scratch_table(lead.select(
             F.col("bucket").alias("k"), F.col("doc_id").alias("a"), F.col("text_key").alias("a_key"),
-            F.col("comp").alias("a_comp"), F.col("n_shingles").alias("a_n"), F.col("shared").alias("a_shared")),
-            f"hmh-leaders-{leaders}")
+            F.col("comp").alias("a_comp"), F.col("n_shingles").alias("a_n"), F.col("shared").alias("a_shared"),
+            F.col("bands").alias("a_bands")), f"hmh-leaders-{leaders}")
         both = F.least("shared", "a_shared", "n_shingles", "a_n")
+        # a pair is taken under the smallest key that both have, which stays open until it is
+        once = F.col("bucket") == F.array_min(F.array_intersect("bands", "a_bands"))
         pairs = now.join(lead, (F.col("bucket") == F.col("k")) & (F.col("comp") != F.col("a_comp"))
-                         & fits(both, F.col("n_shingles"), F.col("a_n")))
+                         & fits(both, F.col("n_shingles"), F.col("a_n")) & once)
         # either order is one pair
         turn = F.col("a") > F.col("doc_id")
         pairs = pairs.select(*[F.when(turn, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (

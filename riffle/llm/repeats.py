@@ -398,7 +398,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stretches = scratch_table(repeated_strings(open_, windows=False), "repeat-stretches", release=True)
     texts = open_.select("row", "doc_id", "text")
     first = scratch_table(open_stretches(stretches.where(~F.col("repeated"))), "repeat-first")
-    single = scratch_table(repeated_strings(texts.join(first, "row"), windows=True).select("row", "at", "span"),
+    # written, so that the shuffled texts are gone before the windows are dealt
+    left = scratch_table(texts.join(first, "row"), "repeat-left", release=True)
+    single = scratch_table(repeated_strings(left, windows=True).select("row", "at", "span"),
                            "repeat-windows", release=True)
     gone = stretches.where("repeated").select("row", "at", "span").union(single).groupBy("row").agg(*lists)
     cuts = cut(texts.join(gone, "row"))

@@ -13,8 +13,9 @@ of one key nothing like all pairs is made.  A document too few of whose
 shingles are in any other candidate can link with none and drops out.  Leaders,
 few at first and more each round, are compared with those that are not yet in
 their component, and a key is done once its documents that never led are in
-one component.  So no link between components is missed, and work follows the
-links still open.
+one component.  The first of a key is its most central document, the others
+come from outside its largest component.  So no link between components is
+missed, and work follows the links still open.
 
 Defined results: null text or text without words has the empty set and links
 with nothing; rows that repeat a doc_id are judged each by its own text; a
@@ -319,18 +320,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         now = now.join(small, "bucket").where(fits(F.col("shared"), F.col("n_shingles"), F.col("least"))).drop("least")
         now = scratch_table(now, f"hmh-fit-{leaders}")
         # a key is open while documents that never led are in two components
-        span = now.groupBy("bucket").agg(F.min(F.when(~F.col("led"), F.col("comp"))).alias("lo"),
-                                         F.max(F.when(~F.col("led"), F.col("comp"))).alias("hi"))
-        now = scratch_table(now.join(span.where("lo < hi").select("bucket"), "bucket"), f"hmh-open-{leaders}")
+        sizes = now.where(~F.col("led")).groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+        span = (sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp")).alias("x"))
+                .where("comps > 1").select("bucket", F.col("x.comp").alias("largest")))
+        now = scratch_table(now.join(span, "bucket"), f"hmh-open-{leaders}")
         if now.isEmpty():
             break
         if leaders == 1:  # an aggregate, combined before the shuffle, when a key may hold most documents
             lead = (now.groupBy("bucket").agg(F.max(F.struct("central", -F.col("doc_id"), *kept[1:5], "bands", "comp"))
                                               .alias("x")).select("bucket", "x.*"))
         else:
+            # once all outside its largest component have led, a key is done
             nth = F.row_number().over(Window.partitionBy("bucket").orderBy(
-                "led", F.desc("central"), F.xxhash64("doc_id", "bucket"), "doc_id", "text_key"))
-            lead = now.withColumn("nth", nth).where((F.col("nth") <= leaders) & ~F.col("led"))
+                F.desc("central"), F.xxhash64("doc_id", "bucket"), "doc_id", "text_key"))
+            rest = now.where(~F.col("led") & (F.col("comp") != F.col("largest")))
+            lead = rest.withColumn("nth", nth).where(F.col("nth") <= leaders)
         lead = scratch_table(lead.select(
             F.col("bucket").alias("k"), F.col("doc_id").alias("a"), F.col("text_key").alias("a_key"),
             F.col("comp").alias("a_comp"), F.col("n_shingles").alias("a_n"), F.col("shared").alias("a_shared"),

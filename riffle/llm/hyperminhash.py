@@ -179,13 +179,11 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                        F.xxhash64(text_col).alias("text_key")).mapInArrow(run, schema)
 
 
-def promising(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose corrected estimate of the similarity may reach the threshold."""
-    one = sketches.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "regs", "n_shingles")
-    for side in ("a", "b"):
-        pairs = (pairs.join(one, (F.col(side) == F.col("id")) & (F.col(f"{side}_key") == F.col("key")))
-                 .withColumnsRenamed({"regs": f"{side}_regs", "n_shingles": f"{side}_n"}).drop("id", "key"))
+def promising(pairs: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose corrected estimate of the similarity may reach the threshold.
 
+    Pairs carry the registers and set sizes of both sides, ``a_regs, a_n, b_regs, b_n``.
+    """
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -196,9 +194,7 @@ def promising(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFr
             estimate = ((regs[0] == regs[1]).mean(axis=1) - c) / (1 - c)
             yield batch.select(["a", "a_key", "b", "b_key"]).filter(pa.array(estimate >= threshold - SLACK))
 
-    # sets whose sizes alone forbid the threshold need no look at their registers
-    fits = F.least("a_n", "b_n") * 1.0 >= F.greatest("a_n", "b_n") * (threshold - 1e-9)
-    return pairs.where(fits).mapInArrow(run, "a long, a_key long, b long, b_key long")
+    return pairs.mapInArrow(run, "a long, a_key long, b long, b_key long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -300,7 +296,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         .dropDuplicates(["id", "key"]), "hmh-texts", release=True)
     sketches = scratch_table(reps.join(central, ["doc_id", "text_key"], "left_semi")
                              .select("doc_id", "text_key", "regs", "n_shingles", "bands"), "hmh-candidates")
-    able = (sketches.drop("regs").join(central, ["doc_id", "text_key"])
+    able = (sketches.join(central, ["doc_id", "text_key"])
             .join(shared_shingles(texts), ["doc_id", "text_key"]))
     # the sets of a pair have no more in common than either shares with anyone
     fits = lambda s, n, other: (100 + percent) * s >= percent * (n + other)
@@ -309,7 +305,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
                             "hmh-able-members")
 
     parts, leaders = None, 1
-    kept = ["bucket", "doc_id", "text_key", "n_shingles", "shared", "central", "bands", "led"]
+    kept = ["bucket", "doc_id", "text_key", "n_shingles", "shared", "central", "bands", "regs", "led"]
     while not members.isEmpty():
         comp = F.col("doc_id") if parts is None else F.coalesce("component", "doc_id")
         now = members if parts is None else members.join(
@@ -327,7 +323,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         if now.isEmpty():
             break
         if leaders == 1:  # an aggregate, combined before the shuffle, when a key may hold most documents
-            lead = (now.groupBy("bucket").agg(F.max(F.struct("central", -F.col("doc_id"), *kept[1:5], "bands", "comp"))
+            lead = (now.groupBy("bucket").agg(F.max(F.struct("central", -F.col("doc_id"), *kept[1:5], "bands", "regs",
+                                                               "comp"))
                                               .alias("x")).select("bucket", "x.*"))
         else:
             # once all outside its largest component have led, a key is done
@@ -338,7 +335,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         lead = scratch_table(lead.select(
             F.col("bucket").alias("k"), F.col("doc_id").alias("a"), F.col("text_key").alias("a_key"),
             F.col("comp").alias("a_comp"), F.col("n_shingles").alias("a_n"), F.col("shared").alias("a_shared"),
-            F.col("bands").alias("a_bands")), f"hmh-leaders-{leaders}")
+            F.col("bands").alias("a_bands"), F.col("regs").alias("a_regs")), f"hmh-leaders-{leaders}")
         both = F.least("shared", "a_shared", "n_shingles", "a_n")
         # a pair is taken under the smallest key that both have, which stays open until it is
         once = F.col("bucket") == F.array_min(F.array_intersect("bands", "a_bands"))
@@ -348,8 +345,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         turn = F.col("a") > F.col("doc_id")
         pairs = pairs.select(*[F.when(turn, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (
             ("doc_id", "a", "a"), ("text_key", "a_key", "a_key"), ("a", "doc_id", "b"),
-            ("a_key", "text_key", "b_key"))]).distinct()
-        close = scratch_table(promising(pairs, sketches, threshold), f"hmh-pairs-{leaders}")
+            ("a_key", "text_key", "b_key"), ("regs", "a_regs", "a_regs"), ("a_regs", "regs", "b_regs"),
+            ("n_shingles", "a_n", "a_n"), ("a_n", "n_shingles", "b_n"))])
+        close = scratch_table(promising(pairs, threshold).distinct(), f"hmh-pairs-{leaders}")
         links = scratch_table(confirmed(close, texts, percent), f"hmh-links-{leaders}", release=True)
         if not links.isEmpty():
             parts = grown(parts, links)

@@ -53,13 +53,19 @@ def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
         name, desc, nf = _parse(spec)
         c, t = F.col(name), types[name]
         nulls_first = (not desc) if nf is None else nf
-        flag = c.isNotNull() if nulls_first else c.isNull()
+        flag, at = c.isNotNull() if nulls_first else c.isNull(), len(fields)
         if desc:
-            if t in _NUMERIC or t.startswith("decimal"):
+            if t in ("double", "float"):
+                # NaN is the largest value, so it comes first
+                fields.append(F.coalesce(~F.isnan(c), F.lit(True)).alias(f"n{i}"))
                 v = -c
-            elif t in ("timestamp", "timestamp_ntz"):
-                # any fixed zone keeps the order of wall-clock values
-                v = -F.unix_micros(c.cast("timestamp"))
+            elif t in _NUMERIC or t.startswith("decimal"):
+                v = -c
+            elif t == "timestamp":
+                v = -F.unix_micros(c)
+            elif t == "timestamp_ntz":
+                # an interval between wall-clock values: no zone, so no clock change reorders them
+                v = -(c - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
             elif t == "date":
                 v = -F.unix_date(c)
             elif t == "boolean":
@@ -68,7 +74,8 @@ def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
                 return None
         else:
             v = c
-        fields += [flag.alias(f"f{i}"), v.alias(f"v{i}")]
+        fields.insert(at, flag.alias(f"f{i}"))
+        fields.append(v.alias(f"v{i}"))
     return F.struct(*fields)
 
 

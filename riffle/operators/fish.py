@@ -126,23 +126,22 @@ def haul_density(rec: DataFrame, method: str = "electrofishing",
     return g.withColumn("density_100m2", round_even(F.try_divide(F.col("fish_total"), F.col("area")) * 100, 1))
 
 
-def submission_summary(rec: DataFrame, names: DataFrame, drop_pattern: str = "length_mm|weight_g",
-                       length: str = "length_mm", species: str = "species_code",
-                       alias: str = "local_name", no_fish_name: str = "No Fish Caught",
-                       ef_model: str = "halltech HT2000", ef_make: str = "other") -> DataFrame:
+def submission_summary(rec: DataFrame, names: DataFrame, ef_model: str, ef_make: str,
+                       drop_pattern: str = "length_mm|weight_g", length: str = "length_mm", species: str = "species_code",
+                       alias: str = "local_name", no_fish_name: str = "No Fish Caught") -> DataFrame:
     """Fish submission summary.
 
     Group by every column except length/weight; min/max length are missing if
     any length in the group is; ``n`` counts rows.  Species names joined
     from ``names`` (code → common name); the total is NULL for no-fish rows;
-    electrofishing aliases get the default make/model.
+    electrofishing aliases get the given make and model.
     """
     import re
     keys = [c for c in rec.columns if not re.search(drop_pattern, c)]
     g = rec.groupBy(*keys).agg(strict_min(length).alias("min"), strict_max(length).alias("max"),
                                F.count(F.lit(1)).alias("n"))
     n = names.select(F.col(names.columns[0]).alias("__code"), F.col(names.columns[1]).alias("species"))
-    g = g.join(F.broadcast(n), g[species] == n["__code"], "left").drop("__code")
+    g = g.join(n, g[species] == n["__code"], "left").drop("__code")
     g = g.withColumn("total_number", F.when(F.col("species") == no_fish_name, F.lit(None))
                      .otherwise(F.col("n")).cast("long"))
     ef = rlike_na(alias, "ef")

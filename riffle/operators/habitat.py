@@ -75,7 +75,7 @@ def features(sites: DataFrame, names: DataFrame, code: str, names_code: str, nam
              out: str = "feature_name") -> DataFrame:
     """Habitat features with the obstacle name looked up by its code."""
     n = names.select(F.col(names_code).alias("__fc"), F.col(name).alias(out))
-    return sites.join(F.broadcast(n), sites[code] == n["__fc"], "left").drop("__fc")
+    return sites.join(n, sites[code] == n["__fc"], "left").drop("__fc")
 
 
 def cross_ref(df: DataFrame, xref: DataFrame, own: str, key: str, xref_key: str, xref_id: str,
@@ -85,7 +85,7 @@ def cross_ref(df: DataFrame, xref: DataFrame, own: str, key: str, xref_key: str,
     return resolve_id(df, xref, own, key, xref_key, xref_id, out)
 
 
-def map_links(df: DataFrame, id_col: str, base: str = "sum/cv/", label: str = "Culvert Data") -> DataFrame:
+def map_links(df: DataFrame, id_col: str, base: str, label: str) -> DataFrame:
     """HTML link column for the map table."""
     return df.withColumn("data_link", F.format_string(f'<a href ={base}%s.html target="_blank">{label}</a>',
                                                       F.col(id_col).cast("string")))

@@ -75,17 +75,26 @@ def stack_groups(df: DataFrame, keep: Sequence[str], groups: Sequence[dict[str,
 
 
 def apply_repairs(df: DataFrame, rules: DataFrame, key: str, rule_key: str = "key",
-                  rule_col: str = "col", rule_value: str = "value") -> DataFrame:
+                  rule_col: str = "col", rule_value: str = "value", rule_order: str | None = None) -> DataFrame:
     """Apply a correction table ``(key, col, value)`` to matching rows.
 
     The rule table is pivoted to one row per key (columns named by the rules'
-    ``col`` values, which are read from the schema of ``df``), joined, and
-    each corrected column is ``coalesce(correction, original)``.
+    ``col`` values, which are read from the schema of ``df``) and joined.  Of
+    several rules for one cell the first by ``rule_order`` counts, then the
+    smallest value, a missing one last.  A rule with a missing value clears
+    the cell; one whose value does not fit the column's type leaves it.
     """
     targets = [c for c in df.columns if c != key]
-    r = rules.groupBy(F.col(rule_key).alias("__rk")).pivot(rule_col, targets).agg(F.first(rule_value))
+    rank = ([F.col(rule_order)] if rule_order else []) + [F.col(rule_value).isNull(), F.col(rule_value)]
+    r = rules.groupBy(F.col(rule_key).alias("__rk")).pivot(rule_col, targets).agg(
+        F.min_by(F.struct(F.col(rule_value).alias("v")), F.struct(*rank)))
     r = r.select("__rk", *[F.col(c).alias(f"__fix_{c}") for c in targets])
     j = df.join(r, df[key] == r["__rk"], "left")
     types = dict(df.dtypes)
-    return j.select(*[F.coalesce(F.col(f"__fix_{c}").try_cast(types[c]), F.col(c)).alias(c) if c in targets
-                      else F.col(c) for c in df.columns])
+
+    def repaired(c: str) -> Column:
+        fix = F.col(f"__fix_{c}")
+        cleared = fix.isNotNull() & fix["v"].isNull()
+        return F.when(~cleared, F.coalesce(fix["v"].try_cast(types[c]), F.col(c))).alias(c)
+
+    return j.select(*[repaired(c) if c in targets else F.col(c) for c in df.columns])

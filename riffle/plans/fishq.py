@@ -203,4 +203,4 @@ def submission_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group by all but length/weight; strict min/max; names; NFC totals missing."""
     rec = records(Tables(spark, sf_dir)).select(*SUB_COLS, "length_mm", "weight_g")
     names = lookup(spark, SPECIES_NAMES, "code string, species string")
-    return D.submission_summary(rec, names)
+    return D.submission_summary(rec, names, ef_model="halltech HT2000", ef_make="other")

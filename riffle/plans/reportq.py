@@ -291,7 +291,7 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = keep_first(s, ["site_id"], ["o_orderkey"], extra={"n_orders": F.count(F.lit(1))})
     f = f.withColumn("priority_phase1", F.when(F.col("priority_phase1") == "mod", "moderate")
                      .otherwise(F.col("priority_phase1")))
-    j = H.map_links(f, "site_id")
+    j = H.map_links(f, "site_id", base="sum/cv/", label="Culvert Data")
     return j.select("site_id", "o_orderkey", "priority_phase1", "data_link", "n_orders",
                     number_word("n_orders").alias("n_orders_words"),
                     number_word(F.col("site_id") % 20 + 1, ordinal=True).alias("stream_order"))

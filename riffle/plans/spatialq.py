@@ -126,9 +126,9 @@ def _recorder(e: DataFrame, etype: str, with_ele: bool) -> DataFrame:
 @query("waypoint_merge", ids="G7 X5 W1", sql="""
 WITH wp0 AS (
   SELECT event_id AS wp_event_id, CAST(event_id % 2000 AS DOUBLE) AS n, ts AS time, value * 1000 AS easting,
-         CAST(user_id * 10 AS DOUBLE) AS northing, value AS ele, 'KP' AS source FROM events WHERE event_type = 'view'
+         CAST(user_id * 10 AS DOUBLE) AS northing, value AS ele, 'R1' AS source FROM events WHERE event_type = 'view'
   UNION ALL
-  SELECT event_id, CAST(event_id % 2000 AS DOUBLE), ts, value * 1000, CAST(user_id * 10 AS DOUBLE), NULL, 'AI'
+  SELECT event_id, CAST(event_id % 2000 AS DOUBLE), ts, value * 1000, CAST(user_id * 10 AS DOUBLE), NULL, 'R2'
   FROM events WHERE event_type = 'click'),
 wp1 AS (SELECT *, CASE WHEN n > 1000 THEN CAST(round_even(CAST(n / 10 AS DECIMAL(38,10)), 0) AS DOUBLE) ELSE n END
                   AS name_old FROM wp0),
@@ -136,18 +136,18 @@ wp2 AS (SELECT *, CAST(CAST(name_old AS BIGINT) AS VARCHAR) || '_' || source ||
                   AS name FROM wp1),
 wp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY time DESC, wp_event_id) AS rn FROM wp2)
        WHERE rn = 1),
-pr AS (SELECT event_id, CAST(event_id % 200 AS VARCHAR) || '_' || CASE WHEN user_id % 2 = 0 THEN 'KP' ELSE 'AI' END
+pr AS (SELECT event_id, CAST(event_id % 200 AS VARCHAR) || '_' || CASE WHEN user_id % 2 = 0 THEN 'R1' ELSE 'R2' END
               || '_' || CAST(year(ts) AS VARCHAR) AS wp_key FROM events WHERE event_type = 'purchase')
 SELECT pr.event_id, pr.wp_key, wp.wp_event_id, wp.easting, wp.northing, wp.ele
 FROM pr LEFT JOIN wp ON pr.wp_key = wp.name""")
 def waypoint_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two recorders' waypoints cleaned, keyed by name_source_year, joined to sites."""
     e = Tables(spark, sf_dir).events
-    wp = G.merge_waypoints({"KP": _recorder(e, "view", True), "AI": _recorder(e, "click", False)},
+    wp = G.merge_waypoints({"R1": _recorder(e, "view", True), "R2": _recorder(e, "click", False)},
                            order=["wp_event_id"])
     pr = e.filter(F.col("event_type") == "purchase").select(
         "event_id", F.concat((F.col("event_id") % 200).cast("string"), F.lit("_"),
-                             F.when(F.col("user_id") % 2 == 0, "KP").otherwise("AI"), F.lit("_"),
+                             F.when(F.col("user_id") % 2 == 0, "R1").otherwise("R2"), F.lit("_"),
                              F.year("ts").cast("string")).alias("wp_key"))
     j = join_na(pr, wp.select("name", "wp_event_id", "easting", "northing", "ele"), "wp_key", "left", "name")
     return j.select("event_id", "wp_key", "wp_event_id", "easting", "northing", "ele")

@@ -144,6 +144,11 @@ def test_sets_conform_stack_repairs(spark):
     rules = spark.createDataFrame([(1, "l1", "2.0"), (1, "k1", "debris jam")], "key long, col string, value string")
     fixed = {r.site: (r.k1, r.l1) for r in U.apply_repairs(wide, rules, key="site").collect()}
     assert fixed[1] == ("debris jam", 2.0) and fixed[2] == ("pool", 1.0)
+    # of two rules for a cell the first by the given order counts; a missing value clears the cell
+    twice = spark.createDataFrame([(2, 1, "l1", "9.0"), (1, 1, "l1", "7.0"), (1, 2, "k1", None), (1, 2, "l1", "bad")],
+                                  "nr long, key long, col string, value string")
+    fixed = {r.site: (r.k1, r.l1) for r in U.apply_repairs(wide, twice, key="site", rule_order="nr").collect()}
+    assert fixed == {1: ("pool", 7.0), 2: (None, 1.0)}
 
 
 def test_infer_types_and_drop_empty(spark):

@@ -36,6 +36,20 @@ def test_strict_min_is_missing_when_any_missing(spark):
     assert out == {"a": None, "b": 2.0}
 
 
+def test_keep_first_order_survives_clock_changes_and_nan(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Vancouver")
+    try:
+        df = spark.sql("""SELECT * FROM VALUES (1, TIMESTAMP_NTZ'2022-03-13 02:30:00', double('NaN')),
+                          (2, TIMESTAMP_NTZ'2022-03-13 03:10:00', 5D), (3, NULL, NULL) AS t(id, ts, v)
+                       """).selectExpr("'k' AS key", "*")
+        first = lambda *order: dedupe.keep_first(df, ["key"], [*order, "id"]).first().id
+        assert (first("ts desc"), first("ts"), first("ts nulls last")) == (2, 3, 1)
+        assert (first("v desc"), first("v nulls last"), first("v desc nulls first")) == (1, 2, 3)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_keep_first_respects_order_and_direction(spark):
     df = spark.createDataFrame(
         [("k", 1, "2024-01-01 10:00:00", "b"), ("k", 2, "2024-01-02 10:00:00", "a"),

@@ -3,11 +3,11 @@
 Spark has no distance or containment predicates here, so both are written as
 equi-joins on a grid-cell key followed by an exact test:
 
-* nearest neighbour: candidates from the 3×3 block of cells around each
-  point; a match closer than one cell size is provably the nearest, the rest
-  retry on a coarser grid (cell × 4) until the cell covers ``max_dist``.
-* point in polygon: each polygon is registered in every cell its bounding box
-  touches; points join on their cell and an even-odd ray-crossing test over
+* nearest neighbour: right points are counted into cells that are split where
+  points are dense; left points go down the levels and keep the cells whose
+  box can still hold their nearest.
+* point in polygon: each polygon is covered by cells of a size drawn from its
+  extent; points join on their cell and an even-odd ray-crossing test over
   the ring (``aggregate`` over the edge array) decides containment.
 
 No cross joins: every join has an equality on the cell key.
@@ -20,6 +20,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from ..functions.semantics import paste0, round_even
 
@@ -28,81 +29,118 @@ def _cell(c: Column, size: float) -> Column:
     return F.floor(c / F.lit(size)).cast("long")
 
 
-def _neighbours() -> Column:
-    return F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                     for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+def _far(lo: str, hi: str, x: str) -> Column:
+    """Largest distance along one axis from ``x`` to a point between ``lo`` and ``hi``."""
+    return F.greatest(F.abs(F.col(x) - F.col(lo)), F.abs(F.col(x) - F.col(hi)))
 
 
-def _nearest_level(left: DataFrame, right: DataFrame, size: float, lid: str, rid: str) -> DataFrame:
-    """Best candidate within the 3×3 cell block at one grid size.
+def _gap(lo: str, hi: str, x: str) -> Column:
+    """Smallest distance along one axis from ``x`` to the span ``lo`` .. ``hi``."""
+    return F.greatest(F.col(lo) - F.col(x), F.col(x) - F.col(hi), F.lit(0.0))
 
-    ``left`` holds distinct coordinates (``lid`` is ignored there: the
-    coordinates are the key) and ``right`` one row per distinct coordinate.
+
+def _norm(dx: Column, dy: Column) -> Column:
+    return F.sqrt(dx * dx + dy * dy)
+
+
+#: A cell with more points is split into FAN x FAN; cells are split at most DEPTH times.
+LEAF, FAN, DEPTH = 32, 4, 25
+
+
+def _density_cells(points: DataFrame, x0: float, y0: float, side: float, n: int) -> list[DataFrame]:
+    """Cells of each level below the root: ``cx, cy, px, py, n`` and the box of their points.
+
+    A level holds the parts of the cells above it with over LEAF points, so
+    cells are small where points are dense.  One partial aggregate a level.
     """
-    l = (left.select("__x", "__y", _cell(F.col("__x"), size).alias("__cx"), _cell(F.col("__y"), size).alias("__cy"))
-         .select("__x", "__y", F.explode(_neighbours()).alias("__n"), "__cx", "__cy")
-         .select("__x", "__y", (F.col("__cx") + F.col("__n.dx")).alias("__kx"),
-                 (F.col("__cy") + F.col("__n.dy")).alias("__ky")))
-    r = right.select(F.col(rid).alias("__rid"), F.col("__x").alias("__rx"), F.col("__y").alias("__ry"),
-                     _cell(F.col("__x"), size).alias("__kx"), _cell(F.col("__y"), size).alias("__ky"))
-    j = l.join(r, ["__kx", "__ky"])
-    dx, dy = F.col("__x") - F.col("__rx"), F.col("__y") - F.col("__ry")
-    d = F.sqrt(dx * dx + dy * dy)
-    best = j.groupBy("__x", "__y").agg(F.min_by(F.struct(d.alias("dist"), F.col("__rid").alias("rid")),
-                                                F.struct(d, F.col("__rid"))).alias("__b"))
-    return best.select("__x", "__y", F.col("__b.dist").alias("dist"), F.col("__b.rid").alias("rid"))
+    from ..session import cut_lineage
+    levels: list[DataFrame] = []
+    most = n
+    while most > LEAF and len(levels) < DEPTH:
+        size = side / FAN ** (len(levels) + 1)
+        cells = (points.groupBy(_cell(F.col("__x") - x0, size).alias("cx"), _cell(F.col("__y") - y0, size).alias("cy"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.min("__x").alias("x_lo"), F.max("__x").alias("x_hi"),
+                      F.min("__y").alias("y_lo"), F.max("__y").alias("y_hi"))
+                 .withColumn("px", F.floor(F.col("cx") / FAN)).withColumn("py", F.floor(F.col("cy") / FAN)))
+        if levels:
+            above = levels[-1].where(F.col("n") > LEAF).select(F.col("cx").alias("px"), F.col("cy").alias("py"))
+            cells = cells.join(above, ["px", "py"], "left_semi")
+        levels.append(cut_lineage(cells))
+        most = levels[-1].agg(F.max("n")).first()[0]
+    return levels
 
 
 def nearest(left: DataFrame, right: DataFrame, lid: str, rid: str, xy: tuple[str, str] = ("x", "y"),
-            rxy: tuple[str, str] | None = None, cell: float = 1.0, max_dist: float = math.inf,
-            growth: float = 4.0, out_id: str = "near_id", out_dist: str = "dist") -> DataFrame:
+            rxy: tuple[str, str] | None = None, cell: float | None = None, max_dist: float = math.inf,
+            out_id: str = "near_id", out_dist: str = "dist") -> DataFrame:
     """Nearest right point to each left point, with its distance.
 
-    Exact: a level accepts a match only when its distance is ≤ that level's
-    cell size (nothing outside the searched block can be closer); unresolved
-    points move to the next, coarser level.  ``max_dist`` bounds the search
-    (G4): points with nothing within it get NULLs.  Ties on distance go to the
-    smaller right id.  ``max_dist=inf`` needs one bounded aggregate (the
-    extent) to know when to stop.
-
-    Hot spots: identical coordinates are searched once (left side distinct,
-    right side reduced to the smallest id per coordinate — exact, since ties
-    go to the smaller id), so repeated points never multiply the candidate
-    pairs; answers are joined back to the left rows on the coordinates.
+    Exact at any density.  The right points are counted into cells that are
+    split until they hold at most LEAF points.  The search goes down the
+    levels: a left point keeps the cells whose box can be nearer than the
+    farthest corner of its best box, so it meets the points of a few leaves
+    only, however many points lie close together or far away.  ``max_dist``
+    bounds the search (G4): points with nothing within it get NULLs.  Ties on
+    distance go to the smaller right id.  Missing, NaN or infinite coordinates
+    match nothing.  ``cell`` is accepted for earlier callers; sizes follow the
+    points now.
+
+    Identical coordinates are searched once (left side distinct, right side
+    reduced to the smallest id per coordinate), so repeated points never
+    multiply the candidate pairs; answers are joined back on the coordinates.
     """
+    from ..session import cut_lineage
     rxy = rxy or xy
     lx, ly = F.col(xy[0]).cast("double"), F.col(xy[1]).cast("double")
-    L = left.select(lx.alias("__x"), ly.alias("__y")).where("__x IS NOT NULL AND __y IS NOT NULL").distinct()
-    R = (right.select(F.col(rid), F.col(rxy[0]).cast("double").alias("__x"), F.col(rxy[1]).cast("double").alias("__y"))
-         .where("__x IS NOT NULL AND __y IS NOT NULL")
-         .groupBy("__x", "__y").agg(F.min(rid).alias(rid)))
-    limit = max_dist
-    if math.isinf(limit):
-        b = L.unionByName(R.drop(rid)).agg(
-            F.max("__x") - F.min("__x"), F.max("__y") - F.min("__y")).first()
-        limit = math.hypot(b[0] or 0.0, b[1] or 0.0) + cell
-    # Each level is computed once: the right side, every level's best matches
-    # and every (shrinking) unresolved set are materialised with reliable
-    # checkpoints, so a coarser level never recomputes the finer ones.
-    from ..session import cut_lineage
-    R = cut_lineage(R)
-    found, todo, size = [], cut_lineage(L), cell
-    while True:
-        last = size >= limit
-        m = cut_lineage(_nearest_level(todo, R, size, lid, rid))
-        ok = m.filter(F.col("dist") <= F.lit(min(size, limit)))
-        found.append(ok)
-        if last:
-            break
-        todo = cut_lineage(todo.join(ok.select("__x", "__y"), ["__x", "__y"], "left_anti"))
-        size = size * growth
-    res = found[0]
-    for f in found[1:]:
-        res = res.unionByName(f)
-    res = res.select(F.col("__x").alias("__rx_"), F.col("__y").alias("__ry_"), F.col("rid").alias(out_id),
-                     F.col("dist").alias(out_dist))
-    j = left.join(res, (lx == F.col("__rx_")) & (ly == F.col("__ry_")), "left")
-    return j.drop("__rx_", "__ry_")
+    finite = "abs(__x) < double('Infinity') AND abs(__y) < double('Infinity')"
+    todo = left.select(lx.alias("__x"), ly.alias("__y")).where(finite).distinct()
+    points = (right.select(F.col(rid).alias("__rid"), F.col(rxy[0]).cast("double").alias("__x"),
+                           F.col(rxy[1]).cast("double").alias("__y")).where(finite)
+              .groupBy("__x", "__y").agg(F.min("__rid").alias("__rid")))
+    x0, y0, x1, y1, n = points.agg(F.min("__x"), F.min("__y"), F.max("__x"), F.max("__y"), F.count(F.lit(1))).first()
+    if not n:
+        return left.select("*", F.lit(None).cast(right.schema[rid].dataType).alias(out_id),
+                           F.lit(None).cast("double").alias(out_dist))
+    side = max(x1 - x0, y1 - y0) or 1.0
+    levels = _density_cells(points, x0, y0, side, n)
+    at = Window.partitionBy("__x", "__y")
+    open_ = todo.select("__x", "__y", F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy"),
+                        F.lit(math.inf).alias("best"), F.lit(0.0).alias("gap"))
+    leaves = [] if levels else [open_.withColumn("level", F.lit(0))]
+    for k, cells in enumerate(levels, 1):
+        up = open_.select("__x", "__y", F.col("cx").alias("px"), F.col("cy").alias("py"), "best")
+        if k == 1:
+            cells = cells.withColumn("px", F.lit(0).cast("long")).withColumn("py", F.lit(0).cast("long"))
+        near = (up.join(cells, ["px", "py"])
+                .withColumn("gap", _norm(_gap("x_lo", "x_hi", "__x"), _gap("y_lo", "y_hi", "__y")))
+                .where((F.col("gap") <= F.col("best")) & (F.col("gap") <= F.lit(max_dist)))
+                .withColumn("far", _norm(_far("x_lo", "x_hi", "__x"), _far("y_lo", "y_hi", "__y")))
+                .withColumn("best", F.least("best", F.min("far").over(at))).where(F.col("gap") <= F.col("best")))
+        near = cut_lineage(near.select("__x", "__y", "cx", "cy", "best", "gap", "n"))
+        last = k == len(levels)
+        leaves.append((near if last else near.where(F.col("n") <= LEAF)).drop("n").withColumn("level", F.lit(k)))
+        open_ = near.where(F.col("n") > LEAF)
+    found = leaves[0]
+    for f in leaves[1:]:
+        found = found.unionByName(f)
+    # a leaf met early may lie beyond what lower levels found
+    found = found.withColumn("best", F.min("best").over(at)).where(F.col("gap") <= F.col("best"))
+
+    # the leaf of each right point: its cell on the one level where that cell is a leaf
+    path = F.array(*[F.struct(F.lit(k).alias("level"),
+                              (F.lit(0).cast("long") if not k else _cell(F.col("__x") - x0, side / FAN ** k)).alias("cx"),
+                              (F.lit(0).cast("long") if not k else _cell(F.col("__y") - y0, side / FAN ** k)).alias("cy"))
+                     for k in (range(1, len(levels) + 1) if levels else [0])])
+    spread = points.select("__rid", F.col("__x").alias("__rx"), F.col("__y").alias("__ry"), F.explode(path).alias("c"))
+    spread = spread.select("__rid", "__rx", "__ry", "c.*")
+    pairs = found.select("__x", "__y", "level", "cx", "cy").join(spread, ["level", "cx", "cy"])
+    d = _norm(F.col("__x") - F.col("__rx"), F.col("__y") - F.col("__ry"))
+    best = (pairs.withColumn("d", d).where(F.col("d") <= F.lit(max_dist)).groupBy("__x", "__y")
+            .agg(F.min(F.struct("d", "__rid")).alias("b")))
+    res = best.select(F.col("__x").alias("__lx"), F.col("__y").alias("__ly"), F.col("b.__rid").alias(out_id),
+                      F.col("b.d").alias(out_dist))
+    j = left.join(res, (lx == F.col("__lx")) & (ly == F.col("__ly")), "left")
+    return j.drop("__lx", "__ly")
 
 
 def ring(points: Sequence[tuple[float, float]]) -> Column:
@@ -127,44 +165,72 @@ def polygons_table(spark, rings: dict, name: str = "name", ring_name: str = "rin
     return spark.createDataFrame(rows, f"{name} string, {ring_name} {RING_SCHEMA}")
 
 
-def contains(ring_col: Column, x: Column, y: Column) -> Column:
-    """Even-odd ray crossing test of point (x, y) against a closed ring."""
-    edges = F.arrays_zip(F.slice(ring_col, 1, F.size(ring_col) - 1).alias("a"),
-                         F.slice(ring_col, 2, F.size(ring_col) - 1).alias("b"))
+def contains(ring_col: Column, x: Column, y: Column, parts: bool = False) -> Column:
+    """Even-odd ray crossing test of point (x, y) against a closed ring.
+
+    With ``parts`` the column is an array of rings: outer rings of several
+    parts and holes alike, in any order.
+    """
+    def inside(one: Column) -> Column:
+        edges = F.arrays_zip(F.slice(one, 1, F.size(one) - 1).alias("a"),
+                             F.slice(one, 2, F.size(one) - 1).alias("b"))
+
+        def step(acc, e):
+            x1, y1, x2, y2 = e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]
+            crosses = ((y1 > y) != (y2 > y)) & (x < F.try_divide((x2 - x1) * (y - y1), y2 - y1) + x1)
+            return acc != F.coalesce(crosses, F.lit(False))
 
-    def step(acc, e):
-        x1, y1, x2, y2 = e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]
-        crosses = ((y1 > y) != (y2 > y)) & (x < F.try_divide((x2 - x1) * (y - y1), y2 - y1) + x1)
-        return acc != F.coalesce(crosses, F.lit(False))
+        return F.aggregate(edges, F.lit(False), step)
 
-    return F.aggregate(edges, F.lit(False), step)
+    return F.aggregate(ring_col, F.lit(False), lambda acc, one: acc != inside(one)) if parts else inside(ring_col)
+
+
+#: A polygon's cover has at most this many cells along a side, and one more.
+COVER = 16
 
 
 def within(points: DataFrame, polygons: DataFrame, pid: str, ring_name: str = "ring",
            xy: tuple[str, str] = ("x", "y"), cell: float = 1.0, how: str = "inner") -> DataFrame:
     """Point-in-polygon join (G2 G3); ``how='left'`` keeps points outside all polygons.
 
-    Polygons are registered in every grid cell of their bounding box (an
-    ``explode`` of a ``sequence``), points in their own cell; the equi-join
-    on the cell carries the exact crossing test as its residual condition,
-    so inner and left joins are both a single pass over the points.
+    ``ring_name`` holds one ring or an array of rings (parts and holes).  Each
+    polygon is covered by cells of the size ``cell * 4^level``, the smallest
+    that needs at most COVER of them along a side, so a polygon of any extent
+    makes a bounded number of rows.  Points join once a level in use (a few
+    numbers, found by one aggregate over the polygons); the exact crossing
+    test is the residual condition of that equi-join.
     """
-    xs = F.transform(F.col(ring_name), lambda p: p["x"])
-    ys = F.transform(F.col(ring_name), lambda p: p["y"])
-    pg = polygons.select("*", _cell(F.array_min(xs), cell).alias("__x0"), _cell(F.array_max(xs), cell).alias("__x1"),
-                         _cell(F.array_min(ys), cell).alias("__y0"), _cell(F.array_max(ys), cell).alias("__y1"))
-    pg = (pg.withColumn("__kx", F.explode(F.sequence("__x0", "__x1")))
-          .withColumn("__ky", F.explode(F.sequence("__y0", "__y1")))
-          .drop("__x0", "__x1", "__y0", "__y1"))
-    pg = pg.withColumnRenamed("__kx", "__pkx").withColumnRenamed("__ky", "__pky")
+    parts = polygons.schema[ring_name].dataType.elementType.typeName() == "array"
+    corners = F.flatten(ring_name) if parts else F.col(ring_name)
+    xs, ys = F.transform(corners, lambda p: p["x"]), F.transform(corners, lambda p: p["y"])
+    lo_hi = [F.array_min(xs), F.array_max(xs), F.array_min(ys), F.array_max(ys)]
+    extent = F.greatest(lo_hi[1] - lo_hi[0], lo_hi[3] - lo_hi[2])
+    level = F.greatest(F.ceil(F.log(4.0, F.greatest(extent, F.lit(cell)) / (COVER * cell))), F.lit(0))
+    pg = polygons.withColumn("__plevel", level.cast("int")).where("__plevel IS NOT NULL")
+    levels = sorted(r[0] for r in pg.select("__plevel").distinct().collect())
+    size = F.lit(cell) * F.pow(F.lit(4.0), F.col("__plevel"))
+    spans = [F.floor(c / size).cast("long") for c in lo_hi]
+    pg = (pg.withColumn("__pkx", F.explode(F.sequence(spans[0], spans[1])))
+          .withColumn("__pky", F.explode(F.sequence(spans[2], spans[3]))))
+
     px, py = F.col(xy[0]).cast("double"), F.col(xy[1]).cast("double")
-    pt = points.select("*", _cell(px, cell).alias("__kx"), _cell(py, cell).alias("__ky"))
-    # equi-join on the cell, crossing test as the join's residual condition:
-    # one pass for inner and left (unmatched points keep NULL polygon columns)
-    cond = ((F.col("__kx") == F.col("__pkx")) & (F.col("__ky") == F.col("__pky"))
-            & contains(F.col(ring_name), px, py))
-    j = pt.join(pg, cond, "left" if how == "left" else "inner")
-    return j.drop("__kx", "__ky", "__pkx", "__pky", ring_name)
+    cond = ((F.col("__level") == F.col("__plevel")) & (F.col("__kx") == F.col("__pkx"))
+            & (F.col("__ky") == F.col("__pky")) & contains(F.col(ring_name), px, py, parts))
+    extra = ["__level", "__plevel", "__kx", "__ky", "__pkx", "__pky", ring_name]
+
+    def placed(df: DataFrame) -> DataFrame:
+        keys = [F.struct(F.lit(k).alias("__level"), _cell(px, cell * 4.0 ** k).alias("__kx"),
+                         _cell(py, cell * 4.0 ** k).alias("__ky")) for k in levels or [0]]
+        if len(keys) == 1:  # nothing to repeat
+            return df.select("*", *[keys[0][f].alias(f) for f in ("__level", "__kx", "__ky")])
+        return df.withColumn("__at", F.explode(F.array(*keys))).select("*", "__at.*").drop("__at")
+
+    if how != "left" or len(levels) <= 1:
+        return placed(points).join(pg, cond, "left" if how == "left" else "inner").drop(*extra)
+    # matches of each distinct place over all levels, then back to the points
+    spots = points.select(px.alias(xy[0]), py.alias(xy[1])).distinct()
+    hits = placed(spots).join(pg, cond).drop(*extra).withColumnsRenamed({xy[0]: "__hx", xy[1]: "__hy"})
+    return points.join(hits, (px == F.col("__hx")) & (py == F.col("__hy")), "left").drop("__hx", "__hy")
 
 
 # --- coordinate transforms (G5): transverse Mercator series, public formulas.

@@ -13,7 +13,6 @@ from ..operators import spatial as G
 from ..operators.joins import join_na
 from .registry import Tables, query
 
-NEAR_MAX = 0.05      # search radius (G4)
 NEAR_OK = 0.03       # matches farther than this are reported as Unknown (Q5)
 
 
@@ -29,17 +28,17 @@ l AS (SELECT vec_id, x, y FROM p WHERE label = 0),
 r AS (SELECT vec_id AS rid, x AS rx, y AS ry FROM p WHERE label <> 0),
 c AS (SELECT l.vec_id, r.rid, sqrt((l.x - r.rx) * (l.x - r.rx) + (l.y - r.ry) * (l.y - r.ry)) AS d FROM l, r),
 b AS (SELECT vec_id, rid, d FROM (
-        SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, rid) AS rn FROM c WHERE d <= {NEAR_MAX})
+        SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, rid) AS rn FROM c)
       WHERE rn = 1)
 SELECT l.vec_id, b.rid AS near_id, CAST(round(CAST(b.d AS DECIMAL(38,10)), 6) AS DOUBLE) AS dist,
        CASE WHEN b.d IS NULL OR b.d > {NEAR_OK} THEN 'Unknown' ELSE 'matched' END AS status
 FROM l LEFT JOIN b ON l.vec_id = b.vec_id""")
 def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each label-0 point's nearest point of another label (exact grid search, radius 0.05)."""
+    """Each label-0 point's nearest point of another label ; far matches keep their distance and are labelled."""
     p = _points(Tables(spark, sf_dir))
     left = p.filter(F.col("label") == 0).select("vec_id", "x", "y")
     right = p.filter(F.col("label") != 0).select(F.col("vec_id").alias("rid"), "x", "y")
-    m = G.nearest(left, right, "vec_id", "rid", cell=0.01, max_dist=NEAR_MAX)
+    m = G.nearest(left, right, "vec_id", "rid")
     return m.select("vec_id", "near_id", round_half_up("dist", 6).alias("dist"),
                     F.when(F.col("dist").isNull() | (F.col("dist") > NEAR_OK), "Unknown")
                     .otherwise("matched").alias("status"))

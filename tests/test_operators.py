@@ -69,6 +69,41 @@ def test_nearest_matches_brute_force(spark):
         assert capped[i] == (rid if d <= 0.05 else None)
 
 
+def test_nearest_dense_far_and_tied_points(spark):
+    rnd = random.Random(7)
+    # most points in a speck, a few far away, whole-number places with ties, missing and NaN
+    speck = lambda: (rnd.random() * 1e-3, rnd.random() * 1e-3)
+    right = [(i, *(speck() if i % 3 else (float(rnd.randrange(5)), float(rnd.randrange(5))))) for i in range(900)]
+    right += [(2000, 1e6, -1e6), (2001, None, 0.0), (2002, float("nan"), 0.0)]
+    left = [(i, *(speck() if i % 2 else (float(rnd.randrange(5)), float(rnd.randrange(5))))) for i in range(300)]
+    left += [(900, 9e5, -9e5), (901, None, 1.0), (902, float("nan"), 1.0)]
+    L = spark.createDataFrame(left, "id long, x double, y double")
+    R = spark.createDataFrame(right, "rid long, x double, y double")
+    got = {r.id: (r.near_id, r.dist) for r in G.nearest(L, R, "id", "rid").collect()}
+    assert len(got) == len(left)
+    known = [(j, a, b) for j, a, b in right if j < 2001]
+    for i, x, y in left[:-2]:
+        d, rid = min((math.sqrt((x - a) * (x - a) + (y - b) * (y - b)), j) for j, a, b in known)
+        assert got[i] == (rid, d)
+    assert got[901] == got[902] == (None, None)
+    assert {r.near_id for r in G.nearest(L, R.limit(0), "id", "rid").collect()} == {None}
+
+
+def test_within_large_polygon_with_hole_and_parts(spark):
+    def square(x, y, half):
+        return [(x - half, y - half), (x + half, y - half), (x + half, y + half), (x - half, y + half),
+                (x - half, y - half)]
+    polys = spark.createDataFrame(
+        [("wide", [square(0.0, 0.0, 1e6), square(0.0, 0.0, 1.0), square(5e6, 0.0, 10.0)]),
+         ("small", [square(0.0, 0.0, 1.0)])], f"name string, ring array<{G.RING_SCHEMA}>")
+    pts = spark.createDataFrame([(1, 0.0, 0.0), (2, 5.0, 5.0), (3, 2e6, 0.0), (4, None, 1.0), (5, 5e6, 1.0),
+                                 (2, 5.0, 5.0)], "id long, x double, y double")
+    inner = sorted((r.id, r.name) for r in G.within(pts, polys, "id").collect())
+    assert inner == [(1, "small"), (2, "wide"), (2, "wide"), (5, "wide")]
+    left = [(r.id, r.name) for r in G.within(pts, polys, "id", how="left").collect()]
+    assert sorted(left, key=str) == sorted(inner + [(3, None), (4, None)], key=str)
+
+
 def test_within_polygon(spark):
     pts = spark.createDataFrame([(1, 0.2, 0.2), (2, 0.9, 0.9), (3, -0.5, 0.5), (4, 5.0, 5.0)],
                                 "id long, x double, y double")

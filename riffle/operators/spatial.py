@@ -44,7 +44,7 @@ def _norm(dx: Column, dy: Column) -> Column:
 
 
 #: A cell with more points is split into FAN x FAN; cells are split at most DEPTH times.
-LEAF, FAN, DEPTH = 32, 4, 25
+LEAF, FAN, DEPTH = 256, 4, 25
 
 
 def _density_cells(points: DataFrame, x0: float, y0: float, side: float, n: int) -> list[DataFrame]:

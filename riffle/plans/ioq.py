@@ -64,7 +64,7 @@ def snapshot_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'csv' AS format, count(*) AS n FROM nation
 UNION ALL SELECT 'csv_numeric_cols', 2
 UNION ALL SELECT 'geojson', count(*) FROM embeddings
-UNION ALL SELECT 'gpx', count(*) FROM events WHERE event_type = 'view'
+UNION ALL SELECT 'gpx', count(*) FROM events
 UNION ALL SELECT 'kept_cols', 3
 UNION ALL SELECT 'files_listed', CAST(count(*) > 0 AS BIGINT) FROM embeddings""")
 def formats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,8 +79,7 @@ def formats(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.col("embedding")[1].cast("double").alias("y"))
     K.write_geojson(pts, f"{root}/geo", "x", "y", ["vec_id"], layer="label")
     geo = S.read_geojson(spark, f"{root}/geo")
-    ev = t.events.filter(F.col("event_type") == "view").select("ts", (F.col("value") / 100).alias("lat"),
-                                                              (F.col("user_id") / 10.0).alias("lon"), "value")
+    ev = t.events.select("ts", (F.col("value") / 100).alias("lat"), (F.col("user_id") / 10.0).alias("lon"), "value")
     K.write_gpx(ev, f"{root}/gpx", "lon", "lat", "ts", ele="value")
     gpx = S.read_gpx_points(spark, f"{root}/gpx")
     wide = csv.withColumn("empty", F.lit(None).cast("string"))

@@ -113,19 +113,20 @@ def transform_crs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     round_half_up("lon_alb", 6).alias("lon_alb"), round_half_up("lat_alb", 6).alias("lat_alb"))
 
 
-def _recorder(e: DataFrame, etype: str, with_ele: bool) -> DataFrame:
+def _recorder(e: DataFrame, etypes: list[str], with_ele: bool) -> DataFrame:
     cols = [F.col("event_id").alias("wp_event_id"), (F.col("event_id") % 2000).cast("string").alias("name"),
             F.col("ts").alias("time"), (F.col("value") * 1000).alias("easting"),
             (F.col("user_id") * 10.0).alias("northing")]
     if with_ele:
         cols.append(F.col("value").alias("ele"))
-    return e.filter(F.col("event_type") == etype).select(*cols)
+    return e.filter(F.col("event_type").isin(*etypes)).select(*cols)
 
 
 @query("waypoint_merge", ids="G7 X5 W1", sql="""
 WITH wp0 AS (
   SELECT event_id AS wp_event_id, CAST(event_id % 2000 AS DOUBLE) AS n, ts AS time, value * 1000 AS easting,
-         CAST(user_id * 10 AS DOUBLE) AS northing, value AS ele, 'R1' AS source FROM events WHERE event_type = 'view'
+         CAST(user_id * 10 AS DOUBLE) AS northing, value AS ele, 'R1' AS source
+  FROM events WHERE event_type IN ('view', 'signup')
   UNION ALL
   SELECT event_id, CAST(event_id % 2000 AS DOUBLE), ts, value * 1000, CAST(user_id * 10 AS DOUBLE), NULL, 'R2'
   FROM events WHERE event_type = 'click'),
@@ -136,15 +137,15 @@ wp2 AS (SELECT *, CAST(CAST(name_old AS BIGINT) AS VARCHAR) || '_' || source ||
 wp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY time DESC, wp_event_id) AS rn FROM wp2)
        WHERE rn = 1),
 pr AS (SELECT event_id, CAST(event_id % 200 AS VARCHAR) || '_' || CASE WHEN user_id % 2 = 0 THEN 'R1' ELSE 'R2' END
-              || '_' || CAST(year(ts) AS VARCHAR) AS wp_key FROM events WHERE event_type = 'purchase')
+              || '_' || CAST(year(ts) AS VARCHAR) AS wp_key FROM events WHERE event_type NOT IN ('view', 'signup', 'click'))
 SELECT pr.event_id, pr.wp_key, wp.wp_event_id, wp.easting, wp.northing, wp.ele
 FROM pr LEFT JOIN wp ON pr.wp_key = wp.name""")
 def waypoint_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two recorders' waypoints cleaned, keyed by name_source_year, joined to sites."""
     e = Tables(spark, sf_dir).events
-    wp = G.merge_waypoints({"R1": _recorder(e, "view", True), "R2": _recorder(e, "click", False)},
+    wp = G.merge_waypoints({"R1": _recorder(e, ["view", "signup"], True), "R2": _recorder(e, ["click"], False)},
                            order=["wp_event_id"])
-    pr = e.filter(F.col("event_type") == "purchase").select(
+    pr = e.filter(~F.col("event_type").isin("view", "signup", "click")).select(
         "event_id", F.concat((F.col("event_id") % 200).cast("string"), F.lit("_"),
                              F.when(F.col("user_id") % 2 == 0, "R1").otherwise("R2"), F.lit("_"),
                              F.year("ts").cast("string")).alias("wp_key"))

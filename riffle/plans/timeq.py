@@ -23,17 +23,17 @@ def _r(expr: str, d: int) -> str:
 WITH p AS (SELECT event_id, ts, user_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS own_value
            FROM events WHERE event_type = 'purchase'),
 v AS (SELECT event_id AS r_event_id, ts AS r_ts, user_id AS v_user, value AS r_value
-      FROM events WHERE event_type = 'view')
+      FROM events WHERE event_type <> 'purchase')
 SELECT p.event_id, p.ts, p.user_id, p.own_value, v.r_event_id, v.r_ts, v.r_value,
        coalesce(p.own_value, v.r_value) AS value_filled
 FROM p ASOF LEFT JOIN v ON p.user_id = v.v_user AND p.ts >= v.r_ts""")
 def asof_backward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each purchase gets the user's latest view at or before it; own value else the view's."""
+    """Each purchase gets the user's latest other event at or before it; own value else that one's."""
     e = Tables(spark, sf_dir).events
     p = e.filter(F.col("event_type") == "purchase").select(
         "event_id", "ts", "user_id",
         F.when(F.col("event_id") % 3 == 0, F.lit(None)).otherwise(F.col("value")).alias("own_value"))
-    v = e.filter(F.col("event_type") == "view").select("event_id", "ts", "user_id", "value")
+    v = e.filter(F.col("event_type") != "purchase").select("event_id", "ts", "user_id", "value")
     m = T.asof(p, v, "ts", by=["user_id"], cols=["event_id", "value"])
     return m.withColumn("value_filled", F.coalesce("own_value", "r_value"))
 

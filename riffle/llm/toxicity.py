@@ -19,21 +19,22 @@ no rows; other columns are not read.
 
 from __future__ import annotations
 
-import math
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import scratch_table, slices_by_bytes, unique_name
 
 ORDER, PASSAGE, FOLDS = 5, 8, 5
-#: Bounds: n-grams the model keeps (the most frequent), rows of the logistic fit, words a task remembers.
-MAX_GRAMS, FIT_ROWS, WORDS = 600_000, 6_000, 400_000
+#: Bounds: n-grams of a model that tasks hold in memory (larger ones are joined), rows of the logistic fit,
+#: words a task remembers, text bytes of a slice that is joined.
+MAX_GRAMS, FIT_ROWS, WORDS, SLICE = 600_000, 6_000, 400_000, 16 << 20
 LETTERS = re.compile(r"[^\W\d_]+")
 START, END = "\x02", "\x03"
 
@@ -70,87 +71,103 @@ def gram_counts(rows: DataFrame) -> DataFrame:
             .groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")))
 
 
-class Model:
-    """Log-likelihood ratios of n-grams, computed once from their counts.
-
-    ``seen``: ratio of each n-gram seen; ``context``: ratio of any other
-    n-gram after a seen context (the classes' backoff weights; the shared
-    lower order cancels out).
-    """
+class Lookup:
+    """The ratios of a model that fits a task's memory."""
 
-    def __init__(self, counts: list[tuple[str, int, int]]):
-        top: list[Counter] = [Counter(), Counter()]   # tokens after a context, per class
-        kinds: list[Counter] = [Counter(), Counter()]  # distinct characters after it
-        ones = twos = 0
-        for g, *n in counts:
-            for y in (0, 1):
-                if n[y]:
-                    top[y][g[:-1]] += n[y]
-                    kinds[y][g[:-1]] += 1
-                    ones += n[y] == 1
-                    twos += n[y] == 2
-        self.discount = d = ones / (ones + 2 * twos) if ones else 0.5
-        # Shared continuation counts: of how many kinds are the characters before a string?
-        follow: dict[int, Counter] = {}
-        longer = {g for g, *_ in counts}
-        for k in range(ORDER - 1, 0, -1):
-            follow[k] = Counter(g[1:] for g in longer)
-            longer = set(follow[k])
-        total, spread = {}, {}
-        for k, c in follow.items():
-            total[k], spread[k] = Counter(), Counter()
-            for g, n in c.items():
-                total[k][g[:-1]] += n
-                spread[k][g[:-1]] += 1
-        letters = max(1, len(follow[1])) if counts else 1
-        memo: dict[str, float] = {"": 1 / letters}
-
-        def shared(g: str) -> float:
-            if g not in memo:
-                k, h = len(g), g[:-1]
-                t = total[k][h]
-                memo[g] = (max(follow[k][g] - 0.75, 0) / t + 0.75 * spread[k][h] / t * shared(g[1:])
-                           if t else shared(g[1:]))
-            return memo[g]
-
-        def weight(y: int, h: str) -> float:
-            return d * kinds[y][h] / top[y][h] if top[y][h] else 1.0
-
-        self.context = {h: math.log(weight(1, h) / weight(0, h)) for h in top[0].keys() | top[1].keys()}
+    def __init__(self, seen: dict[str, float], context: dict[str, float]):
+        self.seen, self.context = seen, context
         self.known: dict[str, float] = {}  # words' ratios, filled by tasks
-        self.seen = {}
-        for g, *n in counts:
-            h, back = g[:-1], shared(g[1:])
-            p = [(max(n[y] - d, 0) / top[y][h] if top[y][h] else 0.0) + weight(y, h) * back for y in (0, 1)]
-            self.seen[g] = math.log(p[1] / p[0])
 
     def word(self, word: str) -> float:
         seen, context = self.seen, self.context
         return sum(seen[g] if g in seen else context.get(g[:-1], 0.0) for g in word_grams(word))
 
 
-def features(rows: DataFrame, model, text_col: str = "text", names: list[str] = ["mean", "passage"]) -> DataFrame:
-    """All columns, with the ``mean`` and ``passage`` evidence of the text; ``model`` is a broadcast Model."""
+class Model:
+    """Tables of log-likelihood ratios of n-grams, computed from all their counts.
+
+    ``seen`` (``gram, ratio``): ratio of each n-gram seen; ``context`` (``h,
+    backoff``): ratio of any other n-gram after a seen context (the classes'
+    backoff weights; the shared lower order cancels out).  ``lookup`` is a
+    broadcast Lookup of both if there are no more than ``in_memory`` n-grams,
+    else None: then slices of the texts are joined to the tables.
+    """
+
+    def __init__(self, counts: DataFrame, in_memory: int):
+        spark = counts.sparkSession
+        times = lambda k: sum((F.col(c) == k).cast("long") for c in ("ordinary", "toxic"))
+        n, ones, twos = counts.agg(F.count(F.lit(1)), F.sum(times(1)), F.sum(times(2))).first()
+        self.discount = d = ones / (ones + 2 * twos) if ones else 0.5
+        # Shared continuation counts: of how many kinds are the characters before a string?
+        follow, longer = {}, counts
+        for k in range(ORDER - 1, 0, -1):
+            follow[k] = longer = scratch_table(
+                longer.groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count(F.lit(1)).alias("n")),
+                f"toxic-follow{k}")
+        letters, total = follow[1].agg(F.count(F.lit(1)), F.sum("n")).first()
+        shared = follow[1].select("gram", ((F.greatest(F.col("n") - 0.75, F.lit(0.0)) + 0.75) / total).alias("p"))
+        for k in range(2, ORDER):
+            after = Window.partitionBy(F.substring("gram", 1, k - 1))  # a row a character
+            rows = follow[k].withColumn("t", F.sum("n").over(after)).withColumn("kinds", F.count(F.lit(1)).over(after))
+            shared = (rows.withColumn("end", F.substring("gram", 2, k - 1))
+                      .join(shared.select(F.col("gram").alias("end"), F.col("p").alias("back")), "end")
+                      .select("gram", ((F.greatest(F.col("n") - 0.75, F.lit(0.0)) + 0.75 * F.col("kinds") * F.col("back"))
+                                       / F.col("t")).alias("p")))
+        context, chance = counts.withColumn("h", F.substring("gram", 1, ORDER - 1)), {}
+        tops = context.groupBy("h").agg(*[e for y in ("ordinary", "toxic") for e in (
+            F.sum(y).alias(f"{y}_top"), F.sum((F.col(y) > 0).cast("long")).alias(f"{y}_kinds"))])
+        for y in ("ordinary", "toxic"):
+            top = F.col(f"{y}_top")
+            tops = tops.withColumn(f"{y}_weight", F.when(top > 0, d * F.col(f"{y}_kinds") / top).otherwise(1.0))
+            chance[y] = (F.when(top > 0, F.greatest(F.col(y) - d, F.lit(0.0)) / top).otherwise(0.0)
+                         + F.col(f"{y}_weight") * F.col("p"))
+        tops = scratch_table(tops, "toxic-contexts")
+        self.context = tops.select("h", F.log(F.col("toxic_weight") / F.col("ordinary_weight")).alias("backoff"))
+        self.seen = scratch_table(
+            context.join(tops, "h").withColumn("end", F.substring("gram", 2, ORDER - 1))
+            .join(shared.withColumnRenamed("gram", "end"), "end")
+            .select("gram", F.log(chance["toxic"] / chance["ordinary"]).alias("ratio")), "toxic-ratios")
+        # in_memory rows of each table at most
+        self.lookup = spark.sparkContext.broadcast(Lookup(
+            {g: x for g, x in self.seen.collect()}, {h: x for h, x in self.context.collect()})) if n <= in_memory else None
+
+
+def evidence(words: list[list[str]], known: dict[str, float]) -> tuple[list[float], list[float]]:
+    """``mean`` and ``passage`` of texts given as words, by the words' ratios."""
+    mean, passage = [], []
+    for text in words:
+        x = np.fromiter(map(known.__getitem__, text), float, len(text))
+        sums = np.concatenate([[0.0], np.cumsum(x)])
+        ends = sums[PASSAGE:] - sums[:-PASSAGE] if len(x) > PASSAGE else sums[-1:]
+        mean.append(sums[-1] / max(len(x), PASSAGE))
+        passage.append(ends.max() / PASSAGE)
+    return mean, passage
+
+
+def split(texts) -> list[list[str]]:
+    return [LETTERS.findall((t or "").lower()) for t in texts]
+
+
+def features(rows: DataFrame, model: Model, text_col: str = "text",
+             names: list[str] = ["mean", "passage"]) -> DataFrame:
+    """All columns, with the ``mean`` and ``passage`` evidence of the text."""
     schema = T.StructType([*rows.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+    lookup = model.lookup
+    if lookup is None:
+        return _features_by_slice(rows, model, text_col, names, schema)
 
     def run(batches):
-        own: Model = model.value  # a worker's one copy
+        own: Lookup = lookup.value  # a worker's one copy
         known = own.known
         for batch in batches:
             for part in slices_by_bytes(batch, text_col):
                 if len(known) > WORDS:
                     known.clear()
-                split = [LETTERS.findall((t or "").lower()) for t in part.column(text_col).to_pylist()]
-                for w in set().union(*split):
+                words = split(part.column(text_col).to_pylist())
+                for w in set().union(*words):
                     if w not in known:
                         known[w] = own.word(w)
-                mean, passage = [], []
-                for words in split:
-                    x = np.fromiter(map(known.__getitem__, words), float, len(words))
-                    sums = np.concatenate([[0.0], np.cumsum(x)])
-                    ends = sums[PASSAGE:] - sums[:-PASSAGE] if len(x) > PASSAGE else sums[-1:]
-                    mean.append(sums[-1] / max(len(x), PASSAGE))
-                    passage.append(ends.max() / PASSAGE)
+                mean, passage = evidence(words, known)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(mean, pa.float64()), pa.array(passage, pa.float64())],
                     [*part.schema.names, *names])
@@ -158,6 +175,46 @@ def features(rows: DataFrame, model, text_col: str = "text", names: list[str] =
     return rows.mapInArrow(run, schema)
 
 
+def _features_by_slice(rows: DataFrame, model: Model, text_col: str, names: list[str],
+                       schema: T.StructType) -> DataFrame:
+    """The same for a model of any size: each slice of the texts asks once for each n-gram it holds."""
+    (tag,) = unique_name(rows, "slice")
+
+    def cut(batches):
+        for batch in batches:
+            for part in slices_by_bytes(batch, text_col, SLICE):
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([uuid.uuid4().hex] * part.num_rows, pa.string())],
+                                                 [*part.schema.names, tag])
+
+    def ask(batches):
+        for batch in batches:
+            grams: dict[str, set[str]] = {}
+            for s, words in zip(batch.column("slice").to_pylist(), split(batch.column("text").to_pylist())):
+                grams.setdefault(s, set()).update(g for w in set(words) for g in word_grams(w))
+            for s, own in grams.items():
+                yield pa.RecordBatch.from_arrays([pa.array([s] * len(own), pa.string()), pa.array(list(own), pa.string())],
+                                                 ["slice", "gram"])
+
+    def answer(texts: pa.Table, ratios: pa.Table) -> pa.Table:
+        own = Lookup(dict(zip(ratios.column("gram").to_pylist(), ratios.column("x").to_pylist())), {})
+        words = split(texts.column(text_col).to_pylist())
+        mean, passage = evidence(words, {w: own.word(w) for w in set().union(*words)})
+        out = texts.drop_columns([tag])
+        for name, values in zip(names, (mean, passage)):
+            out = out.append_column(name, pa.array(values, pa.float64()))
+        return out
+
+    # written, so that a slice's name is the same wherever it is read
+    texts = scratch_table(rows.mapInArrow(cut, T.StructType([*rows.schema.fields, T.StructField(tag, T.StringType())])),
+                          "toxic-slices")
+    asked = (texts.select(F.col(tag).alias("slice"), F.col(text_col).alias("text"))
+             .mapInArrow(ask, "slice string, gram string").distinct())
+    ratios = (asked.join(model.seen.hint("merge"), "gram", "left").withColumn("h", F.substring("gram", 1, ORDER - 1))
+              .join(model.context.hint("merge"), "h", "left")
+              .select("slice", "gram", F.coalesce("ratio", "backoff", F.lit(0.0)).alias("x")))
+    return texts.groupBy(tag).cogroup(ratios.groupBy("slice")).applyInArrow(answer, schema)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
     """Weights (the first is the constant) by Newton's rounds with a small ridge; classes weigh alike."""
     x = np.column_stack([np.ones(len(x)), x])
@@ -177,8 +234,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", max_grams: int = MAX_GRAMS, fit_rows: int = FIT_ROWS):
-    """A broadcast Model and the logistic weights; None without rows of both classes."""
-    spark = docs.sparkSession
+    """A Model and the logistic weights; None without rows of both classes."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("doc_id")).agg(F.max((F.col(label_col) != 0).cast("int")).alias("toxic"))
@@ -187,18 +243,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              # labels grow with the documents, so they are never broadcast
              .join(known.where(F.col("fold").between(1, FOLDS - 2)).drop("fold").hint("merge"), "doc_id"))
     counts = scratch_table(gram_counts(learn), "toxic-grams")
-    # max_grams rows at most
-    kept = [tuple(r) for r in counts.orderBy(F.desc(F.col("ordinary") + F.col("toxic")), "gram")
-            .limit(max_grams).select("gram", "ordinary", "toxic").collect()]
     ids = None
     for y in (0, 1):  # fit_rows / 2 of each class at most
         own = (known.where((F.col("fold") == FOLDS - 1) & (F.col("toxic") == y))
                .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows // 2).select("doc_id", "toxic"))
         ids = own if ids is None else ids.union(own)
     fit_ids = scratch_table(ids, "toxic-fit")
-    if not sum(r[1] for r in kept) or not sum(r[2] for r in kept):
+    if not all(counts.agg(F.sum("ordinary"), F.sum("toxic")).first()):
         return None
-    model = spark.sparkContext.broadcast(Model(kept))
+    model = Model(counts, max_grams)
     fit = features(texts.join(F.broadcast(fit_ids), "doc_id"), model).select("toxic", "mean", "passage").collect()
     y = np.array([r["toxic"] for r in fit])
     if len(set(y.tolist())) < 2:

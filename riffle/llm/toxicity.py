@@ -7,8 +7,9 @@ by both classes, so an expression that neither class has seen often is scored
 alike by both.  A word's evidence is the log-likelihood it has under the toxic
 model less that under the ordinary one.  A text is judged by two length-
 normalised figures, the mean over the text and the mean over its strongest
-passage of a few words, turned to a probability by a logistic fit on training
-rows that the counts have not seen.
+passage of a few words, turned to a probability by a logistic fit on a bounded
+sample of training rows that the counts have not seen; the sample is counted
+too once the fit is done.
 
 Defined results: null and empty texts get the score of a text without
 evidence; rows without a label (or a null one) train nothing; a document with
@@ -40,7 +41,7 @@ START, END = "\x02", "\x03"
 
 
 def fold(id_col: str) -> Column:
-    """crc32 of the id as text, modulo FOLDS; fold 0 is held out, the last one fits the logistic."""
+    """crc32 of the id as text, modulo FOLDS; fold 0 is held out, the logistic's sample is of the last one."""
     return (F.crc32(F.encode(F.coalesce(F.col(id_col).cast("string"), F.lit("")), "UTF-8")) % FOLDS).cast("int")
 
 
@@ -131,6 +132,10 @@ class Model:
         self.lookup = spark.sparkContext.broadcast(Lookup(
             {g: x for g, x in self.seen.collect()}, {h: x for h, x in self.context.collect()})) if n <= in_memory else None
 
+    def close(self) -> None:
+        if self.lookup is not None:
+            self.lookup.unpersist()
+
 
 def evidence(words: list[list[str]], known: dict[str, float]) -> tuple[list[float], list[float]]:
     """``mean`` and ``passage`` of texts given as words, by the words' ratios."""
@@ -239,24 +244,30 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("doc_id")).agg(F.max((F.col(label_col) != 0).cast("int")).alias("toxic"))
              .withColumn("fold", fold("doc_id")))
-    learn = (texts.where(fold("doc_id").between(1, FOLDS - 2))
-             # labels grow with the documents, so they are never broadcast
-             .join(known.where(F.col("fold").between(1, FOLDS - 2)).drop("fold").hint("merge"), "doc_id"))
-    counts = scratch_table(gram_counts(learn), "toxic-grams")
     ids = None
     for y in (0, 1):  # fit_rows / 2 of each class at most
         own = (known.where((F.col("fold") == FOLDS - 1) & (F.col("toxic") == y))
                .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows // 2).select("doc_id", "toxic"))
         ids = own if ids is None else ids.union(own)
     fit_ids = scratch_table(ids, "toxic-fit")
+    sample = texts.join(F.broadcast(fit_ids), "doc_id")
+    learn = (texts.where(fold("doc_id") > 0)
+             # labels grow with the documents, so they are never broadcast
+             .join(known.where("fold > 0").drop("fold").join(F.broadcast(fit_ids), "doc_id", "left_anti").hint("merge"),
+                   "doc_id"))
+    counts = scratch_table(gram_counts(learn), "toxic-grams", release=True)
     if not all(counts.agg(F.sum("ordinary"), F.sum("toxic")).first()):
         return None
     model = Model(counts, max_grams)
-    fit = features(texts.join(F.broadcast(fit_ids), "doc_id"), model).select("toxic", "mean", "passage").collect()
+    fit = features(sample, model).select("toxic", "mean", "passage").collect()
     y = np.array([r["toxic"] for r in fit])
     if len(set(y.tolist())) < 2:
         return None
-    return model, logistic(np.array([[r["mean"], r["passage"]] for r in fit]), y)
+    w = logistic(np.array([[r["mean"], r["passage"]] for r in fit]), y)
+    whole = (counts.union(gram_counts(sample)).groupBy("gram")
+             .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")))
+    model.close()
+    return Model(scratch_table(whole, "toxic-grams-whole"), max_grams), w
 
 
 def add_score(docs: DataFrame, trained, name: str = "score", text_col: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 """Inputs of which only a part used to be worked on."""
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -77,3 +78,15 @@ def test_toxicity_keeps_every_gram_past_memory(spark, monkeypatch):
     assert [r[:4] for r in joined] == [r[:4] for r in whole] and len(whole) == 405
     assert [r.score for r in joined] == pytest.approx([r.score for r in whole], abs=1e-9)
     assert len({round(r.score, 6) for r in whole}) > 20
+
+
+@pytest.mark.parametrize("fit_rows", [20, toxicity.FIT_ROWS])
+def test_toxicity_counts_every_training_row(spark, fit_rows):
+    docs, labels = labelled(spark)
+    fold = lambda k: zlib.crc32(str(k).encode()) % 5
+    only = F.concat("text", F.lit(" qq"), F.translate(F.col("doc_id").cast("string"), "0123456789", "abcdefghij"))
+    docs = docs.where("doc_id < 400").withColumn("text", only)
+    model, _ = toxicity.train(docs, labels, fit_rows=fit_rows)
+    want = {g for r in docs.collect() if fold(r.doc_id) for w in toxicity.LETTERS.findall(r.text.lower())
+            for g in toxicity.word_grams(w)}
+    assert {r.gram for r in model.seen.collect()} == want

@@ -13,9 +13,11 @@ are cut into blocks, so a crowded cell is many tasks; a task emits one row per
 visitor with its number of links and a spanning forest of the links it saw,
 never the pairs.
 
-Defined results: vectors that are null, zero, of another length than most, or
-hold null or non-finite components, and vectors without a label, link with
-nothing; rows that repeat a vec_id count as vectors of their own but share a
+Vectors are compared only with vectors of equal length, and every length in use
+is searched by itself; one-dimensional vectors are grouped by sign.
+
+Defined results: vectors that are null, zero, or hold null or non-finite
+components, and vectors without a label, link with nothing; rows that repeat a vec_id count as vectors of their own but share a
 component; a null vec_id has a null component and links are still counted; an
 empty table gives no rows; other columns are not read.
 """
@@ -117,11 +119,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
                .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                     F.first("label").alias("label"), F.first("v").alias("v")))
     classes = scratch_table(classes.withColumn("node", F.xxhash64("key")), "embed-classes")
-    dims = classes.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if dims is None or dims["d"] < 2:
+    found = None
+    for r in classes.select(F.size("v").alias("d")).distinct().orderBy("d").collect():  # a row a length
+        same = classes.where(F.size("v") == r["d"])
+        own = _search(same, threshold) if r["d"] > 1 else _signs(same, threshold)
+        found = own if found is None else found.union(own)
+    if found is None:
         found = spark.createDataFrame([], "key string, n_links long, component_id long")
-    else:
-        found = _search(classes.where(F.size("v") == dims["d"]), threshold)
     out = keyed.join(found.select("key", F.col("n_links").alias("n"), F.col("component_id").alias("c")),
                      "key", "left")
     comp = F.when(F.col("vec_id").isNotNull(), F.coalesce("c", "vec_id"))
@@ -129,6 +133,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
                       comp.alias("component_id"), F.coalesce(F.col("vec_id") == comp, F.lit(True)).alias("kept"))
 
 
+def _signs(classes: DataFrame, threshold: float) -> DataFrame:
+    """``_search`` for one-dimensional vectors, whose cosine is 1 for equal signs, else -1."""
+    group = F.col("key") if threshold > 1 else F.signum(F.col("v")[0]) if threshold > -1 else F.lit(0)
+    sums = (classes.groupBy("label", group.alias("sign"))
+            .agg((F.sum("copies") - 1).alias("n_links"), F.min("rep").alias("component_id")))
+    return classes.withColumn("sign", group).join(sums, ["label", "sign"]).select("key", "n_links", "component_id")
+
+
 def _search(classes: DataFrame, threshold: float) -> DataFrame:
     """``key, n_links, component_id`` of every class."""
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0]

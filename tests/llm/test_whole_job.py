@@ -4,11 +4,12 @@ import math
 import zlib
 from collections import Counter
 
+import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riffle.llm import toxicity
+from riffle.llm import embed_dedup, toxicity
 
 
 def labelled(spark, n=400):
@@ -90,3 +91,17 @@ def test_toxicity_counts_every_training_row(spark, fit_rows):
     want = {g for r in docs.collect() if fold(r.doc_id) for w in toxicity.LETTERS.findall(r.text.lower())
             for g in toxicity.word_grams(w)}
     assert {r.gram for r in model.seen.collect()} == want
+
+
+def test_near_vectors_of_every_length(spark):
+    r = np.random.default_rng(3)
+    rows = []
+    for d, n in ((8, 30), (5, 20), (2, 12), (1, 9)):
+        base = r.normal(size=(4, d))
+        rows += [(100 * d + k, (base[k % 4] + r.normal(size=d) * 0.01).tolist(), k % 2) for k in range(n)]
+        rows += [(100 * d + 90 + k, base[0].tolist(), 0) for k in range(3)]
+    rows += [(1, [2.0], None), (2, [0.0], 0), (3, [float("inf")], 0), (4, [], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {x.vec_id: (x.n_links, x.component_id) for x in embed_dedup.near_duplicates(df).collect()}
+    want = brute.near_vectors(rows, 0.98)
+    assert got == want and all(want[100 * d + 90][0] > 1 for d in (8, 5, 2, 1))

@@ -88,7 +88,8 @@ def density(catch: DataFrame, events: DataFrame, site: str = "local_name",
     One aggregate gives Σ catch and the group's last catch pass; the site's
     pass total is a max over the already-aggregated groups of the site (a
     handful of rows per site), so no join back and no second pass.  The
-    flag equals :func:`last_pass_flag`.  area = round(L·W, 1); density per
+    flag equals :func:`last_pass_flag`.  A site with enclosures of several
+    lengths has a row for each of them.  area = round(L·W, 1); density per
     100 m² = round(catch / area · 100, 1) (half to even; zero area → NULL).
     """
     from pyspark.sql import Window
@@ -98,7 +99,7 @@ def density(catch: DataFrame, events: DataFrame, site: str = "local_name",
         .otherwise(F.lit(True))
     j = g.withColumn("nfc_pass", flag).drop("__last", "__total")
     sizes = keep_first(events.select(site, length, width, *[e for e in extra if e in events.columns]),
-                       [site], [f"{length} nulls last", f"{width} nulls last"])
+                       [site, length], [f"{c} nulls last" for c in (width, *extra) if c in events.columns])
     j = j.join(sizes, site, "left")
     area = round_even(F.col(length) * F.col(width), 1)
     j = j.withColumn("area_m2", area)

@@ -35,15 +35,17 @@ def release_shuffles(spark: SparkSession) -> None:
         spark.sparkContext._jvm.System.gc()
 
 
-def scratch_table(df: DataFrame, label: str, release: bool = False) -> DataFrame:
+def scratch_table(df: DataFrame, label: str, release: bool = False, by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and return it read back.
 
     ``release`` is for jobs that shuffle about as much as the input: their
-    files go before the next job starts.
+    files go before the next job starts.  ``by`` puts each value of these
+    columns in a folder of its own, so readers of one value skip the others.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
     if release:
         release_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, embed_dedup, hyperminhash, mixing, packing, repeats, secrets, sharding, topk,
-               toxicity)
+from . import (chat, embed_dedup, hyperminhash, mixing, packing, ranking, repeats, secrets, sharding,
+               syncmers, topk, toxicity, whitening)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,11 +78,25 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
 
 
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4, scale=256)
+
+
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": best_fit_packing, "op2_embedding_dedup": embedding_dedup,
     "op3_chat_format": chat_format, "op4_exact_topk": exact_topk, "op5_virtual_slots": virtual_slots,
     "op6_minhash_dedup": minhash_dedup, "op7_source_mixing": source_mixing, "op8_toxicity": toxicity_scores,
     "op9_secret_scan": secret_scan, "op10_repeated_passages": repeated_passages,
+    "op11_embedding_whitening": embedding_whitening, "op12_ranked_search": ranked_search,
+    "op13_document_fingerprints": document_fingerprints,
 }
 
 _TURNS = """
@@ -141,5 +155,31 @@ SELECT doc_id, size, source_size, target,
   size * least(floor(u + rate * rank) - floor(u + rate * (rank - 1)), ceil(rate))::BIGINT AS taken FROM r
 """
 
+_RANK = r"""
+WITH f AS (
+  SELECT row_number() OVER (ORDER BY doc_id, text) AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+c AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM f),
+t AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM f) GROUP BY row, term),
+i AS (
+  SELECT item, item_id, term, count(*) AS times FROM (
+    SELECT row_number() OVER (ORDER BY item_id, text) AS item, item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * (SELECT n_docs FROM c) + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+      FROM t GROUP BY term),
+m AS (SELECT row, doc_id, (25 + (75 * len(terms) * n_docs) // n_terms)::BIGINT AS m FROM f, c WHERE len(terms) > 0),
+s AS (
+  SELECT i.item, any_value(i.item_id) AS item_id, row,
+    sum(i.times * w.weight * ((1000000000 * t.tf) // (1000 * t.tf + 8 * m.m)))::BIGINT AS score
+  FROM i JOIN w USING (term) JOIN t USING (term) JOIN m USING (row) GROUP BY i.item, row),
+r AS (SELECT s.item_id, m.doc_id, s.score,
+        row_number() OVER (PARTITION BY item ORDER BY score DESC, m.doc_id)::INT AS rank
+      FROM s JOIN m USING (row) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {"op3_chat_format": _TURNS.strip(), "op4_exact_topk": _TOPK.strip(),
-                           "op7_source_mixing": _MIX.strip()}
+                           "op7_source_mixing": _MIX.strip(),
+                           "op12_ranked_search": _RANK.strip()}

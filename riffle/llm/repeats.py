@@ -237,9 +237,10 @@ def shared_names(texts: DataFrame) -> DataFrame:
                     continue
                 least, most = first_of(names, s.docs[owner])
                 many = least != most
-                # shared within the slice: known to be, and one record tells the others
+                # Shared within the slice: known to be, and two records tell the others.  One would
+                # not do: another slice may hold the name in other rows of that same document.
                 yield from packed(buckets, owner[many], names[many], None, None, None, s.rows, s.docs, True)
-                one = ~many | (s.docs[owner] == least)
+                one = ~many | (s.docs[owner] == least) | (s.docs[owner] == most)
                 yield from packed(buckets, owner[one], names[one], None, None, None, s.rows, s.docs, False)
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
@@ -337,7 +338,7 @@ def open_stretches(stretches: DataFrame) -> DataFrame:
             rows = b["row"].to_numpy()
             least, most = first_of(grams, names)
             many = least != most
-            for which, sure in ((many, True), (~many | (names == least), False)):
+            for which, sure in ((many, True), (~many | (names == least) | (names == most), False)):
                 for batch in packed(buckets, owner[which], grams[which], names[which], at[which], span[which], rows,
                                     rows, sure):
                     yield batch.to_pandas()

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riffle.llm import embed_dedup, toxicity
+from riffle.llm import embed_dedup, repeats, secrets, sharding, toxicity
 
 
 def labelled(spark, n=400):
@@ -105,3 +105,111 @@ def test_near_vectors_of_every_length(spark):
     got = {x.vec_id: (x.n_links, x.component_id) for x in embed_dedup.near_duplicates(df).collect()}
     want = brute.near_vectors(rows, 0.98)
     assert got == want and all(want[100 * d + 90][0] > 1 for d in (8, 5, 2, 1))
+
+
+# ---- results that once went wrong -------------------------------------------
+
+def said(seed, n):
+    r = np.random.default_rng(seed)
+    return [f"w{x}" for x in r.integers(0, 4000, n)]
+
+
+def test_repeats_do_not_depend_on_partitions(spark):
+    """A name held by two documents in one slice and by other rows of the first of them in another."""
+    shared = "this very passage has well over fifty bytes and stands in both of the documents"
+    rows = [(1, "one begins differently, quite on its own, before anything is shared " + shared[:20]),
+            (1, shared + " and then the second row of the first document goes on"),
+            (2, "the other document starts here with words of its own, then " + shared)]
+    schema = "doc_id long, text string"
+    seen = []
+    for order in (rows, rows[::-1], [rows[1], rows[2], rows[0]]):
+        for parts in (1, 2, 3):
+            df = spark.createDataFrame(spark.sparkContext.parallelize(order, parts), schema)
+            seen.append(sorted((r.doc_id, r.n_bytes, r.n_removed) for r in repeats.remove_repeats(df).collect()))
+    assert all(s == seen[0] for s in seen)
+    assert max(n for i, _, n in seen[0] if i == 2) == len(shared)
+
+
+def test_repeats_with_a_name_shared_in_one_slice(spark):
+    """Slice A has the string in rows of documents 1 and 2, slice B in another row of document 1 and in 3's own words."""
+    s = "".join(chr(97 + (7 * i * i + 3 * i) % 26) for i in range(64))
+    a = [(1, "A" * 60 + s + "B" * 60), (2, "C" * 60 + s + "D" * 60)]
+    b = [(1, "E" * 60 + s[5:60] + "F" * 60), (3, "G" * 80)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize([a, b], 2).flatMap(lambda x: x), "doc_id long, text string")
+    one = spark.createDataFrame(a + b, "doc_id long, text string").coalesce(1)
+    want = sorted((r.doc_id, r.n_bytes, r.n_removed) for r in repeats.remove_repeats(one).collect())
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed) for r in repeats.remove_repeats(df).collect()) == want
+    assert dict((i, n) for i, _, n in want)[2] == 64
+
+
+def labelled_folds(spark, toxic_folds, n=400):
+    bad, good = "vilecur rotspawn filthmuck".split(), "calm river garden morning".split()
+    r = np.random.default_rng(4)
+    docs, labels, left = [], [], 0
+    for i in range(n):
+        toxic = zlib.crc32(str(i).encode()) % 5 in toxic_folds and i % 2 == 0
+        chosen = list(r.choice(good, 12)) + (list(r.choice(bad, 4)) if toxic else [])
+        docs.append((i, " ".join(r.permutation(chosen))))
+        labels.append((i, int(toxic)))
+    return (spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"),
+            {i for i, t in labels if t})
+
+
+@pytest.mark.parametrize("folds", [(0, 1, 2, 3), (0, 4), (0, 1)])
+def test_toxicity_learns_whatever_folds_have_the_labels(spark, folds):
+    docs, labels, toxic = labelled_folds(spark, folds)
+    got = toxicity.score(docs, labels).collect()
+    assert {r.doc_id for r in got if r.predicted} == toxic
+
+
+def test_toxicity_with_one_toxic_row(spark):
+    docs, labels, toxic = labelled_folds(spark, (0, 1, 2, 3, 4))
+    one = next(i for i in sorted(toxic) if zlib.crc32(str(i).encode()) % 5)
+    few = labels.withColumn("toxic", F.when(F.col("doc_id") == one, 1).when(F.col("toxic") == 0, 0))
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, few).collect()}
+    assert min(scores[i] for i in toxic) > max(s for i, s in scores.items() if i not in toxic), "by the fixed slope"
+
+
+def test_near_copies_stage_judges_rows(spark):
+    import corpus_pipeline
+    a, b = " ".join(said(1, 60)), " ".join(said(2, 60))
+    rows = [(3, a), (5, a), (5, b), (None, a), (None, None), (None, None), (7, b + " and more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("copy_row", F.lit(1)).coalesce(1)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()]
+    assert sorted(kept, key=str) == sorted([(3, a), (5, b), (None, None), (None, None)], key=str)
+    assert corpus_pipeline.drop_near_copies(spark, df, "").columns == df.columns
+
+
+def test_shards_keep_groups_that_fit(spark):
+    """Of equal texts only those beyond a shard leave; the bytes stay near equal."""
+    r = np.random.default_rng(6)
+    rows = [(i, " ".join(said(100 + i, int(r.integers(20, 60))))) for i in range(4000)]
+    total = sum(len(t) + 1 for _, t in rows)
+    fits, over = "f" * 199, "o" * 199
+    n = int(total * .2) // 200
+    rows += [(None if k % 2 else 9000, fits) for k in range(n)] + [(None, over) for _ in range(4 * n)]
+    total = sum(len(t) + 1 for _, t in rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("shard", F.lit("x")).repartition(4)
+    placed = sharding.shard(df, 8)[0].collect()
+    load, home = [0] * 8, {}
+    for p in placed:
+        load[p.shard] += p.size
+        home.setdefault(p.text_crc32, {}).setdefault(p.shard, []).append(p.size)
+    assert len(placed) == len(rows) and max(load) - min(load) < .02 * total / 8, load
+    crc = lambda t: zlib.crc32(t.encode())
+    assert len(home[crc(fits)]) == 1
+    assert max(map(sum, home[crc(over)].values())) > .8 * total / 8, "as many as a shard can hold stay together"
+    for s in range(8):
+        assert sorted(p.slot for p in placed if p.shard == s) == list(range(sum(p.shard == s for p in placed)))
+
+
+def test_secrets_in_very_long_texts(spark):
+    """Work is linear: texts of megabytes of almost-matches end at once."""
+    import time
+    long = ["eyJ" * 1_700_000 + ".eyJ", "password " * 300_000 + " " * 2_000_000, "gh" + "p_" * 2_000_000, "0123456789abcdef " * 200_000]
+    t = time.time()
+    spans = secrets.find_spans(long, secrets.RULES)
+    assert time.time() - t < 60
+    assert [len(s) for s in spans][0] == 0 and len(spans[3]) == 200_000
+    token = "eyJhbGciOiJ9x.eyJzdWIiOiIxMjM0.c2lnbmF0dXJl"
+    assert len(secrets.find_spans([f"x {token} y"], secrets.RULES)[0]) >= 1

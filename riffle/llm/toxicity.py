@@ -8,13 +8,15 @@ alike by both.  A word's evidence is the log-likelihood it has under the toxic
 model less that under the ordinary one.  A text is judged by two length-
 normalised figures, the mean over the text and the mean over its strongest
 passage of a few words, turned to a probability by a logistic fit on a bounded
-sample of training rows that the counts have not seen; the sample is counted
-too once the fit is done.
+sample of training rows that the counts have not seen (of each class at most
+FIT_ROWS / 2 rows and a quarter, the last fold's first); the sample is counted
+too once the fit is done.  A class of one row cannot be sampled: then a fixed
+slope takes the place of the fit.
 
 Defined results: null and empty texts get the score of a text without
 evidence; rows without a label (or a null one) train nothing; a document with
-conflicting labels counts as toxic; without rows of both classes all scores
-are 0; null and repeated doc_ids are rows like any other; an empty table gives
+conflicting labels counts as toxic; without rows of both classes outside the
+held-out fold all scores are 0; null and repeated doc_ids are rows like any other; an empty table gives
 no rows; other columns are not read.
 """
 
@@ -33,6 +35,8 @@ from pyspark.sql import types as T
 from .common import scratch_table, slices_by_bytes, unique_name
 
 ORDER, PASSAGE, FOLDS = 5, 8, 5
+#: Intercept and weights of the two figures where no fit is possible: evidence for is evidence for.
+FIXED_SLOPE = np.array([0.0, 1.0, 1.0])
 #: Bounds: n-grams of a model that tasks hold in memory (larger ones are joined), rows of the logistic fit,
 #: words a task remembers, text bytes of a slice that is joined.
 MAX_GRAMS, FIT_ROWS, WORDS, SLICE = 600_000, 6_000, 400_000, 16 << 20
@@ -41,7 +45,7 @@ START, END = "\x02", "\x03"
 
 
 def fold(id_col: str) -> Column:
-    """crc32 of the id as text, modulo FOLDS; fold 0 is held out, the logistic's sample is of the last one."""
+    """crc32 of the id as text, modulo FOLDS; fold 0 is held out, the logistic's sample is of the last one first."""
     return (F.crc32(F.encode(F.coalesce(F.col(id_col).cast("string"), F.lit("")), "UTF-8")) % FOLDS).cast("int")
 
 
@@ -239,35 +243,44 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", max_grams: int = MAX_GRAMS, fit_rows: int = FIT_ROWS):
-    """A Model and the logistic weights; None without rows of both classes."""
+    """A Model and the logistic weights; None without rows of both classes to learn from."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("doc_id")).agg(F.max((F.col(label_col) != 0).cast("int")).alias("toxic"))
              .withColumn("fold", fold("doc_id")))
+    having = texts.select("doc_id").distinct()
+    known = scratch_table(known.where("fold > 0").join(having, "doc_id", "left_semi"), "toxic-known")
+    of = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
+    if len(of) < 2:
+        return None
     ids = None
-    for y in (0, 1):  # fit_rows / 2 of each class at most
-        own = (known.where((F.col("fold") == FOLDS - 1) & (F.col("toxic") == y))
-               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows // 2).select("doc_id", "toxic"))
+    for y, n in of.items():  # a quarter of each class, fit_rows / 2 at most; never a class's only row
+        own = (known.where(F.col("toxic") == y)
+               .orderBy(F.col("fold") != FOLDS - 1, F.xxhash64("doc_id"), "doc_id")
+               .limit(min(fit_rows // 2, -(-n // 4), n // 2)).select("doc_id", "toxic"))
         ids = own if ids is None else ids.union(own)
     fit_ids = scratch_table(ids, "toxic-fit")
     sample = texts.join(F.broadcast(fit_ids), "doc_id")
     learn = (texts.where(fold("doc_id") > 0)
              # labels grow with the documents, so they are never broadcast
-             .join(known.where("fold > 0").drop("fold").join(F.broadcast(fit_ids), "doc_id", "left_anti").hint("merge"),
+             .join(known.drop("fold").join(F.broadcast(fit_ids), "doc_id", "left_anti").hint("merge"),
                    "doc_id"))
     counts = scratch_table(gram_counts(learn), "toxic-grams", release=True)
-    if not all(counts.agg(F.sum("ordinary"), F.sum("toxic")).first()):
-        return None
-    model = Model(counts, max_grams)
-    fit = features(sample, model).select("toxic", "mean", "passage").collect()
-    y = np.array([r["toxic"] for r in fit])
-    if len(set(y.tolist())) < 2:
-        return None
-    w = logistic(np.array([[r["mean"], r["passage"]] for r in fit]), y)
+    seen = counts.agg(F.sum("ordinary"), F.sum("toxic")).first()
+    w = FIXED_SLOPE
+    model = Model(counts, max_grams) if all(seen) else None
+    if model is not None:
+        fit = features(sample, model).select("toxic", "mean", "passage").collect()  # fit_rows at most
+        y = np.array([r["toxic"] for r in fit])
+        if len(set(y.tolist())) == 2:
+            w = logistic(np.array([[r["mean"], r["passage"]] for r in fit]), y)
+        model.close()
     whole = (counts.union(gram_counts(sample)).groupBy("gram")
              .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")))
-    model.close()
-    return Model(scratch_table(whole, "toxic-grams-whole"), max_grams), w
+    whole = scratch_table(whole, "toxic-grams-whole")
+    if not all(whole.agg(F.sum("ordinary"), F.sum("toxic")).first()):  # a class without a word
+        return None
+    return Model(whole, max_grams), w
 
 
 def add_score(docs: DataFrame, trained, name: str = "score", text_col: str = "text") -> DataFrame:

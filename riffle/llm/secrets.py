@@ -60,7 +60,8 @@ RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # from the start of a run only, and each run is read once: linear on any text
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
     Rule("pem", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
 )
 

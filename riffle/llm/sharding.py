@@ -5,18 +5,23 @@ each slot are summed, and a slot-to-shard map, kept in versions, says where a
 slot lives.  Rebalancing edits the map: it moves whole slots from the fullest
 to the emptiest shard and leaves every other slot where it was.  Law: `bytes`.
 
-Equal texts share a slot, so copies stay together.  Only a text whose copies
-weigh more than half a fair shard is dealt over slots by record, since no map
-could even it out; fewer than ``2 * n_shards`` texts can be that heavy.
+Equal texts share a slot, so copies stay together as long as a shard can hold
+them.  Of a text whose copies weigh more than a fair shard, as many as fit one
+stay; only the excess is dealt over slots by record, since no map could even it
+out.  Texts heavier than half a fair shard (fewer than ``2 * n_shards``) get
+slots that no other of them has.
 
 Defined results: null text has size 1 and the checksum of the empty text; a
-null or repeated doc_id is a record like any other; an empty table gives no
-rows; other columns are not read.
+null or repeated doc_id is a record like any other, told apart by its row; ties
+in the order within a shard go by size and checksum, then in some order; a text
+of any length is one record; an empty table gives no rows; other columns are
+not read.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import scratch_table
 
 N_SLOTS = 4096
-#: Rows of a slot are numbered in this many cells, so a hot slot is no single task.
+#: Rows of a slot are numbered in this many cells at least, so a hot slot is no single task.
 CELLS = 16
 
 
@@ -34,18 +39,31 @@ def record_slots(docs: DataFrame, n_shards: int, n_slots: int = N_SLOTS, id_col:
     text = F.coalesce(F.col(text_col), F.lit(""))
     narrow = scratch_table(
         docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
-                    F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("text_key")),
+                    F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("text_key"),
+                    F.monotonically_increasing_id().alias("row")),
         "shard-records")
-    total = narrow.agg(F.sum("size")).first()[0] or 0
-    heavy = (narrow.groupBy("text_key").agg(F.sum("size").alias("bytes"))
-             .where(F.col("bytes") > total / (2 * n_shards)).select("text_key", F.lit(True).alias("heavy")))
-    # at most 2 * n_shards rows: each holds more than that share of all bytes
-    spread = narrow.join(F.broadcast(heavy), "text_key", "left")
-    own = F.xxhash64("doc_id", F.lit(3))
-    key = F.when(F.col("heavy"), F.xxhash64("text_key", own)).otherwise(F.col("text_key"))
-    return spread.select("doc_id", "size", "text_crc32",
-                         F.pmod(key, F.lit(n_slots)).cast("int").alias("virtual_slot"),
-                         F.pmod(own, F.lit(CELLS)).cast("int").alias("cell"))
+    total, rows = narrow.agg(F.sum("size"), F.count(F.lit(1))).first()
+    fair = (total or 0) / n_shards
+    # fewer than 2 * n_shards rows: each holds more than that share of all bytes
+    heavy = (narrow.groupBy("text_key").agg(F.sum("size").alias("bytes"), F.max("size").alias("size"))
+             .where(F.col("bytes") > fair / 2).orderBy("text_key").collect())
+    homes, taken = [], set()
+    for r in heavy:
+        home = r["text_key"] % n_slots
+        while home in taken and len(taken) < n_slots:
+            home = (home + 1) % n_slots
+        taken.add(home)
+        homes.append((r["text_key"], home, min(1.0, max(r["size"], fair) / r["bytes"])))
+    spark = docs.sparkSession
+    spread = narrow.join(F.broadcast(spark.createDataFrame(homes, "text_key long, home int, stays double")), "text_key", "left")
+    own = F.xxhash64("row", F.lit(3))
+    leaves = F.pmod(F.xxhash64("row", F.lit(5)), F.lit(1 << 30)) >= F.col("stays") * F.lit(1 << 30)
+    slot = (F.when(F.col("home").isNull(), F.pmod("text_key", F.lit(n_slots)))
+            .when(leaves, F.pmod(own, F.lit(n_slots))).otherwise(F.col("home")))
+    # Cells follow the root of the rows, and so do both the rows of a hot slot's cell and the cells of a shard.
+    cells = max(CELLS, math.isqrt(rows or 0) // 64)
+    return spread.select("doc_id", "size", "text_crc32", slot.cast("int").alias("virtual_slot"),
+                         F.pmod(F.xxhash64("row", F.lit(7)), F.lit(cells)).cast("int").alias("cell"))
 
 
 def rebalance(slot_map: list[int], loads: list[int], n_shards: int) -> list[int]:
@@ -64,7 +82,7 @@ def rebalance(slot_map: list[int], loads: list[int], n_shards: int) -> list[int]
             slots[shard].append((loads[slot], slot))
     for s in slots:
         s.sort()
-    for _ in range(4 * len(slot_map)):
+    while True:  # each move narrows the gap, so this ends
         full = max(range(n_shards), key=lambda s: (load[s], -s))
         free = min(range(n_shards), key=lambda s: (load[s], s))
         gap = load[full] - load[free]
@@ -108,13 +126,13 @@ def shard(docs: DataFrame, n_shards: int, n_slots: int = N_SLOTS, slot_map: list
         "virtual_slot", "shard", F.col("version").alias("map_version"))
     before = (Window.partitionBy("shard").orderBy("virtual_slot", "cell")
               .rowsBetween(Window.unboundedPreceding, -1))
-    # n_slots * CELLS rows at most, whatever the input
-    starts = (cells.join(F.broadcast(current), "virtual_slot")
+    # a row a slot and cell
+    starts = (cells.join(current, "virtual_slot")
               .select("virtual_slot", "cell", "shard", "map_version",
                       F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start")))
     place = F.row_number().over(Window.partitionBy("virtual_slot", "cell")
                                 .orderBy("doc_id", "text_crc32", "size")) - 1
-    placed = (records.withColumn("place", place).join(F.broadcast(starts), ["virtual_slot", "cell"])
+    placed = (records.withColumn("place", place).join(starts, ["virtual_slot", "cell"])
               .select("doc_id", "size", "text_crc32", "shard",
                       (F.col("start") + F.col("place")).cast("long").alias("slot"),
                       "virtual_slot", "map_version"))

@@ -128,124 +128,84 @@ def long_term_mean(df: DataFrame, keys: Sequence[str], date: str, value: str,
     return d.groupBy(*keys).agg(F.avg(value).alias(out))
 
 
-def weighted_ranks(vc: DataFrame, keys: Sequence[str], order: str, weight: str,
-                   partitions: int | None = None) -> DataFrame:
-    """Cumulative weight of each row within its group in ``order`` (distributed).
-
-    Rows are range-partitioned on ``(keys, order)`` so a large group is spread
-    over many tasks and tagged with their partition; a running sum inside
-    each (partition, group) is computed and materialised once (reliable
-    checkpoint — the range cut comes from a sample and must not be
-    re-drawn); adding the weight of the group's earlier partitions (a small
-    table with one row per partition the group spans) gives ``__end`` =
-    cumulative weight, and ``__n`` = the group's total weight.  Requires distinct ``order``
-    values within a group (pre-aggregate to (group, value, count)).
-    """
-    from ..session import cut_lineage
-    n = partitions or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = [F.col(k) for k in keys] + [F.col(order)]
-    tagged = (vc.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-              .withColumn("__mid", F.monotonically_increasing_id())
-              .withColumn("__pid", F.shiftright("__mid", 33)))
-    wl = (Window.partitionBy("__pid", *keys).orderBy("__mid")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # one evaluation of the range cut, materialised with its running sums
-    local = cut_lineage(tagged.withColumn("__lc", F.sum(weight).over(wl)))
-    tot = local.groupBy("__pid", *keys).agg(F.max("__lc").alias("__t"))
-    wo = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(F.col("__pid").alias("__opid"), *[F.col(k).alias(f"__o_{k}") for k in keys],
-                      F.coalesce(F.sum("__t").over(wo), F.lit(0)).alias("__off"),
-                      F.sum("__t").over(Window.partitionBy(*keys)).alias("__n"))
-    cond = _and([local["__pid"] == offs["__opid"]] + [local[k].eqNullSafe(offs[f"__o_{k}"]) for k in keys])
-    j = local.join(offs, cond, "inner")
-    return j.select(*vc.columns, (F.col("__off") + F.col("__lc")).alias("__end"), "__n")
-
-
-def _ranked_values(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
-    """(group, value, count) with cumulative rank ``__end`` and group size ``__n``."""
-    vc = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("__v")).agg(
-        F.count(F.lit(1)).alias("__c"))
-    return weighted_ranks(vc, keys, "__v", "__c")
-
-
-def _quantiles_from_ranks(r: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                          names: Sequence[str]) -> DataFrame:
-    start = F.col("__end") - F.col("__c")
-    aggs = [F.max("__n").alias("n")]
-    for i, p in enumerate(probs):
-        h = (F.col("__n") - 1).cast("double") * F.lit(float(p))
-        lo_rank, hi_rank = F.floor(h) + 1, F.ceil(h) + 1
-        aggs += [F.max(F.when((start < lo_rank) & (lo_rank <= F.col("__end")), F.col("__v"))).alias(f"__lo{i}"),
-                 F.max(F.when((start < hi_rank) & (hi_rank <= F.col("__end")), F.col("__v"))).alias(f"__hi{i}"),
-                 F.max(h - F.floor(h)).alias(f"__f{i}")]
-    g = r.groupBy(*keys).agg(*aggs)
-    return g.select(*keys, F.col("n").cast("long").alias("n"),
-                    *[(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(nm)
-                      for i, nm in enumerate(names)])
-
-
 def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float],
                     names: Sequence[str] | None = None) -> DataFrame:
     """Exact quantiles per group (linear interpolation, like ``quantile_cont``), distributed.
 
-    No group is gathered into one task: values are reduced to (group, value,
-    count), ranked with :func:`weighted_ranks`, and every row checks itself
-    whether the 1-based ranks ``⌊h⌋+1`` and ``⌈h⌉+1`` (``h = (n−1)·p``) fall in
-    its rank interval — a plain partial aggregate then picks the two values
-    and interpolates ``lo + (hi − lo)·(h − ⌊h⌋)``.  Returns keys, ``n`` and one
-    column per probability.
+    Ranks are found by counting (:mod:`.selection`): no group is gathered or
+    sorted.  Returns keys, ``n`` and one column per probability.
     """
-    names = list(names or [f"q{int(p * 100)}" for p in probs])
-    return _quantiles_from_ranks(_ranked_values(df, keys, col), keys, probs, names)
+    from .selection import quantiles
+    return quantiles(df, keys, col, probs, list(names or [f"q{int(p * 100)}" for p in probs]))
 
 
 def box_summary(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """Box-plot numbers per group (A17): quartiles, whiskers at 1.5·IQR, outliers.
 
-    Quartiles are exact and distributed (see :func:`exact_quantiles`).  The
-    whiskers (extreme values inside the fences) and the outlier count are a
-    partial aggregate over the same ranked (group, value, count) rows — read
-    from the checkpoint, so the input is not computed twice — joined to the
-    one-row-per-group quartiles (AQE broadcasts them or splits a skewed group).
+    Quartiles are exact (see :func:`exact_quantiles`).  The whiskers (extreme
+    values inside the fences) and the outlier count are one more partial
+    aggregate over the values beside their group's one row of quartiles.
     """
-    r = _ranked_values(df, keys, col)
-    q = _quantiles_from_ranks(r, keys, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    qq = q.select(*[F.col(k).alias(f"__b_{k}") for k in keys], "q1", "q3")
-    j = r.join(qq, _and([r[k].eqNullSafe(qq[f"__b_{k}"]) for k in keys]), "inner")
+    from .joins import join_na
+    q = exact_quantiles(df, keys, col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    v = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).alias("__v"))
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-    v = F.col("__v")
-    w = j.groupBy(*keys).agg(
-        F.min(F.when(v >= lo, v)).alias("whisker_low"), F.max(F.when(v <= hi, v)).alias("whisker_high"),
-        F.coalesce(F.sum(F.when((v < lo) | (v > hi), F.col("__c"))), F.lit(0)).alias("n_outliers"))
-    ww = w.select(*[F.col(k).alias(f"__w_{k}") for k in keys], "whisker_low", "whisker_high", "n_outliers")
-    out = q.join(ww, _and([q[k].eqNullSafe(ww[f"__w_{k}"]) for k in keys]), "left")
-    return out.select(*keys, "n", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers")
+    x = F.col("__v")
+    w = join_na(v, q.select(*keys, "q1", "q3"), keys).groupBy(*keys).agg(
+        F.min(F.when(x >= lo, x)).alias("whisker_low"), F.max(F.when(x <= hi, x)).alias("whisker_high"),
+        F.count(F.when((x < lo) | (x > hi), 1)).alias("n_outliers"))
+    return join_na(q, w, keys).select(*keys, "n", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers")
+
 
+#: Bins that a group's zero-filled histogram may have at most, and those made from one row at once.
+MOST_BINS, BIN_BLOCK = 10_000_000, 1024
 
-def _and(conds):
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
 
+def histogram(df: DataFrame, keys: Sequence[str], col: str, width: float, fill_zero: bool | str = True,
+              closed: str = "left") -> DataFrame:
+    """Counts over bins of one width per group, aligned over all groups.
 
-def histogram(df: DataFrame, keys: Sequence[str], col: str, width: float,
-              fill_zero: bool = True) -> DataFrame:
-    """Counts over fixed-width bins ``[k·w, (k+1)·w)`` per group.
+    ``bin`` is a bin's lower bound.  ``closed`` is the side that belongs to it:
+    ``"left"`` for ``[a, b)``, ``"right"`` for ``(a, b]`` with the smallest
+    value of all in the first bin even if it is its lower bound.
 
-    Zero bins between the global aligned bounds are generated with
-    ``sequence`` over the (small) distinct-key table and joined to the counts.
+    ``fill_zero=True`` adds the empty bins between the smallest and the largest
+    of all groups; they are made from the gaps between a group's own bins, a
+    block of bins at a time, so no row holds a group's bins.  More than
+    MOST_BINS bins are refused: ``fill_zero="runs"`` then gives each run of
+    empty bins as one row with the columns ``bin`` and ``bin_end`` (the upper
+    bound), whatever its length.  ``False`` leaves empty bins out.
     """
-    idx = F.floor(F.col(col) / F.lit(width)).cast("long")
-    counts = df.where(F.col(col).isNotNull()).groupBy(*keys, idx.alias("__i")).agg(F.count(F.lit(1)).alias("n"))
+    w = F.lit(width)
+    x = F.col(col) / w
+    low = df.agg(F.floor(F.min(x))).first()[0] if closed == "right" else None
+    if closed == "right":
+        idx = F.greatest(F.ceil(x) - 1, F.lit(low)).cast("long")
+    elif closed == "left":
+        idx = F.floor(x).cast("long")
+    else:
+        raise ValueError("closed is 'left' or 'right'")
+    counts = df.where(F.col(col).isNotNull()).groupBy(*keys, idx.alias("__i")).agg(F.count(F.lit(1)).cast("long").alias("n"))
     if not fill_zero:
-        return counts.select(*keys, (F.col("__i") * F.lit(width)).alias("bin"), "n")
-    # global aligned bounds (bin indexes) as scalar subqueries, one value each
-    lo = counts.agg(F.min("__i")).scalar()
-    hi = counts.agg(F.max("__i")).scalar()
-    grid = counts.select(*keys).distinct().select(*keys, F.explode(F.sequence(lo, hi)).alias("__i"))
-    c = counts.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.col("__i").alias("__h_i"), "n")
-    cond = _and([grid[k].eqNullSafe(c[f"__h_{k}"]) for k in keys] + [grid["__i"] == c["__h_i"]])
-    g = grid.join(c, cond, "left").withColumn("bin", F.col("__i") * F.lit(width))
-    return g.select(*keys, "bin", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
+        return counts.select(*keys, (F.col("__i") * w).alias("bin"), "n")
+    # aligned bounds over all groups: two numbers
+    lo, hi = counts.agg(F.min("__i"), F.max("__i")).first()
+    if lo is None:
+        lo = hi = 0
+    if fill_zero != "runs" and hi - lo >= MOST_BINS:
+        raise ValueError(f"{hi - lo + 1} bins a group; use fill_zero='runs' or fill_zero=False")
+    # a group's own bins in order, each with the gap up to the next; the first with the gap before it too
+    own = Window.partitionBy(*keys).orderBy("__i")
+    gaps = F.array_compact(F.array(
+        F.when(F.row_number().over(own) == 1, F.struct(F.lit(lo).cast("long").alias("__a"), (F.col("__i") - 1).alias("__b"))),
+        F.struct((F.col("__i") + 1).alias("__a"), (F.coalesce(F.lead("__i").over(own), F.lit(hi + 1)) - 1).alias("__b"))))
+    gaps = counts.withColumn("__gaps", gaps).select(*keys, F.inline("__gaps")).where("__a <= __b")
+    if fill_zero == "runs":
+        runs = gaps.select(*keys, F.col("__a").alias("__i"), F.col("__b").alias("__j"), F.lit(0).cast("long").alias("n"))
+        both = counts.select(*keys, "__i", F.col("__i").alias("__j"), "n").unionByName(runs)
+        return both.select(*keys, (F.col("__i") * w).alias("bin"), ((F.col("__j") + 1) * w).alias("bin_end"), "n")
+    blocks = gaps.withColumn("__s", F.explode(F.sequence("__a", "__b", F.lit(BIN_BLOCK).cast("long"))))
+    zero = blocks.select(*keys, F.explode(F.sequence("__s", F.least(F.col("__b"), F.col("__s") + BIN_BLOCK - 1))).alias("__i"),
+                         F.lit(0).cast("long").alias("n"))
+    return counts.select(*keys, "__i", "n").unionByName(zero).select(*keys, (F.col("__i") * w).alias("bin"), "n")

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import any_null as _any_null
-from .columns import row_id
 from .joins import members  # noqa: F401  (F4 lives with the joins)
 
 _OPS = {
@@ -70,19 +69,22 @@ def threshold_filter(df: DataFrame, limits: Mapping[str, tuple[str, float]]) ->
     return cascade(df, [_OPS[op](F.col(c), v) for c, (op, v) in limits.items()])
 
 
-def slice_rows(df: DataFrame, order: Sequence[Column | str], start: int, stop: int | None = None,
-               name: str = "row_id") -> DataFrame:
-    """Rows ``start``..``stop`` (1-based, inclusive) in a total order.
+def slice_rows(df: DataFrame, order: Sequence[Column | str], start: int, stop: int | None = None) -> DataFrame:
+    """Rows ``start``..``stop`` (1-based, inclusive) in a total order, nulls first.
 
-    A negative ``start`` with no ``stop`` drops the first ``-start`` rows.
+    A negative ``start`` with no ``stop`` drops the first ``-start`` rows.  The
+    order values of the rows at the two ends are found by counting
+    (:func:`.selection.cut_row`); the frame itself is only filtered, neither
+    sorted nor written.
     """
-    r = row_id(df, order, name)
-    if start < 0 and stop is None:
-        return r.filter(F.col(name) > -start)
-    cond = F.col(name) >= start
-    if stop is not None:
-        cond = cond & (F.col(name) <= stop)
-    return r.filter(cond)
+    from .selection import first_rows
+    names = [f"__o{i}" for i in range(len(order))]
+    keyed = df.withColumns({n: F.col(o) if isinstance(o, str) else o for n, o in zip(names, order)})
+    cond = F.lit(True) if stop is None else first_rows(keyed, names, stop)
+    skipped = -start if start < 0 and stop is None else start - 1
+    if skipped > 0:
+        cond = cond & ~first_rows(keyed, names, skipped)
+    return keyed.filter(cond).drop(*names)
 
 
 def any_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

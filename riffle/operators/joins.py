@@ -60,9 +60,70 @@ def join_na(left: DataFrame, right: DataFrame, on, how: str = "left",
     return joined.drop(*tmp)
 
 
-def full_merge(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Full outer join on shared key names, keys coalesced."""
-    return join_na(left, right, list(on), how="full")
+#: A key with more rows than this on a side is heavy: its rows are spread over several tasks.
+HEAVY_ROWS = 1_000_000
+
+
+def heavy_keys(left: DataFrame, right: DataFrame, lk: Sequence[str], rk: Sequence[str],
+               heavy_rows: int = HEAVY_ROWS) -> list[tuple]:
+    """``(key values ..., rows left, rows right)`` of the keys that one task should not hold.
+
+    Both sides are counted once, key columns only.  At most one key for every
+    shuffle partition is returned, the largest first: any other key has less
+    than a partition's share of a side.
+    """
+    names = [f"__k{i}" for i in range(len(lk))]
+    side = lambda df, cols, a, b: df.select(
+        *[F.col(c).alias(n) for c, n in zip(cols, names)], F.lit(a).alias("__nl"), F.lit(b).alias("__nr"))
+    counts = (side(left, lk, 1, 0).unionByName(side(right, rk, 0, 1)).groupBy(*names)
+              .agg(F.sum("__nl").alias("__nl"), F.sum("__nr").alias("__nr"))
+              .where(F.greatest("__nl", "__nr") > heavy_rows))
+    most = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return [tuple(r) for r in counts.orderBy(F.greatest("__nl", "__nr").desc()).limit(most).collect()]
+
+
+def _spread(df: DataFrame, keys: Sequence[str], heavy: DataFrame, own: str, copies: str, rows: str, cols: str
+            ) -> DataFrame:
+    """Give every row a cell: heavy rows one of ``own`` (by hash), repeated for each of ``copies``.
+
+    The hash takes the row and its partition, both of which a repeated task sees again.
+    """
+    plain = [c for c, t in df.dtypes if "map<" not in t]
+    marked = df.withColumn("__h", F.xxhash64(*[F.col(f"`{c}`") for c in plain], F.spark_partition_id()))
+    cond = reduce(lambda a, b: a & b, [marked[k].eqNullSafe(heavy[f"__k{i}"]) for i, k in enumerate(keys)])
+    j = marked.join(F.broadcast(heavy), cond, "left")  # a row a shuffle partition at most
+    j = j.withColumn(rows, F.coalesce(F.pmod("__h", own), F.lit(0)).cast("int"))
+    j = j.withColumn(cols, F.explode(F.sequence(F.lit(0), F.coalesce(copies, F.lit(1)) - 1)))
+    return j.select(*[F.col(f"`{c}`") for c in df.columns], rows, cols, F.coalesce("__both", F.lit(False)).alias("__both"))
+
+
+def full_merge(left: DataFrame, right: DataFrame, on: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Full outer join on shared key names, keys coalesced (J4 J5); NULL keys match.
+
+    Adaptive execution splits no full outer join, so a key that holds a large
+    part of the rows (an event, or the NULL key) is split here.  Rows of a
+    heavy key are dealt into a grid: a left row goes to one row of cells, a
+    right row to one column, so each pair meets in exactly one cell.  A heavy
+    key that both sides have matches everywhere, so cells where one side is
+    empty are dropped; one that a single side has is only spread.  All other
+    keys are joined as ever, in the same join.
+    """
+    on = list(on)
+    found = heavy_keys(left, right, on, on, heavy_rows)
+    if not found:
+        return join_na(left, right, on, how="full")
+    cells = lambda n: max(1, -(-n // heavy_rows))
+    rows = [(*k, cells(nl), cells(nr), cells(nl) if nl and nr else 1, cells(nr) if nl and nr else 1, bool(nl and nr))
+            for *k, nl, nr in found]
+    kinds = [f"__k{i} {left.schema[c].dataType.simpleString()}" for i, c in enumerate(on)]
+    heavy = lookup(left.sparkSession, rows, ", ".join(
+        [*kinds, "__ownl int", "__ownr int", "__repr int", "__repl int", "__both boolean"]))
+    l = _spread(left, on, heavy, "__ownl", "__repl", "__row", "__column").withColumn("__in_l", F.lit(True))
+    r = _spread(right, on, heavy, "__ownr", "__repr", "__column", "__row").withColumn("__in_r", F.lit(True))
+    r = r.withColumnRenamed("__both", "__both_r")
+    met = join_na(l, r, [*on, "__row", "__column"], how="full")
+    empty = F.coalesce("__both", "__both_r") & (F.col("__in_l").isNull() | F.col("__in_r").isNull())
+    return met.where(~empty).drop("__row", "__column", "__both", "__both_r", "__in_l", "__in_r")
 
 
 def members(df: DataFrame, other: DataFrame, on, other_on=None,

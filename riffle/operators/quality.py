@@ -7,13 +7,13 @@ present, so no group is ever collected whole.
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import any_null, rlike_na
-from .columns import row_id
 
 
 def missing_required(sites: DataFrame, items: DataFrame, site: str, item: str, required: Sequence[str],
@@ -64,16 +64,21 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], by: Sequence[str]
 
 
 def review_sample(df: DataFrame, key: Sequence[str], fraction: float = 0.15, seed: int = 1234,
-                  out: str = "sample_rank") -> DataFrame:
+                  out: str | None = None) -> DataFrame:
     """Reproducible review sample of exactly ⌊fraction·n⌋ rows (Q7).
 
-    Rows are ordered by a seeded 64-bit hash of the key (ties by the key),
-    numbered with the distributed ``row_id`` (which also carries n), and the
-    first ⌊fraction·n⌋ kept; nothing is collected.
+    Rows are ordered by a seeded 60-bit hash of the key (ties by the key), and
+    the first ⌊fraction·n⌋ are kept.  The hash of the last of them is found by
+    counting (:mod:`.selection`), so the rows are only filtered.  The key must
+    tell rows apart; rows that repeat a whole key are in or out together.
+    ``out`` adds the hash as a column, to review in sampling order.
     """
-    h = F.xxhash64(F.lit(seed), *[F.col(k) for k in key])
-    ranked = row_id(df.withColumn("__h", h), [F.col("__h"), *[F.col(k) for k in key]], out, total="__n")
-    return ranked.filter(F.col(out) <= F.floor(F.col("__n") * F.lit(fraction))).drop("__h", "__n")
+    from .selection import first_rows
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
+    hashed = df.withColumn("__h", F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long"))
+    n = int(math.floor(hashed.count() * fraction))
+    kept = hashed.filter(first_rows(hashed, ["__h", *key], n))
+    return kept.withColumnRenamed("__h", out) if out else kept.drop("__h")
 
 
 def rename_plan(df: DataFrame, path: str, rules: Sequence[tuple[str, str]], out: str = "new_name") -> DataFrame:

@@ -175,15 +175,15 @@ def threshold_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- F9 W5 W6 P12
 
-@query("slice_order", ids="F9 W5 W6 P12", sql="""
+@query("slice_order", ids="F9 W5 W6", sql="""
 WITH e AS (SELECT event_id, CAST(user_id AS VARCHAR) AS user_text, ts FROM events),
 r AS (SELECT *, row_number() OVER (ORDER BY TRY_CAST(user_text AS BIGINT), ts, event_id) AS row_id FROM e)
-SELECT event_id, user_text, ts, row_id FROM r WHERE row_id > 100""")
+SELECT event_id, user_text, ts FROM r WHERE row_id > 100""")
 def slice_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows numbered over the whole frame (text ids sorted as numbers), first 100 dropped."""
+    """All rows but the first 100 of the whole frame (text ids sorted as numbers)."""
     e = Tables(spark, sf_dir).events.select("event_id", F.col("user_id").cast("string").alias("user_text"), "ts")
     order = [W.numeric_text_key("user_text", "bigint"), F.col("ts"), F.col("event_id")]
-    return FL.slice_rows(e, order, -100).select("event_id", "user_text", "ts", "row_id")
+    return FL.slice_rows(e, order, -100)
 
 
 # ---------------------------------------------------------------- P1 P2 P3 P4 D8
@@ -306,6 +306,16 @@ def outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.full_merge(a, b, keys).select(*keys, "o_totalprice", "n_lines", "qty")
 
 
+@query("right_merge", ids="J3", sql="""
+SELECT c_custkey AS cust_key, o_orderkey, c_name
+FROM (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'P') o RIGHT JOIN customer ON o_custkey = c_custkey""")
+def right_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer, with its orders in part delivered if there are any."""
+    t = Tables(spark, sf_dir)
+    o = t.orders.where("o_orderstatus = 'P'").select("o_orderkey", F.col("o_custkey").alias("cust_key"))
+    return J.join_na(o, t.customer.select("c_custkey", "c_name"), "cust_key", "right", "c_custkey")
+
+
 # ---------------------------------------------------------------- J10 J11 J12 D5 X21
 
 @query("xref_resolve", ids="J10 J11 J12 D5 D30 X21 X23", sql="""

@@ -196,7 +196,11 @@ def tag_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.tag_join(fish, _tag_log(t)).select("o_orderkey", "tag_row", "date", "tag_id")
 
 
-@query("review_sample", ids="Q7 P12")
+@query("review_sample", ids="Q7", sql="""
+WITH h AS (SELECT o_orderkey, o_custkey,
+             ('0x' || substr(md5('1234|' || CAST(o_orderkey AS VARCHAR)), 1, 15))::BIGINT AS h FROM orders),
+r AS (SELECT *, row_number() OVER (ORDER BY h, o_orderkey) AS rank, count(*) OVER () AS n FROM h)
+SELECT o_orderkey, o_custkey FROM r WHERE rank <= floor(n * 0.15)""")
 def review_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeded, exact-size 15 % sample of tagged fish for manual review."""
     t = Tables(spark, sf_dir)

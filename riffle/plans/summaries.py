@@ -94,6 +94,19 @@ def percent_by_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- A18
 
+@query("length_bins", ids="A18 A13", sql="""
+WITH v AS (SELECT l_returnflag, l_quantity * 5 AS mm FROM lineitem),
+b AS (SELECT CAST(floor(min(mm) / 5) AS BIGINT) AS lo, CAST(ceil(max(mm) / 5) AS BIGINT) - 1 AS hi FROM v),
+c AS (SELECT l_returnflag, greatest(CAST(ceil(mm / 5) AS BIGINT) - 1, lo) AS i, count(*) AS n FROM v, b GROUP BY ALL)
+SELECT k.l_returnflag, CAST(g.i * 5 AS DOUBLE) AS bin, coalesce(c.n, 0) AS n
+FROM (SELECT DISTINCT l_returnflag FROM v) k CROSS JOIN (SELECT unnest(range(lo, hi + 1)) AS i FROM b) g
+LEFT JOIN c ON c.l_returnflag = k.l_returnflag AND c.i = g.i""")
+def length_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fork lengths in aligned bins of 5 mm, closed on the right, the smallest length in the first."""
+    v = Tables(spark, sf_dir).lineitem.select("l_returnflag", (F.col("l_quantity") * 5).alias("mm"))
+    return A.histogram(v, ["l_returnflag"], "mm", 5.0, closed="right")
+
+
 @query("histogram5", ids="A18 A13", sql="""
 WITH v AS (SELECT o_orderpriority, floor(o_totalprice / 1000 / 25) * 25 AS bin FROM orders),
 c AS (SELECT o_orderpriority, bin, count(*) AS n FROM v GROUP BY ALL),

@@ -3,16 +3,15 @@
 "First row per key in a given order" is an aggregate, not a window:
 ``min_by(struct(all columns), order key)`` is combined map-side, so a key
 holding a third of all rows never lands whole in one task.  The order is
-encoded as a struct that sorts ascending in the wanted direction; a string
-column sorted descending cannot be encoded that way and falls back to a
-two-stage salted ``row_number`` (see :func:`keep_first`).
+encoded as a struct that sorts ascending in the wanted direction; text and
+bytes sorted descending are encoded by complement (:func:`descending_text`).
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .filters import group_size
@@ -45,8 +44,25 @@ def order_columns(order: Sequence[str]) -> list[Column]:
     return out
 
 
-def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
-    """Struct that sorts ascending like ``order`` does, or None if not encodable."""
+def descending_text(c: Column) -> Column:
+    """A text that sorts ascending where ``c`` (text or bytes) sorts descending.
+
+    Every half byte is complemented and written as one letter, the end as a
+    letter above all of them, so a text comes after the longer ones it begins.
+    :func:`ascending_text` gives the text back.
+    """
+    raw = c if isinstance(c, Column) else F.col(c)
+    return F.concat(F.translate(F.hex(raw), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+
+
+def ascending_text(c: Column) -> Column:
+    """The text that :func:`descending_text` encoded."""
+    body = F.substring(c, F.lit(1), F.length(c) - 1)
+    return F.decode(F.unhex(F.translate(body, "0123456789ABCDEF", "FEDCBA9876543210")), "UTF-8")
+
+
+def order_key(df: DataFrame, order: Sequence[str]) -> Column:
+    """Struct that sorts ascending like ``order`` does."""
     types = dict(df.dtypes)
     fields = []
     for i, spec in enumerate(order):
@@ -70,8 +86,10 @@ def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
                 v = -F.unix_date(c)
             elif t == "boolean":
                 v = -c.cast("int")
+            elif t in ("string", "binary"):
+                v = descending_text(c)
             else:
-                return None
+                raise TypeError(f"{name}: no descending order for {t}")
         else:
             v = c
         fields.insert(at, flag.alias(f"f{i}"))
@@ -79,33 +97,14 @@ def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
     return F.struct(*fields)
 
 
-# Salt buckets for orders that cannot be encoded as an ascending struct.
-SALTS = 64
-
-
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                extra: dict | None = None) -> DataFrame:
     """First row per key in ``order`` (W1 W2); ``order`` should be total.
 
-    ``extra`` adds group aggregates (``{name: Column}``) computed in the same
-    pass (min_by path only).
-
-    Encodable orders use one ``min_by`` aggregate.  Otherwise (text sorted
-    descending) the pick is done in two exact stages: first per (key, salt)
-    with the salt a hash of the row, spreading a hot key over ``SALTS``
-    window partitions, then first among at most ``SALTS`` candidates per key.
+    One ``min_by`` aggregate whatever the order; ``extra`` adds group
+    aggregates (``{name: Column}``) computed in the same pass.
     """
     key = order_key(df, order)
-    if key is None and extra:
-        raise ValueError("extra aggregates need an order that encodes as a struct")
-    if key is None:
-        cols = order_columns(order)
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS))
-        s1 = (df.withColumn("__salt", salt)
-              .withColumn("__rn", F.row_number().over(Window.partitionBy(*keys, "__salt").orderBy(*cols)))
-              .filter("__rn = 1").drop("__rn"))
-        w = Window.partitionBy(*keys).orderBy(*cols)
-        return s1.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn", "__salt")
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     extra = extra or {}
     g = df.groupBy(*keys).agg(F.min_by(row, key).alias("__r"), *[e.alias(n) for n, e in extra.items()])

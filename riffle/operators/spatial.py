@@ -7,8 +7,9 @@ equi-joins on a grid-cell key followed by an exact test:
   points are dense; left points go down the levels and keep the cells whose
   box can still hold their nearest.
 * point in polygon: each polygon is covered by cells of a size drawn from its
-  extent; points join on their cell and an even-odd ray-crossing test over
-  the ring (``aggregate`` over the edge array) decides containment.
+  extent, which give a point its candidates; the edges of a polygon are dealt
+  into bands, and an even-odd ray-crossing test over those of the point's band
+  decides containment.
 
 No cross joins: every join has an equality on the cell key.
 """
@@ -189,48 +190,100 @@ def contains(ring_col: Column, x: Column, y: Column, parts: bool = False) -> Col
 COVER = 16
 
 
+#: Edges that a band is meant to hold besides those that cross it whole.
+BAND_EDGES = 8
+
+
+def polygon_edges(polygons: DataFrame, pid: str, ring_name: str) -> DataFrame:
+    """``pid, x1, y1, x2, y2``: the edges of all rings (one ring or an array of rings) but level ones.
+
+    A level edge crosses no ray of the even-odd rule.
+    """
+    parts = polygons.schema[ring_name].dataType.elementType.typeName() == "array"
+    rings = F.col(ring_name) if parts else F.array(F.col(ring_name))
+
+    def edges(one: Column) -> Column:
+        n = F.greatest(F.size(one) - 1, F.lit(0))
+        return F.zip_with(F.slice(one, 1, n), F.slice(one, 2, n), lambda a, b: F.struct(
+            a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")))
+
+    return (polygons.select(pid, F.explode(F.flatten(F.transform(rings, edges))).alias("e")).select(pid, "e.*")
+            .where("y1 <> y2"))
+
+
+def _band(y: Column) -> Column:
+    """A polygon's band at height ``y``: never falls as ``y`` rises."""
+    at = F.floor(F.try_divide(y - F.col("__y0"), F.col("__y1") - F.col("__y0")) * F.col("__bands"))
+    return F.least(F.coalesce(at, F.lit(0)).cast("long"), F.col("__bands") - 1)
+
+
+def _banded(edges: DataFrame, pid: str) -> tuple[DataFrame, DataFrame]:
+    """Extents with the number of bands a polygon, and the edges of each band.
+
+    A polygon of ``e`` edges gets ``e / BAND_EDGES`` bands, or fewer if edges
+    cross many of them, so that bands together hold at most four times its
+    edges.  A band then holds about BAND_EDGES edges and those that cross it.
+    """
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    e = F.col("__e")
+    extent = edges.groupBy(pid).agg(
+        F.count(F.lit(1)).alias("__e"), F.sum(high - low).alias("__rise"), F.min(low).alias("__y0"),
+        F.max(high).alias("__y1"), F.min(F.least("x1", "x2")).alias("__x0"), F.max(F.greatest("x1", "x2")).alias("__x1"))
+    crossing = F.col("__rise") / (F.col("__y1") - F.col("__y0"))
+    bands = F.greatest(F.least(F.ceil(e / F.lit(BAND_EDGES)), F.ceil(3 * e / crossing)), F.lit(1)).cast("long")
+    extent = extent.withColumn("__bands", bands).drop("__e", "__rise")
+    dealt = edges.join(extent, pid).withColumn("__band", F.explode(F.sequence(_band(low), _band(high))))
+    return extent, dealt.groupBy(pid, "__band").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("__edges"))
+
+
+def _crossed(edges: Column, x: Column, y: Column) -> Column:
+    """Whether a ray from (x, y) crosses an odd number of the edges."""
+    def step(odd, e):
+        crosses = ((e["y1"] > y) != (e["y2"] > y)) & (
+            x < F.try_divide((e["x2"] - e["x1"]) * (y - e["y1"]), e["y2"] - e["y1"]) + e["x1"])
+        return odd != F.coalesce(crosses, F.lit(False))
+
+    return F.aggregate(edges, F.lit(False), step)
+
+
 def within(points: DataFrame, polygons: DataFrame, pid: str, ring_name: str = "ring",
            xy: tuple[str, str] = ("x", "y"), cell: float = 1.0, how: str = "inner") -> DataFrame:
     """Point-in-polygon join (G2 G3); ``how='left'`` keeps points outside all polygons.
 
-    ``ring_name`` holds one ring or an array of rings (parts and holes).  Each
-    polygon is covered by cells of the size ``cell * 4^level``, the smallest
-    that needs at most COVER of them along a side, so a polygon of any extent
-    makes a bounded number of rows.  Points join once a level in use (a few
-    numbers, found by one aggregate over the polygons); the exact crossing
-    test is the residual condition of that equi-join.
+    ``ring_name`` holds one ring or an array of rings (parts and holes).  The
+    box of each polygon is covered by cells of the size ``cell * 4^level``, the
+    smallest that needs at most COVER of them along a side; points join on
+    their cell, once a level in use (a few numbers), and get their candidate
+    polygons.  A candidate is decided by the edges of the polygon's band at the
+    point's height alone, so a point's work does not grow with the ring.
+    Polygons travel without their rings; NULL coordinates are in no polygon.
     """
-    parts = polygons.schema[ring_name].dataType.elementType.typeName() == "array"
-    corners = F.flatten(ring_name) if parts else F.col(ring_name)
-    xs, ys = F.transform(corners, lambda p: p["x"]), F.transform(corners, lambda p: p["y"])
-    lo_hi = [F.array_min(xs), F.array_max(xs), F.array_min(ys), F.array_max(ys)]
-    extent = F.greatest(lo_hi[1] - lo_hi[0], lo_hi[3] - lo_hi[2])
-    level = F.greatest(F.ceil(F.log(4.0, F.greatest(extent, F.lit(cell)) / (COVER * cell))), F.lit(0))
-    pg = polygons.withColumn("__plevel", level.cast("int")).where("__plevel IS NOT NULL")
-    levels = sorted(r[0] for r in pg.select("__plevel").distinct().collect())
-    size = F.lit(cell) * F.pow(F.lit(4.0), F.col("__plevel"))
-    spans = [F.floor(c / size).cast("long") for c in lo_hi]
-    pg = (pg.withColumn("__pkx", F.explode(F.sequence(spans[0], spans[1])))
-          .withColumn("__pky", F.explode(F.sequence(spans[2], spans[3]))))
-
-    px, py = F.col(xy[0]).cast("double"), F.col(xy[1]).cast("double")
-    cond = ((F.col("__level") == F.col("__plevel")) & (F.col("__kx") == F.col("__pkx"))
-            & (F.col("__ky") == F.col("__pky")) & contains(F.col(ring_name), px, py, parts))
-    extra = ["__level", "__plevel", "__kx", "__ky", "__pkx", "__pky", ring_name]
-
-    def placed(df: DataFrame) -> DataFrame:
-        keys = [F.struct(F.lit(k).alias("__level"), _cell(px, cell * 4.0 ** k).alias("__kx"),
-                         _cell(py, cell * 4.0 ** k).alias("__ky")) for k in levels or [0]]
-        if len(keys) == 1:  # nothing to repeat
-            return df.select("*", *[keys[0][f].alias(f) for f in ("__level", "__kx", "__ky")])
-        return df.withColumn("__at", F.explode(F.array(*keys))).select("*", "__at.*").drop("__at")
-
-    if how != "left" or len(levels) <= 1:
-        return placed(points).join(pg, cond, "left" if how == "left" else "inner").drop(*extra)
-    # matches of each distinct place over all levels, then back to the points
-    spots = points.select(px.alias(xy[0]), py.alias(xy[1])).distinct()
-    hits = placed(spots).join(pg, cond).drop(*extra).withColumnsRenamed({xy[0]: "__hx", xy[1]: "__hy"})
-    return points.join(hits, (px == F.col("__hx")) & (py == F.col("__hy")), "left").drop("__hx", "__hy")
+    from ..session import cut_lineage
+    poly = cut_lineage(polygons.withColumn("__poly", F.monotonically_increasing_id()))
+    extent, bands = _banded(polygon_edges(poly, "__poly", ring_name), "__poly")
+    attributes = poly.drop(ring_name)
+    size0 = F.greatest(F.col("__x1") - F.col("__x0"), F.col("__y1") - F.col("__y0"), F.lit(cell))
+    level = F.greatest(F.ceil(F.log(4.0, size0 / (COVER * cell))), F.lit(0)).cast("int")
+    extent = cut_lineage(extent.withColumn("__level", level))
+    levels = sorted(r[0] for r in extent.select("__level").distinct().collect())
+    size = F.lit(cell) * F.pow(F.lit(4.0), F.col("__level"))
+    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / size).cast("long"),
+                                             F.floor(F.col(b) / size).cast("long")))
+    cover = extent.withColumn("__kx", span("__x0", "__x1")).withColumn("__ky", span("__y0", "__y1"))
+
+    px, py = F.col("__px"), F.col("__py")
+    spots = (points.select(F.col(xy[0]).cast("double").alias("__px"), F.col(xy[1]).cast("double").alias("__py"))
+             .where("__px IS NOT NULL AND __py IS NOT NULL").distinct())
+    keys = [F.struct(F.lit(k).alias("__level"), _cell(px, cell * 4.0 ** k).alias("__kx"),
+                     _cell(py, cell * 4.0 ** k).alias("__ky")) for k in levels or [0]]
+    placed = spots.withColumn("__at", F.explode(F.array(*keys))).select("__px", "__py", "__at.*")
+    candidates = (placed.join(cover, ["__level", "__kx", "__ky"])
+                  .where((py >= F.col("__y0")) & (py < F.col("__y1")) & (px <= F.col("__x1")))
+                  .select("__px", "__py", "__poly", _band(py).alias("__band")))
+    hits = (candidates.join(bands, ["__poly", "__band"]).where(_crossed(F.col("__edges"), px, py))
+            .select("__px", "__py", "__poly").join(attributes, "__poly").drop("__poly"))
+    cond = (F.col(xy[0]).cast("double") == hits["__px"]) & (F.col(xy[1]).cast("double") == hits["__py"])
+    return points.join(hits, cond, "left" if how == "left" else "inner").drop("__px", "__py")
 
 
 # --- coordinate transforms (G5): transverse Mercator series, public formulas.
@@ -396,18 +449,17 @@ def watershed_attrs(sites: DataFrame, wshd: DataFrame, key: str, wshd_key: str |
 
 
 def attach_segment(obs: DataFrame, segments: DataFrame, key: str, measure: str, seg_start: str,
-                   cols: Sequence[str], seg_key: str | None = None, width: float = 1000.0) -> DataFrame:
+                   cols: Sequence[str], seg_key: str | None = None) -> DataFrame:
     """Stream-segment attributes at each observation by linear reference.
 
     The segment of a line that holds a measure is the one whose start is the
-    greatest at or below it — an as-of match on the numeric measure (bucketed
-    by ``width`` units), so an observation gets exactly one segment and a
-    line with very many segments never emits all (observation, segment)
-    pairs.
+    greatest at or below it — an as-of match on the numeric measure, so an
+    observation gets exactly one segment and a line with very many segments
+    never emits all (observation, segment) pairs.
     """
     from .timeseries import asof
     s = segments.select(F.col(seg_key or key).alias(key), F.col(seg_start).alias(measure), *cols)
-    return asof(obs, s, measure, by=[key], cols=list(cols), prefix="seg_", bucket_seconds=width)
+    return asof(obs, s, measure, by=[key], cols=list(cols), prefix="seg_")
 
 
 def clean_waypoint(name: Column, threshold: float = 1000, divisor: float = 10) -> Column:

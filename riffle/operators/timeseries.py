@@ -1,11 +1,10 @@
 """Time series: as-of matching, climatologies, record periods.
 
-As-of join (latest right row at or before each left row, per key) is written
-as a union + window, partitioned by key **and time bucket** so a key holding
-a large share of the rows is spread over many tasks.  Rows whose bucket has
-no earlier right row take the last right row of the nearest earlier bucket,
-found on a per-(key, bucket) summary (one row per bucket) with a range
-window, then joined back.  The result is exact.
+The as-of join (latest right row at or before each left row, per key) is a
+segmented scan: both sides together are cut into ranges of (key, time), each
+range is scanned for the last right row seen, and what a range hands on to the
+next one is a single row.  Ranges follow the density of the rows, down to rows
+of the same instant, so neither a key nor a burst meets in one task.
 """
 
 from __future__ import annotations
@@ -17,85 +16,70 @@ from pyspark.sql import functions as F
 
 from ..functions.timefn import doy_to_date
 
-DAY_SECONDS = 86400
-
-
-def _bucket(ts: Column, seconds: float, numeric: bool = False) -> Column:
-    """Bucket index of an order value: ``seconds``-wide for timestamps, or
-    ``seconds`` units wide for a numeric order column (e.g. a measure in m)."""
-    if numeric:
-        return F.floor(ts.cast("double") / F.lit(float(seconds))).cast("long")
-    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
-
 
 def asof(left: DataFrame, right: DataFrame, ts: str, by: Sequence[str] = (),
          cols: Sequence[str] | None = None, right_ts: str | None = None, prefix: str = "r_",
-         bucket_seconds: int = DAY_SECONDS) -> DataFrame:
+         ranges: int | None = None) -> DataFrame:
     """For each left row, the latest right row with ``right_ts <= ts`` and equal ``by``.
 
     Returns all left columns plus ``prefix + c`` for each right column in
     ``cols`` and the matched right timestamp.  No earlier right row → NULLs.
-    Missing ``by`` keys never match.  Ties on the right timestamp are broken
-    by the right columns (largest wins), the same way on both paths.  The
-    order column may also be numeric (a measure along a line); then
-    ``bucket_seconds`` is the bucket width in its units.
+    Missing ``by`` keys and times never match.  Ties on the right timestamp are
+    broken by the right columns (largest wins).  The order column may also be
+    numeric (a measure along a line).
+
+    Each side is read twice, once for the sample that cuts the ranges and once
+    to be dealt; ``ranges`` is their number (twice the shuffle partitions).  The
+    scanned rows are written once, since another sample would cut otherwise.
+    Every range gets what the ranges before it end with: a range continues at
+    most one key, so this is a row a range.
     """
-    rts = right_ts or ts
-    by = list(by)
+    from ..session import cut_lineage
+    rts, by = right_ts or ts, list(by)
     cols = [c for c in (cols or right.columns) if c not in by and c != rts]
     rrow = F.struct(F.col(rts).alias(prefix + rts), *[F.col(c).alias(prefix + c) for c in cols])
     rtype = right.select(rrow.alias("r")).schema["r"].dataType
     lrow = F.struct(*[F.col(f"`{c}`") for c in left.columns])
     ltype = left.select(lrow.alias("l")).schema["l"].dataType
+    keys = [f"__by{i}" for i in range(len(by))]
+    named = [F.col(b).alias(k) for b, k in zip(by, keys)]
 
-    lu = left.select(*[F.col(b).alias(f"__by{i}") for i, b in enumerate(by)],
-                     F.col(ts).alias("__ts"), F.lit(1).alias("__side"), lrow.alias("__l"),
-                     F.lit(None).cast(rtype).alias("__r"))
-    rsrc = right
+    plain = [F.col(f"`{c}`") for c, t in left.dtypes if "map<" not in t]
+    lu = left.select(*named, F.col(ts).alias("__ts"), F.lit(1).alias("__side"), F.lit(None).cast(rtype).alias("__r"),
+                     F.xxhash64(*plain, F.spark_partition_id()).alias("__h"), lrow.alias("__l"))
+    known = right.where(F.col(rts).isNotNull())
     for b in by:
-        rsrc = rsrc.filter(F.col(b).isNotNull())
-    ru = rsrc.select(*[F.col(b).alias(f"__by{i}") for i, b in enumerate(by)],
-                     F.col(rts).alias("__ts"), F.lit(0).alias("__side"), F.lit(None).cast(ltype).alias("__l"),
-                     rrow.alias("__r"))
-    keys = [f"__by{i}" for i in range(len(by))]
-    numeric = dict(left.dtypes)[ts] not in ("timestamp", "timestamp_ntz", "date")
-    lu = lu.withColumn("__b", _bucket(F.col("__ts"), bucket_seconds, numeric))
-    ru = ru.withColumn("__b", _bucket(F.col("__ts"), bucket_seconds, numeric))
-    u = lu.unionByName(ru)
-
-    # 1) within (key, bucket): last right row up to and including each row
-    w = (Window.partitionBy(*keys, "__b").orderBy("__ts", "__side", "__r")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hits = (u.withColumn("__hit", F.last("__r", ignorenulls=True).over(w))
-            .filter(F.col("__side") == 1).select(*keys, "__b", "__l", "__hit"))
-
-    # 2) per (key, bucket): the last right row (from the right input) and a
-    #    marker for every bucket holding left rows (from the left input); a
-    #    range window over these one-row-per-bucket records gives the latest
-    #    right row of an earlier bucket.  The big window above runs once.
-    last_r = ru.groupBy(*keys, "__b").agg(F.max_by("__r", F.struct("__ts", "__r")).alias("__last"))
-    marks = lu.select(*keys, "__b").distinct().withColumn("__last", F.lit(None).cast(rtype))
-    wb = Window.partitionBy(*keys).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
-    prev = (last_r.unionByName(marks).withColumn("__prev", F.last("__last", ignorenulls=True).over(wb))
-            .groupBy(*keys, "__b").agg(F.max("__prev").alias("__prev")))
-
-    cond = [hits[k].eqNullSafe(prev[k]) for k in keys] + [hits["__b"] == prev["__b"]]
-    c = cond[0]
-    for x in cond[1:]:
-        c = c & x
-    j = hits.join(prev, c, "left").select(F.col("__l"), F.coalesce("__hit", "__prev").alias("__m"))
-    return j.select("__l.*", "__m.*")
+        known = known.where(F.col(b).isNotNull())
+    ru = known.select(*named, F.col(rts).alias("__ts"), F.lit(0).alias("__side"), rrow.alias("__r"),
+                      F.lit(0).cast("long").alias("__h"), F.lit(None).cast(ltype).alias("__l"))
+
+    order = ["__ts", "__side", "__r", "__h"]
+    n = ranges or 2 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (lu.unionByName(ru).repartitionByRange(n, *[F.col(c) for c in [*keys, *order]])
+              .withColumn("__range", F.spark_partition_id()))
+    own = Window.partitionBy("__range", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = cut_lineage(ranged.withColumn("__hit", F.last("__r", ignorenulls=True).over(own))
+                          .select("__range", *keys, "__side", "__l", "__hit"))
+    ends = scanned.groupBy("__range", *keys).agg(F.max("__hit").alias("__last"))
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (ends.withColumn("__carry", F.last("__last", ignorenulls=True).over(before)).where("__carry IS NOT NULL")
+               .select(F.col("__range").alias("__into"), *[F.col(k).alias(f"{k}c") for k in keys], "__carry"))
+    rows = scanned.where(F.col("__side") == 1)
+    cond = rows["__range"] == carried["__into"]
+    for k in keys:
+        cond = cond & rows[k].eqNullSafe(carried[f"{k}c"])
+    j = rows.join(F.broadcast(carried), cond, "left")  # a row a range at most
+    return j.select("__l", F.coalesce("__hit", "__carry").alias("__m")).select("__l.*", "__m.*")
 
 
 def asof_or_own(df: DataFrame, track: DataFrame, ts: str, own: Sequence[str], track_cols: Sequence[str],
-                by: Sequence[str] = (), out: Sequence[str] | None = None,
-                bucket_seconds: int = DAY_SECONDS) -> DataFrame:
+                by: Sequence[str] = (), out: Sequence[str] | None = None) -> DataFrame:
     """Own coordinates where present, else those of the latest track point.
 
     One pass: every row goes through the as-of match and picks its own value
     first (rather than splitting the frame and unioning two branches).
     """
-    m = asof(df, track, ts, by, list(track_cols), prefix="__t_", bucket_seconds=bucket_seconds)
+    m = asof(df, track, ts, by, list(track_cols), prefix="__t_")
     out = list(out or own)
     filled = [F.coalesce(F.col(o), F.col(f"__t_{t}")).alias(n) for o, t, n in zip(own, track_cols, out)]
     return m.select(*[c for c in df.columns if c not in out], *filled)
@@ -172,13 +156,17 @@ def record_period(df: DataFrame, keys: Sequence[str], date: str, label: str | No
 
 def screening(df: DataFrame, keys: Sequence[str], date: str, value: str) -> DataFrame:
     """Data screening per key × year: days observed, days missing, min/max/mean/median/sd (T5)."""
+    from .joins import join_na
+    from .selection import quantiles
     v = F.col(value)
-    yr = F.year(date)
-    g = df.groupBy(*keys, yr.alias("year")).agg(
+    d = df.withColumn("year", F.year(date))
+    group = [*keys, "year"]
+    g = d.groupBy(*group).agg(
         F.count(v).alias("n_days"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"),
-        F.median(v).alias("median"), F.stddev_samp(v).alias("sd"))
+        F.stddev_samp(v).alias("sd"))
+    middle = quantiles(d, group, value, [0.5], ["median"]).drop("n")
     days = F.dayofyear(F.make_date(F.col("year"), F.lit(12), F.lit(31)))
-    return g.withColumn("n_missing", (days - F.col("n_days")).cast("long"))
+    return join_na(g, middle, group).withColumn("n_missing", (days - F.col("n_days")).cast("long"))
 
 
 def active_by_month(df: DataFrame, keys: Sequence[str], start: str, end: str,

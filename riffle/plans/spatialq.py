@@ -166,5 +166,5 @@ def segment_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = t.customer.select("c_custkey", (F.col("c_acctbal") * 50).alias("measure"))
     seg = t.orders.select("o_custkey", "o_totalprice", "o_orderkey", "o_orderpriority")
     m = G.attach_segment(obs, seg, "c_custkey", "measure", "o_totalprice", ["o_orderkey", "o_orderpriority"],
-                         seg_key="o_custkey", width=50000.0)
+                         seg_key="o_custkey")
     return m.select("c_custkey", "measure", "seg_measure", "seg_o_orderkey", "seg_o_orderpriority")

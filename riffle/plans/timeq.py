@@ -10,6 +10,7 @@ from ..functions.timefn import ymd_parts
 from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import timeseries as T
+from ..operators.intervals import overlap_join
 from .registry import Tables, query
 
 
@@ -46,11 +47,11 @@ s AS (SELECT event_id AS r_event_id, ts AS r_ts, user_id AS s_user FROM events W
 SELECT e.event_id, e.ts, e.user_id, e.event_type, s.r_event_id, s.r_ts
 FROM e ASOF LEFT JOIN s ON e.user_id = s.s_user AND e.ts >= s.r_ts""")
 def assign_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event is assigned to the latest signup (site start) of its user (6-hour buckets)."""
+    """Each event is assigned to the latest signup (site start) of its user."""
     e = Tables(spark, sf_dir).events
     left = e.filter(F.col("event_type") != "signup").select("event_id", "ts", "user_id", "event_type")
     right = e.filter(F.col("event_type") == "signup").select("event_id", "ts", "user_id")
-    return T.asof(left, right, "ts", by=["user_id"], cols=["event_id"], bucket_seconds=6 * 3600)
+    return T.asof(left, right, "ts", by=["user_id"], cols=["event_id"])
 
 
 # ---------------------------------------------------------------- T3 X18 A4
@@ -168,3 +169,33 @@ def calendar_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     iv = (t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
           .select("l_returnflag", F.to_date("o_orderdate").alias("s"), F.to_date("l_shipdate").alias("e")))
     return T.active_by_month(iv, ["l_returnflag"], "s", "e")
+
+
+# Fixed values for the stand-in: stages of a calendar, in report order.
+STAGES = ["Migration", "Spawning", "Incubation", "Emergence"]
+
+
+@query("calendar_matches", ids="T7 W7", sql="""
+WITH cal AS (SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 'Migration' WHEN 1 THEN 'Spawning' WHEN 2 THEN 'Incubation'
+                      WHEN 3 THEN 'Emergence' ELSE 'Rearing' END AS stage,
+                    DATE '1992-01-01' + CAST((s_suppkey * 37) % 2400 AS INTEGER) AS d0,
+                    DATE '1992-01-01' + CAST((s_suppkey * 37) % 2400 + (s_suppkey * 101) % 900 AS INTEGER) AS d1 FROM supplier),
+obs AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS o0,
+               CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) AS o1 FROM lineitem)
+SELECT s_suppkey, stage, list_position(['Migration', 'Spawning', 'Incubation', 'Emergence'], stage) - 1 AS stage_order,
+       count(*) AS n, CAST(sum(least(d1, o1) - greatest(d0, o0) + 1) AS BIGINT) AS days
+FROM cal JOIN obs ON s_suppkey = l_suppkey AND o0 <= d1 AND d0 <= o1 WHERE stage <> 'Rearing' GROUP BY ALL""")
+def calendar_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observation periods that fall into each site's life-stage periods, and the days they share."""
+    t = Tables(spark, sf_dir)
+    k = F.col("s_suppkey")
+    day = lambda n: F.date_add(F.lit("1992-01-01").cast("date"), n.cast("int"))
+    stage = F.get(F.array(*[F.lit(s) for s in [*STAGES, "Rearing"]]), (k % 5).cast("int"))
+    cal = t.supplier.select("s_suppkey", stage.alias("stage"), day((k * 37) % 2400).alias("d0"),
+                            day((k * 37) % 2400 + (k * 101) % 900).alias("d1"))
+    cal = T.calendar(cal, "d0", "d1", "stage", STAGES, keep=F.col("stage") != "Rearing")
+    ship = F.to_date("l_shipdate")
+    obs = t.lineitem.select("l_suppkey", ship.alias("o0"), F.date_add(ship, F.col("l_quantity").cast("int")).alias("o1"))
+    m = overlap_join(cal, obs, ("d0", "d1"), ("o0", "o1"), on=["s_suppkey"], right_on=["l_suppkey"])
+    return m.groupBy("s_suppkey", "stage", "stage_order").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("overlap_hi") - F.col("overlap_lo") + 1).alias("days"))

@@ -48,7 +48,7 @@ def test_asof_matches_brute_force_across_buckets(spark):
     right.append((5000, 1, left[0][2]))          # tie at equal time counts as "at or before"
     L = spark.createDataFrame(left, "lid long, k long, t long").withColumn("ts", F.timestamp_seconds("t"))
     Rr = spark.createDataFrame(right, "rid long, k long, t long").withColumn("ts", F.timestamp_seconds("t"))
-    m = T.asof(L.drop("t"), Rr.drop("t"), "ts", by=["k"], cols=["rid"], bucket_seconds=3600)
+    m = T.asof(L.drop("t"), Rr.drop("t"), "ts", by=["k"], cols=["rid"])
     got = {r.lid: r.r_rid for r in m.collect()}
     assert got == _brute_asof(left, right)
 

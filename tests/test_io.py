@@ -44,8 +44,8 @@ def test_route_snapshot_and_listing(spark, tmp_path):
     snap = str(tmp_path / "snap")
     K.snapshot(df.filter("id = 1"), snap, "20240101")
     K.snapshot(df, snap, "20240102")
-    assert spark.read.parquet(snap + "/current").count() == 3
-    assert spark.read.parquet(snap + "/archive_20240102").count() == 1
+    assert K.read_snapshot(spark, snap).count() == 3
+    assert K.read_snapshot(spark, snap, run_date="20240101").count() == 1
     files = S.list_files(spark, root, glob="*.parquet")
     assert files.count() >= 2 and "name" in files.columns
     assert K.stamped("/x/out", "20221014") == "/x/out/run_date=20221014"

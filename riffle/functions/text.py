@@ -173,32 +173,29 @@ def number_words(max_n: int = 100, ordinal: bool = False) -> list[str]:
 
 
 def number_word(col: ColumnOrName, ordinal: bool = False) -> Column:
-    """Spell any whole number as words (X22), composed from groups of three digits."""
-    c = _c(col).cast("decimal(20,0)")
-    size = F.abs(c)
-    units = F.array(*[F.lit(w) for w in _UNITS])
-    tens = F.array(*[F.lit(w) for w in _TENS])
-
-    def below_hundred(n: Column) -> Column:
-        n = n.cast("int")
-        t, u = F.floor(n / 10).cast("int"), n % 10
-        return (F.when(n == 0, F.lit(None)).when(n < 20, F.get(units, n))
-                .otherwise(F.concat_ws(" ", F.get(tens, t), F.when(u > 0, F.get(units, u)))))
-
+    """Spell any whole number (64 bits) as words (X22): a look-up for each group of three digits."""
+    c = _c(col).cast("long")
+    # one literal: the words of 0 to 999
+    below = F.split(F.lit(",".join(number_words(999))), ",")
+    down = F.when(c > 0, -c).otherwise(c)  # negative numbers reach one further than positive ones
     groups = []
     for k in range(len(_GROUPS) - 1, -1, -1):
-        part = F.floor(size / F.lit(1000 ** k).cast("decimal(20,0)")).cast("decimal(20,0)") % 1000
-        h = F.floor(part / 100).cast("int")
-        words = F.concat_ws(" ", F.when(h > 0, F.concat(F.get(units, h), F.lit(" hundred"))), below_hundred(part % 100),
-                            *([F.lit(_GROUPS[k])] if k else []))
-        groups.append(F.when(part > 0, words))
+        if 1000 ** k >= 2 ** 63:
+            continue
+        part = -(F.call_function("div", down, F.lit(1000 ** k).cast("long")) % 1000)
+        words = F.get(below, part.cast("int"))
+        groups.append(F.when(part > 0, F.concat(words, F.lit(f" {_GROUPS[k]}")) if k else words))
     text = F.when(c == 0, F.lit(_UNITS[0])).otherwise(
         F.concat_ws(" ", F.when(c < 0, F.lit("minus")), *groups))
     if ordinal:
-        last = F.regexp_extract(text, r"(\S+)$", 1)
         irregular = F.create_map(*[F.lit(x) for kv in _ORDINAL_IRREGULAR.items() for x in kv])
-        end = F.coalesce(F.try_element_at(irregular, last),
-                         F.when(last.endswith("y"), F.regexp_replace(last, "y$", "ieth"))
-                         .otherwise(F.concat(last, F.lit("th"))))
-        text = F.when(c == 0, text).otherwise(F.concat(F.regexp_replace(text, r"\S+$", ""), end))
+
+        def ending(t: Column) -> Column:
+            last = F.substring_index(t, " ", -1)
+            end = F.coalesce(F.try_element_at(irregular, last),
+                             F.when(last.endswith("y"), F.concat(F.substring(last, F.lit(1), F.length(last) - 1), F.lit("ieth")))
+                             .otherwise(F.concat(last, F.lit("th"))))
+            return F.concat(F.substring(t, F.lit(1), F.length(t) - F.length(last)), end)
+
+        text = F.when(c == 0, text).otherwise(F.transform(F.array(text), ending)[0])
     return F.when(c.isNotNull(), text)

@@ -16,7 +16,7 @@ from ..functions.semantics import part, paste0, rlike_na, round_even, strict_max
 from ..functions.text import bin_label
 from .aggregates import with_group_agg
 from .dedupe import keep_first
-from .joins import full_merge
+from .joins import full_merge, join_na
 
 # The species code used for "no fish caught", life-stage bins by
 # fork length in mm (upper edges, closed), and coarse species with no stage.
@@ -28,18 +28,37 @@ COARSE_SPECIES = ("L", "SU", "LSU")
 EVENT_KEYS = ("reference_number", "sampling_method", "method_number", "haul_number_pass_number")
 
 
+def clean_events(events: DataFrame, keys: Sequence[str] = EVENT_KEYS, site_number: str = "site_number") -> DataFrame:
+    """One collection event per key (D12): rows without a site number go, of repeats the first
+    by their other columns stays."""
+    e = events.filter(F.col(site_number).isNotNull()) if site_number in events.columns else events
+    return keep_first(e, list(keys), [c for c in events.columns if c not in keys])
+
+
+def coded_fish(indiv: DataFrame, names: DataFrame, species: str = "species", name: str = "common_name",
+               code: str = "species_code", site_number: str = "site_number") -> DataFrame:
+    """Individual fish with the code of their common name (D12); rows without a site number go.
+
+    A name that is listed twice has the smallest of its codes; an unknown one has none.
+    """
+    f = indiv.filter(F.col(site_number).isNotNull()) if site_number in indiv.columns else indiv
+    n = names.groupBy(F.col(name).alias("__name")).agg(F.min(code).alias(code))
+    return join_na(f, n, species, "left", "__name").drop(species, *([site_number] if site_number in f.columns else []))
+
+
 def fish_records(indiv: DataFrame, events: DataFrame, keys: Sequence[str] = EVENT_KEYS,
                  species: str = "species_code", length: str = "length_mm",
                  alias: str = "local_name", edges=STAGE_EDGES, stages=STAGES,
                  coarse=COARSE_SPECIES, coarse_regex: str | None = None) -> DataFrame:
     """Individual fish × collection events.
 
-    Full join on the event keys keeps events without fish (species ``NFC``)
-    and fish without an event; life stage from length bins, NULL for coarse
+    Events are reduced to one per key (:func:`clean_events`), so none doubles a
+    fish.  Full join on the event keys keeps events without fish (species
+    ``NFC``) and fish without an event; life stage from length bins, NULL for coarse
     species (exact membership, or ``coarse_regex`` if given); the alias is
     split into site / location / ef and ``site_id = site_location``.
     """
-    j = full_merge(indiv, events, list(keys))
+    j = full_merge(indiv, clean_events(events, keys).drop("site_number"), list(keys))
     sp = F.coalesce(F.col(species), F.lit(NO_FISH))
     coarse_test = rlike_na(sp, coarse_regex) if coarse_regex else sp.isin(list(coarse))
     stage = F.when(coarse_test, F.lit(None).cast("string")).otherwise(

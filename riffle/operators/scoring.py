@@ -176,6 +176,34 @@ def tenure(df: DataFrame, client_abbrev: str = "client_name_abb", file_id: str =
     return df.withColumn(out, F.trim(label))
 
 
+# Words taken out of a tenure label, and line types without an admin area that the ministry keeps.
+TENURE_WORDS = ("Road", "Minor", "Major")
+MINISTRY_LINES = "arterial|local|highway"
+
+
+def line_tenure(df: DataFrame, client_abbrev: str = "client_name_abb", file_id: str = "forest_file_id",
+                admin: str = "admin_area_abbreviation", line_type: str = "line_type", owner: str = "owner_name",
+                ministry: str = MINISTRY, out: str = "my_road_tenure") -> DataFrame:
+    """Road tenure label from the line type, where there is no road class (D4, second form).
+
+    Client + file id, else admin area + title-cased line type, else rail owner;
+    arterial, local and highway lines with no admin area belong to the
+    ministry.  The label is trimmed, then TENURE_WORDS are taken out (the
+    blanks around them stay).
+    """
+    lt = F.col(line_type)
+    adm = F.when(F.col(admin).isNull() & rlike_na(lt, MINISTRY_LINES, ci=True), F.lit(ministry)).otherwise(F.col(admin))
+    label = first_match([
+        (F.col(client_abbrev).isNotNull(), paste0(F.col(client_abbrev), F.lit(" "), F.col(file_id))),
+        (lt.isNotNull(), paste0(F.coalesce(adm, F.lit("")), F.lit(" "), F.initcap(lt))),
+        (F.col(owner).isNotNull(), F.col(owner)),
+    ])
+    label = F.trim(label)
+    for word in TENURE_WORDS:
+        label = F.replace(label, F.lit(word), F.lit(""))
+    return df.withColumn(out, label)
+
+
 def merged_id(df: DataFrame, own: str, ref: str, out: str = "aggregated_crossings_id",
               threshold: int = 200_000_000, offset: int = 1_000_000_000) -> DataFrame:
     """Own id, else the reference when above ``threshold``, else reference + offset."""
@@ -269,7 +297,31 @@ def merge_renamed(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return df
 
 
-def planning_list(df: DataFrame, predicates: Sequence[Column]) -> DataFrame:
-    """Keep rows passing every predicate; a missing test fails the row."""
+# The empty columns that reviewers fill in.
+REVIEW_COLUMNS = ("my_priority", "my_priority_comments", "my_citation_key1", "my_citation_key2", "my_citation_key3")
+
+
+def planning_list(model: DataFrame, crossings: DataFrame, crossing_id: str = "crossing_id",
+                  model_id: str = "aggregated_crossings_id", group: tuple[str, str] = ("watershed_group_code", "KLUM"),
+                  min_km: float = 0.3, link: str = "https://example.org/maps/FishPassage_%s.pdf",
+                  grid: str = "map_grid") -> DataFrame:
+    """Planning candidates (D25, F7): modelled crossings worth a visit, beside what is known of them.
+
+    Ordered predicates, each failing on a missing value but for the two that
+    ask for one: a site with no survey status passes, one with a status must be
+    neither confirmed nor passable nor unknown; nothing artificial may lie
+    downstream.  Crossings are joined by their id as text; the review columns
+    are empty text, ``my_review`` says that the row is up for review.
+    """
     from .filters import cascade
-    return cascade(df, predicates)
+    from .joins import join_na
+    status, barrier = F.col("survey_status"), F.col("barrier_status")
+    kept = cascade(model, [
+        F.col(group[0]) == group[1], F.col("rearing_km") > min_km, F.col("crossing_type_code") != "OBS",
+        (barrier == "POTENTIAL") | (barrier == "BARRIER"),
+        status.isNull() | ((status != "HABITAT CONFIRMATION") & (barrier != "PASSABLE") & (barrier != "UNKNOWN")),
+        F.col("barriers_downstream").isNull()])
+    known = crossings.withColumn(crossing_id, F.col(crossing_id).cast("string"))
+    j = join_na(kept, known, model_id, "left", crossing_id)
+    return (j.withColumn("map_link", F.format_string(link, F.col(grid).cast("string"))).withColumn("my_review", F.lit(True))
+            .withColumns({c: F.lit(None).cast("string") for c in REVIEW_COLUMNS}))

@@ -473,20 +473,25 @@ def waypoint_key(name: Column, source: Column, ts: Column) -> Column:
     return paste0(name.cast("long"), F.lit("_"), source, F.lit("_"), F.year(ts))
 
 
-def merge_waypoints(recorders: dict, name: str = "name", time: str = "time",
-                    order: Sequence[str] | None = None) -> DataFrame:
+def merge_waypoints(recorders: dict, name: str = "name", time: str = "time") -> DataFrame:
     """Waypoints of several recorders in one table.
 
     ``recorders`` maps a source code to its frame.  Names are cleaned
-    (renamed duplicates divided back), tagged with the source, keyed
-    ``name_source_year``, stacked by column name (missing columns NULL) and
-    reduced to one row per key (latest time first, then ``order``).
+    (renamed duplicates divided back, ``name_old``), tagged with the source,
+    keyed ``name_source_year`` and stacked by column name (missing columns
+    NULL).  All rows stay: a cleaned name may well stand for several points.
     """
     from functools import reduce
-    from .dedupe import keep_first
     frames = []
     for src, df in recorders.items():
         w = (df.withColumn("name_old", clean_waypoint(F.col(name))).withColumn("source", F.lit(src)))
         frames.append(w.withColumn(name, waypoint_key(F.col("name_old"), F.col("source"), F.col(time))))
-    wp = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return keep_first(wp, [name], [f"{time} desc", *(order or [])])
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def join_waypoints(sites: DataFrame, waypoints: DataFrame, waypoint: str = "waypoint", source: str = "source",
+                   cols: Sequence[str] = ("easting", "northing")) -> DataFrame:
+    """Sites beside the points of their waypoint, by cleaned name and recorder (G7); sites without one stay."""
+    from .joins import join_na
+    return join_na(sites, waypoints.select("name_old", F.col("source").alias("__source"), *cols), [waypoint, source], "left",
+                   ["name_old", "__source"])

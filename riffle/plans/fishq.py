@@ -5,6 +5,8 @@ lineitem row whose return flag is not ``N`` is one fish caught in it.  From
 ``k = orderkey``: site ``k div 8``; location ``us``/``ds`` by ``(k div 4) % 2``;
 ef number ``(k div 2) % 2 + 1``; method number ``(k % 8) div 2 + 1``; pass
 ``k % 2 + 1``.  Fish length is quantity × 5 mm (bin edges 65/110/140 occur).
+Every fiftieth event is entered twice, some events and fish have no site number,
+fish have common names, and some sites were fished at two lengths.
 """
 
 from __future__ import annotations
@@ -36,22 +38,24 @@ def events(t: Tables) -> DataFrame:
     k = "o_orderkey"
     site, half = F.expr(f"{k} div 8"), F.expr(f"{k} div 2")
     loc = F.when(F.expr(f"({k} div 4) % 2") == 0, "us").otherwise("ds")
-    return t.orders.select(
-        *_keys(k),
+    return t.orders.withColumn("again", F.explode(F.when(F.col(k) % 50 == 0, F.array(F.lit(0), F.lit(1)))
+                                                  .otherwise(F.array(F.lit(0))))).select(
+        *_keys(k), F.when(F.col(k) % 97 != 0, site).alias("site_number"),
         F.concat(site.cast("string"), F.lit("_"), loc, F.lit("_ef"), (half % 2 + 1).cast("string")).alias("local_name"),
-        (F.lit(10.0) + site % 20).alias("ef_length_m"),
+        (F.lit(10.0) + site % 20 + F.when(site % 7 == 0, (F.col(k) % 2) * 3).otherwise(0)).alias("ef_length_m"),
         F.when(site % 13 == 0, F.lit(None)).otherwise(F.lit(1.0) + (half % 7) * 0.5).alias("ef_width_m"),
         (F.lit(300) + half % 200).cast("long").alias("ef_seconds"),
-        F.when(half % 3 == 0, "closed").otherwise("open").alias("enclosure"))
+        F.when(F.col("again") == 1, "unknown").when(half % 3 == 0, "closed").otherwise("open").alias("enclosure"))
 
 
 def fish(t: Tables) -> DataFrame:
-    sp = F.array(*[F.lit(s) for s in SPECIES])
-    return t.lineitem.select(
-        *_keys("l_orderkey"),
-        F.get(sp, F.col("l_partkey") % 10).alias("species_code"),
+    sp = F.array(*[F.lit(n) for _, n in SPECIES_NAMES[:10]])
+    caught = t.lineitem.select(
+        *_keys("l_orderkey"), F.when(F.col("l_partkey") % 89 != 0, F.col("l_orderkey")).alias("site_number"),
+        F.get(sp, F.col("l_partkey") % 10).alias("species"),
         F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.col("l_quantity") * 5).alias("length_mm"),
         (F.col("l_extendedprice") / 1000).alias("weight_g"))
+    return D.coded_fish(caught, lookup(t.lineitem.sparkSession, SPECIES_NAMES, "species_code string, common_name string"))
 
 
 def records(t: Tables) -> DataFrame:
@@ -65,21 +69,27 @@ def _keys_sql(k: str) -> str:
 
 
 REC_SQL = f"""
-ev AS (
+ev0 AS (
   SELECT {_keys_sql('o_orderkey')},
     CAST(o_orderkey // 8 AS VARCHAR) || '_' || CASE WHEN (o_orderkey // 4) % 2 = 0 THEN 'us' ELSE 'ds' END
       || '_ef' || CAST((o_orderkey // 2) % 2 + 1 AS VARCHAR) AS local_name,
-    CAST(10 + (o_orderkey // 8) % 20 AS DOUBLE) AS ef_length_m,
+    CAST(10 + (o_orderkey // 8) % 20 + CASE WHEN (o_orderkey // 8) % 7 = 0 THEN (o_orderkey % 2) * 3 ELSE 0 END AS DOUBLE)
+      AS ef_length_m,
     CASE WHEN (o_orderkey // 8) % 13 = 0 THEN NULL ELSE CAST(1 + ((o_orderkey // 2) % 7) * 0.5 AS DOUBLE) END AS ef_width_m,
     CAST(300 + (o_orderkey // 2) % 200 AS BIGINT) AS ef_seconds,
-    CASE WHEN (o_orderkey // 2) % 3 = 0 THEN 'closed' ELSE 'open' END AS enclosure
-  FROM orders),
+    CASE WHEN again = 1 THEN 'unknown' WHEN (o_orderkey // 2) % 3 = 0 THEN 'closed' ELSE 'open' END AS enclosure
+  FROM orders JOIN (VALUES (0), (1)) AS r(again) ON again = 0 OR o_orderkey % 50 = 0
+  WHERE o_orderkey % 97 <> 0),
+ev AS (
+  SELECT * EXCLUDE rn FROM (
+    SELECT *, row_number() OVER (PARTITION BY reference_number, sampling_method, method_number, haul_number_pass_number
+      ORDER BY local_name, ef_length_m, ef_width_m, ef_seconds, enclosure) AS rn FROM ev0) WHERE rn = 1),
 fi AS (
   SELECT {_keys_sql('l_orderkey')},
     (['{"', '".join(SPECIES)}'])[l_partkey % 10 + 1] AS species_code,
     CASE WHEN l_linenumber = 7 THEN NULL ELSE l_quantity * 5 END AS length_mm,
     l_extendedprice / 1000 AS weight_g
-  FROM lineitem),
+  FROM lineitem WHERE l_partkey % 89 <> 0),
 j AS (
   SELECT coalesce(fi.reference_number, ev.reference_number) AS reference_number,
          coalesce(fi.sampling_method, ev.sampling_method) AS sampling_method,
@@ -132,8 +142,8 @@ flag AS (
 tot AS (SELECT local_name, species_code, life_stage, CAST(sum(catch) AS BIGINT) AS catch FROM c GROUP BY ALL),
 sizes AS (
   SELECT local_name, ef_length_m, ef_width_m, ef_seconds, enclosure FROM (
-    SELECT *, row_number() OVER (PARTITION BY local_name ORDER BY ef_length_m NULLS LAST,
-                                 ef_width_m NULLS LAST) AS rn FROM ev) WHERE rn = 1)"""
+    SELECT *, row_number() OVER (PARTITION BY local_name, ef_length_m
+      ORDER BY ef_width_m NULLS LAST, ef_seconds NULLS LAST, enclosure NULLS LAST) AS rn FROM ev) WHERE rn = 1)"""
 
 
 @query("catch_density", ids="D13 D14 D15 A5 A6 W3", sql="WITH " + CATCH_SQL + """
@@ -150,7 +160,7 @@ def catch_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catch per pass → pass totals and last-pass flags → abundance and density per 100 m²."""
     t = Tables(spark, sf_dir)
     c = D.catch_by_pass(records(t))
-    d = D.density(c, events(t))
+    d = D.density(c, D.clean_events(events(t)))
     return d.select("local_name", "species_code", "life_stage", "catch", "nfc_pass", "ef_length_m", "ef_width_m",
                     "ef_seconds", "enclosure", "area_m2", "density_100m2")
 
@@ -165,7 +175,7 @@ def site_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passes, length, width, area and enclosure per electrofishing site."""
     t = Tables(spark, sf_dir)
     c = D.catch_by_pass(records(t))
-    return D.site_summary(c, events(t))
+    return D.site_summary(c, D.clean_events(events(t)))
 
 
 @query("haul_density", ids="D17 A1 X14", sql="WITH " + REC_SQL + """,
@@ -196,11 +206,11 @@ g AS (
   FROM recs GROUP BY ALL)
 SELECT g.*, names.species,
        CASE WHEN names.species = 'No Fish Caught' THEN NULL ELSE n END AS total_number,
-       CASE WHEN coalesce(regexp_matches(local_name, 'ef'), false) THEN 'halltech HT2000' END AS model,
+       CASE WHEN coalesce(regexp_matches(local_name, 'ef'), false) THEN 'model one' END AS model,
        CASE WHEN coalesce(regexp_matches(local_name, 'ef'), false) THEN 'other' END AS make
 FROM g LEFT JOIN names ON g.species_code = names.code""")
 def submission_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group by all but length/weight; strict min/max; names; NFC totals missing."""
     rec = records(Tables(spark, sf_dir)).select(*SUB_COLS, "length_mm", "weight_g")
     names = lookup(spark, SPECIES_NAMES, "code string, species string")
-    return D.submission_summary(rec, names, ef_model="halltech HT2000", ef_make="other")
+    return D.submission_summary(rec, names, ef_model="model one", ef_make="other")

@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.semantics import part, round_half_up
-from ..functions.text import (WATERSHED_CODE_WIDTHS, file_name, grouped_code, number_word,
-                              number_words, squish, text_len)
+from ..functions.text import WATERSHED_CODE_WIDTHS, file_name, grouped_code, number_word, split_list, squish, text_len
 from ..functions.timefn import day_fraction, excel_date, parse_ts, split_ts, with_zone
 from ..operators import habitat as H
 from ..operators import quality as Q
 from ..operators import scoring, sets as U
 from ..operators.columns import row_id
 from ..operators.dedupe import keep_first
+from ..operators.filters import cascade
 from ..operators.joins import lookup
 from .registry import Tables, query
 
@@ -167,7 +167,7 @@ def url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- X4 D28 J14 P12
 
 def _tag_log(t: Tables) -> DataFrame:
-    e = t.events.filter(F.col("event_type") == "click")
+    e = t.events
     line = F.concat(F.date_format("ts", "MM-dd-yyyy HH:mm:ss"), F.lit(" 01 TAG 900"), F.col("event_id").cast("string"))
     log = e.select("event_id", "ts", line.alias("tag"))
     log = log.select("event_id", "ts", part("tag", 1, r"\s*TAG\s*").alias("date"),
@@ -179,20 +179,22 @@ def _tag_log(t: Tables) -> DataFrame:
 WITH log AS (
   SELECT row_number() OVER (ORDER BY ts, event_id) AS rowid,
          strftime(ts, '%m-%d-%Y %H:%M:%S') || ' 01 TAG 900' || CAST(event_id AS VARCHAR) AS tag
-  FROM events WHERE event_type = 'click'),
+  FROM events),
 parsed AS (SELECT rowid, regexp_split_to_array(tag, '\\s*TAG\\s*')[1] AS date,
                   regexp_split_to_array(tag, '\\s*TAG\\s*')[2] AS tag_id FROM log),
-fish AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey % 2500 + 1 END AS tag_row
+fish AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL
+                                 ELSE (o_orderkey * 7919) % (SELECT count(*) FROM events) + 1 END AS tag_row
          FROM orders)
 SELECT o_orderkey, tag_row, date,
        CASE WHEN tag_id IS NOT NULL THEN tag_id || '. Row ID ' || coalesce(CAST(tag_row AS VARCHAR), 'NA') || '. ' END
          AS tag_id
 FROM fish LEFT JOIN parsed ON fish.tag_row = parsed.rowid""")
 def tag_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tag log lines split at 'TAG', numbered by row, joined to fish by row number."""
+    """Tag log lines split at 'TAG', numbered by row, joined to fish by row number over the whole log."""
     t = Tables(spark, sf_dir)
+    n = t.events.count()
     fish = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 4 == 0, F.lit(None))
-                           .otherwise(F.col("o_orderkey") % 2500 + 1).alias("tag_row"))
+                           .otherwise((F.col("o_orderkey") * 7919) % n + 1).alias("tag_row"))
     return H.tag_join(fish, _tag_log(t)).select("o_orderkey", "tag_row", "date", "tag_id")
 
 
@@ -265,10 +267,24 @@ def _local_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- X13 D23 X22
 
-def _words_case(expr: str, ordinal: bool) -> str:
-    words = number_words(100, ordinal)
-    whens = " ".join(f"WHEN {i} THEN '{w}'" for i, w in enumerate(words))
-    return f"CASE {expr} {whens} ELSE CAST({expr} AS VARCHAR) END"
+# The words of numbers, for the SQL alone.
+_ONES = ("one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
+         "eighteen nineteen").split()
+_TEN = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+_FIRST = ("first second third fourth fifth sixth seventh eighth ninth tenth eleventh twelfth thirteenth fourteenth fifteenth "
+          "sixteenth seventeenth eighteenth nineteenth").split()
+
+
+def _sql_list(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _below_thousand(n: str) -> str:
+    """SQL text of a number from 1 to 999."""
+    rest = f"CAST({n} % 100 AS INTEGER)"
+    return (f"concat_ws(' ', CASE WHEN {n} >= 100 THEN ({_sql_list(_ONES)})[CAST({n} // 100 AS INTEGER)] || ' hundred' END, "
+            f"CASE WHEN {rest} = 0 THEN NULL WHEN {rest} < 20 THEN ({_sql_list(_ONES)})[{rest}] "
+            f"ELSE concat_ws(' ', ({_sql_list(_TEN)})[{rest} // 10 - 1], CASE WHEN {rest} % 10 > 0 THEN ({_sql_list(_ONES)})[{rest} % 10] END) END)")
 
 
 @query("links", ids="X13 D23 X22 W1", sql=f"""
@@ -282,8 +298,11 @@ n AS (SELECT o_custkey AS site_id, count(*) AS n_orders FROM orders GROUP BY o_c
 SELECT f.site_id, f.o_orderkey,
   CASE WHEN priority_phase1 = 'mod' THEN 'moderate' ELSE priority_phase1 END AS priority_phase1,
   '<a href =sum/cv/' || CAST(f.site_id AS VARCHAR) || '.html target="_blank">Culvert Data</a>' AS data_link,
-  n.n_orders, {_words_case('n.n_orders', False)} AS n_orders_words,
-  {_words_case('CAST(f.site_id % 20 + 1 AS BIGINT)', True)} AS stream_order
+  n.n_orders, {_below_thousand('n.n_orders')} AS n_orders_words,
+  CASE WHEN f.o_orderkey = 0 THEN 'zero' WHEN f.o_orderkey < 1000 THEN {_below_thousand('f.o_orderkey')}
+       WHEN f.o_orderkey < 1000000 THEN concat_ws(' ', {_below_thousand('(f.o_orderkey // 1000)')} || ' thousand',
+         CASE WHEN f.o_orderkey % 1000 > 0 THEN {_below_thousand('(f.o_orderkey % 1000)')} END) END AS order_words,
+  ({_sql_list([*_FIRST, 'twentieth'])})[CAST(f.site_id % 20 + 1 AS INTEGER)] AS stream_order
 FROM f JOIN n ON f.site_id = n.site_id""")
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One map row per site: relabelled priority, HTML data link, counts in words."""
@@ -298,6 +317,7 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = H.map_links(f, "site_id", base="sum/cv/", label="Culvert Data")
     return j.select("site_id", "o_orderkey", "priority_phase1", "data_link", "n_orders",
                     number_word("n_orders").alias("n_orders_words"),
+                    F.when(F.col("o_orderkey") < 1000000, number_word("o_orderkey")).alias("order_words"),
                     number_word(F.col("site_id") % 20 + 1, ordinal=True).alias("stream_order"))
 
 
@@ -337,7 +357,7 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 SEGMENT_VALUE = [("BUILDING", "High"), ("MACHINERY", "High"), ("AUTOMOBILE", "Medium"), ("FURNITURE", "Low")]
 
 
-@query("habitat_overview", ids="D19 D20 D21 D24 D25 D29 D31 F7", sql="""
+@query("habitat_overview", ids="D29 D31 F7", sql="""
 WITH sites AS (
   SELECT c_custkey AS site, c_custkey || '_' || CASE WHEN c_custkey % 2 = 0 THEN 'us' ELSE 'ds' END AS alias_local_name,
          c_nationkey, c_mktsegment, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS length_surveyed,
@@ -374,15 +394,13 @@ def habitat_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("species_codes"))
     seg = lookup(spark, SEGMENT_VALUE, "seg string, hab_value string")
     ords = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("o_totalprice").alias("total"))
-    prof = H.site_profile(sites, "site", [])
-    prof = (prof.join(t.nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .join(seg, F.col("c_mktsegment") == F.col("seg"), "left")
-            .join(ords, F.col("site") == F.col("o_custkey"), "left"))
+    prof = H.site_profile(sites.withColumnRenamed("c_nationkey", "nation").withColumnRenamed("c_mktsegment", "segment"), [
+        (t.nation.select("n_nationkey", "n_name"), "nation", "n_nationkey"), (seg, "segment", "seg"), (ords, "site", "o_custkey")])
     prof = H.prefix_comment(prof.withColumn("n_name_", F.col("n_name")), "alias_local_name", "n_name_")
     prof = prof.withColumn("location", H.location_label(part("alias_local_name", 2, "_")))
-    prof = H.gain_estimate(prof, "species_codes", "length_surveyed")
-    prof = scoring.planning_list(prof, [F.col("hab_value") != "Low", F.col("n_orders").isNotNull(),
-                                        F.col("length_surveyed") > 100])
+    n_species = F.size(F.filter(split_list("species_codes", ","), lambda x: x != F.lit(""))).cast("long")
+    prof = prof.withColumn("n_species", n_species).withColumn("upstream_km", round_half_up(F.col("length_surveyed") / 1000, 1))
+    prof = cascade(prof, [F.col("hab_value") != "Low", F.col("n_orders").isNotNull(), F.col("length_surveyed") > 100])
     return prof.select("site", "n_name", "hab_value", "comments", "location",
                        F.coalesce("n_species", F.lit(0)).cast("long").alias("n_species"), "upstream_km", "n_orders",
                        round_half_up("total", 0).alias("total_value"))

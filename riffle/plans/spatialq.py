@@ -114,7 +114,7 @@ def transform_crs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _recorder(e: DataFrame, etypes: list[str], with_ele: bool) -> DataFrame:
-    cols = [F.col("event_id").alias("wp_event_id"), (F.col("event_id") % 2000).cast("string").alias("name"),
+    cols = [F.col("event_id").alias("wp_event_id"), F.col("event_id").cast("string").alias("name"),
             F.col("ts").alias("time"), (F.col("value") * 1000).alias("easting"),
             (F.col("user_id") * 10.0).alias("northing")]
     if with_ele:
@@ -122,35 +122,29 @@ def _recorder(e: DataFrame, etypes: list[str], with_ele: bool) -> DataFrame:
     return e.filter(F.col("event_type").isin(*etypes)).select(*cols)
 
 
-@query("waypoint_merge", ids="G7 X5 W1", sql="""
+@query("waypoint_merge", ids="G7 X5", sql="""
 WITH wp0 AS (
-  SELECT event_id AS wp_event_id, CAST(event_id % 2000 AS DOUBLE) AS n, ts AS time, value * 1000 AS easting,
+  SELECT event_id AS wp_event_id, CAST(event_id AS DOUBLE) AS n, ts AS time, value * 1000 AS easting,
          CAST(user_id * 10 AS DOUBLE) AS northing, value AS ele, 'R1' AS source
   FROM events WHERE event_type IN ('view', 'signup')
   UNION ALL
-  SELECT event_id, CAST(event_id % 2000 AS DOUBLE), ts, value * 1000, CAST(user_id * 10 AS DOUBLE), NULL, 'R2'
+  SELECT event_id, CAST(event_id AS DOUBLE), ts, value * 1000, CAST(user_id * 10 AS DOUBLE), NULL, 'R2'
   FROM events WHERE event_type = 'click'),
-wp1 AS (SELECT *, CASE WHEN n > 1000 THEN CAST(round_even(CAST(n / 10 AS DECIMAL(38,10)), 0) AS DOUBLE) ELSE n END
+wp AS (SELECT *, CASE WHEN n > 1000 THEN CAST(round_even(CAST(n / 10 AS DECIMAL(38,10)), 0) AS DOUBLE) ELSE n END
                   AS name_old FROM wp0),
-wp2 AS (SELECT *, CAST(CAST(name_old AS BIGINT) AS VARCHAR) || '_' || source || '_' || CAST(year(time) AS VARCHAR)
-                  AS name FROM wp1),
-wp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY time DESC, wp_event_id) AS rn FROM wp2)
-       WHERE rn = 1),
-pr AS (SELECT event_id, CAST(event_id % 200 AS VARCHAR) || '_' || CASE WHEN user_id % 2 = 0 THEN 'R1' ELSE 'R2' END
-              || '_' || CAST(year(ts) AS VARCHAR) AS wp_key FROM events WHERE event_type NOT IN ('view', 'signup', 'click'))
-SELECT pr.event_id, pr.wp_key, wp.wp_event_id, wp.easting, wp.northing, wp.ele
-FROM pr LEFT JOIN wp ON pr.wp_key = wp.name""")
+pr AS (SELECT event_id, CAST(event_id // 10 AS DOUBLE) AS waypoint, CASE WHEN user_id % 2 = 0 THEN 'R1' ELSE 'R2' END AS source
+       FROM events WHERE event_type NOT IN ('view', 'signup', 'click'))
+SELECT pr.event_id, pr.waypoint, pr.source, wp.wp_event_id, wp.easting, wp.northing, wp.ele,
+       CAST(CAST(wp.name_old AS BIGINT) AS VARCHAR) || '_' || wp.source || '_' || CAST(year(wp.time) AS VARCHAR) AS name
+FROM pr LEFT JOIN wp ON pr.waypoint = wp.name_old AND pr.source = wp.source""")
 def waypoint_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two recorders' waypoints cleaned, keyed by name_source_year, joined to sites."""
+    """Two recorders' waypoints cleaned and stacked, all of them, joined to sites by cleaned name and source."""
     e = Tables(spark, sf_dir).events
-    wp = G.merge_waypoints({"R1": _recorder(e, ["view", "signup"], True), "R2": _recorder(e, ["click"], False)},
-                           order=["wp_event_id"])
+    wp = G.merge_waypoints({"R1": _recorder(e, ["view", "signup"], True), "R2": _recorder(e, ["click"], False)})
     pr = e.filter(~F.col("event_type").isin("view", "signup", "click")).select(
-        "event_id", F.concat((F.col("event_id") % 200).cast("string"), F.lit("_"),
-                             F.when(F.col("user_id") % 2 == 0, "R1").otherwise("R2"), F.lit("_"),
-                             F.year("ts").cast("string")).alias("wp_key"))
-    j = join_na(pr, wp.select("name", "wp_event_id", "easting", "northing", "ele"), "wp_key", "left", "name")
-    return j.select("event_id", "wp_key", "wp_event_id", "easting", "northing", "ele")
+        "event_id", F.floor(F.col("event_id") / 10).cast("double").alias("waypoint"),
+        F.when(F.col("user_id") % 2 == 0, "R1").otherwise("R2").alias("source"))
+    return G.join_waypoints(pr, wp, cols=["name", "wp_event_id", "easting", "northing", "ele"])
 
 
 @query("segment_attach", ids="G9 J6 J16", sql="""

@@ -108,6 +108,11 @@ def fmt(col: ColumnOrName, pattern: str) -> Column:
     return F.date_format(_c(col), pattern)
 
 
+def fmt_number(col: ColumnOrName, digits: int = 0) -> Column:
+    """A number for print, rounded half to even, with thousands marks."""
+    return F.format_number(_c(col), digits)
+
+
 def coalesce_na(*cols: ColumnOrName) -> Column:
     """First non-missing value."""
     return F.coalesce(*[_c(c) for c in cols])

@@ -77,15 +77,21 @@ def transpose(df: DataFrame, id_col: str, ids: Sequence[str] | None = None, attr
     """Attributes as rows, one column per id value.
 
     ``ids`` lists the id values that become columns (the first row becomes
-    the header); without it, all are.  All attribute values are rendered as text.
+    the header); without it, all are.  An id outside a given list, or one that
+    stands in several rows, fails rather than loses a row.  All attribute
+    values are rendered as text.
     """
     ids = find_levels(df, id_col) if ids is None else ids
+    names = [str(i) for i in ids]
     cols = [c for c in (cols or df.columns) if c != id_col]
-    long = df.select(F.col(id_col).cast("string").alias("__id"),
-                     *[F.col(c).cast("string").alias(c) for c in cols]) \
+    key = F.col(id_col).cast("string")
+    known = F.when(key.isin(names), key).otherwise(
+        F.raise_error(F.concat(F.lit(f"{id_col} has a value that is not listed: "), F.coalesce(key, F.lit("NULL")))))
+    long = df.select(known.alias("__id"), *[F.col(c).cast("string").alias(c) for c in cols]) \
         .unpivot(["__id"], cols, attr, "__v")
     order = {c: i for i, c in enumerate(cols)}
-    wide = long.groupBy(attr).pivot("__id", [str(i) for i in ids]).agg(F.first("__v"))
+    wide = long.groupBy(attr).pivot("__id", names).agg(
+        F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"{id_col} has a value in several rows"))).otherwise(F.first("__v")))
     ordmap = F.create_map(*[x for c, i in order.items() for x in (F.lit(c), F.lit(i))])
     return wide.withColumn("__o", ordmap[F.col(attr)]).orderBy("__o").drop("__o")
 
@@ -107,12 +113,6 @@ def presence(df: DataFrame, row: str, col: str, levels: Sequence[str] | None = N
                     [str(v) for v in levels], "__bad", col)
 
 
-def explode_list(df: DataFrame, col: str, sep: str = ",", out: str | None = None) -> DataFrame:
-    """``{A,B}`` / ``A,B`` → one row per item."""
-    from ..functions.text import split_list
-    return df.withColumn(out or col, F.explode(split_list(col, sep)))
-
-
 def stack_cols(cols: Sequence[str]) -> Column:
     """Array of (name, value) structs for ``explode`` (helper for custom unpivots)."""
     return F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in cols])

@@ -178,8 +178,7 @@ def active_by_month(df: DataFrame, keys: Sequence[str], start: str, end: str,
     two-element array, a single pass over the input); the deltas are summed
     per (key, month); a running sum over each key's delta months (a bounded
     window) gives the active count, and each delta month is repeated only up
-    to the next delta month.  Months with no active interval are left out,
-    as with the row-expansion form (:func:`month_overlaps`).
+    to the next delta month.  Months with no active interval are left out.
     """
     s_ = F.trunc(F.to_date(start), "month")
     e_ = F.add_months(F.trunc(F.to_date(end), "month"), 1)
@@ -205,9 +204,3 @@ def calendar(df: DataFrame, start: str, end: str, stage: str, levels: Sequence[s
     d = df if keep is None else df.filter(keep)
     return (d.withColumn(start, F.to_date(start)).withColumn(end, F.to_date(end))
             .withColumn(out, level_order(stage, levels)))
-
-
-def month_overlaps(df: DataFrame, start: str, end: str, out: str = "month") -> DataFrame:
-    """One row per calendar month an interval ``[start, end]`` touches."""
-    s, e = F.trunc(F.to_date(start), "month"), F.trunc(F.to_date(end), "month")
-    return df.withColumn(out, F.explode(F.sequence(s, e, F.expr("INTERVAL 1 MONTH"))))

@@ -235,12 +235,23 @@ def excel_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _local_times(spark, sf_dir).drop("utc_ts")
 
 
-@query("zone_attach", ids="X17")
+@query("zone_attach", ids="X17", sql="""
+WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, (o_orderkey % 1440) / 1440.0 AS frac FROM orders
+           WHERE o_orderkey % 9 <> 0),
+l AS (SELECT o_orderkey, d, CAST(d AS TIMESTAMP) + to_seconds(CAST(round(frac * 86400) AS BIGINT)) AS local_ts,
+        -- the first Sunday of April and the last of October (until 2006), the second of March and the first of November (from 2007)
+        CASE WHEN year(d) < 2007 THEN make_date(year(d), 4, 1) ELSE make_date(year(d), 3, 8) END AS a,
+        CASE WHEN year(d) < 2007 THEN make_date(year(d), 10, 25) ELSE make_date(year(d), 11, 1) END AS b FROM d),
+z AS (SELECT *, a + CAST((7 - dayofweek(a)) % 7 AS INTEGER) AS summer, b + CAST((7 - dayofweek(b)) % 7 AS INTEGER) AS winter FROM l)
+SELECT o.o_orderkey, z.local_ts, z.local_ts + CASE
+    WHEN z.local_ts >= CAST(summer AS TIMESTAMP) + INTERVAL 3 HOUR AND z.local_ts < CAST(winter AS TIMESTAMP) + INTERVAL 2 HOUR
+    THEN INTERVAL 7 HOUR ELSE INTERVAL 8 HOUR END AS utc_ts
+FROM orders o LEFT JOIN z USING (o_orderkey)""")
 def zone_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Local survey times attached to America/Vancouver and expressed in UTC.
 
-    No oracle: at the autumn clock change a local time is ambiguous and
-    engines pick different offsets (Spark takes the earlier one).
+    The hour that happens twice in autumn is taken the first time, the hour
+    that is left out in spring as if clocks had not moved yet.
     """
     return _local_times(spark, sf_dir).select("o_orderkey", "local_ts", "utc_ts")
 

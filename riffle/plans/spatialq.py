@@ -5,6 +5,8 @@ Stand-in points are the first two embedding dimensions.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,7 +97,61 @@ def in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", "r_regionkey", "r_name", "municipality")
 
 
-@query("transform_crs", ids="G5 G6")
+def _utm_sql() -> str:
+    """Forward transverse Mercator of ``lon``, ``lat`` (degrees) in zone 9, written out from the published series."""
+    f = 1 / 298.257222101
+    e2 = f * (2 - f)
+    ep2 = e2 / (1 - e2)
+    m = [1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256, 3 * e2 / 8 + 3 * e2**2 / 32 + 45 * e2**3 / 1024,
+         15 * e2**2 / 256 + 45 * e2**3 / 1024, 35 * e2**3 / 3072]
+    return f"""
+u1 AS (SELECT *, radians(lat) AS phi, (radians(lon) - radians(-129.0::DOUBLE)) * cos(radians(lat)) AS a,
+         6378137.0::DOUBLE / sqrt(1 - {e2!r}::DOUBLE * sin(radians(lat)) ** 2) AS n, tan(radians(lat)) ** 2 AS t,
+         {ep2!r}::DOUBLE * cos(radians(lat)) ** 2 AS c FROM p),
+u2 AS (SELECT *, 6378137.0::DOUBLE * ({m[0]!r}::DOUBLE * phi - {m[1]!r}::DOUBLE * sin(2 * phi) + {m[2]!r}::DOUBLE * sin(4 * phi)
+         - {m[3]!r}::DOUBLE * sin(6 * phi)) AS m FROM u1),
+u AS (SELECT *,
+    500000 + 0.9996::DOUBLE * n * (a + (1 - t + c) * a ** 3 / 6
+      + (5 - 18 * t + t * t + 72 * c - 58 * {ep2!r}::DOUBLE) * a ** 5 / 120) AS easting,
+    0.9996::DOUBLE * (m + n * tan(phi) * (a ** 2 / 2 + (5 - t + 9 * c + 4 * c * c) * a ** 4 / 24
+      + (61 - 58 * t + t * t + 600 * c - 330 * {ep2!r}::DOUBLE) * a ** 6 / 720)) AS northing FROM u2)"""
+
+
+def _albers_sql() -> str:
+    """Forward ellipsoidal Albers (50 and 58.5 degrees, origin 45 N 126 W), written out from the published formulas."""
+    f = 1 / 298.257222101
+    e2 = f * (2 - f)
+    e = math.sqrt(e2)
+
+    def q(phi: float) -> float:
+        s = math.sin(phi)
+        return (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
+
+    def m2(phi: float) -> float:
+        return math.cos(phi) ** 2 / (1 - e2 * math.sin(phi) ** 2)
+
+    p0, p1, p2 = (math.radians(v) for v in (45.0, 50.0, 58.5))
+    n = (m2(p1) - m2(p2)) / (q(p2) - q(p1))
+    c = m2(p1) + n * q(p1)
+    rho0 = 6378137.0 * math.sqrt(c - n * q(p0)) / n
+    return f"""
+b1 AS (SELECT *, sin(phi) AS s FROM u),
+b2 AS (SELECT *, (1 - {e2!r}::DOUBLE) * (s / (1 - {e2!r}::DOUBLE * s * s)
+         - ln((1 - {e!r}::DOUBLE * s) / (1 + {e!r}::DOUBLE * s)) / (2 * {e!r}::DOUBLE)) AS q FROM b1),
+b AS (SELECT *, 6378137.0::DOUBLE * sqrt({c!r}::DOUBLE - {n!r}::DOUBLE * q) / {n!r}::DOUBLE AS rho,
+        {n!r}::DOUBLE * (radians(lon) - radians(-126.0::DOUBLE)) AS theta, {rho0!r}::DOUBLE AS rho0 FROM b2)"""
+
+
+def _round(expr: str, d: int) -> str:
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,10)), {d}) AS DOUBLE)"
+
+
+@query("transform_crs", ids="G5 G6", sql=f"""
+WITH p AS (SELECT vec_id, -127.0::DOUBLE + CAST(embedding[1] AS DOUBLE) * 2 AS lon, 54.0::DOUBLE + CAST(embedding[2] AS DOUBLE) * 2 AS lat
+           FROM embeddings),{_utm_sql()},{_albers_sql()}
+SELECT vec_id, {_round('lon', 6)} AS lon, {_round('lat', 6)} AS lat, {_round('easting', 2)} AS easting,
+  {_round('northing', 2)} AS northing, true AS utm_back, {_round('1000000 + rho * sin(theta)', 2)} AS albers_x,
+  {_round('rho0 - rho * cos(theta)', 2)} AS albers_y, true AS albers_back FROM b""")
 def transform_crs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points to UTM zone 9 and to BC Albers and back (round trips), as point structs and columns."""
     p = _points(Tables(spark, sf_dir)).select("vec_id", (F.lit(-127.0) + F.col("x") * 2).alias("lon"),
@@ -106,11 +162,12 @@ def transform_crs(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = G.transform_xy(b, "albers_x", "albers_y", to="lonlat", frm="albers", out=("lon_alb", "lat_alb"))
     g = G.xy_struct(b, "easting", "northing", out="geometry", srid=26909, drop=True)
     g = G.unpack_xy(g, "geometry", "easting", "northing")
+    back = lambda x, y: (F.abs(F.col(x) - F.col("lon")) < 1e-6) & (F.abs(F.col(y) - F.col("lat")) < 1e-6)
     return g.select("vec_id", round_half_up("lon", 6).alias("lon"), round_half_up("lat", 6).alias("lat"),
                     round_half_up("easting", 2).alias("easting"), round_half_up("northing", 2).alias("northing"),
-                    round_half_up("lon_back", 6).alias("lon_back"), round_half_up("lat_back", 6).alias("lat_back"),
+                    back("lon_back", "lat_back").alias("utm_back"),
                     round_half_up("albers_x", 2).alias("albers_x"), round_half_up("albers_y", 2).alias("albers_y"),
-                    round_half_up("lon_alb", 6).alias("lon_alb"), round_half_up("lat_alb", 6).alias("lat_alb"))
+                    back("lon_alb", "lat_alb").alias("albers_back"))
 
 
 def _recorder(e: DataFrame, etypes: list[str], with_ele: bool) -> DataFrame:

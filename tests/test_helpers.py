@@ -106,7 +106,7 @@ def test_attach_segment_and_calendar(spark):
     obs = [(i, rnd.choice([1, 2, 3]), float(rnd.randint(0, 12000))) for i in range(200)]
     S_ = spark.createDataFrame(segs, "lf long, drm double, gradient double")
     O_ = spark.createDataFrame(obs, "id long, lf long, m double")
-    got = {r.id: r.seg_gradient for r in G.attach_segment(O_, S_, "lf", "m", "drm", ["gradient"], width=1500).collect()}
+    got = {r.id: r.seg_gradient for r in G.attach_segment(O_, S_, "lf", "m", "drm", ["gradient"]).collect()}
     for i, lf, m in obs:
         cands = [(s, g) for k, s, g in segs if k == lf and s <= m]
         assert got[i] == (max(cands)[1] if cands else None)

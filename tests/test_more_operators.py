@@ -1,5 +1,6 @@
 """Column, filter, reshape, time-series, quality and road-label operators."""
 
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -59,8 +60,10 @@ def test_reshape_helpers(spark):
     prof = spark.createDataFrame([("A", 1, "x"), ("B", 2, "y")], "site string, n int, t string")
     tr = R.transpose(prof, "site", ["A", "B"]).collect()
     assert [(r.attribute, r.A, r.B) for r in tr] == [("n", "1", "2"), ("t", "x", "y")]
-    ex = R.explode_list(spark.createDataFrame([("{CO,ST}",)], "s string"), "s").collect()
-    assert [r.s for r in ex] == ["CO", "ST"]
+    with pytest.raises(Exception, match="not listed"):
+        R.transpose(prof, "site", ["A"]).collect()
+    with pytest.raises(Exception, match="several rows"):
+        R.transpose(prof.union(prof), "site", ["A", "B"]).collect()
 
 
 def test_time_helpers(spark):
@@ -73,8 +76,6 @@ def test_time_helpers(spark):
     assert sc == {2020: (366, 0), 2021: (10, 355)}
     rp = T.record_period(df, ["station"], "date", label="Station").first()
     assert rp.caption == "Station st: 2020 - 2021"
-    iv = spark.createDataFrame([(dt.date(2020, 1, 30), dt.date(2020, 3, 2))], "s date, e date")
-    assert [str(r.month) for r in T.month_overlaps(iv, "s", "e").collect()] == ["2020-01-01", "2020-02-01", "2020-03-01"]
 
 
 def test_quality_helpers(spark):
@@ -104,11 +105,50 @@ def test_road_class_and_tenure(spark):
 
 
 def test_habitat_helpers(spark):
-    df = spark.createDataFrame([("198220_us", "CO,ST,", 1500.0, "Good pools")], "alias string, sp string, len double, c string")
-    x = H.gain_estimate(H.prefix_comment(df, "alias", "c"), "sp", "len").first()
-    assert (x.comments, x.n_species, x.upstream_km) == ("Site 198220_us. Good pools", 2, 1.5)
-    labels = [H.location_label(F.lit(x).cast("string")).alias(f"l{k}") for k, x in enumerate(["us", "us2", None, "ds2"])]
-    assert list(df.select(*labels).first()) == ["Upstream", "Upstream2", None, "Downstream2"]
+    pri = spark.createDataFrame([(1, "1_us", "Good pools"), (1, "1_ds", None), (1, "1_us2", None), (2, "2_us", None),
+                                 (1, "1_dsx", None), (3, None, None)], "site long, alias_local_name string, c string")
+    model = spark.createDataFrame([(1, "{CCT,CO,SST,ST}", 1.5), (2, "{CO}", 0.2)],
+                                  "crossing_id long, observed_species string, rearing_km double")
+    g = {(r.site, r.alias_local_name): (r.species_codes, r.upstream_habitat_length_m) for r in H.gain_estimate(
+        pri, model, drop_codes=["CCT", "SST", "SP"], unknown_sites=[2]).collect()}
+    assert g == {(1, "1_us"): ("CO,ST", 1500.0), (1, "1_ds"): (None, None), (1, "1_us2"): (None, None), (2, "2_us"): (None, 200.0),
+                 (1, "1_dsx"): (None, None), (3, None): (None, None)}
+    assert H.prefix_comment(pri, "alias_local_name", "c").first().comments == "Site 1_us. Good pools"
+    codes = ["us", "us2", None, "ds2", "us_ds", "US_ds"]
+    labels = [H.location_label(F.lit(x).cast("string")).alias(f"l{k}") for k, x in enumerate(codes)]
+    assert list(pri.select(*labels).first()) == ["Upstream", "Upstream2", None, "Downstream2", "Upstream_ds", "US_ds"]
+
+
+def test_line_tenure(spark):
+    df = spark.createDataFrame(
+        [("CLI", "FSR1", None, "road local", None), (None, None, None, "highway", None), (None, None, "ADM", "Road Minor", None),
+         (None, None, None, "road resource", None), (None, None, None, None, "CN Rail"), (None, None, None, None, None)],
+        "client_name_abb string, forest_file_id string, admin_area_abbreviation string, line_type string, owner_name string")
+    got = [r.my_road_tenure for r in scoring.line_tenure(df, ministry="MoTi").collect()]
+    assert got == ["CLI FSR1", "MoTi Highway", "ADM  ", " Resource", "CN Rail", None]
+
+
+def test_repeated_events_and_names(spark):
+    from riffle.operators import fish
+    keys = "reference_number int, sampling_method string, method_number int, haul_number_pass_number int"
+    events = spark.createDataFrame([(1, "ef", 1, 1, 7, "a_us_ef1"), (1, "ef", 1, 1, 7, "b_us_ef1"), (2, "ef", 1, 1, None, "c_us_ef1")],
+                                   f"{keys}, site_number int, local_name string")
+    caught = spark.createDataFrame([(1, "ef", 1, 1, 7, "Coho", 50.0), (1, "ef", 1, 1, None, "Coho", 60.0), (1, "ef", 1, 1, 7, "Newt", 1.0)],
+                                   f"{keys}, site_number int, species string, length_mm double")
+    names = spark.createDataFrame([("Coho", "CO"), ("Coho", "COX")], "common_name string, species_code string")
+    rec = fish.fish_records(fish.coded_fish(caught, names), events).collect()
+    assert sorted((r.species_code, r.length_mm, r.local_name) for r in rec) == [("CO", 50.0, "a_us_ef1"), ("NFC", 1.0, "a_us_ef1")]
+
+
+def test_waypoints_all_stay(spark):
+    from riffle.operators import spatial as G
+    at = dt.datetime(2022, 9, 9)
+    wp = spark.createDataFrame([("1009", at, 1.0), ("1010", at, 2.0), ("101", at, 3.0)], "name string, time timestamp_ntz, easting double")
+    m = G.merge_waypoints({"AI": wp, "KP": wp.drop("easting")})
+    assert m.count() == 6 and {r.name_old for r in m.collect()} == {101.0}
+    sites = spark.createDataFrame([(1, 101.0, "AI"), (2, 101.0, "XX")], "id long, waypoint double, source string")
+    got = G.join_waypoints(sites, m, cols=["easting"]).collect()
+    assert sorted((r.id, r.easting or 0.0) for r in got) == [(1, 1.0), (1, 2.0), (1, 3.0), (2, 0.0)]
 
 
 def test_rate_report(spark):
@@ -118,15 +158,21 @@ def test_rate_report(spark):
 
 
 def test_habitat_tables(spark):
-    loc = spark.createDataFrame([(1, "Tea Creek", 0.045)], "reference_number long, gazetted_name string, grad double")
-    sites = spark.createDataFrame([(1, 12.0), (2, 3.0)], "reference_number long, len double")
-    hs = {r.reference_number: (r.gazetted_name, r.grad) for r in H.habitat_sites(loc, sites, "reference_number", ["grad"]).collect()}
-    assert hs == {1: ("Tea Creek", 4.5), 2: (None, None)}
-    pri = spark.createDataFrame([(1, "High", 1234.56), (2, "no fix", 10.0), (3, None, 5.0)],
-                                "reference_number long, priority string, length double")
-    ov = {r.reference_number: r.length for r in H.overview(pri, sites, "reference_number", exclude="no fix",
-                                                          length_col="length").collect()}
-    assert ov == {1: 1234.6, 3: 5.0}
+    loc = spark.createDataFrame([(1, 1, "8530_us", "44813"), (2, None, "9_us", "44813"), (3, 3, "7_us_ef1", "x"), (4, 4, None, "x")],
+                                "reference_number long, site_number long, alias_local_name string, survey_date string")
+    sites = spark.createDataFrame([(1, 0.0445, 2.25, "b"), (1, 0.9, 9.0, "c"), (3, 0.1, 1.0, "d")],
+                                  "reference_number long, grad double, width double, cover string")
+    hs = {r.reference_number: (r.site, r.location, str(r.survey_date), r.grad, r.width, r.cover)
+          for r in H.habitat_sites(loc, sites, pct_cols=["grad"], order=["cover"]).collect()}
+    assert hs == {1: (8530.0, "us", "2022-09-09", 4.4, 2.2, "b"), 4: (None, None, "None", None, None, None)}, "half to even"
+    pri = spark.createDataFrame([(1, "8530_us", "high"), (1, "8530_ds", "high"), (1, "8530_us2", "low"), (1, "8530_us", None),
+                                 (9, "9_ef", "low")], "reference_number long, alias_local_name string, priority string")
+    cro = spark.createDataFrame([(8530, "Barrier")], "crossing_id long, barrier_result string")
+    p2 = H.phase2_priorities(H.phase2_rows(pri), loc.select("reference_number", "alias_local_name"), cro).collect()
+    assert [(r.alias_local_name, r.priority, r.barrier_result) for r in p2] == [("8530", "high", "Barrier")]
+    up = spark.createDataFrame([(8530, "us", 1250.0), (8530, "ds", 9.0)], "site long, location string, upstream_habitat_length_m double")
+    ov = H.overview(cro.withColumn("easting", F.lit(5.5)).withColumn("northing", F.lit(None).cast("double")), up).collect()
+    assert [(r.upstream_habitat_length_km, r.utm) for r in ov] == [(1.2, "6 NA")]
 
 
 def test_more_joins(spark):
@@ -157,16 +203,18 @@ def test_active_by_month_matches_expansion(spark):
     df = spark.createDataFrame(rows, "k string, s date, e date")
     fast = {(r.k, r.month): r.n_active for r in T.active_by_month(df, ["k"], "s", "e").collect()}
     ok = df.filter(F.col("e") >= F.col("s"))
-    slow = {(r.k, r.month): r.n for r in T.month_overlaps(ok, "s", "e").groupBy("k", "month")
+    months = F.sequence(F.trunc("s", "month"), F.trunc("e", "month"), F.expr("INTERVAL 1 MONTH"))
+    slow = {(r.k, r.month): r.n for r in ok.withColumn("month", F.explode(months)).groupBy("k", "month")
             .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert fast == slow
 
 
 def test_habitat_summary(spark):
-    df = spark.createDataFrame([("198222", "us", 1.2), ("198222", "ds", 0.8), ("8530", "us", 2.0)],
-                               "site string, location string, width double")
-    got = [(r.site, r.location) for r in H.habitat_summary(df).collect()]
-    assert got == [("198222", "Downstream"), ("198222", "Upstream"), ("8530", "Upstream")]
+    df = spark.createDataFrame([("198222", "us", "198222_us"), ("198222", "ds", "198222_ds"), ("8530", "us", "8530_us"),
+                                ("8530", "ds", "8530_ds_mt")], "site string, location string, alias_local_name string")
+    pri = spark.createDataFrame([("198222_us", 300.0)], "local_name string, length_surveyed double")
+    got = [(r.site, r.location, r.length_surveyed) for r in H.habitat_summary(df, pri).collect()]
+    assert got == [("198222", "Downstream", None), ("198222", "Upstream", 300.0), ("8530", "Upstream", None)]
 
 
 def test_last_pass_flag_and_catch(spark):

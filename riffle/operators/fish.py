@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.semantics import part, paste0, rlike_na, round_even, strict_max, strict_min
 from ..functions.text import bin_label
-from .aggregates import with_group_agg
+from .aggregates import keys_except, with_group_agg
 from .dedupe import keep_first
 from .joins import full_merge, join_na
 
@@ -156,8 +156,7 @@ def submission_summary(rec: DataFrame, names: DataFrame, ef_model: str, ef_make:
     from ``names`` (code → common name); the total is NULL for no-fish rows;
     electrofishing aliases get the given make and model.
     """
-    import re
-    keys = [c for c in rec.columns if not re.search(drop_pattern, c)]
+    keys = keys_except(rec, drop_pattern)
     g = rec.groupBy(*keys).agg(strict_min(length).alias("min"), strict_max(length).alias("max"),
                                F.count(F.lit(1)).alias("n"))
     n = names.select(F.col(names.columns[0]).alias("__code"), F.col(names.columns[1]).alias("species"))

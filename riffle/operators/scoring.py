@@ -12,7 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.semantics import paste0, rlike_na, round_half_up, round_multiple, safe_div
+from ..functions.semantics import paste0, rlike_na, round_even, round_multiple, safe_div
 from ..functions.text import first_match, first_word, replace_rules
 from .joins import lookup
 
@@ -230,7 +230,7 @@ def cost(df: DataFrame, rates: DataFrame, overrides: DataFrame | None = None,
     code = first_match([(F.col(fix) == label, c) for label, c in FIX_CODES])
     est = first_match([(code == "SS-CBS", F.col("cost_embed_cv")),
                        (code == "OBS", F.col("cost_m_1000s_bridge") * F.col(span))])
-    j = j.withColumn(out, round_half_up(est, 0))
+    j = j.withColumn(out, round_even(est, 0))
     if overrides is not None:
         ov = overrides.select(F.col(overrides.columns[0]).alias("__site"),
                               F.col(overrides.columns[1]).cast("double").alias("__ov"))
@@ -252,8 +252,8 @@ def cost_benefit(df: DataFrame, cost_col: str = "cost_est_1000s", width: str = "
     c = F.col(cost_col)
     for name, lcol in lengths.items():
         l = F.col(lcol)
-        df = (df.withColumn(f"cost_{name}", round_half_up(safe_div(l, c), digits))
-              .withColumn(f"cost_area_{name}", round_half_up(safe_div(l * F.col(width) * 0.5, c), digits)))
+        df = (df.withColumn(f"cost_{name}", round_even(safe_div(l, c), digits))
+              .withColumn(f"cost_area_{name}", round_even(safe_div(l * F.col(width) * 0.5, c), digits)))
     return df
 
 
@@ -286,7 +286,7 @@ def threshold_table(df: DataFrame, id_col: str, ids: Sequence, pct_cols: Sequenc
     from .reshape import transpose
     out = df
     for c in pct_cols:
-        out = out.withColumn(c, round_half_up(F.col(c) * scale, digits))
+        out = out.withColumn(c, round_even(F.col(c) * scale, digits))
     return transpose(out, id_col, ids)
 
 

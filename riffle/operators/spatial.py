@@ -441,11 +441,10 @@ def watershed_attrs(sites: DataFrame, wshd: DataFrame, key: str, wshd_key: str |
     import re
     from .columns import across
     from .joins import join_na
-    from ..functions.semantics import round_half_up
     j = join_na(sites, wshd, key, "left", wshd_key)
     if area_ha:
-        j = j.withColumn(area_out, round_half_up(F.col(area_ha) / 100, area_digits)).drop(area_ha)
-    return across(j, lambda n, _t: bool(re.search(elev_pattern, n)), lambda c: round_half_up(c, 0))
+        j = j.withColumn(area_out, round_even(F.col(area_ha) / 100, area_digits)).drop(area_ha)
+    return across(j, lambda n, _t: bool(re.search(elev_pattern, n)), lambda c: round_even(c, 0))
 
 
 def attach_segment(obs: DataFrame, segments: DataFrame, key: str, measure: str, seg_start: str,

@@ -213,9 +213,9 @@ def column_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("attach_attributes", ids="G8 P7 J1", sql="""
 SELECT c_custkey, n_name,
-  CAST(round(CAST(c_acctbal / 100 AS DECIMAL(38,10)), 2) AS DOUBLE) AS area_km2,
-  CAST(round(CAST(c_acctbal * 0.3 + n_nationkey AS DECIMAL(38,10)), 0) AS DOUBLE) AS elev_site,
-  CAST(round(CAST(c_acctbal * 0.7 AS DECIMAL(38,10)), 0) AS DOUBLE) AS elev_max
+  CAST(round_even(CAST(c_acctbal / 100 AS DECIMAL(38,10)), 2) AS DOUBLE) AS area_km2,
+  CAST(round_even(CAST(c_acctbal * 0.3 + n_nationkey AS DECIMAL(38,10)), 0) AS DOUBLE) AS elev_site,
+  CAST(round_even(CAST(c_acctbal * 0.7 AS DECIMAL(38,10)), 0) AS DOUBLE) AS elev_max
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
 def attach_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area ha→km² and ``elev*`` columns rounded by name pattern, after a lookup join."""

@@ -22,7 +22,7 @@ from ..sources import sinks as K
 from .registry import Tables, query
 
 
-def _scratch(spark: SparkSession, tag: str) -> str:
+def scratch(spark: SparkSession, tag: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/riffle-{tag}-{uuid.uuid4().hex[:12]}"
 
@@ -34,7 +34,7 @@ FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1""")
 def route_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pass routes orders to per-destination folders; read back excluding one folder."""
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    path = _scratch(spark, "route")
+    path = scratch(spark, "route")
     K.route(o, [(F.col("o_orderstatus") == "F", "barrier"), (F.col("o_orderstatus") == "O", "potential")],
             path, default="other")
     back = S.read_many(spark, path, fmt="parquet", exclude_path="dest=other")
@@ -54,8 +54,8 @@ _PART = """SELECT '{part}' AS part, o_orderstatus AS status, count(*) AS n, CAST
     _PART.format(part="replaced", stamp="2", where="WHERE o_orderstatus = 'O'")]))
 def snapshot_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV export under a date, three versions of a table (two on one date), a replaced table; all read back."""
-    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    root = _scratch(spark, "snap")
+    o = S.read_table(spark, f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    root = scratch(spark, "snap")
     K.write_csv(o, K.stamped(f"{root}/csv", "20240101"))
     stamp = S.list_files(spark, f"{root}/csv").select(F.regexp_extract("path", "run_date=(\\d+)", 1)).first()[0]
     csv = S.read_csv(spark, f"{root}/csv").select(F.col("o_orderkey").cast("long"), "o_orderstatus",
@@ -90,7 +90,7 @@ def formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV, GeoJSON and GPX written from the tables and read back, value by value; types
     inferred again, empty columns dropped and layers listed."""
     t = Tables(spark, sf_dir)
-    root = _scratch(spark, "fmt")
+    root = scratch(spark, "fmt")
     K.write_csv(t.nation, f"{root}/nation")
     csv = P.infer_types(S.read_csv(spark, f"{root}/nation"))
     pts = t.embeddings.select("vec_id", "label", F.col("embedding")[0].cast("double").alias("x"),

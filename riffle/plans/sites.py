@@ -139,7 +139,7 @@ priced AS (
        AND r.my_road_surface IS NOT DISTINCT FROM rates.my_road_surface),
 overrides AS (SELECT * FROM (VALUES """ + ", ".join(f"({a}, {b})" for a, b in COST_OVERRIDES) + """) AS o(o_site, o_cost)),
 estimated AS (
-  SELECT p.*, coalesce(o.o_cost, CAST(round(CAST(CASE WHEN code = 'SS-CBS' THEN cost_embed_cv
+  SELECT p.*, coalesce(o.o_cost, CAST(round_even(CAST(CASE WHEN code = 'SS-CBS' THEN cost_embed_cv
                  WHEN code = 'OBS' THEN cost_m_1000s_bridge * span_input END AS DECIMAL(38,10)), 0) AS DOUBLE))
          AS cost_est_1000s
   FROM priced p LEFT JOIN overrides o ON p.site_id = o.o_site)"""
@@ -153,7 +153,7 @@ def cost_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _r1(expr: str) -> str:
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,10)), 1) AS DOUBLE)"
+    return f"CAST(round_even(CAST({expr} AS DECIMAL(38,10)), 1) AS DOUBLE)"
 
 
 @query("cost_benefit", ids="D7 D6", sql="WITH " + ESTIMATED_SQL + f"""

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from ..functions.semantics import round_half_up
 from ..operators import spatial as G
 from ..operators.joins import join_na
+from ..sources.readers import read_geojson
+from ..sources.sinks import write_geojson_polygons
+from .ioq import scratch
 from .registry import Tables, query
 
 NEAR_OK = 0.03       # matches farther than this are reported as Unknown (Q5)
@@ -87,11 +90,13 @@ WITH pts AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) * 4 AS x, CAST(embeddin
 SELECT inr.vec_id, r_regionkey, inr.name AS r_name, inm.name AS municipality
 FROM inr JOIN region ON inr.name = region.r_name LEFT JOIN inm ON inr.vec_id = inm.vec_id""")
 def in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points in region polygons (inner), then in municipality polygons (left outer)."""
+    """Points in region polygons (inner), then in municipality polygons read from a GeoJSON layer (left outer)."""
     t = Tables(spark, sf_dir)
     pts = _points(t, 4.0).select("vec_id", "x", "y")
     regions = t.region.join(F.broadcast(G.polygons_table(spark, REGION_RINGS, "r_name")), "r_name")
-    munis = G.polygons_table(spark, MUNI_RINGS, "municipality")
+    rings = G.polygons_table(spark, MUNI_RINGS, "municipality").withColumn("ring", F.array("ring"))
+    layer = write_geojson_polygons(rings, f"{scratch(spark, 'rings')}/municipalities", "ring", ["municipality"])
+    munis = read_geojson(spark, layer, geometry="rings")
     inner = G.within(pts, regions, "vec_id", cell=0.25)
     out = G.within(inner, munis, "vec_id", cell=0.25, how="left")
     return out.select("vec_id", "r_regionkey", "r_name", "municipality")

@@ -11,6 +11,7 @@ from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import timeseries as T
 from ..operators.intervals import overlap_join
+from ..sources.readers import literal_table
 from .registry import Tables, query
 
 
@@ -147,9 +148,9 @@ def yearly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     ya = ymd_parts("o_orderdate")[0]
     yb = ymd_parts("l_shipdate")[0]
     lines = t.lineitem
-    fx = J.lookup(spark, YEAR_FIXES, "year string, layer string, add_n int")
+    fx = literal_table(spark, YEAR_FIXES, "year string, layer string, add_n int")
     m = T.yearly({"a": (t.orders, ya), "b": (lines, yb)}, fx)
-    only_a = (J.missing_from(t.orders, lines, "o_orderkey", "l_orderkey")
+    only_a = (J.missing_from(t.orders, lines.select("l_orderkey").distinct(), "o_orderkey", "l_orderkey")
               .groupBy(ya.alias("year")).agg(F.count(F.lit(1)).alias("n_a_only")))
     m = m.join(only_a, "year", "left")
     return m.select("year", "n_a", "n_b", "total", F.coalesce("n_a_only", F.lit(0)).cast("long").alias("n_a_only"))

@@ -14,12 +14,14 @@ not matter.  A layout without a mapping raises (a table) or gives null turns
 Template, per turn: ``<|im_start|>role\\ntext<|im_end|>\\n``.  Inside roles and
 texts ``<|`` becomes ``<␛|`` and ``␛`` becomes ``␛e``; a line break in a role
 becomes ``␛n``.  No control string can then occur in a text, and unescaping
-gives back every text.  The loss mask covers the assistant's texts.
+gives back every text.  The loss mask covers the assistant's texts, as spans of
+the formatted text.
 
 Defined results: null text or role counts as empty; rows of equal turn number
-are ordered by role, then text, and repeated rows stay; a null conv_id is a
-conversation of its own; a conversation without turns formats to the empty
-text; an empty table gives no rows.
+are ordered by role, then text, and repeated rows stay; rows with a null
+conv_id are one conversation; a conversation without turns formats to the empty
+text; a long text is formatted whole; columns that no mapping names are not
+read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -135,30 +137,27 @@ def unescape_role(c: Column) -> Column:
 
 
 def format_chat(turns: DataFrame) -> DataFrame:
-    """``conv_id, formatted, segments`` of canonical turns.
+    """``conv_id, formatted, loss_mask`` of canonical turns.
 
-    ``segments`` cuts ``formatted`` into ``struct<text, loss>`` pieces in
-    order; the pieces with ``loss`` are under the loss mask.
+    ``loss_mask`` holds the spans of ``formatted`` under the loss, each as
+    ``struct<turn, start, length>``: the number of the turn's block in
+    ``formatted`` (blocks end with END and a line break), and code points
+    within it.  Cutting a span so takes one block, not the whole text.
     """
     blank = F.lit("")
-
-    def pieces(t: Column) -> Column:
-        role, text = F.coalesce(t["role"], blank), F.coalesce(t["text"], blank)
-        piece = lambda s, loss: F.struct(s.alias("text"), loss.alias("loss"))
-        return F.array(piece(F.concat(F.lit(START), escape_role(role), F.lit("\n")), F.lit(False)),
-                       piece(escape(text), role == "assistant"),
-                       piece(F.lit(f"{END}\n"), F.lit(False)))
-
-    segments = F.flatten(F.transform(F.coalesce(F.col("turns"), F.array().cast(
-        "array<struct<role:string,text:string>>")), pieces))
-    df = turns.select("conv_id", segments.alias("segments"))
-    return df.select("conv_id", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
-                     "segments")
+    given = F.coalesce(F.col("turns"), F.array().cast("array<struct<role:string,text:string>>"))
+    role, text = (lambda t: F.coalesce(t["role"], blank)), (lambda t: F.coalesce(t["text"], blank))
+    head = lambda t: F.concat(F.lit(START), escape_role(role(t)), F.lit("\n"))
+    block = lambda t: F.concat(head(t), escape(text(t)), F.lit(f"{END}\n"))
+    spans = F.transform(given, lambda t, i: F.when(role(t) == "assistant", F.struct(
+        i.alias("turn"), F.length(head(t)).alias("start"), F.length(escape(text(t))).alias("length"))))
+    return turns.select("conv_id", F.array_join(F.transform(given, block), "").alias("formatted"),
+                        F.filter(spans, lambda s: s.isNotNull()).alias("loss_mask"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """``conv_id, turns, loss, formatted_chars``: turns parsed from the formatted
-    text, and the unescaped texts under the loss mask in order."""
+    text, and the texts cut from it under the loss mask, in order, unescaped."""
     parts = F.filter(F.split("formatted", r"\Q" + END + r"\E\n"), lambda p: F.length(p) > 0)
 
     def turn(p: Column) -> Column:
@@ -167,6 +166,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
         return F.struct(unescape_role(p.substr(F.lit(len(START) + 1), role_end - F.lit(len(START) + 1)))
                         .alias("role"), unescape(p.substr(role_end + 1, F.length(p))).alias("text"))
 
-    loss = F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"]))
-    return formatted.select("conv_id", F.transform(parts, turn).alias("turns"), loss.alias("loss"),
-                            F.length("formatted").cast("long").alias("formatted_chars"))
+    blocks = formatted.select("conv_id", "formatted", "loss_mask", parts.alias("parts"))
+    cut = lambda m: unescape(F.substring(F.get("parts", m["turn"]), m["start"] + 1, m["length"]))
+    return blocks.select("conv_id", F.transform("parts", turn).alias("turns"), F.transform("loss_mask", cut).alias("loss"),
+                         F.length("formatted").cast("long").alias("formatted_chars"))

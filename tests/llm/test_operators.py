@@ -159,12 +159,19 @@ def test_chat_round_trip_and_layouts(spark):
     turns = chat.canonical_turns(df)
     out = chat.format_chat(turns)
     for r in out.collect():
-        assert r.formatted == "".join(s.text for s in r.segments)
+        blocks = r.formatted.split("<|im_end|>\n")
+        for m in r.loss_mask:
+            block = blocks[m.turn]
+            assert block.startswith("<|im_start|>assistant\n") and m.start == 22 and m.start + m.length == len(block)
         assert r.formatted.count("<|im_start|>") == r.formatted.count("<|im_end|>") == 20
     for r in chat.read_back(out).collect():
         own = sorted((t, ro or "", x or "") for c, t, ro, x in rows if c == r.conv_id)
         assert [(t.role, t.text) for t in r.turns] == [(ro, x) for _, ro, x in own]
         assert r.loss == [x for _, ro, x in own if ro == "assistant"]
+    odd = [(None, 1, "user", "a"), (None, 1, "user", "a"), (7, 2, "assistant", "y"), (7, 2, "assistant", "x"), (8, 1, "assistant", "z" * 3_000_000)]
+    back = {r.conv_id: r for r in chat.read_back(chat.format_chat(chat.canonical_turns(spark.createDataFrame(
+        odd, "conv_id long, turn int, role string, text string").withColumn("parts", F.lit(0))))).collect()}
+    assert [t.text for t in back[None].turns] == ["a", "a"] and back[7].loss == ["x", "y"] and len(back[8].loss[0]) == 3_000_000
     pair = spark.createDataFrame([(1, "q", "a", "z")], "conv_id long, prompt string, response string, other string")
     assert chat.layout_of(pair) == "prompt_response"
     assert [(t.role, t.text) for t in chat.canonical_turns(pair).first().turns] == [("user", "q"), ("assistant", "a")]

@@ -213,3 +213,11 @@ def test_secrets_in_very_long_texts(spark):
     assert [len(s) for s in spans][0] == 0 and len(spans[3]) == 200_000
     token = "eyJhbGciOiJ9x.eyJzdWIiOiIxMjM0.c2lnbmF0dXJl"
     assert len(secrets.find_spans([f"x {token} y"], secrets.RULES)[0]) >= 1
+
+
+def test_embeddings_with_repeated_ids_and_clashing_names(spark):
+    a, b = [1.0, 0.0, 2.0], [0.0, 1.0, -1.0]
+    df = spark.createDataFrame([(3, a, 1), (5, a, 1), (5, b, 1), (None, b, 1), (6, a, 2)], "vec_id long, embedding array<float>, label int")
+    df = df.withColumn("node", F.lit("x")).withColumn("component_id", F.lit("y")).withColumn("key", F.lit(1))
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embed_dedup.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(3, 1, 3, True), (5, 1, 3, False), (5, 1, 5, True), (None, 1, None, True), (6, 0, 6, True)], key=str)

@@ -17,9 +17,11 @@ Vectors are compared only with vectors of equal length, and every length in use
 is searched by itself; one-dimensional vectors are grouped by sign.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
-components, and vectors without a label, link with nothing; rows that repeat a vec_id count as vectors of their own but share a
-component; a null vec_id has a null component and links are still counted; an
-empty table gives no rows; other columns are not read.
+components, and vectors without a label, link with nothing; rows that repeat a
+vec_id are vectors of their own, each with the component of its own links (so
+one of them may be kept and another not); a null vec_id has a null component
+and links are still counted; equal vectors of a label tie and are all linked;
+an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -89,17 +89,17 @@ def share(df: DataFrame, bin_col: str, within: Sequence[str] = (), count_col: st
           out: str = "percent", digits: int = 0, mode: str = "even") -> DataFrame:
     """Count per bin and its percent of the total (of the whole frame or per ``within``).
 
-    Counts are a partial aggregate; totals are a window over those counts
-    (one row per bin, so each window partition is tiny) — the raw rows are
-    read once.
+    Counts are a partial aggregate.  Totals per ``within`` are a window over
+    those counts (one row per bin, so each window partition is tiny); the total
+    of the whole frame is one number.
     """
     from ..functions.semantics import round_even, round_half_up
     rnd = round_even if mode == "even" else round_half_up
     keys = list(within) + [bin_col]
     counts = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")) if count_col is None
               else df.groupBy(*keys).agg(F.sum(count_col).alias("count")))
-    w = Window.partitionBy(*within) if within else Window.partitionBy()
-    j = counts.withColumn("total", F.sum("count").over(w))
+    total = F.sum("count").over(Window.partitionBy(*within)) if within else counts.agg(F.sum("count")).scalar()
+    j = counts.withColumn("total", total)
     return j.withColumn(out, rnd(F.col("count") * 100.0 / F.col("total"), digits))
 
 

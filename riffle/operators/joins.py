@@ -166,10 +166,14 @@ def join_best(left: DataFrame, right: DataFrame, on, order: Sequence[str],
 
     ``left_id`` names columns that identify a left row; ``order`` (specs like
     ``"dist"``, ``"ts desc"``) ranks the candidate matches, first wins.
-    Unmatched rows are kept once.  Picking is an aggregate (``min_by``), so
-    a left row with very many matches is combined map-side.
+    Unmatched rows are kept once.  Where ``order`` names right columns only,
+    the best right row of each key is picked before the join, so matches are
+    never multiplied; picking is an aggregate (``min_by``) combined map-side.
     """
     from .dedupe import keep_first
+    _, rk = _keys(on, right_on)
+    if all(o.split()[0] in right.columns and o.split()[0] not in left.columns for o in order):
+        right = keep_first(right, rk, order)
     joined = join_na(left, right, on, "left", right_on)
     return keep_first(joined, left_id, order)
 

@@ -13,9 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: A table of more columns is refused: its level column is probably a key by mistake.
+MOST_LEVELS = 10_000
+
+
 def find_levels(df: DataFrame, col: str) -> list:
-    """All values of ``col`` but NULL, in order: they are to be column names."""
-    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+    """All values of ``col`` but NULL, in order: they are to be column names, so MOST_LEVELS at most."""
+    found = df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).limit(MOST_LEVELS + 1).collect()
+    if len(found) > MOST_LEVELS:
+        raise ValueError(f"{col} has more than {MOST_LEVELS} values, too many for columns")
+    return [r[0] for r in found]
 
 
 def _unlisted(col: str, levels: Sequence) -> Column:

@@ -48,29 +48,86 @@ def _norm(dx: Column, dy: Column) -> Column:
 LEAF, FAN, DEPTH = 256, 4, 25
 
 
+#: Levels whose cells (FAN ** (2 * level) at most) are few enough to be sent to all tasks.
+SMALL_LEVELS = 3
+
+
+def _counted(points: DataFrame, x0: float, y0: float, size: float) -> DataFrame:
+    """Cells ``cx, cy`` of a size with their parents ``px, py``, number and box of points."""
+    cells = points.groupBy(_cell(F.col("__x") - x0, size).alias("cx"), _cell(F.col("__y") - y0, size).alias("cy")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("__x").alias("x_lo"), F.max("__x").alias("x_hi"),
+        F.min("__y").alias("y_lo"), F.max("__y").alias("y_hi"))
+    return cells.withColumn("px", F.floor(F.col("cx") / FAN)).withColumn("py", F.floor(F.col("cy") / FAN))
+
+
+def _rolled_up(cells: DataFrame) -> DataFrame:
+    """The cells of the level above, from those of this one."""
+    up = cells.groupBy(F.col("px").alias("cx"), F.col("py").alias("cy")).agg(
+        F.sum("n").alias("n"), F.min("x_lo").alias("x_lo"), F.max("x_hi").alias("x_hi"),
+        F.min("y_lo").alias("y_lo"), F.max("y_hi").alias("y_hi"))
+    return up.withColumn("px", F.floor(F.col("cx") / FAN)).withColumn("py", F.floor(F.col("cy") / FAN))
+
+
 def _density_cells(points: DataFrame, x0: float, y0: float, side: float, n: int) -> list[DataFrame]:
     """Cells of each level below the root: ``cx, cy, px, py, n`` and the box of their points.
 
     A level holds the parts of the cells above it with over LEAF points, so
-    cells are small where points are dense.  One partial aggregate a level.
+    cells are small where points are dense.  All points are counted once, at
+    the level that even points would need; levels above are rolled up from
+    that, and below it only the points of crowded cells are counted again.
     """
     from ..session import cut_lineage
+    if n <= LEAF:
+        return []
+    base = min(DEPTH, max(1, math.ceil(math.log(n / LEAF, FAN * FAN))))
+    whole = [cut_lineage(_counted(points, x0, y0, side / FAN ** base))]
+    for _ in range(base - 1):
+        whole.insert(0, cut_lineage(_rolled_up(whole[0])))
     levels: list[DataFrame] = []
-    most = n
-    while most > LEAF and len(levels) < DEPTH:
-        size = side / FAN ** (len(levels) + 1)
-        cells = (points.groupBy(_cell(F.col("__x") - x0, size).alias("cx"), _cell(F.col("__y") - y0, size).alias("cy"))
-                 .agg(F.count(F.lit(1)).alias("n"), F.min("__x").alias("x_lo"), F.max("__x").alias("x_hi"),
-                      F.min("__y").alias("y_lo"), F.max("__y").alias("y_hi"))
-                 .withColumn("px", F.floor(F.col("cx") / FAN)).withColumn("py", F.floor(F.col("cy") / FAN)))
-        if levels:
-            above = levels[-1].where(F.col("n") > LEAF).select(F.col("cx").alias("px"), F.col("cy").alias("py"))
-            cells = cells.join(above, ["px", "py"], "left_semi")
+    crowded = lambda cells: cells.where(F.col("n") > LEAF)
+    for k in range(1, DEPTH + 1):
+        if k > base:
+            x, y = (_cell(F.col(c) - o, side / FAN ** (k - 1)) for c, o in (("__x", x0), ("__y", y0)))
+            points = points.withColumn("cx", x).withColumn("cy", y).join(
+                crowded(levels[-1]).select("cx", "cy"), ["cx", "cy"], "left_semi").drop("cx", "cy")
+            cells = _counted(points, x0, y0, side / FAN ** k)
+        else:
+            cells = whole[k - 1]
+            if k > 1:
+                above = crowded(whole[k - 2]).select(F.col("cx").alias("px"), F.col("cy").alias("py"))
+                cells = cells.join(above, ["px", "py"], "left_semi")
         levels.append(cut_lineage(cells))
-        most = levels[-1].agg(F.max("n")).first()[0]
+        if crowded(levels[-1]).isEmpty():
+            break
     return levels
 
 
+def _leaf_points(points: DataFrame, levels: list[DataFrame], x0: float, y0: float, side: float) -> DataFrame:
+    """Right points with their leaf: the first cell on the way down with at most LEAF points."""
+    named = points.select("__rid", F.col("__x").alias("__rx"), F.col("__y").alias("__ry"))
+    zero = F.lit(0).cast("long")
+
+    def cell_at(k: int) -> tuple[Column, Column]:
+        if not k:
+            return zero, zero
+        return _cell(F.col("__rx") - x0, side / FAN ** k), _cell(F.col("__ry") - y0, side / FAN ** k)
+
+    if not levels:
+        return named.select("__rid", "__rx", "__ry", F.lit(0).alias("level"), zero.alias("cx"), zero.alias("cy"))
+    out = None
+    last = len(levels)
+    is_leaf = lambda k: (F.col("n") <= LEAF) | F.lit(k == last)
+    used = [k for k, cells in enumerate(levels, 1) if not cells.where(is_leaf(k)).isEmpty()]
+    for k in used:  # a point's leaf is on one level, so each point stays once
+        x, y = cell_at(k)
+        at = named.withColumn("cx", x).withColumn("cy", y).withColumn("level", F.lit(k))
+        own = levels[k - 1].where(is_leaf(k)).select("cx", "cy")
+        own = F.broadcast(own) if k <= SMALL_LEVELS else own
+        part = at.join(own, ["cx", "cy"], "left_semi").select("__rid", "__rx", "__ry", "level", "cx", "cy")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def nearest(left: DataFrame, right: DataFrame, lid: str, rid: str, xy: tuple[str, str] = ("x", "y"),
             rxy: tuple[str, str] | None = None, cell: float | None = None, max_dist: float = math.inf,
             out_id: str = "near_id", out_dist: str = "dist") -> DataFrame:
@@ -98,6 +155,7 @@ def nearest(left: DataFrame, right: DataFrame, lid: str, rid: str, xy: tuple[str
     points = (right.select(F.col(rid).alias("__rid"), F.col(rxy[0]).cast("double").alias("__x"),
                            F.col(rxy[1]).cast("double").alias("__y")).where(finite)
               .groupBy("__x", "__y").agg(F.min("__rid").alias("__rid")))
+    points = cut_lineage(points)
     x0, y0, x1, y1, n = points.agg(F.min("__x"), F.min("__y"), F.max("__x"), F.max("__y"), F.count(F.lit(1))).first()
     if not n:
         return left.select("*", F.lit(None).cast(right.schema[rid].dataType).alias(out_id),
@@ -112,6 +170,7 @@ def nearest(left: DataFrame, right: DataFrame, lid: str, rid: str, xy: tuple[str
         up = open_.select("__x", "__y", F.col("cx").alias("px"), F.col("cy").alias("py"), "best")
         if k == 1:
             cells = cells.withColumn("px", F.lit(0).cast("long")).withColumn("py", F.lit(0).cast("long"))
+        cells = F.broadcast(cells) if k <= SMALL_LEVELS else cells
         near = (up.join(cells, ["px", "py"])
                 .withColumn("gap", _norm(_gap("x_lo", "x_hi", "__x"), _gap("y_lo", "y_hi", "__y")))
                 .where((F.col("gap") <= F.col("best")) & (F.col("gap") <= F.lit(max_dist)))
@@ -127,13 +186,7 @@ def nearest(left: DataFrame, right: DataFrame, lid: str, rid: str, xy: tuple[str
     # a leaf met early may lie beyond what lower levels found
     found = found.withColumn("best", F.min("best").over(at)).where(F.col("gap") <= F.col("best"))
 
-    # the leaf of each right point: its cell on the one level where that cell is a leaf
-    path = F.array(*[F.struct(F.lit(k).alias("level"),
-                              (F.lit(0).cast("long") if not k else _cell(F.col("__x") - x0, side / FAN ** k)).alias("cx"),
-                              (F.lit(0).cast("long") if not k else _cell(F.col("__y") - y0, side / FAN ** k)).alias("cy"))
-                     for k in (range(1, len(levels) + 1) if levels else [0])])
-    spread = points.select("__rid", F.col("__x").alias("__rx"), F.col("__y").alias("__ry"), F.explode(path).alias("c"))
-    spread = spread.select("__rid", "__rx", "__ry", "c.*")
+    spread = _leaf_points(points, levels, x0, y0, side)
     pairs = found.select("__x", "__y", "level", "cx", "cy").join(spread, ["level", "cx", "cy"])
     d = _norm(F.col("__x") - F.col("__rx"), F.col("__y") - F.col("__ry"))
     best = (pairs.withColumn("d", d).where(F.col("d") <= F.lit(max_dist)).groupBy("__x", "__y")

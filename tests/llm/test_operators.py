@@ -141,15 +141,40 @@ def test_top_k_ties_and_invalid_rows(spark):
     assert topk.search(df.where("false"), F.lit(True)).count() == 0
 
 
-def test_top_k_matches_brute_force():
+@pytest.mark.parametrize("rows", [4000, 60])
+def test_top_k_matches_brute_force(spark, monkeypatch, rows):
+    monkeypatch.setattr(topk, "BUCKET_ROWS", rows)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 16)
     r = np.random.default_rng(1)
-    v = np.floor(256 * r.normal(size=(700, 12)))
+    v = np.floor(256 * r.normal(size=(700, 13))).astype(int)
     v[100:140] = v[3]
     ids = r.permutation(700)
-    got = topk.search_block(ids[:40], v[:40], ids, v, 5)
-    for n in range(40):
-        want = sorted(((-int(v[n] @ x), int(i)) for x, i in zip(v, ids) if i != ids[n]))[:5]
-        assert sorted((-s, i) for q, i, s in got if q == ids[n]) == want
+    ids[:3] = ids[3]  # a vec_id of four rows
+    short = [(5000 + i, [int(x) for x in r.integers(-9, 9, 2)]) for i in range(4)]
+    table = [(int(i), [int(c) for c in x]) for i, x in zip(ids, v)] + short
+    df = spark.createDataFrame(table, "vec_id long, v array<long>").withColumn("row", F.lit("x")).repartition(5)
+    got = {}
+    for x in topk.top_k(df, df.where("vec_id % 20 = 0"), 5).collect():
+        got.setdefault(x.query_id, []).append((x.rank, -x.score, x.vec_id))
+    own = {}
+    for i, x in table:
+        if i % 20 == 0:
+            own[i] = min(own.get(i, x), x)
+    assert set(got) == set(own)
+    for i, q in own.items():
+        want = sorted((-sum(a * b for a, b in zip(q, x)), j) for j, x in table if j != i and len(x) == len(q))[:5]
+        assert [(s, j) for _, s, j in sorted(got[i])] == want
+
+
+def test_codes_bound_every_score():
+    r = np.random.default_rng(2)
+    v = np.floor(r.normal(size=(300, 7)) * [1, 10, 1e3, 1e6, 1e13, 0, 5])
+    grid = topk.Grid(v.min(0), v.max(0))
+    low, high = grid.corners([p.tobytes() for p in grid.pack(v)])
+    assert ((low <= v) & (v <= high)).all() and len(grid.pack(v)[0]) == 4
+    a, b = topk.bounds(v[:20], low, high)
+    exact = np.array([[sum(int(x) * int(y) for x, y in zip(p, q)) for q in v] for p in v[:20]], object)
+    assert (a <= exact).all() and (exact <= b).all()
 
 
 def test_chat_round_trip_and_layouts(spark):

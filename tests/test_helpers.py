@@ -92,7 +92,7 @@ def test_yearly_watershed_threshold(spark):
     sites = spark.createDataFrame([(1, 1234.5, 101.6)], "site long, area ha double, elev_max double".replace("area ha", "area_ha"))
     wshd = spark.createDataFrame([(1, "Tea")], "site long, name string")
     w = G.watershed_attrs(sites, wshd, "site", area_ha="area_ha").first()
-    assert (w.area_km2, w.elev_max, w.name) == (12.35, 102.0, "Tea")
+    assert (w.area_km2, w.elev_max, w.name) == (12.34, 102.0, "Tea")
     thr = spark.createDataFrame([("CO", 0.055, 1.5), ("ST", 0.08, 2.0)], "species string, grad double, width double")
     t = {r.attribute: (r.CO, r.ST) for r in scoring.threshold_table(thr, "species", ["CO", "ST"], ["grad"]).collect()}
     assert t == {"grad": ("5.5", "8.0"), "width": ("1.5", "2.0")}

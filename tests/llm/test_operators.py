@@ -171,7 +171,7 @@ def test_codes_bound_every_score():
     v = np.floor(r.normal(size=(300, 7)) * [1, 10, 1e3, 1e6, 1e13, 0, 5])
     grid = topk.Grid(v.min(0), v.max(0))
     low, high = grid.corners([p.tobytes() for p in grid.pack(v)])
-    assert ((low <= v) & (v <= high)).all() and len(grid.pack(v)[0]) == 4
+    assert ((low <= v) & (v <= high)).all() and len(grid.pack(v)[0]) == 7
     a, b = topk.bounds(v[:20], low, high)
     exact = np.array([[sum(int(x) * int(y) for x, y in zip(p, q)) for q in v] for p in v[:20]], object)
     assert (a <= exact).all() and (exact <= b).all()

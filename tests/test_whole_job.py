@@ -1,6 +1,16 @@
-"""Rows that used to be left out of domain operators."""
+"""Rows, numbers and steps that used to be left out of domain operators and queries."""
+
+from datetime import datetime
 
 from riffle.operators import fish
+from riffle.plans import QUERIES
+
+EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double"
+
+
+def events_folder(spark, folder, rows):
+    spark.createDataFrame(rows, EVENTS).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
 
 
 def test_density_has_a_row_per_site_and_length(spark):
@@ -14,3 +24,12 @@ def test_density_has_a_row_per_site_and_length(spark):
     got = sorted((r.ef_length_m, r.ef_width_m, r.ef_seconds, r.enclosure, r.area_m2, r.density_100m2)
                  for r in fish.density(catch, events).collect())
     assert got == [(10.0, 2.0, 200, "shut", 20.0, 30.0), (20.0, 3.0, 400, "open", 60.0, 10.0)]
+
+
+def test_slice_order_numbers_rows_over_the_whole_frame(spark, tmp_path):
+    rows = [(i, datetime(2024, 1, 1 + i % 3), 100 - i % 11, "view", 1.0) for i in range(250)]
+    got = QUERIES["slice_order"](spark, events_folder(spark, tmp_path, rows))
+    assert got.columns == ["event_id", "user_text", "ts", "row_id"]
+    ordered = sorted(rows, key=lambda r: (r[2], r[1], r[0]))
+    assert sorted((r.row_id, r.event_id, r.user_text) for r in got.collect()) == [
+        (k, r[0], str(r[2])) for k, r in enumerate(ordered, 1) if k > 100]

@@ -541,6 +541,12 @@ def merge_waypoints(recorders: dict, name: str = "name", time: str = "time") ->
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def newest_waypoints(waypoints: DataFrame, order: Sequence[str], name: str = "name", time: str = "time") -> DataFrame:
+    """The newest waypoint of every ``name_source_year`` key (G7 W1), ties by ``order``; one aggregate."""
+    from .dedupe import keep_first
+    return keep_first(waypoints, [name], [f"{time} desc", *order])
+
+
 def join_waypoints(sites: DataFrame, waypoints: DataFrame, waypoint: str = "waypoint", source: str = "source",
                    cols: Sequence[str] = ("easting", "northing")) -> DataFrame:
     """Sites beside the points of their waypoint, by cleaned name and recorder (G7); sites without one stay."""

@@ -184,7 +184,7 @@ def _recorder(e: DataFrame, etypes: list[str], with_ele: bool) -> DataFrame:
     return e.filter(F.col("event_type").isin(*etypes)).select(*cols)
 
 
-@query("waypoint_merge", ids="G7 X5", sql="""
+@query("waypoint_merge", ids="G7 X5 W1", sql="""
 WITH wp0 AS (
   SELECT event_id AS wp_event_id, CAST(event_id AS DOUBLE) AS n, ts AS time, value * 1000 AS easting,
          CAST(user_id * 10 AS DOUBLE) AS northing, value AS ele, 'R1' AS source
@@ -192,21 +192,34 @@ WITH wp0 AS (
   UNION ALL
   SELECT event_id, CAST(event_id AS DOUBLE), ts, value * 1000, CAST(user_id * 10 AS DOUBLE), NULL, 'R2'
   FROM events WHERE event_type = 'click'),
-wp AS (SELECT *, CASE WHEN n > 1000 THEN CAST(round_even(CAST(n / 10 AS DECIMAL(38,10)), 0) AS DOUBLE) ELSE n END
+wp1 AS (SELECT *, CASE WHEN n > 1000 THEN CAST(round_even(CAST(n / 10 AS DECIMAL(38,10)), 0) AS DOUBLE) ELSE n END
                   AS name_old FROM wp0),
-pr AS (SELECT event_id, CAST(event_id // 10 AS DOUBLE) AS waypoint, CASE WHEN user_id % 2 = 0 THEN 'R1' ELSE 'R2' END AS source
-       FROM events WHERE event_type NOT IN ('view', 'signup', 'click'))
-SELECT pr.event_id, pr.waypoint, pr.source, wp.wp_event_id, wp.easting, wp.northing, wp.ele,
-       CAST(CAST(wp.name_old AS BIGINT) AS VARCHAR) || '_' || wp.source || '_' || CAST(year(wp.time) AS VARCHAR) AS name
-FROM pr LEFT JOIN wp ON pr.waypoint = wp.name_old AND pr.source = wp.source""")
+wp AS (SELECT *, CAST(CAST(name_old AS BIGINT) AS VARCHAR) || '_' || source || '_' || CAST(year(time) AS VARCHAR)
+                 AS name FROM wp1),
+newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY time DESC, wp_event_id) AS rn FROM wp)
+           WHERE rn = 1),
+pr0 AS (SELECT event_id, CAST(event_id // 10 AS DOUBLE) AS waypoint, CASE WHEN user_id % 2 = 0 THEN 'R1' ELSE 'R2' END AS source,
+               ts FROM events WHERE event_type NOT IN ('view', 'signup', 'click')),
+pr AS (SELECT event_id, waypoint, source,
+              CAST(CAST(waypoint AS BIGINT) AS VARCHAR) || '_' || source || '_' || CAST(year(ts) AS VARCHAR) AS wp_key FROM pr0)
+SELECT pr.event_id, pr.waypoint, pr.source, pr.wp_key, wp.wp_event_id, wp.easting, wp.northing, wp.ele, wp.name,
+       newest.wp_event_id AS newest_event_id, newest.easting AS newest_easting, newest.northing AS newest_northing,
+       newest.ele AS newest_ele
+FROM pr LEFT JOIN wp ON pr.waypoint = wp.name_old AND pr.source = wp.source
+LEFT JOIN newest ON pr.wp_key = newest.name""")
 def waypoint_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two recorders' waypoints cleaned and stacked, all of them, joined to sites by cleaned name and source."""
+    """Two recorders' waypoints cleaned and stacked, joined to sites: all points of a site's cleaned name and
+    source, and the newest point of its key (name, source and year)."""
     e = Tables(spark, sf_dir).events
     wp = G.merge_waypoints({"R1": _recorder(e, ["view", "signup"], True), "R2": _recorder(e, ["click"], False)})
     pr = e.filter(~F.col("event_type").isin("view", "signup", "click")).select(
         "event_id", F.floor(F.col("event_id") / 10).cast("double").alias("waypoint"),
-        F.when(F.col("user_id") % 2 == 0, "R1").otherwise("R2").alias("source"))
-    return G.join_waypoints(pr, wp, cols=["name", "wp_event_id", "easting", "northing", "ele"])
+        F.when(F.col("user_id") % 2 == 0, "R1").otherwise("R2").alias("source"), "ts")
+    pr = pr.withColumn("wp_key", G.waypoint_key(F.col("waypoint"), F.col("source"), F.col("ts"))).drop("ts")
+    points = ["wp_event_id", "easting", "northing", "ele"]
+    newest = G.newest_waypoints(wp, ["wp_event_id"]).select(
+        F.col("name").alias("wp_key"), *[F.col(c).alias(f"newest_{c.removeprefix('wp_')}") for c in points])
+    return join_na(G.join_waypoints(pr, wp, cols=["name", *points]), newest, "wp_key")
 
 
 @query("segment_attach", ids="G9 J6 J16", sql="""

@@ -33,3 +33,18 @@ def test_slice_order_numbers_rows_over_the_whole_frame(spark, tmp_path):
     ordered = sorted(rows, key=lambda r: (r[2], r[1], r[0]))
     assert sorted((r.row_id, r.event_id, r.user_text) for r in got.collect()) == [
         (k, r[0], str(r[2])) for k, r in enumerate(ordered, 1) if k > 100]
+
+
+def test_waypoint_merge_has_all_points_and_the_newest_of_a_key(spark, tmp_path):
+    day = lambda y, d=1: datetime(y, 1, d)
+    rows = [(1230, day(2023), 2, "view", 1.0), (1229, day(2024, 5), 2, "signup", 2.0), (123, day(2024, 3), 2, "view", 3.0),
+            (1228, day(2024, 5), 2, "click", 4.0),
+            (1234, day(2024), 4, "purchase", 0.0), (1235, day(2022), 4, "error", 0.0), (1236, day(2024), 5, "error", 0.0)]
+    got = {}
+    for r in QUERIES["waypoint_merge"](spark, events_folder(spark, tmp_path, rows)).collect():
+        got.setdefault(r.event_id, set()).add((r.wp_key, r.wp_event_id, r.name, r.newest_event_id, r.newest_easting))
+    at = lambda key, newest, *points: {(key, p, n, *newest) for p, n in points}
+    all_points = [(1230, "123_R1_2023"), (1229, "123_R1_2024"), (123, "123_R1_2024")]
+    assert got == {1234: at("123_R1_2024", (1229, 2000.0), *all_points),
+                   1235: at("123_R1_2022", (None, None), *all_points),
+                   1236: at("123_R2_2024", (1228, 4000.0), (1228, "123_R2_2024"))}

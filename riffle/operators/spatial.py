@@ -186,13 +186,16 @@ def nearest(left: DataFrame, right: DataFrame, lid: str, rid: str, xy: tuple[str
     # a leaf met early may lie beyond what lower levels found
     found = found.withColumn("best", F.min("best").over(at)).where(F.col("gap") <= F.col("best"))
 
-    spread = _leaf_points(points, levels, x0, y0, side)
-    pairs = found.select("__x", "__y", "level", "cx", "cy").join(spread, ["level", "cx", "cy"])
+    # Two passes of hash aggregates: the least distance, then the smallest id at it.  A single
+    # one of both would sort all pairs, since a struct is no buffer of a hash aggregate.
+    spread = cut_lineage(_leaf_points(points, levels, x0, y0, side))
+    found = cut_lineage(found.select("__x", "__y", "level", "cx", "cy", "gap"))
     d = _norm(F.col("__x") - F.col("__rx"), F.col("__y") - F.col("__ry"))
-    best = (pairs.withColumn("d", d).where(F.col("d") <= F.lit(max_dist)).groupBy("__x", "__y")
-            .agg(F.min(F.struct("d", "__rid")).alias("b")))
-    res = best.select(F.col("__x").alias("__lx"), F.col("__y").alias("__ly"), F.col("b.__rid").alias(out_id),
-                      F.col("b.d").alias(out_dist))
+    pairs = lambda spots: spots.join(spread, ["level", "cx", "cy"]).withColumn("d", d)
+    least = cut_lineage(pairs(found).where(F.col("d") <= F.lit(max_dist)).groupBy("__x", "__y").agg(F.min("d").alias("least")))
+    close = found.join(least, ["__x", "__y"]).where(F.col("gap") <= F.col("least"))
+    res = (pairs(close).where(F.col("d") == F.col("least")).groupBy("__x", "__y", "least").agg(F.min("__rid").alias(out_id))
+           .select(F.col("__x").alias("__lx"), F.col("__y").alias("__ly"), out_id, F.col("least").alias(out_dist)))
     j = left.join(res, (lx == F.col("__lx")) & (ly == F.col("__ly")), "left")
     return j.drop("__lx", "__ly")
 

@@ -153,6 +153,14 @@ def test_slices_by_cut_points(spark):
     assert "Sort" not in plan and "Join" not in plan
 
 
+def test_nearest_sorts_no_candidate_pairs(spark):
+    points = spark.range(2000).select("id", (F.rand(3) * F.lit(10)).alias("x"), F.rand(4).alias("y"))
+    right = points.select((F.col("id") + 5000).alias("rid"), "x", "y")
+    m = G.nearest(points, right, "id", "rid")
+    assert "SortAggregate" not in m._jdf.queryExecution().executedPlan().toString()
+    assert all(r.near_id == r.id + 5000 and r.dist == 0 for r in m.collect())
+
+
 def test_review_sample_is_exact_and_sorts_nothing(spark):
     df = spark.range(1000).select(F.col("id").alias("k"), F.lit("payload").alias("p"))
     s = Q.review_sample(df, ["k"], 0.15, seed=3)

@@ -226,6 +226,13 @@ def test_fingerprint_edge_cases(spark):
     assert one.next_doc_id == 1 and one.edited_sha256 == hashlib.sha256(b"abcdefabc").hexdigest()
 
 
+def test_smallest_anchors_tell_how_far_they_are_known(spark):
+    few, full = [5 << 32, 9 << 32], [(7 * i + 3) << 32 for i in range(syncmers.KEEP)]
+    df = spark.createDataFrame([(few,), (full,), ([],)], "a array<bigint>")
+    assert [r[0] for r in df.select(syncmers.known_to(F.col("a"))).collect()] == [
+        syncmers.MARK, 7 * (syncmers.KEEP - 1) + 3, syncmers.MARK]
+
+
 # ---- the registered queries --------------------------------------------------
 
 def test_queries_over_whole_tables(spark):

@@ -1,11 +1,14 @@
 """Inputs of which only a part used to be worked on."""
 
 import math
+import os
 import zlib
 from collections import Counter
 
 import brute
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,6 +145,55 @@ def test_repeats_with_a_name_shared_in_one_slice(spark):
     assert dict((i, n) for i, _, n in want)[2] == 64
 
 
+def test_records_of_repeats_stay_small_in_many_buckets():
+    """With a record a row and bucket, row numbers and documents took 20 bytes a record."""
+    r = np.random.default_rng(2)
+    owner = np.repeat(np.arange(2000), 240)
+    rows, docs = np.arange(2000) + (7 << 33), np.sort(r.choice(3_000_000, 2000, replace=False))
+    names, at = r.integers(0, 1 << 63, len(owner)).astype(np.uint64), np.tile(np.arange(240) * 16, 2000)
+    sent = pd.concat(b.to_pandas() for b in repeats.packed(600, owner, names, None, at, np.ones(len(at), int), rows, docs, False))
+    columns = ["row", "doc", "n", "name", "at", "span"]
+    assert sum(len(pa.compress(b"".join(x), codec="lz4", asbytes=True)) for x in sent[columns].to_numpy()) < 16 * len(owner)
+    row, doc, name, _, back, span = repeats.unpack(sent)
+    want = sorted(zip(rows[owner].tolist(), docs[owner].tolist(), names.tolist(), at.tolist()))
+    assert sorted(zip(row.tolist(), doc.tolist(), name.tolist(), back.tolist())) == want and (span == 1).all()
+
+
+def test_squeezed_numbers_come_back():
+    for kind in (np.int64, np.int32):
+        ends = np.iinfo(kind)
+        x = np.array([ends.min, ends.max, 0, -1, ends.max, ends.min, 5], kind)
+        name = f"<i{x.itemsize}"
+        assert repeats.spread([repeats.squeezed(x, name), b"", repeats.squeezed(x[:2], name)], name).tolist() == [*x, *x[:2]]
+
+
+def test_repeats_keep_no_tables_that_are_done_with(spark):
+    shared = "é this very passage has well over fifty bytes and stands in all of the documents"
+    rows = [(k, f"{k} " * 40 + shared + f"{k % 2} more of it " * 5) for k in range(12)] + [(3, "other " + shared), (None, shared)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://") if spark.conf.get("spark.checkpoint.dir", None) else None
+    before = set(os.listdir(folder)) if folder else set()
+    out = repeats.remove_repeats(df, digest=True)
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    left = {x.rpartition("-")[0] for x in set(os.listdir(folder)) - before if "repeat" in x}
+    assert left == {"llm-repeat-cuts"}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.where("doc_id <> 3").collect()}
+    want = brute.repeats(rows[:12])
+    assert got == {k: v for k, v in want.items() if k != 3} and got[5][1] > 80
+
+
+def test_rows_that_share_document_and_tag(spark, monkeypatch):
+    """Level 1 knows rows by document and tag; here all rows of a document have one tag."""
+    shared = "this very passage has well over fifty bytes and stands in both of the documents"
+    rows = [(1, "one begins differently, quite on its own " + shared[:30]), (1, shared + " and then the second row goes on"),
+            (2, "the other document starts here with words of its own, then " + shared), (2, shared), (4, "A" * 70)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ask = lambda: sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in repeats.remove_repeats(df).collect())
+    want = ask()
+    monkeypatch.setattr(repeats, "TAG", 1)
+    assert ask() == want and (2, len(shared), len(shared), 1) in want
+
+
 def labelled_folds(spark, toxic_folds, n=400):
     bad, good = "vilecur rotspawn filthmuck".split(), "calm river garden morning".split()
     r = np.random.default_rng(4)

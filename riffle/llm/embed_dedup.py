@@ -8,10 +8,18 @@ cells of its label in multi-sequence order of a lower bound of their distance
 region) and stops when the next cell cannot hold a vector within reach: the
 target recall is 1.  Found vectors are verified by cosine in double precision.
 
-Equal vectors of a label are one class with a count.  Cells and their visitors
-are cut into blocks, so a crowded cell is many tasks; a task emits one row per
-visitor with its number of links and a spanning forest of the links it saw,
-never the pairs.
+Equal vectors of a label are one class with a count.  The classes of a label
+are dealt over shelves by their hash, so no cell is too large for a task, and a
+shelf holds its own part of every cell.  A vector travels to its shelf and,
+whole but once, to each shelf that it visits: of two shelves one visits the
+other.  The shelf finds the cells of its visitors, cell by cell of theirs, and
+compares block by block; so what travels follows the vectors and their shelves,
+not the cells.  A shelf emits one row per vector with its number of links and
+a spanning forest of the links it saw, never the pairs.
+
+A label has up to SHELVES shelves, more only if a shelf would pass SHELF_BYTES:
+(SHELVES + 1) / 2 copies of a vector at most until then, in proportion to the
+label's size beyond, as all pairs of shelves must meet.
 
 Vectors are compared only with vectors of equal length, and every length in use
 is searched by itself; one-dimensional vectors are grouped by sign.
@@ -34,11 +42,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, scratch_table
+from .common import connected_components, scratch_table, shuffle_partitions
 from .topk import usable
 
 #: Rows that codebooks are fitted on; class rows a cell is meant to hold; rows of a block.
 FIT_ROWS, CELL_ROWS, BLOCK = 8192, 128, 1500
+#: Shelves of a label, rows below which it needs fewer, and bytes of a shelf's vectors.
+SHELVES, SHELF_ROWS, SHELF_BYTES = 2, 4096, 64 << 20
+#: Visitors that a shelf takes at a time.
+VISITORS = 16384
+#: Links of a vector so far, or a link of its forest.
+SEEN = "node long, other long, n long"
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -104,6 +118,102 @@ def forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple
     return [(a, b) for a, b in out if a != b]
 
 
+def unpacked(rows: pd.DataFrame, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, copies and unit vectors."""
+    x = np.frombuffer(b"".join(rows["v"]), kind).reshape(len(rows), -1).astype(float)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # keeps squares from over- and underflow
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return rows["node"].to_numpy(), rows["copies"].to_numpy(), x
+
+
+class Shelf:
+    """Vectors of a label by cell, and the links that they and their visitors have."""
+
+    def __init__(self, place, books, limit: float, threshold: float):
+        self.place, self.books, self.limit, self.threshold = place, books, limit, threshold
+        self.stored, self.waiting, self.cells = [], [], None
+        d = sum(b.shape[1] for b in books)
+        self.none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, d))
+        self.rough = threshold - 1e-6 - d * 2e-7  # below what single precision may be off
+
+    def cells_of(self, x: np.ndarray) -> np.ndarray:
+        half, near = self.books[0].shape[1], lambda y, b: ((b ** 2).sum(1) - 2 * y @ b.T).argmin(axis=1)
+        return near(x[:, :half], self.books[0]) * len(self.books[1]) + near(x[:, half:], self.books[1])
+
+    def indexed(self):
+        """Sort what is stored by cell; the shelf's own vectors are its first visitors."""
+        self.node, self.copies, self.x = map(np.concatenate, zip(self.none, *self.stored))
+        self.stored = []
+        self.cells = np.concatenate([self.none[0], *(self.cells_of(self.x[a:a + VISITORS])
+                                                     for a in range(0, len(self.x), VISITORS))])
+        order = np.argsort(self.cells, kind="stable")
+        self.node, self.copies, self.x, self.cells = (y[order] for y in (self.node, self.copies, self.x, self.cells))
+        self.single, self.n = self.x.astype(np.float32), np.zeros(len(self.node), np.int64)
+        for a in range(0, len(self.x), VISITORS):
+            yield from self.visited(*(y[a:a + VISITORS] for y in (self.node, self.copies, self.x)), a)
+
+    def called(self):
+        """Let those in who wait."""
+        if self.cells is None:
+            yield from self.indexed()
+        visitors, self.waiting = [np.concatenate(y) for y in zip(self.none, *self.waiting)], []
+        yield from self.visited(*visitors, None)
+
+    def visited(self, node, copies, x, own: int | None):
+        """SEEN rows of visitors; ``own``: they are stored here from that place on."""
+        half = self.books[0].shape[1]
+        first, second = reach(x[:, :half], self.books[0])[1], reach(x[:, half:], self.books[1])[1]
+        cell = self.cells_of(x)
+        order = np.argsort(cell, kind="stable")
+        for group in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1):
+            if not len(group):
+                continue
+            # the cells that any of the group may reach, in runs of places
+            seq = multi_sequence(first[group].min(axis=0), second[group].min(axis=0), self.limit)
+            reached = np.sort(np.array([i * len(self.books[1]) + j for i, j in seq], np.int64))
+            lo, hi = np.searchsorted(self.cells, reached), np.searchsorted(self.cells, reached, side="right")
+            lo, hi = lo[lo < hi], hi[lo < hi]
+            new = np.append(True, lo[1:] > hi[:-1] + BLOCK)[:len(lo)]
+            for p, q in zip(lo[new], hi[np.append(new[1:], True)] if len(lo) else hi):
+                for g in range(0, len(group), BLOCK):
+                    some = group[g:g + BLOCK]
+                    single = x[some].astype(np.float32)
+                    for t in range(p, q, 4 * BLOCK):
+                        yield from self.compared(node, copies, x, some, single, slice(t, min(q, t + 4 * BLOCK)), own)
+
+    def compared(self, node, copies, x, left, single, right: slice, own: int | None):
+        rough = single @ self.single[right].T >= self.rough
+        i, j = np.nonzero(rough)
+        if not len(i):
+            return
+        # only cosines in double precision count
+        if len(i) * 8 > rough.size:
+            links = x[left] @ self.x[right].T >= self.threshold
+        else:
+            links = rough
+            links[i, j] = np.concatenate([np.einsum("nd,nd->n", x[left[i[a:b]]], self.x[right][j[a:b]]) >= self.threshold
+                                          for a, b in ((a, a + VISITORS) for a in range(0, len(i), VISITORS))])
+        if own is not None:  # a class holds itself
+            links |= (left + own)[:, None] == np.arange(right.start, right.stop)
+        some = np.flatnonzero(links.any(axis=1))
+        links, left = links[some], left[some]
+        n = links @ self.copies[right]
+        if own is None:
+            self.n[right] += copies[left] @ links
+        else:
+            links &= (left + own)[:, None] != np.arange(right.start, right.stop)
+        l, r = links.any(axis=1), links.any(axis=0)
+        tree = forest(links[l][:, r], node[left[l]], self.node[right][r])
+        yield pd.DataFrame({"node": [*node[left], *(a for a, _ in tree)], "other": [*node[left], *(b for _, b in tree)],
+                            "n": [*n, *([0] * len(tree))]}, dtype="int64")
+
+    def ended(self):
+        """Call in the last visitors; then the links they found, of the vectors stored here."""
+        yield from self.called()
+        some = np.flatnonzero(self.n)
+        yield pd.DataFrame({"node": self.node[some], "other": self.node[some], "n": self.n[some]})
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id",
                     vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row."""
@@ -112,23 +222,23 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
                           F.col(label_col).cast("string").alias("label"))
     ok = usable("v") & F.col("label").isNotNull() & F.exists("v", lambda x: x != 0)
     # -0.0 and 0.0 are one value in a grouping; the key of a class is its label and vector
-    keyed = rows.withColumn("v", F.transform(F.when(ok, F.col("v")), lambda x: x.cast("double") + F.lit(0.0)))
-    keyed = scratch_table(keyed.withColumn("key", F.when(F.col("v").isNotNull(), F.sha2(F.concat(
+    keyed = rows.withColumn("d", F.transform(F.when(ok, F.col("v")), lambda x: x.cast("double") + F.lit(0.0)))
+    keyed = keyed.withColumn("key", F.when(F.col("d").isNotNull(), F.unhex(F.sha2(F.concat(
         F.to_binary(F.hex("label"), F.lit("hex")),
-        F.encode(F.concat(F.lit("|"), F.array_join(F.col("v").cast("array<string>"), ",")), "UTF-8")), 256))),
-        "embed-rows")
+        F.encode(F.concat(F.lit("|"), F.array_join(F.col("d").cast("array<string>"), ",")), "UTF-8")), 256))))
+    # vectors keep their own type on the way, which for floats is half the bytes of doubles
     classes = (keyed.where(F.col("key").isNotNull()).groupBy("key")
                .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                     F.first("label").alias("label"), F.first("v").alias("v")))
-    classes = scratch_table(classes.withColumn("node", F.xxhash64("key")), "embed-classes")
+    classes = scratch_table(classes.withColumn("node", F.xxhash64(F.lower(F.hex("key")))), "embed-classes", release=True)
     found = None
     for r in classes.select(F.size("v").alias("d")).distinct().orderBy("d").collect():  # a row a length
         same = classes.where(F.size("v") == r["d"])
         own = _search(same, threshold) if r["d"] > 1 else _signs(same, threshold)
         found = own if found is None else found.union(own)
     if found is None:
-        found = spark.createDataFrame([], "key string, n_links long, component_id long")
-    out = keyed.join(found.select("key", F.col("n_links").alias("n"), F.col("component_id").alias("c")),
+        found = spark.createDataFrame([], "key binary, n_links long, component_id long")
+    out = keyed.select("vec_id", "key").join(found.select("key", F.col("n_links").alias("n"), F.col("component_id").alias("c")),
                      "key", "left")
     comp = F.when(F.col("vec_id").isNotNull(), F.coalesce("c", "vec_id"))
     return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
@@ -146,7 +256,7 @@ def _signs(classes: DataFrame, threshold: float) -> DataFrame:
 def _search(classes: DataFrame, threshold: float) -> DataFrame:
     """``key, n_links, component_id`` of every class."""
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0]
-    sample = np.stack([np.array(r["v"]) for r in classes.orderBy(F.xxhash64("node", F.lit(5))).limit(FIT_ROWS)
+    sample = np.stack([np.array(r["v"], float) for r in classes.orderBy(F.xxhash64("node", F.lit(5))).limit(FIT_ROWS)
                        .select("v").collect()])  # FIT_ROWS rows at most
     sample /= np.abs(sample).max(axis=1, keepdims=True)
     sample /= np.linalg.norm(sample, axis=1, keepdims=True)
@@ -154,60 +264,41 @@ def _search(classes: DataFrame, threshold: float) -> DataFrame:
     k = max(1, min(256, math.isqrt(max(1, largest // CELL_ROWS))))
     books = (kmeans(sample[:, :half], k), kmeans(sample[:, half:], k))
     limit = 2 - 2 * threshold + 1e-9  # squared distance of unit vectors at the threshold
+    kind = "<f4" if classes.schema["v"].dataType.elementType.typeName() == "float" else "<f8"
+    shelves = max(-(-largest * sample.shape[1] * int(kind[2]) // SHELF_BYTES), min(SHELVES, -(-largest // SHELF_ROWS)))
 
-    def units(v) -> np.ndarray:
-        x = np.stack(v.to_list()).astype(float)
-        x /= np.abs(x).max(axis=1, keepdims=True)  # keeps squares from over- and underflow
-        return x / np.linalg.norm(x, axis=1, keepdims=True)
-
-    def index(batches):
+    def copies(batches):
         for b in batches:
             if len(b):
-                u = units(b["v"])
-                yield b.assign(cell=reach(u[:, :half], books[0])[0] * len(books[1])
-                               + reach(u[:, half:], books[1])[0])
+                own = b["node"].to_numpy() % shelves
+                b["v"] = [np.asarray(x, kind).tobytes() for x in b["v"]]
+                for step in range(shelves // 2 + 1):  # half way round: of two shelves one visits the other
+                    to = (own + step) % shelves
+                    goes = own < to if step and 2 * step == shelves else np.ones(len(b), bool)
+                    yield b.assign(shelf=to, visits=bool(step))[goes]
 
-    def visits(batches):
+    def meet(batches):
+        shelf = None
         for b in batches:
-            if len(b):
-                u = units(b["v"])
-                first, second = reach(u[:, :half], books[0])[1], reach(u[:, half:], books[1])[1]
-                b["cell"] = [[i * len(books[1]) + j for i, j in multi_sequence(p, q, limit)]
-                             for p, q in zip(first, second)]
-                yield b
-
-    kind = "node long, copies long, label string, v array<double>, cell "
-    narrow = classes.select("node", "copies", "label", "v")
-    stored = scratch_table(narrow.mapInPandas(index, kind + "int"), "embed-index")
-    crowd = stored.groupBy("label", "cell").agg(F.count(F.lit(1)).alias("n"))
-    crowd = crowd.select("label", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    asked = narrow.mapInPandas(visits, kind + "array<int>").withColumn("cell", F.explode("cell"))
-    place = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
-    # A block of stored rows meets as many blocks of visitors as its cell draws.
-    asked = scratch_table(asked.join(crowd, ["label", "cell"]), "embed-visits")
-    drawn = asked.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("visitors"))
-    left = (asked.join(drawn, ["label", "cell"])
-            .withColumn("p", place(1, F.col("visitors")))
-            .withColumn("s", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    right = (stored.join(crowd, ["label", "cell"]).join(drawn, ["label", "cell"])
-             .withColumn("s", place(2, F.col("blocks")))
-             .withColumn("p", F.explode(F.sequence(F.lit(0), F.col("visitors") - 1))))
-    cols = ["label", "cell", "s", "p", "node", "copies", "v"]
-    keys = cols[:4]
-
-    def verify(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"node": [], "other": [], "n": []}).astype("int64")
-        links = units(a["v"]) @ units(b["v"]).T >= threshold
-        an, bn = a["node"].to_numpy(), b["node"].to_numpy()
-        links |= an[:, None] == bn[None]  # a class holds itself
-        n = links @ b["copies"].to_numpy()
-        tree = forest(links, an, bn)
-        return pd.DataFrame({"node": [*an, *(x for x, _ in tree)], "other": [*an, *(x for _, x in tree)],
-                             "n": [*n, *([0] * len(tree))]})
-
-    seen = scratch_table(left.select(cols).groupBy(*keys).cogroup(right.select(cols).groupBy(*keys))
-                         .applyInPandas(verify, "node long, other long, n long"), "embed-links")
+            for place, part in b.groupby(["label", "shelf"], sort=False):
+                if shelf is None or shelf.place != place:
+                    if shelf is not None:
+                        yield from shelf.ended()
+                    shelf = Shelf(place, books, limit, threshold)
+                away = part["visits"].to_numpy()  # the shelf's own vectors come first
+                for some, where in ((part[~away], shelf.stored), (part[away], shelf.waiting)):
+                    if len(some):
+                        where.append(unpacked(some, kind))
+                if sum(len(n) for n, _, _ in shelf.waiting) >= VISITORS:
+                    yield from shelf.called()
+        if shelf is not None:
+            yield from shelf.ended()
+
+    dealt = classes.select("node", "copies", "label", "v").mapInPandas(
+        copies, "node long, copies long, label string, v binary, shelf int, visits boolean")
+    met = dealt.repartition(shuffle_partitions(classes.sparkSession), "label", "shelf") \
+        .sortWithinPartitions("label", "shelf", "visits").mapInPandas(meet, SEEN)
+    seen = scratch_table(met, "embed-links", release=True)
     counts = seen.groupBy("node").agg((F.sum("n") - 1).alias("n_links"))
     parts = connected_components(seen.where("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b")),
                                  "embed")

@@ -110,6 +110,39 @@ def test_near_vectors_of_every_length(spark):
     assert got == want and all(want[100 * d + 90][0] > 1 for d in (8, 5, 2, 1))
 
 
+def test_near_vectors_of_many_shelves(spark, monkeypatch):
+    """Vectors and their copies meet whatever shelves they are on; types of vectors; heavy classes."""
+    r = np.random.default_rng(6)
+    base = r.normal(size=(150, 12))
+    rows = [(k, base[k].tolist(), k % 2) for k in range(150)]
+    rows += [(200 + k, (base[k % 9] + r.normal(size=12) * 0.05).tolist(), k % 9 % 2) for k in range(150)]
+    rows += [(400 + k, base[1].tolist(), 1) for k in range(20)] + [(500, [0.0] * 12, 0), (501, None, 1), (502, base[1].tolist(), None)]
+    monkeypatch.setattr(embed_dedup, "SHELF_ROWS", 20)
+    monkeypatch.setattr(embed_dedup, "CELL_ROWS", 8)
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int").repartition(3)
+        want = brute.near_vectors([(x.vec_id, x.embedding, x.label) for x in df.collect()], 0.98)
+        for most in (1, 2, 3, 4, 5) if kind == "double" else (4,):
+            monkeypatch.setattr(embed_dedup, "SHELVES", most)
+            got = {x.vec_id: (x.n_links, x.component_id) for x in embed_dedup.near_duplicates(df).collect()}
+            assert got == want and want[1][0] > 20, most
+
+
+def test_what_near_vectors_write_follows_the_vectors(spark, tmp_path):
+    """A row for each cell that a vector visits took many times the table."""
+    r = np.random.default_rng(7)
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(r.normal(size=(5000, 16)).astype(np.float32))],
+                               "vec_id long, embedding array<float>, label int")
+    df.write.parquet(str(tmp_path / "in"))
+    size = lambda d: sum(os.path.getsize(os.path.join(p, f)) for p, _, names in os.walk(d) for f in names)
+    assert embed_dedup.near_duplicates(spark.read.parquet(str(tmp_path / "in"))).where("n_links > 0").count() == 0
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(folder))
+    embed_dedup.near_duplicates(spark.read.parquet(str(tmp_path / "in"))).count()
+    wrote = sum(size(os.path.join(folder, x)) for x in set(os.listdir(folder)) - before)
+    assert wrote < 3 * size(tmp_path / "in")
+
+
 # ---- results that once went wrong -------------------------------------------
 
 def said(seed, n):

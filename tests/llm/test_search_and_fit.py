@@ -226,6 +226,26 @@ def test_fingerprint_edge_cases(spark):
     assert one.next_doc_id == 1 and one.edited_sha256 == hashlib.sha256(b"abcdefabc").hexdigest()
 
 
+def test_smallest_twice_is_what_sorting_all_gives(spark):
+    r = np.random.default_rng(11)
+    many = lambda names, n: [(int(x) << 32) + 3 * k for k, x in enumerate(r.choice(names, n))]
+    even = r.integers(0, 1 << 31, 4000)
+    rows = [(many(even, n), end) for n in (0, 5, 63, 64, 511, 513, 3000) for end in (0, 20, n, 2 * n, 3 * n + 12)]
+    rows += [(many(even[:70], 3000), 9012), (many(even[:40], 3000), 400), (many(np.sort(even)[-2000:], 3000), 5000)]
+    df = spark.createDataFrame(rows, "a array<bigint>, e int").repartition(2)
+
+    def plain(anchors):
+        first = {}
+        for x in sorted(anchors):
+            first.setdefault(x >> 32, x)
+        return sorted(first.values())
+
+    for x in df.select("a", "e", syncmers.smallest_twice(F.col("a"), F.col("e")).alias("s")).collect():
+        own = plain(x.a)
+        assert x.s.found == own[:syncmers.KEEP]
+        assert x.s.kept == [y for y in own if (y & (syncmers.MARK - 1)) <= x.e - syncmers.K][:syncmers.KEEP]
+
+
 def test_smallest_anchors_tell_how_far_they_are_known(spark):
     few, full = [5 << 32, 9 << 32], [(7 * i + 3) << 32 for i in range(syncmers.KEEP)]
     df = spark.createDataFrame([(few,), (full,), ([],)], "a array<bigint>")
